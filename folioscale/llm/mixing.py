@@ -77,7 +77,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     order = [F.col("even"), F.col("size"), F.col("doc_id")]
     # documents that fit are taken in rank order up to the first that does not; the room left over goes to those behind it that fit
     rows = rows.withColumn("room", (F.col("target") - F.col("sure") * F.col("source_size"))).withColumn("extra", F.lit(0))
-    for last in (False, False, True):
+    for last in (False, False, False, True):
         open_ = (F.col("extra") == 0) & (F.col("p") > 0) & (F.col("size") <= F.col("room") * (2 if last else 1))
         ranked = running(rows.withColumn("open", open_), ["source"], F.col("even"), order, F.when(F.col("open"), F.col("size")).otherwise(F.lit(0)), n, "before")
         # in the end one document may cross the target, if that ends nearer to it
