@@ -1,4 +1,4 @@
-"""All registered queries outside the optional packages."""
+"""All registered queries outside the optional packages, each with its SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import registered_documents, registered_relational
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def queries() -> dict[str, Query]:
+    return registered_relational.QUERIES | registered_documents.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return registered_relational.SQL | registered_documents.SQL
