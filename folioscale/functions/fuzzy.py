@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, with one machine word row of bits per step."""
@@ -30,12 +32,16 @@ def indel_ratio_value(a: str | None, b: str | None) -> float | None:
     return 100.0 if total == 0 else 200.0 * lcs_length(a, b) / total
 
 
-@F.pandas_udf("double")
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of 0 to 100 where a replaced character costs a deletion and an insertion."""
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio_value(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def indel_ratio(a: Column, b: Column) -> Column:
+    """Similarity of 0 to 100 where a replaced character costs a deletion and an insertion."""
+    ship()
+    return F.pandas_udf(_ratios, "double")(a, b)
+
+
 def length_close(a: Column, b: Column, share: float = 0.7) -> Column:
     return F.least(F.length(a), F.length(b)) >= F.lit(share) * F.greatest(F.length(a), F.length(b))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import stable_hash
 from ..functions.text import quote_pattern, rejoin_hyphens, strip
+from ..session import ship
 from .intervals import blank_ranges
 from .windows import top_one
 
@@ -114,6 +115,7 @@ def split_chapters(chapters: DataFrame, toc: DataFrame, listed: DataFrame | None
         subs = subs.unionByName(listed.select("source_file", "chapter_title", "title", "page_start", F.lit(False).alias("is_table"), "sort_order"))
     packed = subs.groupBy("source_file", "chapter_title").agg(F.array_sort(F.collect_list(F.struct(F.col("sort_order").cast("int"), "title", F.col("page_start").cast("int").alias("page"), "is_table"))).cast(kind).alias("subs"))
     rows = chapters.join(packed, ["source_file", "chapter_title"], "left")
+    ship(rows.sparkSession)
 
     def split(batches):
         for pdf in batches:
@@ -176,11 +178,15 @@ def dedupe_blocks(text: str | None, fields: list[str], signature: int = 80, leas
     return "\n".join(["\n".join(max(heads, key=lambda h: len("\n".join(h)))), *kept])
 
 
-@F.pandas_udf("string")
-def deduped_blocks(c: pd.Series, fields: pd.Series) -> pd.Series:
+def _deduped(c: pd.Series, fields: pd.Series) -> pd.Series:
     return pd.Series([dedupe_blocks(t, list(f)) for t, f in zip(c, fields, strict=True)], dtype=object)
 
 
+def deduped_blocks(c: Column, fields: list[str]) -> Column:
+    ship()
+    return F.pandas_udf(_deduped, "string")(c, F.array(*[F.lit(f) for f in fields]).cast("array<string>"))
+
+
 def merge_orphans(entries: DataFrame, has_metadata: Column, has_description: Column, order: list[str], signature: int = 80) -> DataFrame:
     """Equal titles of a section become one entry; an entry with fields but no text takes the untitled or lower-case entries behind it.
 
@@ -213,7 +219,7 @@ def build_entries(pages: DataFrame, toc: DataFrame, fields: list[str], known: Da
 
     sections = split_chapters(chapter_texts(clean_pages(pages, marks, masks), toc), toc)
     cleaned = sections.withColumn("content", clean_content(F.col("content"), fields, substitutions))
-    cleaned = cleaned.withColumn("content", deduped_blocks("content", F.array(*[F.lit(f) for f in fields]).cast("array<string>")))
+    cleaned = cleaned.withColumn("content", deduped_blocks(F.col("content"), fields))
     flags = entry_flags(F.col("content"), fields)
     merged = merge_orphans(cleaned, *flags, order=["seq"])
     if tables is not None:

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .intervals import coalesce_intervals
 
 
@@ -190,6 +191,7 @@ def table_regions(spans: DataFrame, cfg: LayoutSettings) -> DataFrame:
             rows.append((pdf["source_file"].iloc[0], int(pdf["page_index"].iloc[0]), n, *map(float, r["box"]), *map(float, r["head"]), r["rows"], len(r["zones"]), r["head_rows"], [{"x0": float(a), "x1": float(b)} for a, b in r["zones"]], r["method"]))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in REGIONS.replace("struct<x0:double,x1:double>", "s").split(", ")])
 
+    ship(spans.sparkSession)
     needed = spans.select("source_file", "page_index", "idx", "font", "size", "bold", "x0", "y0", "x1", "y1", "text")
     return needed.groupBy("source_file", "page_index").applyInPandas(detect, REGIONS)
 

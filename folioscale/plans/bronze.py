@@ -13,6 +13,7 @@ from ..functions.fuzzy import indel_ratio_value
 from ..functions.text import squeeze, strip, toc_line
 from ..operators import windows as w
 from ..operators.joins import range_join, rank_join
+from ..session import ship
 
 
 def watermarks(pages: DataFrame, share: float = 0.3, least: int = 3, key: str = "source_file", text: str = "page_text", longer_than: int = 2) -> DataFrame:
@@ -43,7 +44,7 @@ def toc_rows(pages: DataFrame, positions: DataFrame | None = None, chapters: lis
     line_index, depth) gives depths; without it, or without a row there, a
     chapter is 0 and another row 1.
     """
-    lines = page_lines(pages.join(toc_pages(pages), ["source_file", "page_index"], "left_semi")).filter(strip(F.col("line")) != "")
+    lines = page_lines(pages.join(toc_pages(pages), ["source_file", "page_index"], "left_semi")).filter(~strip(F.col("line")).rlike(r"(?i)^(?:(?:table of )?contents)?$"))
     order = Window.partitionBy("source_file").orderBy("page_index", "line_index")
     text = strip(F.col("line"))
     has = toc_line(text).isNotNull()
@@ -172,6 +173,7 @@ def join_cut_names(spells: DataFrame, known: DataFrame, least: float = 90.0) ->
             i += 1
         return pd.DataFrame(out)[[f.name for f in schema.fields]]
 
+    ship(spells.sparkSession)
     return rows.groupBy("source_file", "entry_class", "entry_level").applyInPandas(fold, schema)
 
 
@@ -202,6 +204,7 @@ def spell_columns(spans: DataFrame, level_words: dict[str, int], class_words: li
         out = pd.DataFrame(rows, columns=["source_file", "entry_name", "entry_class", "entry_level", "is_reversible", "seq", "x0", "head_x"])
         return out
 
+    ship(spans.sparkSession)
     raw = spans.groupBy("source_file", "page_index").applyInPandas(page, "source_file string, entry_name string, entry_class string, entry_level int, is_reversible boolean, seq long, x0 double, head_x double")
     return _join_indented(raw)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def money_sum(c: Column) -> Column:
-    return F.sum(c.cast("decimal(18,2)"))
+    return F.sum(c.cast("decimal(20,4)"))
 
 
 def daily_revenue(sales: DataFrame) -> DataFrame:

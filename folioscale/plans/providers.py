@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 class StubModel:
     """Answers with the first sentence of what it is asked."""
@@ -70,6 +72,7 @@ class HashEmbedder:
 
 def generated(df: DataFrame, prompt: str, model: object, name: str = "response") -> DataFrame:
     """Ask the model for each row's prompt, in batches on the executors."""
+    ship(df.sparkSession)
     schema = df.schema.add(name, "string") if name not in df.columns else df.schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,6 +84,7 @@ def generated(df: DataFrame, prompt: str, model: object, name: str = "response")
 
 def embedded(df: DataFrame, text: str, embedder: object, name: str = "embedding", batch: int = 100) -> DataFrame:
     """Vectors of a text column; nulls count as empty texts."""
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

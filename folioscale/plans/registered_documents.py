@@ -1,8 +1,328 @@
-"""Queries over documents, conversations and pages."""
+"""Queries over documents, conversations and pages: text, chunks, search, checks."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import cells, text
+from ..operators import chunks, documents, joins
+from . import bronze, export, gold, quality, search, silver
 from .registry import Registry
 
 register = Registry()
 QUERIES, SQL = register.queries, register.sql
+
+_WS = "[ \\t\\n\\r\\f\\v]"
+
+
+def _sql_strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+@register("select doc_id, n_chars from documents where contains(lower(text), 'idiot') and contains(lower(text), 'the') order by length(text), doc_id limit 50")
+def keyword_and(t):
+    return search.keyword_all(t("documents"), "idiot of the", 50, "text", "doc_id").select("doc_id", "n_chars")
+
+
+_SCORE = " + ".join(f"case when contains(lower(text), '{w}') then 1 else 0 end" for w in ("scum", "trash", "clown"))
+
+
+@register(f"select doc_id, score from (select doc_id, {_SCORE} score from documents) where score > 0 order by score desc, doc_id limit 40")
+def keyword_or_score_topk(t):
+    return search.keyword_any(t("documents"), "scum trash clown", 40, "text", "doc_id").select("doc_id", "score")
+
+
+@register("select doc_id, length(text) n from documents where source = 'src3' and contains(lower(text), 'license') order by doc_id limit 25")
+def search_entries_like(t):
+    d = t("documents").filter("source = 'src3'")
+    return d.filter(F.lower("text").contains("license")).orderBy("doc_id").limit(25).select("doc_id", F.length("text").alias("n"))
+
+
+@register("select source, doc_id from (select source, doc_id, row_number() over (partition by substr(text, 1, 200) order by doc_id) rn from documents) where rn = 1")
+def dedupe_prefix200(t):
+    return search.dedupe_prefix(t("documents"), "text", [F.col("doc_id")]).select("source", "doc_id")
+
+
+@register("select list_sort(list(distinct lang)) langs, list_sort(list(distinct source)) sources from documents where n_chars > 100")
+def filter_options(t):
+    return t("documents").filter("n_chars > 100").agg(F.array_sort(F.collect_set("lang")).alias("langs"), F.array_sort(F.collect_set("source")).alias("sources"))
+
+
+@register(
+    f"""select source, watermark_text, occurrence_count from (select source, watermark_text, count(*) occurrence_count from
+  (select distinct source, doc_id, {_sql_strip('line')} watermark_text from (select source, doc_id, unnest(string_split(text, chr(10))) line from documents))
+  where length(watermark_text) > 2 group by 1, 2) join (select source, count(*) n from documents group by 1) using (source)
+  where occurrence_count >= greatest(cast(floor(n * 0.02) as int), 2)"""
+)
+def watermark_lines(t):
+    d = t("documents").select("source", "text")
+    return bronze.watermarks(d, share=0.02, least=2, key="source", text="text").select("source", "watermark_text", "occurrence_count")
+
+
+@register("select doc_id, cast(n as int) n, w from (select doc_id, (length(text) - length(replace(text, chr(10), ''))) n, array_to_string(string_split(text, chr(10))[1:2], '|') w from documents)")
+def line_counts(t):
+    lines = F.split("text", "\n", -1)
+    return t("documents").select("doc_id", (F.size(lines) - 1).alias("n"), F.array_join(F.slice(lines, 1, 2), "|").alias("w"))
+
+
+@register(
+    """with recursive p as (select doc_id, string_split(text, chr(10)) parts from documents),
+  q as (select doc_id, list_filter(parts, lambda x: regexp_replace(x, '[ \\t\\n\\r\\f\\v]+', '', 'g') <> '') parts from p),
+  s as (select doc_id, parts, 1 i, '' cur, [] :: varchar[] outs from q
+    union all
+    select doc_id, parts, i + 1,
+      case when length(cur) + length(parts[i]) + 1 > 800 and cur <> '' then parts[i] when cur = '' then parts[i] else cur || chr(10) || parts[i] end,
+      case when length(cur) + length(parts[i]) + 1 > 800 and cur <> '' then list_append(outs, cur) else outs end
+    from s where i <= len(parts))
+  select doc_id, cast(len(chunks) as int) n_chunks, sha256(array_to_string(chunks, chr(1))) digest from
+  (select doc_id, case when cur = '' then outs else list_append(outs, cur) end chunks from s where i = len(parts) + 1)"""
+)
+def chunk_paragraphs(t):
+    parts = F.filter(F.split("text", "\n", -1), lambda x: text.strip(x) != "")
+    packed = chunks.pack(parts, 800, 0, "\n")
+    return t("documents").select("doc_id", F.size(packed).alias("n_chunks"), F.sha2(F.array_join(packed, "\x01"), 256).alias("digest"))
+
+
+@register()
+def chunk_overlap(t):
+    d = t("documents").select("doc_id", "text")
+    return chunks.chunk_rows(d, "text", 800, 200, "\n").select("doc_id", "chunk_index", "char_count")
+
+
+@register("select page_id, cast(len(regexp_extract_all(html, '<h[1-4][^>]*>')) as int) n from pages")
+def heading_counts(t):
+    return t("pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<h[1-4][^>]*>"), F.lit(0))).alias("n"))
+
+
+@register()
+def heading_sections(t):
+    md = F.regexp_replace(F.regexp_replace("html", r"<h([1-4])[^>]*>", "\n\n# "), "<[^>]+>", " ")
+    return chunks.heading_sections(t("pages").select("page_id", md.alias("md")), "md").select("page_id", "section_index", "part_index", "section_title", F.length("content").alias("n"))
+
+
+@register("select conv_id, string_agg(text, chr(10) || chr(10) order by turn, role, text) text from conversations group by 1")
+def ordered_concat(t):
+    return chunks.ordered_concat(t("conversations"), ["conv_id"], ["turn", "role"], "text")
+
+
+@register()
+def containment_dedupe(t):
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    return t("conversations").groupBy("conv_id").agg(F.size(chunks.drop_contained(texts)).alias("n_kept"))
+
+
+@register(
+    "select doc_id, translate(left(text, 120), '‘’“”–—', '''''\"\"--') head from documents"
+)
+def translate_ascii(t):
+    return t("documents").select("doc_id", text.to_ascii(F.left("text", F.lit(120))).alias("head"))
+
+
+@register("select item_id, substr(text, 1, 30) || '1' || '2' line, regexp_replace(regexp_replace(substr(text, 1, 30), '[ \\t.…]+$', ''), '^[ ]+', '') title, 12 page from benchmark where length(text) >= 30 and regexp_matches(substr(text, 30, 1), '[a-z]')")
+def toc_line_parse(t):
+    line = F.concat(F.substring("text", 1, 30), F.lit("12"))
+    x = text.toc_line(line)
+    return t("benchmark").filter((F.length("text") >= 30) & F.substring("text", 30, 1).rlike("[a-z]")).select("item_id", line.alias("line"), x["title"].alias("title"), x["page"].alias("page"))
+
+
+@register("select p_partkey, case when p_size % 10 = 1 then p_size % 10 when p_size % 10 = 2 then 2 end lv from part")
+def ordinal_parse(t):
+    n = F.col("p_size") % 10
+    word = F.concat(n.cast("string"), F.when(n == 1, "st").when(n == 2, "nd)").otherwise("x"))
+    return t("part").select("p_partkey", text.ordinal_level(word).alias("lv"))
+
+
+@register("select p_partkey, cast(p_size as varchar) rng, p_brand dur_any, cast(null as varchar) dur_line, cast(null as varchar) area from part")
+def field_extract(t):
+    c = F.concat(F.lit("Range: "), F.col("p_size").cast("string"), F.lit("\nx Duration: "), F.col("p_brand"), F.lit("\nArea of Effect:"))
+    return t("part").select("p_partkey", text.field_line(c, "Range").alias("rng"), text.field_anywhere(c, "Duration").alias("dur_any"), text.field_line(c, "Duration").alias("dur_line"), text.field_line(c, "Area of Effect").alias("area"))
+
+
+@register("select doc_id, cast(instr(lower(text), 'idiot') as int) pos from documents where regexp_matches(text, '(^|[^a-zA-Z0-9À-ÿ])[iI][dD][iI][oO][tT]([^a-zA-Z0-9À-ÿ]|$)') and not regexp_matches(lower(text), '[a-z0-9à-ÿ]idiot|idiot[a-z0-9à-ÿ]')")
+def whole_word_position(t):
+    d = t("documents").select("doc_id", "text").filter(~F.lower("text").rlike("[a-z0-9à-ÿ]idiot|idiot[a-z0-9à-ÿ]"))
+    return d.withColumn("pos", text.whole_word_position(F.col("text"), "idiot")).filter("pos > 0").select("doc_id", "pos")
+
+
+@register()
+def whole_word_context(t):
+    d = t("documents").select("doc_id", "text")
+    return d.withColumn("around", text.word_context(F.col("text"), "idiot", 40)).filter("around is not null").select("doc_id", "around")
+
+
+@register()
+def word_tokens_unknown(t):
+    """Words of English documents that fewer than three documents hold, with how many do."""
+    words = t("documents").filter("lang = 'en'").select("doc_id", F.explode(text.unknown_words(F.col("text"))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n < 3")
+
+
+@register("select event_id, '[\"' || event_type || '\",\"' || user_id || '\"]' cells, '| ' || event_type || ' | ' || user_id || ' |' line from events")
+def json_array_cells(t):
+    enc = cells.encode_cells(F.array("event_type", F.col("user_id").cast("string")))
+    return t("events").select("event_id", enc.alias("cells")).withColumn("line", cells.table_row(F.col("cells")))
+
+
+@register("select doc_id, cast((length(lower(text)) - length(replace(lower(text), 'the', ''))) / 3 as int) n from documents")
+def occurrence_counts(t):
+    return t("documents").select("doc_id", text.occurrences(F.col("text"), F.lit("the")).alias("n"))
+
+
+@register(
+    """select doc_id, round(3.0 * (case when contains(lower(source), 'src1') then 1 else 0 end) + least(length(text) / 500.0, 2.0)
+  + 0.5 * ((case when contains(lower(text), 'src1') then 1 else 0 end) + (case when contains(lower(text), 'worthless') then 1 else 0 end)), 6) score
+  from documents order by score desc, doc_id limit 30"""
+)
+def rerank(t):
+    d = t("documents").select("doc_id", "text", "source")
+    s = F.round(search.rerank_score("src1 worthless", F.col("text"), F.col("source")), 6)
+    return d.withColumn("score", s).orderBy(F.col("score").desc(), "doc_id").limit(30).select("doc_id", "score")
+
+
+@register()
+def hybrid_search(t):
+    d, e = t("documents").select("doc_id", "text", "source"), t("embeddings")
+    q = list(e.filter("vec_id = 7").first().embedding)
+    near = search.vector_top_k(e, q, 20).select("vec_id", "similarity")
+    from pyspark.sql import Window
+
+    semantic = d.join(near, d.doc_id == near.vec_id).withColumn("rank", F.row_number().over(Window.orderBy(F.col("similarity").desc(), "doc_id"))).select("doc_id", "text", "source", "rank")
+    key = search.keyword_any(d, "scum trash", 20, "text", "doc_id")
+    keyword = key.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "doc_id"))).drop("score")
+    return search.rerank(search.hybrid(semantic, keyword, "text", "doc_id", 20), "scum trash", "text", "source", [F.col("rank"), F.col("doc_id")]).select("doc_id", "rank", F.round("score", 6).alias("score"))
+
+
+@register(
+    """select source, issue from (select source, unnest(list_filter([case when n = 0 then 'EMPTY_SECTION' end, case when n > 0 and n < 0.3 * 400 then 'LOW_CHUNKS' end,
+  case when n > 5 and unnamed > 0.8 * n then 'MOSTLY_UNNAMED' end, case when n > 3 and chars / n < 30 then 'TINY_CHUNKS' end], lambda x: x is not null)) issue
+  from (select source, count(*) n, sum(case when quality is null then 1 else 0 end) unnamed, sum(n_chars) chars from documents d left join (select doc_id, max(quality) quality from labels group by 1) l on d.doc_id = l.doc_id group by 1))"""
+)
+def dq_section_issues(t):
+    d = t("documents").select("doc_id", "source", "n_chars")
+    lab = t("labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("entry_title"))
+    parts = d.join(lab, "doc_id", "left").select("source", "entry_title", F.col("n_chars").alias("char_count"))
+    toc = d.select("source").distinct().select("source", F.lit(False).alias("is_excluded"), F.lit(1).alias("page_start"), F.lit(400).alias("page_end"))
+    return quality.section_issues(toc, parts, key="source")
+
+
+@register()
+def dq_entry_issues(t):
+    e = t("documents").select("doc_id", F.concat(F.lit("Range: 5\nDuration: "), F.col("lang"), F.lit("\n"), "text").alias("content"))
+    return quality.entry_issues(e, ["Range", "Duration"], "content", "doc_id")
+
+
+@register("select source source_file, count(*) n from (select source, left(text, 50) k from documents group by 1, 2 having count(*) > 1) group by 1")
+def dq_duplicates(t):
+    d = t("documents").select(F.col("source").alias("source_file"), F.left("text", F.lit(50)).alias("entry_name"))
+    found = quality.duplicate_names(d, ("source_file", "entry_name"))
+    return found.filter("status = 'warn'").select("source_file", F.regexp_extract("message", "^([0-9]+)", 1).cast("long").alias("n"))
+
+
+@register("select source source_file, case when f < 0.5 * n then 'fail' when f < 0.9 * n then 'warn' else 'pass' end status from (select source, count(*) n, count(l.doc_id) f from documents d left join (select distinct doc_id from labels) l on d.doc_id = l.doc_id group by 1)")
+def dq_authority_coverage(t):
+    names = t("documents").select(F.col("source").alias("source_file"), F.col("doc_id").cast("string").alias("entry_name"))
+    titles = t("labels").join(t("documents"), "doc_id").select(F.col("source").alias("source_file"), F.col("doc_id").cast("string").alias("entry_title"))
+    return quality.authority_coverage(names, titles).select("source_file", "status")
+
+
+@register(
+    """select event_type source_file, count(*) n from (select event_type, user_id - lag(user_id) over (partition by event_type order by user_id) g from (select distinct event_type, user_id from events)) where g > 2 group by 1"""
+)
+def dq_page_gaps(t):
+    p = t("events").select(F.col("event_type").alias("source_file"), F.col("user_id").alias("printed_page_num")).distinct()
+    found = quality.page_gaps(p, 2).filter("status = 'warn'")
+    return found.select("source_file", F.regexp_extract("message", "^([0-9]+)", 1).cast("long").alias("n"))
+
+
+@register()
+def dq_table_completeness(t):
+    toc = t("nation").select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("title"), F.lit(True).alias("is_table"))
+    found = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).filter("s_acctbal > 5000").select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("toc_title"))
+    return quality.table_completeness(toc, found).select("source_file", "status", "message")
+
+
+@register()
+def dq_spell_crosscheck(t):
+    p = t("part")
+    known = p.select(F.col("p_type").alias("source_file"), F.col("p_brand").alias("entry_class"), F.col("p_name").alias("entry_name"))
+    listed = p.filter("p_partkey % 2 = 0").select(F.col("p_type").alias("source_file"), F.col("p_brand").alias("entry_class"), F.col("p_name").alias("entry_name"))
+    return quality.spell_crosscheck(known, listed).select("source_file", "status", "message")
+
+
+@register(
+    """select d.doc_id, d.lang, case when l.doc_id is not null then true else false end in_list, coalesce(l.quality <> cast(d.doc_id % 2 as int), false) mismatch
+  from documents d left join (select doc_id, max(quality) quality from labels group by 1) l on d.doc_id = l.doc_id"""
+)
+def crosscheck_flags(t):
+    d = t("documents").select(F.col("source").alias("source_file"), F.col("doc_id").cast("string").alias("entry_name"), F.col("lang").alias("entry_class"), (F.col("doc_id") % 2).cast("int").alias("entry_level"), F.lit(None).cast("int").alias("ref_page"), F.lit(None).cast("string").alias("school"), F.lit(None).cast("string").alias("sphere"))
+    listed = t("labels").groupBy("doc_id").agg(F.max("quality").alias("entry_level")).join(t("documents"), "doc_id").select(F.col("source").alias("source_file"), F.col("doc_id").cast("string").alias("entry_name"), F.col("lang").alias("entry_class"), "entry_level", F.lit(False).alias("is_reversible"))
+    out = silver.crosscheck(d, listed)
+    return out.select(F.col("entry_name").cast("long").alias("doc_id"), F.col("entry_class").alias("lang"), F.col("in_spell_list").alias("in_list"), F.col("level_mismatch").alias("mismatch"))
+
+
+def _entries(t) -> DataFrame:
+    d = t("documents")
+    n = F.lit(None).cast("string")
+    return d.select(F.col("doc_id").alias("entry_id"), (F.col("doc_id") % 25).alias("toc_id"), F.col("source").alias("source_file"), F.col("lang").alias("toc_title"), F.lit("s").alias("section_title"), F.col("doc_id").cast("string").alias("entry_title"), F.col("text").alias("content"), n.alias("school"), n.alias("sphere"), n.alias("spell_class"), F.lit(None).cast("int").alias("spell_level"), F.lit("1").alias("page_numbers"), F.length("text").cast("long").alias("char_count"))
+
+
+@register("select cast(doc_id % 25 as bigint) toc_id, count(*) entries, cast(sum(length(text)) as bigint) chars from documents group by 1")
+def gold_entries_rollup(t):
+    toc = _toc(t)
+    e = gold.entries(toc, _entries(t))
+    return e.filter("entry_id is not null").groupBy("toc_id").agg(F.count("*").alias("entries"), F.sum("char_count").alias("chars"))
+
+
+def _toc(t) -> DataFrame:
+    pairs = t("documents").select(F.col("source").alias("source_file"), (F.col("doc_id") % 25).alias("toc_id")).distinct()
+    n = t("nation").select(F.col("n_nationkey").cast("long").alias("toc_id"), F.col("n_name").alias("title"), F.col("n_nationkey").alias("sort_order"))
+    return pairs.join(n, "toc_id").select("source_file", "toc_id", "title", "sort_order", F.lit(1).alias("depth"), F.lit(False).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"))
+
+
+@register()
+def gold_chunks(t):
+    return gold.chunks(_entries(t)).select("chunk_id", "entry_id", "toc_id", "char_count")
+
+
+@register()
+def export_category(t):
+    c = _entries(t).select(F.col("entry_id").alias("chunk_id"), "toc_id", "source_file", "entry_title", "content")
+    toc = t("nation").select(F.col("n_nationkey").cast("long").alias("toc_id"), F.col("n_name").alias("title"), F.col("n_nationkey").alias("page_start"))
+    return export.category(c, toc, ["nation_1", "nation_2"], ["Range"]).select("group", "source_file", "entry_title", F.sha2("markdown", 256).alias("digest"))
+
+
+@register("select doc_id from documents where lang = 'en' and regexp_matches(text, '^[a-z]')")
+def orphan_continuations(t):
+    return t("documents").filter((F.col("lang") == "en") & F.col("text").rlike("^[a-z]")).select("doc_id")
+
+
+@register(
+    "select doc_id, regexp_replace(regexp_replace(text, '<br[^>]*>', '', 'g'), ' scum', ' ####', 'g') cleaned from documents where lang <> 'en' or doc_id % 7 = 0"
+)
+def clean_entry_content(t):
+    d = t("documents").filter("lang <> 'en' or doc_id % 7 = 0")
+    out = F.regexp_replace(F.replace(F.col("text"), F.lit(" scum"), F.lit(" ####")), "(?i)<br[^>]*>", "")
+    return d.select("doc_id", out.alias("cleaned"))
+
+
+@register()
+def entry_builder(t):
+    """Silver entries of synthetic books: each source a book, its documents the pages, benchmark sentences none."""
+    from pyspark.sql import Window
+
+    d = t("documents").filter("n_chars < 2000").select(F.col("source").alias("source_file"), "doc_id", "text")
+    w = Window.partitionBy("source_file").orderBy("doc_id")
+    pages = d.withColumn("page_index", F.row_number().over(w) - 1).filter("page_index < 40").select("source_file", "page_index", F.col("page_index").alias("printed_page_num"), F.col("text").alias("page_text"))
+    first = F.regexp_extract("page_text", r"^([^.\n]{3,40})\.", 1)
+    subs = pages.filter("page_index % 4 = 1").select("source_file", first.alias("title"), F.col("page_index").alias("page_start"), F.lit(39).alias("page_end"), (F.col("page_index") + 1).alias("sort_order"), F.lit(1).alias("depth"), F.lit(False).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"), F.lit("All").alias("parent_title")).filter("title <> ''")
+    chapter = pages.select("source_file").distinct().select("source_file", F.lit("All").alias("title"), F.lit(0).alias("page_start"), F.lit(39).alias("page_end"), F.lit(0).alias("sort_order"), F.lit(0).alias("depth"), F.lit(True).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"), F.lit(None).cast("string").alias("parent_title"))
+    e = documents.build_entries(pages, chapter.unionByName(subs), ["Range", "Duration"])
+    return e.select("entry_id", "toc_id", "source_file", "entry_title", "char_count", "has_metadata", "has_description")
+
+
+@register("select c.conv_id, d.doc_id from (select distinct conv_id from conversations) c join documents d on d.doc_id = c.conv_id where d.n_chars between 500 and 1500")
+def point_lookup_join(t):
+    c = t("conversations").select("conv_id").distinct()
+    d = t("documents").filter(joins.facets(at_least={"n_chars": 500}, at_most={"n_chars": 1500})).select("doc_id")
+    return c.join(d, F.col("conv_id") == F.col("doc_id"))

@@ -16,7 +16,7 @@ QUERIES, SQL = register.queries, register.sql
 # Sales as orders by nation, one product for each part type
 
 _SALES = """select o_orderkey order_id, o_custkey customer_id, cast(o_orderdate as date) order_date, n_name region,
-  p_brand product, l_extendedprice * (1 - l_discount) amount
+  p_brand product, cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))) amount
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
   join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey"""
 
@@ -27,13 +27,13 @@ def _sales(t) -> DataFrame:
     c, n = t("customer").select("c_custkey", "c_nationkey"), t("nation").select("n_nationkey", "n_name")
     p = t("part").select("p_partkey", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey).join(p, F.col("l_partkey") == p.p_partkey)
-    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return j.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("order_date"), F.col("n_name").alias("region"), F.col("p_brand").alias("product"), amount.alias("amount"))
 
 
-_MART = f"""select order_date, region, product, cast(sum(cast(amount as decimal(18,2))) as double) revenue,
+_MART = f"""select order_date, region, product, cast(sum(cast(amount as decimal(20,4))) as double) revenue,
   count(distinct order_id) order_count, count(distinct customer_id) customer_count,
-  cast(sum(cast(amount as decimal(18,2))) as double) / count(distinct order_id) avg_order_value
+  cast(sum(cast(amount as decimal(20,4))) as double) / count(distinct order_id) avg_order_value
   from ({_SALES}) group by order_date, region, product"""
 
 
@@ -42,24 +42,24 @@ def daily_revenue(t):
     return marts.daily_revenue(_sales(t))
 
 
-@register(f"select region, cast(sum(cast(revenue as decimal(18,2))) as double) revenue from ({_MART}) group by region")
+@register(f"select region, cast(sum(cast(revenue as decimal(20,4))) as double) revenue from ({_MART}) group by region")
 def revenue_by_region(t):
     return marts.revenue_by(marts.daily_revenue(_sales(t)), "region")
 
 
-@register(f"select product, cast(sum(cast(revenue as decimal(18,2))) as double) revenue from ({_MART}) group by product")
+@register(f"select product, cast(sum(cast(revenue as decimal(20,4))) as double) revenue from ({_MART}) group by product")
 def revenue_by_product(t):
     return marts.revenue_by(marts.daily_revenue(_sales(t)), "product")
 
 
-@register(f"select cast(sum(cast(revenue as decimal(18,2))) as double) revenue, cast(sum(order_count) as bigint) orders, cast(sum(customer_count) as bigint) customers from ({_MART})")
+@register(f"select cast(sum(cast(revenue as decimal(20,4))) as double) revenue, cast(sum(order_count) as bigint) orders, cast(sum(customer_count) as bigint) customers from ({_MART})")
 def kpi_block(t):
     return marts.kpis(marts.daily_revenue(_sales(t))).drop("avg_order_value")
 
 
-@register(f"select * from ({_MART}) where order_date between date '1996-01-01' and date '1996-12-31' and region = 'FRANCE'")
+@register(f"select * from ({_MART}) where order_date between date '1996-01-01' and date '1996-12-31' and region = 'NATION_5'")
 def dashboard_filter(t):
-    return marts.between(marts.daily_revenue(_sales(t)), "FRANCE", "1996-01-01", "1996-12-31")
+    return marts.between(marts.daily_revenue(_sales(t)), "NATION_5", "1996-01-01", "1996-12-31")
 
 
 @register("select p_partkey, p_name, p_retailprice from part where p_size between 10 and 20 and p_retailprice >= 1000")
@@ -168,10 +168,10 @@ def set_difference_both(t):
 
 
 @register(
-    """select p.p_partkey, coalesce(a.x_name, b.x_name, c.x_name) x_name, coalesce(a.x_size, b.x_size, c.x_size) x_size from part p
-  left join (select p_size k, p_brand b, max(p_name) x_name, max_by(p_partkey, p_name) x_size from part where p_partkey % 3 = 0 group by 1, 2) a on p.p_size = a.k and p.p_brand = a.b
-  left join (select p_size k, max(p_name) x_name, max_by(p_partkey, p_name) x_size from part where p_partkey % 3 = 0 and p_brand = 'Brand#11' group by 1) b on p.p_size = b.k
-  left join (select p_size k, max(p_name) x_name, max_by(p_partkey, p_name) x_size from part where p_partkey % 3 = 0 and p_brand = 'Brand#22' group by 1) c on p.p_size = c.k"""
+    """select p.p_partkey, coalesce(a.m, b.m, c.m).n x_name, coalesce(a.m, b.m, c.m).k x_size from part p
+  left join (select p_size k, p_brand b, max({'n': p_name, 'k': p_partkey}) m from part where p_partkey % 3 = 0 group by 1, 2) a on p.p_size = a.k and p.p_brand = a.b
+  left join (select p_size k, max({'n': p_name, 'k': p_partkey}) m from part where p_partkey % 3 = 0 and p_brand = 'Brand#11' group by 1) b on p.p_size = b.k
+  left join (select p_size k, max({'n': p_name, 'k': p_partkey}) m from part where p_partkey % 3 = 0 and p_brand = 'Brand#22' group by 1) c on p.p_size = c.k"""
 )
 def fallback_join_chain(t):
     p = t("part")
@@ -202,7 +202,7 @@ def range_join_pages(t):
 
 
 @register(
-    """select e.event_id, max_by(v.event_id, v.ts * 100000000 + v.event_id) last_id from (select event_id, user_id, epoch_us(ts) ts from events where event_type <> 'view') e
+    """select e.event_id, max({'t': v.ts, 'i': v.event_id}).i last_id from (select event_id, user_id, epoch_us(ts) ts from events where event_type <> 'view') e
   left join (select event_id, user_id, epoch_us(ts) ts from events where event_type = 'view') v on e.user_id = v.user_id and v.ts <= e.ts group by 1"""
 )
 def asof_last_anchor(t):

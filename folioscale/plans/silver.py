@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import stable_hash
 from ..functions.text import field_anywhere, field_line, squeeze, strip, strip_html
 from ..operators.windows import top_one
+from ..session import ship
 
 MATERIAL = r"(?i)^(?:the material|material component)"
 
@@ -172,6 +173,7 @@ def page_anchors(pages: DataFrame, markdown: DataFrame, sizes: tuple[int, ...] =
         out = pd.DataFrame(rows, columns=["source_file", "markdown_position", "page_index", "printed_page_num"])
         return out.sort_values(["markdown_position", "page_index"])
 
+    ship(pages.sparkSession)
     joined = pages.select("source_file", "page_index", "page_text", "printed_page_num").join(markdown.select("source_file", "markdown_text"), "source_file")
     return joined.groupBy("source_file").applyInPandas(find, "source_file string, markdown_position long, page_index long, printed_page_num long")
 

@@ -31,3 +31,19 @@ def preview(spark: SparkSession, sql: str, rows: int = 20, width: int = 200):
 def reset(spark: SparkSession) -> None:
     """Forget cached results."""
     spark.catalog.clearCache()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Put this package on the executors' path, wherever the driver has it from."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    context = (spark or SparkSession.getActiveSession()).sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)

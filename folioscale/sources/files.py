@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 SALES = "order_id string, customer_id string, order_date string, product string, quantity int, amount double, region string"
 
 
@@ -60,6 +62,7 @@ def read_pdf_spans(spark: SparkSession, folder: str) -> DataFrame:
                                 seq += 1
                 yield pd.DataFrame(rows, columns=["source_file", "page_index", "page_height", "block_idx", "idx", "font", "size", "bold", "x0", "y0", "x1", "y1", "text"])
 
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(folder).select("path", "content")
     return files.mapInPandas(spans, "source_file string, page_index int, page_height double, block_idx int, idx int, font string, size double, bold boolean, x0 double, y0 double, x1 double, y1 double, text string")
 
