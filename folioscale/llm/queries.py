@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, license, linededup, mixing, neardup, pii, sharding, topk, toxicity
+from . import decontam, langid, license, linededup, mixing, neardup, oracles, pii, sharding, topk, toxicity
 from .shared import table
 
 #: For tests and this query only; a deployment passes its own secret.
@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
