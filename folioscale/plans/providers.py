@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import ship
 
@@ -73,7 +74,7 @@ class HashEmbedder:
 def generated(df: DataFrame, prompt: str, model: object, name: str = "response") -> DataFrame:
     """Ask the model for each row's prompt, in batches on the executors."""
     ship(df.sparkSession)
-    schema = df.schema.add(name, "string") if name not in df.columns else df.schema
+    schema = df.schema if name in df.columns else StructType([*df.schema.fields, StructField(name, StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -62,11 +62,17 @@ class Catalog:
         self.ensure(namespace)
         if skip_empty and not df.limit(1).count():
             return False
+        target = f"`{namespace}`.`{name}`"
+        if not self.exists(namespace, name):
+            self._writer(df).saveAsTable(target)
+            return True
+        # the rows may come from the table itself: they are safe in a second one before it goes
         staged = f"`{namespace}`.`{name}__staged`"
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        self._writer(df).mode("overwrite").saveAsTable(staged)
-        self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO `{namespace}`.`{name}`")
+        df.write.format("parquet").saveAsTable(staged)
+        self.spark.sql(f"DROP TABLE {target}")
+        self._writer(self.spark.table(staged)).saveAsTable(target)
+        self.spark.sql(f"DROP TABLE {staged}")
         return True
 
     def append(self, namespace: str, name: str, df: DataFrame) -> None:
@@ -100,12 +106,13 @@ class Catalog:
                 literal = str(value).replace("'", "''")
                 self.spark.sql(f"ALTER TABLE `{namespace}`.`{name}` DROP IF EXISTS PARTITION (`{column}`='{literal}')")
                 return
-            old = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            mode = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(mode)
+            self.spark.conf.set(mode, "dynamic")
             try:
                 df.select(*self.read(namespace, name).columns).write.insertInto(f"`{namespace}`.`{name}`", overwrite=True)
             finally:
-                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+                self.spark.conf.set(mode, before)
             return
         rest = self.read(namespace, name).filter(~F.col(column).eqNullSafe(F.lit(value)))
         self.replace(namespace, name, rest.unionByName(df, allowMissingColumns=True))

@@ -34,9 +34,22 @@ def _parse(text: str) -> dict:
 def load_config(spark: SparkSession, folder: str, book: str) -> dict:
     """_default and <book> (its file stem, spaces as _) merged, from .yaml or .json files that Spark can read."""
     stem = Path(book).stem.replace(" ", "_")
-    found = spark.read.option("pathGlobFilter", "*.{yaml,yml,json}").text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.[a-z]+$", 1).alias("stem"), "value")
-    texts = {r.stem: r.value for r in found.filter(F.col("stem").isin("_default", stem)).collect()}
-    return deep_merge(_parse(texts.get("_default", "{}")), _parse(texts.get(stem, "{}")))
+    return deep_merge(_read(spark, folder, "_default"), _read(spark, folder, stem))
+
+
+def _read(spark: SparkSession, folder: str, stem: str) -> dict:
+    """Settings of a name, {} if there are none. Spark's readers skip names with _, so this goes to the file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for end in ("yaml", "yml", "json"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{stem}.{end}")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            stream = fs.open(path)
+            try:
+                return _parse(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+    return {}
 
 
 def toc_review(spark: SparkSession, source_file: str, entries: list[dict]) -> DataFrame:
