@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import arrow_map, written
+from .shared import arrow_map, unit_hash, written
 
-#: Labelled texts for the text model, for each language; a sample by hash.
+#: Labelled texts for the text model, for each language, about; a sample by hash.
 SAMPLE = 400
 FEATURES = 1 << 16
 #: Trigrams of a text count in full up to so many; beyond, their mean counts as so many.
@@ -79,13 +79,21 @@ class TextModel:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """A text model from at most ``sample`` texts of each language, chosen by hash; null labels and texts take no part."""
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    names = [r.lang for r in rows.select("lang").distinct().orderBy("lang").limit(200).collect()]
-    texts = {}
-    for name in names:
-        chosen = rows.filter(F.col("lang") == name).select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample)
-        texts[name] = [r.text for r in chosen.collect()]
+    """A text model from about ``sample`` texts of each language, ``sample`` times the languages at most.
+
+    Rows are chosen by a hash of all their columns, so that copies with other
+    ids do not come together; null labels and texts take no part.
+    """
+    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), unit_hash(*labelled.columns).alias("u")).filter("text is not null and lang is not null")
+    # at most 200 languages
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(200).collect()}
+    names = sorted(counts)
+    texts: dict[str, list[str]] = {n: [] for n in names}
+    if names:
+        # the place of a row among those of its language, about
+        place = F.col("u") * F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col("lang"))
+        for r in rows.filter(F.col("lang").isin(names)).orderBy(place, "lang", "text").limit(sample * len(names)).collect():
+            texts[r.lang].append(r.text)
     return TextModel(names, texts)
 
 

@@ -298,13 +298,13 @@ def held_out(doc_id: Column) -> Column:
 
 def fit_scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """Fit on at most ``sample`` toxic and as many other documents that are not held out, chosen by hash."""
-    known = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("doc_id", F.lit(5))
     chosen = [known.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     # at most two times ``sample`` ids
     ids = chosen[0].unionByName(chosen[1])
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     y = np.array([r.toxic for r in rows], dtype=np.float64)
     texts = [r.text for r in rows]
     entries, weights = learn_entries(texts, y)
@@ -324,7 +324,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
     Null and empty texts have no hits and get the score that goes with none.
     Without labels of both classes every score is the same low number. Repeated
-    rows get equal scores; of repeated labels one is used.
+    rows get equal scores; of repeated labels the highest is used.
     """
     scorer = fit_scorer(docs, labels, sample)
     kind = docs.schema["doc_id"].dataType.simpleString()
