@@ -97,7 +97,10 @@ class Words:
 
 def pieces(column, kind: str, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
     """(first row, row after the last, words), each of about ``most_bytes`` or one long row."""
-    data, off = text_buffers(column)
+    return pieces_of(*text_buffers(column), kind, most_bytes)
+
+
+def pieces_of(data: np.ndarray, off: np.ndarray, kind: str, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
     n = len(off) - 1
     a = 0
     while a < n:

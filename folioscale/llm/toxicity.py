@@ -29,7 +29,6 @@ ENTRIES = 150
 FUZZY_FROM = 5
 #: Words on either side of a hit that are looked at for quotation marks.
 WINDOW = 6
-_QUOTES = np.array([0x22], dtype=np.uint8)
 _CODES = 2304  # characters of one or two bytes; one code more for all others
 
 
@@ -60,6 +59,18 @@ def char_codes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _FOLDED[np.minimum(code[head], _CODES)], np.concatenate([[0], np.cumsum(head)])
 
 
+def without_marks(data: np.ndarray) -> np.ndarray:
+    """The bytes with punctuation beyond ASCII (U+00A0 to U+00BF, U+2000 to U+206F) as spaces, at the same places."""
+    out = data.copy()
+    two = np.flatnonzero(data[:-1] == 0xC2) if len(data) > 1 else np.zeros(0, np.int64)
+    two = two[(data[two + 1] & 0xE0) == 0xA0]
+    three = np.flatnonzero(data[:-2] == 0xE2) if len(data) > 2 else np.zeros(0, np.int64)
+    three = three[(data[three + 1] == 0x80) | (data[three + 1] == 0x81)]
+    for at in (two, two + 1, three, three + 1, three + 2):
+        out[at] = 0x20
+    return out
+
+
 class Automaton:
     """The crossed automaton of a lexicon. Entries that end with * are word beginnings and match exactly."""
 
@@ -178,9 +189,11 @@ class Automaton:
 
 def quoted(data: np.ndarray, words: tokens.Words, row: int, word: int, window: int) -> bool:
     """Whether quotation marks open before and close behind a word, within a window of words of its row."""
-    lo, hi = max(int(words.rows[row]), word - window), min(int(words.rows[row + 1]) - 1, word + window)
-    before = data[int(words.starts[lo]) - (lo > words.rows[row]) : int(words.starts[word])].tobytes().decode("utf-8", "ignore")
-    end = min(int(words.ends[hi]) + 3, int(words.off[row + 1]))
+    first, last = int(words.rows[row]), int(words.rows[row + 1]) - 1
+    lo, hi = max(first, word - window), min(last, word + window)
+    begin = int(words.ends[lo - 1]) if lo > first else int(words.off[row])
+    end = int(words.starts[hi + 1]) if hi < last else int(words.off[row + 1])
+    before = data[begin : int(words.starts[word])].tobytes().decode("utf-8", "ignore")
     behind = data[int(words.ends[word]) : end].tobytes().decode("utf-8", "ignore")
     opened = before.count('"') % 2 == 1 or before.rfind("“") > before.rfind("”") or before.rfind("«") > before.rfind("»")
     return opened and any(c in behind for c in '"”»')
@@ -202,14 +215,16 @@ class Scorer:
         """Features of each row; and its counts of plain, misspelled and quoted hits."""
         n = len(column)
         x, counts = np.zeros((n, N_FEATURES)), np.zeros((n, 3), np.int64)
-        for first, last, words in tokens.pieces(column, "alnum"):
+        data, off = tokens.text_buffers(column)
+        for first, last, words in tokens.pieces_of(without_marks(data), off, "alnum"):
+            raw = data[off[first] : off[last]]
             size = np.diff(words.rows)
             rows = slice(first, last)
             if len(words.starts) and len(self.weights):
                 codes, before = char_codes(words.data)
                 word, entry, edits = self.automaton.run(codes, before[words.starts], before[words.ends])
                 row = np.searchsorted(words.rows, word, side="right") - 1
-                cited = np.array([quoted(words.data, words, int(r), int(w), WINDOW) for r, w in zip(row, word, strict=True)], dtype=bool)
+                cited = np.array([quoted(raw, words, int(r), int(w), WINDOW) for r, w in zip(row, word, strict=True)], dtype=bool)
                 k = last - first
                 weight = self.weights[entry]
                 whole = ~self.prefix[entry]
