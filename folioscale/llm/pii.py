@@ -8,6 +8,8 @@ pseudonyms in every document, and the key turns them back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ DATE_FROM, DAYS = "1800-01-01", 146_097  # four hundred years
 DAY_PARTS = (627, 233)  # their product is DAYS
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _digest(key: str, kind: str, round_: Column, value: Column) -> Column:
     text = F.concat_ws("|", F.lit(key), F.lit(kind), round_.cast("string"), value.cast("string"))
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
@@ -52,28 +59,32 @@ def _power_of_ten(n: Column) -> Column:
 
 def permute_digits(digits: Column, key: str, kind: str, back: bool = False) -> Column:
     """Another string of as many digits, of two to eighteen."""
-    n = F.length(digits)
-    half = F.floor(n / 2).cast("int")
-    left, right = F.substring(digits, F.lit(1), half).cast("long"), F.substring(digits, half + 1, n - half).cast("long")
-    out = feistel(left, right, _power_of_ten(half), _power_of_ten(n - half), key, kind, back)
-    return F.concat(F.lpad(out["l"].cast("string"), half, F.lit("0")), F.lpad(out["r"].cast("string"), n - half, F.lit("0")))
+
+    def permuted(d: Column) -> Column:
+        n = F.length(d)
+        half = F.floor(n / 2).cast("int")
+        left, right = F.substring(d, F.lit(1), half).cast("long"), F.substring(d, half + 1, n - half).cast("long")
+        halves = feistel(left, right, _power_of_ten(half), _power_of_ten(n - half), key, kind, back)
+        return let(halves, lambda x: F.concat(F.lpad(x["l"].cast("string"), half, F.lit("0")), F.lpad(x["r"].cast("string"), n - half, F.lit("0"))))
+
+    return let(digits, permuted)
 
 
 def luhn_digit(payload: Column) -> Column:
     """The check digit that belongs behind these digits."""
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.length(payload)),
-        F.lit(0),
-        lambda s, i: s + F.when(i % 2 == 1, F.substring(payload, -i, F.lit(1)).cast("int") * 2 - F.when(F.substring(payload, -i, F.lit(1)).cast("int") > 4, 9).otherwise(0)).otherwise(F.substring(payload, -i, F.lit(1)).cast("int")),
-    )
-    return F.pmod(-total, F.lit(10)).cast("string")
+    digits = F.transform(F.split(F.reverse(payload), ""), lambda x: x.cast("int"))
+    doubled = F.transform(digits, lambda x, i: F.when(i % 2 == 1, x).when(x > 4, 2 * x - 9).otherwise(2 * x))
+    return F.pmod(-F.aggregate(doubled, F.lit(0), lambda s, x: s + x), F.lit(10)).cast("string")
 
 
 def into_format(digits: Column, like: Column) -> Column:
     """Put digits in the places of those in ``like``."""
-    at = lambda i: F.substring(like, i, F.lit(1))
-    nth = lambda i: F.length(F.regexp_replace(F.substring(like, F.lit(1), i), "[^0-9]", ""))
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(like)), lambda i: F.when(at(i).rlike("[0-9]"), F.substring(digits, nth(i), F.lit(1))).otherwise(at(i))), "")
+
+    def put(d: Column) -> Column:
+        # marks stand before, between and behind the digits
+        return F.array_join(F.zip_with(F.split(like, "[0-9]"), F.split(d, ""), lambda mark, x: F.concat(F.coalesce(mark, F.lit("")), F.coalesce(x, F.lit("")))), "")
+
+    return let(digits, put)
 
 
 def _permute_day(day: Column, key: str, back: bool) -> Column:
@@ -81,7 +92,7 @@ def _permute_day(day: Column, key: str, back: bool) -> Column:
     n = F.datediff(day, F.to_date(F.lit(DATE_FROM)))
     a, b = DAY_PARTS
     out = feistel(F.floor(n / b), n % b, F.lit(a).cast("long"), F.lit(b).cast("long"), key, "date", back)
-    return F.date_add(F.to_date(F.lit(DATE_FROM)), (out["l"] * b + out["r"]).cast("int"))
+    return let(out, lambda x: F.date_add(F.to_date(F.lit(DATE_FROM)), (x["l"] * b + x["r"]).cast("int")))
 
 
 def classify(m: Column) -> Column:
@@ -130,8 +141,7 @@ def pseudonym(m: Column, kind: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of a match, or (``back``) the value of a pseudonym; the match itself if it is not valid."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new_payload = permute_digits(payload, key, "card", back)
-    card = into_format(F.concat(new_payload, luhn_digit(new_payload)), m)
+    card = let(permute_digits(payload, key, "card", back), lambda p: into_format(F.concat(p, luhn_digit(p)), m))
 
     # a phone number keeps its country code
     code = F.regexp_extract(m, r"^(\+[0-9]{1,3})(?=[ .(-])", 1)
@@ -141,18 +151,17 @@ def pseudonym(m: Column, kind: Column, key: str, back: bool = False) -> Column:
     area = F.substring(digits, 1, 3).cast("int")
     index = (F.when(area > 666, area - 2).otherwise(area - 1) * 99 + F.substring(digits, 4, 2).cast("int") - 1).cast("long")
     s = feistel(index, F.substring(digits, 6, 4).cast("int") - 1, F.lit(898 * 99).cast("long"), F.lit(9999).cast("long"), key, "ssn", back)
-    new_area = F.floor(s["l"] / 99) + 1
-    new_area = F.when(new_area >= 666, new_area + 1).otherwise(new_area)
     pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
-    ssn = F.concat_ws("-", pad(new_area, 3), pad(s["l"] % 99 + 1, 2), pad(s["r"] + 1, 4))
+    new_area = lambda x: F.floor(x["l"] / 99) + F.when(x["l"] >= 665 * 99, 2).otherwise(1)
+    ssn = let(s, lambda x: F.concat_ws("-", pad(new_area(x), 3), pad(x["l"] % 99 + 1, 2), pad(x["r"] + 1, 4)))
 
     o = F.transform(F.split(m, r"\."), lambda x: x.cast("long"))
     get = lambda i: F.get(o, F.lit(i))
     i = feistel(get(0) * 256 + get(1), get(2) * 256 + get(3), F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, "ip", back)
-    ip = F.concat_ws(".", *[x.cast("string") for side in ("l", "r") for x in (F.floor(i[side] / 256), i[side] % 256)])
+    ip = let(i, lambda x: F.concat_ws(".", *[y.cast("string") for side in ("l", "r") for y in (F.floor(x[side] / 256), x[side] % 256)]))
 
     day = F.when(m.rlike("^[0-9]{4}-"), F.try_to_date(m, "yyyy-MM-dd")).otherwise(_loose_day(m))
-    date = _write_day(_permute_day(day, key, back), m)
+    date = let(_permute_day(day, key, back), lambda x: _write_day(x, m))
     return F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "date", date).otherwise(m)
 
 
