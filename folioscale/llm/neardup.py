@@ -15,8 +15,9 @@ similarity 0.85 with a chance under 1e-10 (0.8: 5e-8).
 Texts with equal sets are one class from the start. A band group of up to
 ``SMALL`` classes gives all its pairs. A larger group first gives one pair
 for each member, with its smallest member; once those links have been
-contracted, only pairs between different components of the group are left
-over, and all of those are tried, so no link is lost.
+contracted, a group counts each of its components once. Components that share
+a group and are not one yet compare all their members there, block by block,
+on the full sets, so no link is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ MANTISSA = 10
 _REST = 64 - 7  # bits of a hash behind its bucket
 #: A band group up to this size gives all its pairs.
 SMALL = 12
+#: Sets in a block that meets another block.
+BLOCK = 128
 LAYOUTS = ((4, 32), (8, 16), (16, 8), (32, 4))  # bands, registers in each
 
 
@@ -144,6 +147,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     return np.maximum(0, same - chance) / np.maximum(1, either), either
 
 
+def _likely(j: np.ndarray, count: np.ndarray, t: float) -> np.ndarray:
+    """Six standard deviations and two registers of leeway: the sets decide."""
+    return j + 6 * np.sqrt(t * (1 - t) / np.maximum(1, count)) + 2 / np.maximum(1, count) >= t
+
+
 def _estimate_batches(t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +160,7 @@ def _estimate_batches(t: float):
             c = {x: batch.column(i) for i, x in enumerate(batch.schema.names)}
             a, b = (np.frombuffer(b"".join(c[x].to_pylist()), np.uint16).reshape(-1, BUCKETS) for x in ("sk_a", "sk_b"))
             j, count = estimate(a, b, np.asarray(c["n_a"]), np.asarray(c["n_b"]))
-            # six standard deviations and two registers of leeway: the confirmation decides
-            keep = j + 6 * np.sqrt(t * (1 - t) / np.maximum(1, count)) + 2 / np.maximum(1, count) >= t
+            keep = _likely(j, count, t)
             yield pa.RecordBatch.from_arrays([c["a"].filter(pa.array(keep)), c["b"].filter(pa.array(keep))], names=["a", "b"])
 
     return run
@@ -188,7 +195,29 @@ def _near(x: str, y: str, t: float) -> F.Column:
     c = lambda side, name: F.col(f"{side}.{name}")
     off = F.bit_count(c(x, "s1").bitwiseXOR(c(y, "s1"))) + F.bit_count(c(x, "s2").bitwiseXOR(c(y, "s2")))
     least, most_n = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
-    return (least >= most_n * F.lit(t - 1e-9)) & (off <= most)
+    return (least >= most_n * F.lit(t - 1e-9)) & (off <= F.least(F.lit(most), _differing(least, t)))
+
+
+def _differing(n: F.Column, t: float) -> F.Column:
+    """How many shingles, and so registers, differ at most where the smaller set has n."""
+    return F.floor(n * F.lit((1 - t) / t) + F.lit(1e-9))
+
+
+def _near_groups(t: float) -> F.Column:
+    """The same for groups x and y of one root, with two bits of each register.
+
+    A register differs for sure where all of x have a bit and none of y has it.
+    """
+    p = 3 * (1 - t) / 4
+    most = int(np.ceil(BUCKETS * p + 7 * np.sqrt(BUCKETS * p * (1 - p))))
+
+    def apart(i: int) -> F.Column:
+        sure = lambda u, v: F.col(f"{u}.all{i}").bitwiseAND(F.bitwise_not(F.col(f"{v}.any{i}")))
+        return sure("x", "y").bitwiseOR(sure("y", "x"))
+
+    off = F.bit_count(apart(1).bitwiseOR(apart(3))) + F.bit_count(apart(2).bitwiseOR(apart(4)))
+    sizes = (F.col("x.n1") >= F.col("y.n0") * F.lit(t - 1e-9)) & (F.col("y.n1") >= F.col("x.n0") * F.lit(t - 1e-9))
+    return sizes & (off <= F.least(F.lit(most), _differing(F.least("x.n1", "y.n1"), t)))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -218,6 +247,50 @@ def connected(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def _more_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The second lowest bit of every register, beside the lowest that the bands carry."""
+    for batch in batches:
+        if batch.num_rows:
+            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            bits = np.packbits(((regs >> 1) & 1).astype(bool), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=["id", "s3", "s4"])
+
+
+def _block_batches(percent: int):
+    """Links between two blocks of sets: sizes, then estimates, then the sets themselves."""
+    t = percent / 100
+
+    def unpack(rows) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+        return np.array([r["id"] for r in rows]), sets, np.array([len(s) for s in sets]), np.stack([registers(s) for s in sets])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left, right = (unpack(batch.column(c)[i].as_py()) for c in range(2))
+                out_a, out_b = [], []
+                for k in range(len(left[0])):
+                    fit = np.flatnonzero((np.minimum(right[2], left[2][k]) >= t * np.maximum(right[2], left[2][k]) - 1e-9) & (right[0] != left[0][k]))
+                    if not len(fit):
+                        continue
+                    j, count = estimate(np.broadcast_to(left[3][k], (len(fit), BUCKETS)), right[3][fit], np.full(len(fit), left[2][k]), right[2][fit])
+                    for r in fit[_likely(j, count, t)]:
+                        both = len(np.intersect1d(left[1][k], right[1][r], assume_unique=True))
+                        if 100 * both >= percent * (left[2][k] + right[2][r] - both):
+                            out_a.append(int(left[0][k]))
+                            out_b.append(int(right[0][r]))
+                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _blocks(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name): the sets of a key in blocks of about ``BLOCK``. ``rows``: key, id, shingles."""
+    n = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / BLOCK)).alias("_block")
+    return rows.join(n, key).select(key, block, F.struct("id", "shingles").alias("_s")).groupBy(key, "_block").agg(F.collect_list("_s").alias(name)).drop("_block")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -236,40 +309,55 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     )
     bands = arrow_map(classes.select("id", "n", "sketch"), _band_batches(t), "band long, id long, n long, s1 long, s2 long")
     sizes = bands.groupBy("band").agg(F.count("*").alias("g"), F.min("id").alias("leader")).filter("g > 1")
-    grouped = written(bands.join(sizes, "band"), "bands")
+    # the same plan at every size: these sides grow with the input
+    grouped = written(bands.join(sizes.hint("merge"), "band"), "bands")
     small, hot = grouped.filter(F.col("g") <= SMALL), grouped.filter(F.col("g") > SMALL)
 
+    # candidates: all pairs of small groups, and each member of a large one with its leader
     sketches = classes.select("id", "n", "sketch")
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links of candidate pairs: estimate first, then the full sets."""
-        pairs = pairs.select("a", "b").distinct()
-        with_a = pairs.join(sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sk_a")), "a")
-        with_b = with_a.join(sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sk_b")), "b")
-        likely = written(arrow_map(with_b.select("a", "b", "n_a", "n_b", "sk_a", "sk_b"), _estimate_batches(t), "a long, b long"), "likely")
-        wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-        sets = written(arrow_map(text.join(wanted, "id", "left_semi"), _set_batches(k), "id long, shingles binary"), "sets")
-        full = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-        return written(arrow_map(full.select("a", "b", "set_a", "set_b"), _confirm_batches(percent), "a long, b long"), "links")
-
-    x, y = small.select("band", "id", "n", "s1", "s2").alias("x"), small.select("band", "id", "n", "s1", "s2").alias("y")
+    x, y = (small.select("band", "id", "n", "s1", "s2").alias(side) for side in "xy")
     all_pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & _near("x", "y", t)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     to_leader = hot.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    pairs = all_pairs.unionByName(to_leader).distinct()
+    with_a = pairs.join(sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sk_a")), "a")
+    with_b = with_a.join(sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sk_b")), "b")
+    likely = written(arrow_map(with_b.select("a", "b", "n_a", "n_b", "sk_a", "sk_b"), _estimate_batches(t), "a long, b long"), "likely")
+
+    # full sets of all that is compared on them, from one more pass over the texts
+    wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(hot.select("id")).distinct()
+    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sets = written(arrow_map(text.join(wanted.hint("merge"), "id", "left_semi"), _set_batches(k), "id long, shingles binary").filter("length(shingles) > 0").distinct(), "sets")
+    full = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    links = arrow_map(full.select("a", "b", "set_a", "set_b"), _confirm_batches(percent), "a long, b long")
+
     members = sigs.join(classes.select("mark_a", "mark_b", F.col("n").alias("n_shingles"), "id"), ["mark_a", "mark_b", "n_shingles"], "left").select("doc_id", "n_shingles", "id")
     # rows of one doc_id with different sets are one document
     several = members.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("doc_id is not null and lo <> hi").select("doc_id", "lo")
     same_doc = members.join(several, "doc_id").select(F.col("id").alias("a"), F.col("lo").alias("b"))
-    links = confirmed(all_pairs.unionByName(to_leader)).unionByName(same_doc.filter("a is not null"))
-    roots = written(connected(links), "roots")
-
-    labelled = hot.join(roots, "id", "left").select("band", "id", "n", "s1", "s2", F.coalesce("root", "id").alias("root"))
-    # a group whose members have one root is done
-    open_bands = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
-    left = written(labelled.join(open_bands, "band", "left_semi"), "open")
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") < F.col("y.root")) & _near("x", "y", t)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    more = confirmed(rest)
+    roots = written(connected(links.unionByName(same_doc.filter("a is not null"))), "roots")
+
+    # large groups: components that are not one yet, each once for a group; one of one class keeps that class's bits
+    labelled = hot.join(roots, "id", "left").select("band", "id", "n", "s1", "s2", F.coalesce("root", "id").alias("root"), F.col("root").isNull().alias("alone"))
+    still = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
+    left = written(labelled.join(still, "band", "left_semi"), "open")
+    bits = arrow_map(sketches.select("id", "sketch").join(left.select("id").distinct(), "id", "left_semi"), _more_bits, "id long, s3 long, s4 long")
+    bounds = [f(f"s{i}").alias(f"{name}{i}") for i in range(1, 5) for f, name in ((F.bit_and, "all"), (F.bit_or, "any"))]
+    parts = left.join(bits, "id").groupBy("band", "root").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), *bounds)
+    # two classes without links meet in the least band that they share, and not in every one; a class has 64 bands at most
+    alone = left.filter("alone").groupBy(F.col("id").alias("root")).agg(F.collect_set("band").alias("bands"))
+    parts = written(parts.join(alone, "root", "left"), "parts")
+    x, y = parts.alias("x"), parts.alias("y")
+    once = F.col("x.bands").isNull() | F.col("y.bands").isNull() | (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band"))
+    meet = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") < F.col("y.root")) & _near_groups(t) & once).select(F.col("x.root").alias("r"), F.col("y.root").alias("q"))
+    meet = meet.distinct()
+    # each pair of components compares all members of one with all of the other, in blocks
+    inside = left.select("id", "root").distinct().join(sets, "id").select("root", "id", "shingles")
+    load = inside.groupBy("root").agg(F.count("*").alias("_m"))
+    meet = meet.join(load.select(F.col("root").alias("r"), F.col("_m").alias("mr")), "r").join(load.select(F.col("root").alias("q"), F.col("_m").alias("mq")), "q")
+    meet = meet.select(F.when(F.col("mr") >= F.col("mq"), F.col("r")).otherwise(F.col("q")).alias("big"), F.when(F.col("mr") >= F.col("mq"), F.col("q")).otherwise(F.col("r")).alias("root"))
+    hosts = _blocks(inside.withColumnRenamed("root", "big").join(meet.select("big").distinct(), "big", "left_semi"), "big", "hosts")
+    guests = _blocks(meet.join(inside, "root").select("big", "id", "shingles"), "big", "guests")
+    more = written(arrow_map(hosts.join(guests, "big").select("hosts", "guests"), _block_batches(percent), "a long, b long"), "links")
     if more.limit(1).count():
         roots = written(connected(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
 
