@@ -19,6 +19,8 @@ from .shared import space_words, unit_hash, written
 
 #: No document is taken more often.
 MOST_COPIES = 3
+#: How often the room that is left is offered again.
+PASSES = 4
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -75,18 +77,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("even", F.when(F.col("p") > 0, x / (1 + x)).otherwise(F.lit(1.0)))
     n = bucket_count(small.count())
     order = [F.col("even"), F.col("size"), F.col("doc_id")]
-    # documents that fit are taken in rank order up to the first that does not; the room left over goes to those behind it that fit
+    # documents that fit are taken in rank order up to the first that does not; the room left over goes to those that fit it
     rows = rows.withColumn("room", (F.col("target") - F.col("sure") * F.col("source_size"))).withColumn("extra", F.lit(0))
-    for last in (False, False, False, True):
-        open_ = (F.col("extra") == 0) & (F.col("p") > 0) & (F.col("size") <= F.col("room") * (2 if last else 1))
+    for _ in range(PASSES):
+        open_ = (F.col("extra") == 0) & (F.col("p") > 0) & (F.col("size") <= F.col("room"))
         ranked = running(rows.withColumn("open", open_), ["source"], F.col("even"), order, F.when(F.col("open"), F.col("size")).otherwise(F.lit(0)), n, "before")
-        # in the end one document may cross the target, if that ends nearer to it
-        fits = F.col("before") + F.col("size") / (2 if last else 1) <= F.col("room")
-        rows = ranked.withColumn("now", F.when(F.col("open") & fits, 1).otherwise(0)).withColumn("extra", F.col("extra") + F.col("now"))
-        if not last:
-            used = rows.groupBy(F.col("source").alias("_s")).agg(F.sum(F.col("now") * F.col("size")).alias("_used"))
-            rows = rows.join(used, rows["source"].eqNullSafe(used["_s"])).withColumn("room", F.col("room") - F.col("_used")).drop("_s", "_used")
-        rows = rows.drop("open", "now", "before")
+        fits = F.col("open") & (F.col("before") + F.col("size") <= F.col("room"))
+        now = written(ranked.withColumn("now", F.when(fits, 1).otherwise(0)), "taken")  # else every pass plans all passes before it again
+        used = now.groupBy(F.col("source").alias("_s")).agg(F.sum(F.col("now") * F.col("size")).alias("_used"))
+        rows = now.join(used, now["source"].eqNullSafe(used["_s"])).withColumn("room", F.col("room") - F.col("_used")).withColumn("extra", F.col("extra") + F.col("now"))
+        rows = rows.drop("_s", "_used", "open", "now", "before")
     ranked, copies = rows, (F.col("sure") + F.col("extra")).cast("int")
     return ranked.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), copies.alias("copies"), "source", "u")
 
