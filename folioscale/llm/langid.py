@@ -92,7 +92,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     if names:
         # the place of a row among those of its language, about
         place = F.col("u") * F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col("lang"))
-        for r in rows.filter(F.col("lang").isin(names)).orderBy(place, "lang", "text").limit(sample * len(names)).collect():
+        # first what is far behind goes, so that each task sends a few rows and not its best ``sample`` times the languages
+        near = rows.filter(F.col("lang").isin(names)).withColumn("place", place).filter(F.col("place") <= 2 * sample)
+        for r in near.orderBy("place", "lang", "text").limit(sample * len(names)).collect():
             texts[r.lang].append(r.text)
     return TextModel(names, texts)
 
