@@ -337,7 +337,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     roots = written(connected(links.unionByName(same_doc.filter("a is not null"))), "roots")
 
     # large groups: components that are not one yet, each once for a group; one of one class keeps that class's bits
-    labelled = hot.join(roots, "id", "left").select("band", "id", "n", "s1", "s2", F.coalesce("root", "id").alias("root"), F.col("root").isNull().alias("alone"))
+    # a root has no row of its own in roots, but is no class without links
+    linked = roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
+    labelled = hot.join(linked, "id", "left").select("band", "id", "n", "s1", "s2", F.coalesce("root", "id").alias("root"), F.col("root").isNull().alias("alone"))
     still = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
     left = written(labelled.join(still, "band", "left_semi"), "open")
     bits = arrow_map(sketches.select("id", "sketch").join(left.select("id").distinct(), "id", "left_semi"), _more_bits, "id long, s3 long, s4 long")

@@ -106,6 +106,21 @@ def test_neardup_hard(spark, k, percent):
     assert rows(neardup.near_duplicates(df, k, percent)) == sorted(brute.near_duplicates(data, k, percent), key=repr)
 
 
+def test_neardup_links_of_large_groups(spark):
+    """Clusters that drift from one base link by members whose roots share no open band."""
+    rng, drifted = random.Random(0), []
+    for c in range(8):
+        order = rng.sample(range(300), 300)
+        for i in range(14):
+            n, words = rng.randint(11, 75) if i else 75, [f"b{p}" for p in range(300)]
+            for p in order[:n]:
+                words[p] = f"c{c}p{p}"
+            drifted.append((-n, c, i, " ".join(words)))
+    data = list(enumerate(x[-1] for x in sorted(drifted)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(neardup.near_duplicates(df, 1, 85)) == sorted(brute.near_duplicates(data, 1, 85), key=repr)
+
+
 def test_neardup_empty(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     assert neardup.drop_near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", None])).count() == 2
