@@ -8,8 +8,10 @@ full sets.
 
 Band layouts depend on the set size. If a set of n shingles has a partner of
 similarity t, at most n(1-t)/t shingles differ, and each differing shingle can
-spoil one register; with more bands than that, some band is whole, so small
-sets lose no link. From there on 32 bands of 4 registers miss a pair of
+spoil one register; with more bands than that, some band is whole. A band
+whose registers are all empty deals nothing, so a set with no more filled bands
+than shingles may differ is dealt by its smallest shingle hashes too: partners
+share one of the floor(n(1-t))+1 smallest. So small sets lose no link. From there on 32 bands of 4 registers miss a pair of
 similarity 0.85 with a chance under 1e-10 (0.8: 5e-8).
 
 Texts with equal sets are one class from the start. A band group of up to
@@ -79,34 +81,51 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def _signature_batches(k: int):
+def _prefix(s: np.ndarray, sketch: np.ndarray, t: float) -> bytes | None:
+    """The smallest hashes of a sorted set, where an empty band can hide a link of it."""
+    n = len(s)
+    differing = int(np.floor(n * (1 - t) / t + 1e-9))
+    for limit, (bands, width) in zip([*layout_limits(t)[:-1], _limit(LAYOUTS[-1][0], t)], LAYOUTS, strict=True):
+        # a partner in this layout's range can be as small as n * t
+        if np.ceil(n * t - 1e-9) <= limit and sketch.reshape(bands, width).any(axis=1).sum() <= min(differing, bands - 1):
+            return s[: int(np.floor(n * (1 - t) + 1e-9)) + 1].tobytes()
+    return None
+
+
+def _signature_batches(k: int, t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, mark_a, mark_b, sketch = [], [], [], []
+            n, mark_a, mark_b, sketch, prefix = [], [], [], [], []
             for s in shingle_sets(batch.column(1), k):
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     mark_a.append(int(tokens.mix(s).sum(dtype=np.uint64)))
                     mark_b.append(int(tokens.mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)))
-                sketch.append(registers(s).tobytes() if len(s) else b"")
+                regs = registers(s) if len(s) else None
+                sketch.append(regs.tobytes() if len(s) else b"")
+                prefix.append(_prefix(s, regs, t) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(_signed(np.array(mark_a, np.uint64))), pa.array(_signed(np.array(mark_b, np.uint64))), pa.array(sketch, pa.binary())],
-                names=["doc_id", "n_shingles", "mark_a", "mark_b", "sketch"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(_signed(np.array(mark_a, np.uint64))), pa.array(_signed(np.array(mark_b, np.uint64))), pa.array(sketch, pa.binary()), pa.array(prefix, pa.binary())],
+                names=["doc_id", "n_shingles", "mark_a", "mark_b", "sketch", "prefix"],
             )
 
     return run
 
 
-def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, a 128-bit mark of the set, and the sketch of each row."""
+def signatures(docs: DataFrame, k: int, t: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, a 128-bit mark of the set, the sketch of each row, and the prefix of those that need one."""
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(cols, _signature_batches(k), "doc_id long, n_shingles long, mark_a long, mark_b long, sketch binary")
+    return arrow_map(cols, _signature_batches(k, t), "doc_id long, n_shingles long, mark_a long, mark_b long, sketch binary, prefix binary")
+
+
+def _limit(bands: int, t: float) -> int:
+    # b bands are more than n(1-t)/t differing shingles; the small term is for float error at whole numbers
+    return int(np.ceil(bands * t / (1 - t) - 1e-9)) - 1
 
 
 def layout_limits(t: float) -> list[int]:
     """The largest smaller set for which each layout holds; none for the last."""
-    # b bands are more than n(1-t)/t differing shingles; the small term is for float error at whole numbers
-    return [int(np.ceil(b * t / (1 - t) - 1e-9)) - 1 for b, _ in LAYOUTS[:-1]] + [np.iinfo(np.int64).max]
+    return [_limit(b, t) for b, _ in LAYOUTS[:-1]] + [np.iinfo(np.int64).max]
 
 
 def _band_batches(t: float):
@@ -133,6 +152,13 @@ def _band_batches(t: float):
                     [pa.array(_signed(keys[at, band])), pa.array(ids[src]), pa.array(n[src].astype(np.int64)), pa.array(bits[src, 0]), pa.array(bits[src, 1])],
                     names=["band", "id", "n", "s1", "s2"],
                 )
+            heads = [np.frombuffer(x, np.uint64) if x else np.zeros(0, np.uint64) for x in batch.column(3).to_pylist()]
+            src = np.repeat(np.arange(len(ids)), [len(x) for x in heads])
+            if len(src):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_signed(tokens.mix(np.concatenate(heads)))), pa.array(ids[src]), pa.array(n[src].astype(np.int64)), pa.array(bits[src, 0]), pa.array(bits[src, 1])],
+                    names=["band", "id", "n", "s1", "s2"],
+                )
 
     return run
 
@@ -302,12 +328,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     is kept. Only the two named columns are read.
     """
     t = percent / 100
-    sigs = written(signatures(docs, k, id_col, text_col), "signatures")
+    sigs = written(signatures(docs, k, t, id_col, text_col), "signatures")
     classes = written(
-        sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch")).select("id", F.col("n_shingles").alias("n"), "mark_a", "mark_b", "sketch"),
+        sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"), F.min("prefix").alias("prefix")).select("id", F.col("n_shingles").alias("n"), "mark_a", "mark_b", "sketch", "prefix"),
         "classes",
     )
-    bands = arrow_map(classes.select("id", "n", "sketch"), _band_batches(t), "band long, id long, n long, s1 long, s2 long")
+    bands = arrow_map(classes.select("id", "n", "sketch", "prefix"), _band_batches(t), "band long, id long, n long, s1 long, s2 long")
     sizes = bands.groupBy("band").agg(F.count("*").alias("g"), F.min("id").alias("leader")).filter("g > 1")
     # the same plan at every size: these sides grow with the input
     grouped = written(bands.join(sizes.hint("merge"), "band"), "bands")
@@ -345,7 +371,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     bits = arrow_map(sketches.select("id", "sketch").join(left.select("id").distinct(), "id", "left_semi"), _more_bits, "id long, s3 long, s4 long")
     bounds = [f(f"s{i}").alias(f"{name}{i}") for i in range(1, 5) for f, name in ((F.bit_and, "all"), (F.bit_or, "any"))]
     parts = left.join(bits, "id").groupBy("band", "root").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), *bounds)
-    # two classes without links meet in the least band that they share, and not in every one; a class has 64 bands at most
+    # two classes without links meet in the least band that they share, and not in every one; a class has some 100 bands at most
     alone = left.filter("alone").groupBy(F.col("id").alias("root")).agg(F.collect_set("band").alias("bands"))
     parts = written(parts.join(alone, "root", "left"), "parts")
     x, y = parts.alias("x"), parts.alias("y")

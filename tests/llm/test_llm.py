@@ -121,6 +121,15 @@ def test_neardup_links_of_large_groups(spark):
     assert rows(neardup.near_duplicates(df, 1, 85)) == sorted(brute.near_duplicates(data, 1, 85), key=repr)
 
 
+def test_neardup_short_texts_with_empty_bands(spark):
+    rng, texts = random.Random(9), []
+    for _ in range(2500):
+        w = [f"v{rng.randint(0, 10**9)}" for _ in range(22)]
+        texts += [" ".join(w[:19]), " ".join(w)]
+    got = dict(rows(neardup.near_duplicates(docs_of(spark, texts), 3, 85), "doc_id", "component_id"))
+    assert [i for i in range(0, 5000, 2) if got[i] != got[i + 1]] == []
+
+
 def test_neardup_empty(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     assert neardup.drop_near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", None])).count() == 2
