@@ -23,7 +23,7 @@ from .shared import arrow_map
 
 #: Labelled documents of each class that lexicon and regression are fitted on, at most.
 SAMPLE = 1500
-#: Entries of the lexicon, at most.
+#: Entries of the lexicon, at most; and as many whole terms beside their beginnings.
 ENTRIES = 150
 #: Terms from so many letters on are also found with one edit.
 FUZZY_FROM = 5
@@ -295,14 +295,21 @@ def learn_entries(texts: list[str | None], y: np.ndarray, entries: int = ENTRIES
             found.append((a * odds, part, odds))
     found.sort(key=lambda v: (-v[0], v[1]))
     chosen: dict[str, float] = {}
+    beside: dict[str, float] = {}
     for _, part, odds in found:
-        if len(chosen) >= entries:
-            break
         word = part.rstrip("*")
+        # beginnings match exactly: a long term that one covers stays for its misspellings
+        if part == word and len(word) >= FUZZY_FROM and any(word.startswith(c[:-1]) for c in chosen if c.endswith("*")):
+            if len(beside) < entries:
+                beside[part] = odds
+            continue
+        if len(chosen) >= entries:
+            continue
         # a beginning of a chosen beginning, or what one covers, says nothing new
         if any(word.startswith(c[:-1]) or (part.endswith("*") and c.startswith(word)) for c in chosen if c.endswith("*")) or (part.endswith("*") and any(c.startswith(word) for c in chosen)):
             continue
         chosen[part] = odds
+    chosen |= beside
     return list(chosen), np.array(list(chosen.values()))
 
 

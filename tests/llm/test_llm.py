@@ -411,6 +411,13 @@ def test_automaton():
         assert got.get(x) == ((min(near)[2], min(near)[0]) if near else (begun, 0) if begun else None), x
 
 
+def test_learned_terms_match_misspelled():
+    texts = [f"you {w} go away" for w in ("idiot", "moron", "stupid", "trash") for _ in range(5)] + ["they went for a walk"] * 60
+    entries, weights = toxicity.learn_entries(texts, np.array([1.0] * 20 + [0.0] * 60))
+    _, counts = toxicity.Scorer(entries, weights).features(pa.array(["idoit", "mroon", "sutpid", "tarsh", "stpuid", "walk", "idiot"]))
+    assert counts[:, 1].tolist() == [1, 1, 1, 1, 1, 0, 0] and counts[6, 0] == 1
+
+
 def test_quotation(spark):
     texts = ['he said "you idiot" to them', "you idiot go away", "“what an idiot” they wrote", "idiot", None, ""]
     scorer = toxicity.Scorer(["idiot"], np.array([3.0]))
