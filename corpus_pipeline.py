@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of every row."""
-    return sharding.shard(docs).drop("u")
+    return sharding.shard(docs).drop("key")
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix_sources", mix_sources), ("shard", shard)]

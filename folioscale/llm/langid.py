@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import arrow_map, unit_hash, written
+from .shared import arrow_map, written
 
 #: Labelled texts for the text model, for each language, about; a sample by hash.
 SAMPLE = 400
@@ -84,7 +84,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     Rows are chosen by a hash of all their columns, so that copies with other
     ids do not come together; null labels and texts take no part.
     """
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), unit_hash(*labelled.columns).alias("u")).filter("text is not null and lang is not null")
+    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), ((F.pmod(F.xxhash64(*labelled.columns), F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))).alias("u")).filter("text is not null and lang is not null")
     # at most 200 languages
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(200).collect()}
     names = sorted(counts)

@@ -95,4 +95,68 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join h using (doc_id) left join q using (doc_id)
 """
 
-SQL = {"op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8}
+#: MD5 of seed, id and text; a number in (0, 1) from its first 13 digits.
+_KEY = "md5('42|' || coalesce('=' || doc_id::varchar, '-') || '|' || coalesce('=' || text, '-'))"
+_UNIT = "(('0x' || substr({}, 1, 13))::bigint + 0.5) / 4503599627370496.0"
+
+OP4 = f"""
+with recursive small as materialized (
+  select doc_id, source, len({_SPACE})::bigint size, {_KEY} as key, length(bin(len({_SPACE})))::bigint weight from documents),
+groups as (select source, weight, count(*) n_docs, sum(size)::bigint words from small group by all),
+sources as (select source, sum(words)::bigint source_size from groups group by 1),
+weighed as (select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 w, (3 * source_size)::double cap from sources),
+placed as (
+  select *, sum(source_size) over ()::double total, sum(cap) over o - cap capped_before, sum(w) over () - sum(w) over o + w weight_from
+  from weighed window o as (order by cap / w, source nulls last rows unbounded preceding)),
+levels as (select *, (total - capped_before) / weight_from as lvl from placed),
+targets as materialized (
+  select source, source_size, least(cap, coalesce(arg_min(lvl, cap / w) filter (lvl * w <= cap) over () * w, cap)) target from levels),
+loads as (
+  select g.*, target, sum(words) over o - words capped, sum(words * g.weight) over s - sum(words * g.weight) over o + words * g.weight as load_
+  from groups g join targets t on t.source is not distinct from g.source
+  window o as (partition by g.source order by g.weight desc rows unbounded preceding), s as (partition by g.source)),
+risen as (select *, case when load_ > 0 then (target - 3 * capped::double) / load_::double end lvl from loads),
+chosen as (select *, arg_max(lvl, weight) filter (lvl * weight <= 3) over (partition by source) found from risen),
+parted as (select *, case when target <= 0 then 0.0 else least(3.0, coalesce(found * weight, 3.0)) end m from chosen),
+plan as materialized (
+  select source, weight, floor(m)::bigint sure, m - floor(m) p, floor(sum(n_docs * (m - floor(m))) over a + 0.5) n_sample, target - (sum(words * floor(m)::bigint) over s)::double room
+  from parted window s as (partition by source), a as (partition by source order by weight desc rows between unbounded preceding and unbounded following)),
+drawn as (
+  select r.*, sure, p, n_sample, room, case when p > 0 then (u / (1 - u)) / (p / (1 - p)) else 'infinity'::double end q
+  from (select *, {_UNIT.format("key")} u from small) r join plan on plan.source is not distinct from r.source and plan.weight = r.weight),
+ranked as (
+  select *, row_number() over o - 1 as rank_, sum(size) over o - size before_ from drawn
+  window o as (partition by source, p > 0 order by q, key rows unbounded preceding)),
+sampled as materialized (select *, case when p > 0 and rank_ < n_sample and before_ + size <= room then 1 else 0 end extra from ranked),
+used as (select source, floor(max(room) - sum(extra * size)::double)::bigint as open_ from sampled group by 1),
+counts as materialized (select source, size, count(*) n from sampled where extra = 0 and sure < 3 and size > 0 group by all),
+fill as (
+  select source, null::bigint size, 0::bigint n, open_ from used
+  union all
+  select f.source, c.size, least(c.n, f.open_ // c.size)::bigint, (f.open_ - least(c.n, f.open_ // c.size) * c.size)::bigint
+  from fill f, lateral (select size, n from counts k where k.source is not distinct from f.source and k.size <= f.open_ and k.size < coalesce(f.size, 9223372036854775807) order by k.size desc limit 1) c),
+turns as (
+  select s.*, case when extra = 0 and sure < 3 then row_number() over (partition by s.source, s.size, extra = 0 and sure < 3 order by q, key) end turn, f.n
+  from sampled s left join (select * from fill where n > 0) f on f.source is not distinct from s.source and f.size = s.size),
+done as (select *, (sure + case when extra = 1 or turn <= n then 1 else 0 end)::int copies from turns)
+select doc_id, size, source_size, target, (copies * size)::bigint taken, copies
+from done d join targets t on t.source is not distinct from d.source
+"""
+
+# CRC-32 (reflected, polynomial EDB88320): table entries by shifting each byte eight times
+_CRC = "list_reduce(list_prepend(x, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+
+OP6 = f"""
+with crc as materialized (select list(v order by x) as tab from (select x, {_CRC} v from (select unnest(range(256)) x))),
+bytes as (select doc_id, source, {_KEY} as key, octet_length(encode(coalesce(text, ''))) + 16 as size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::bigint) b from documents),
+small as materialized (
+  select doc_id, source, key, size::bigint size, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295)::bigint text_crc32 from bytes, crc),
+n as (select source, count(*) n, {_UNIT.format("md5('42|' || coalesce(source, ''))")} as off from small group by 1),
+f as (
+  select s.*, (row_number() over (partition by s.source order by key) - 1 + off) / n as f
+  from small s join n on n.source is not distinct from s.source),
+p as (select *, row_number() over (order by f, source nulls first, key) - 1 as place, count(*) over () total from f)
+select doc_id, size, text_crc32, 'rows' as law, (place * 40 // total)::int shard, (place - ((place * 40 // total) * total + 39) // 40)::bigint slot, null::int grown_shard, source from p
+"""
+
+SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8}

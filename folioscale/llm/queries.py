@@ -34,7 +34,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"), shards=40).drop("u")
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40).drop("key")
 
 
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
