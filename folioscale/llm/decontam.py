@@ -1,10 +1,12 @@
 """Benchmark decontamination with suffix arrays of the training words.
 
-Each shard of documents (a megabyte of text) gets a suffix array over its
-words. Suffixes whose first words begin no test window cannot match and are
-left out of the array. Every test suffix is then narrowed word by word with
-binary searches; the depth it reaches is its longest verbatim match there, and
-at the depth of its window the surviving range is the list of its places.
+Each shard of documents (a few megabytes of text) gets a suffix array of all
+its words, in order to the depth of the longest test item. Every test suffix
+that can hold a window is narrowed in it word by word with binary searches. At
+the depth of its window the range holds all places of that window; windows of
+one item that follow each other in a document make one longer verbatim match,
+and a document's matches are returned with their places. Words are compared by
+64-bit hashes in the searches; what matches is then compared byte by byte.
 """
 
 from __future__ import annotations
@@ -22,134 +24,191 @@ from .shared import arrow_map
 
 #: Words in a window of the contract.
 WINDOW = 13
-#: Test items are sent to the executors in blocks of at most this many bytes of text.
-BLOCK_BYTES = 4 << 20
+#: Test items are sent to the executors in blocks of at most this many bytes of text, each with a pass over the documents.
+BLOCK_BYTES = 16 << 20
+#: Bytes of text in a shard, about; a longer document is a shard of its own.
+SHARD_BYTES = 4 << 20
 
 
 class TestSuffixes:
-    """Distinct windows of some test items, as sorted word sequences."""
+    """Test items as arrays: their words, and the suffixes that hold a window."""
 
     __test__ = False
 
     def __init__(self, ids: list[str], texts: list[str | None], window: int):
-        rows: dict[tuple[int, ...], set[int]] = {}
-        self.ids: list[str] = list(dict.fromkeys(ids))
-        number = {x: i for i, x in enumerate(self.ids)}
         column = pa.array(texts, pa.string())
-        for a, b, words in tokens.pieces(column, "alnum"):
-            h = words.hashes().tolist()
-            for i in range(a, b):
-                own = h[words.rows[i - a] : words.rows[i - a + 1]]
-                for j in range(max(1, len(own) - window + 1) if own else 0):
-                    rows.setdefault(tuple(own[j : j + window]), set()).add(number[ids[i]])
-        order = sorted(rows)
-        self.length = np.array([len(x) for x in order], dtype=np.int64)
-        self.word = np.zeros((len(order), window), dtype=np.uint64)
-        for i, x in enumerate(order):
-            self.word[i, : len(x)] = x
-        self.items = [sorted(rows[x]) for x in order]
-        # the first words that every match has
-        self.head = int(min(4, self.length.min())) if len(order) else 1
-        self.heads = np.unique(np.concatenate([tokens.kgrams(w[: self.head], self.head) for w in self.word])) if len(order) else np.zeros(0, np.uint64)
-        self.bitmap = np.zeros(1 << 20, dtype=bool)
-        self.bitmap[(self.heads >> np.uint64(44)).astype(np.int64)] = True
-
-
-def suffix_array(words: np.ndarray, ends: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes beginning at ``at``, sorted by their first ``depth`` words; a suffix ends with its document."""
-    steps = at[:, None] + np.arange(depth)
-    inside = steps < ends[:, None]
-    key = np.where(inside, words[np.minimum(steps, len(words) - 1)], np.uint64(0))
-    order = np.lexsort(key.T[::-1])
-    return at[order], key[order]
-
-
-def search(key: np.ndarray, test: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each test suffix: the range of sorted suffixes that begin with it whole, and the words matched at most."""
-    n = len(test)
-    lo, hi = np.zeros(n, np.int64), np.full(n, len(key), np.int64)
+        hashes, sizes, spelled, lengths = [], [], [], []
+        for _, _, words in tokens.pieces(column, "alnum"):
+            h = words.hashes()
+            hashes.append(h)
+            sizes.append(np.diff(words.rows))
+            known, at = np.unique(h, return_index=True)
+            spelled += [tokens.LOWER[words.data[x:y]].tobytes() for x, y in zip(words.starts[at], words.ends[at], strict=True)]
+            lengths.append(known)
+        join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        self.ids = ids
+        self.words = join(hashes, np.uint64)
+        size = join(sizes, np.int64)
+        begin = np.cumsum(size) - size
+        #: words of the window of each item, and the longest item
+        self.window = np.minimum(size, window)
+        self.longest = int(size.max(initial=0))
+        starts = np.where(size > 0, size - self.window + 1, 0)
+        self.item = np.repeat(np.arange(len(size)), starts)
+        self.at = np.arange(len(self.item)) - np.repeat(np.cumsum(starts) - starts, starts)
+        self.first = begin[self.item] + self.at
+        self.length = size[self.item] - self.at
+        # how each word is spelled, in the order of the hashes
+        self.known, keep = np.unique(join(lengths, np.uint64), return_index=True)
+        spelled = [spelled[i] for i in keep]
+        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        self.spelled_at = np.cumsum([0, *map(len, spelled)])
+
+
+def suffix_array(words: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of all suffixes in the order of their first ``depth`` words; the distinct words; the number of each place's word.
+
+    A suffix ends with its document, and a shorter one goes before its
+    continuations. Ranks are doubled: each round sorts what is still equal by
+    the ranks that lie as far ahead as the ranks so far reach.
+    """
+    known, number = np.unique(words, return_inverse=True)
+    n = len(words)
+    order = np.argsort(number, kind="stable")
+    ordered = number[order]
+    fresh = np.ones(n, dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) + 1
+    reach = 1
+    while reach < depth and n:
+        # places in a group of more than one, in the order so far
+        alone = fresh & np.append(fresh[1:], True)
+        slots = np.flatnonzero(~alone)
+        if not len(slots):
+            break
+        place = order[slots]
+        ahead = place + reach
+        key = rank[place] * (n + 1) + np.where(ahead < ends[place], rank[np.minimum(ahead, n - 1)], 0)
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        order[slots] = place[by]
+        change = np.ones(len(slots), dtype=bool)
+        change[1:] = key[1:] != key[:-1]
+        fresh[slots] = change
+        rank[place[by]] = np.maximum.accumulate(np.where(change, slots, 0)) + 1
+        reach *= 2
+    return order, known, number
+
+
+def search(order: np.ndarray, number: np.ndarray, ends: np.ndarray, test: np.ndarray, first: np.ndarray, length: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each test suffix: the range of suffixes that begin with its window, and how many words of it match at most.
+
+    ``test`` holds the numbers of the test words (-1: not in the shard), and a
+    suffix the ``length`` words from ``first``.
+    """
+    n = len(first)
     matched = np.zeros(n, np.int64)
+    at_window = np.zeros((2, n), np.int64)
+    heads = number[order]
+    lo, hi = np.searchsorted(heads, test[first], "left"), np.searchsorted(heads, test[first], "right")
+    hi = np.where(test[first] < 0, lo, hi)
 
-    def bound(a, b, column, value, right):
+    def bound(a: np.ndarray, b: np.ndarray, value: np.ndarray, depth: int, right: bool) -> np.ndarray:
         a, b = a.copy(), b.copy()
-        while (open_ := a < b).any():
-            mid = (a + b) >> 1
-            x = column[np.minimum(mid, len(column) - 1)]
-            below = open_ & ((x <= value) if right else (x < value))
-            b = np.where(open_ & ~below, mid, b)
-            a = np.where(below, mid + 1, a)
+        todo = np.flatnonzero(a < b)
+        while len(todo):
+            mid = (a[todo] + b[todo]) >> 1
+            place = order[mid]
+            x = np.where(place + depth < ends[place], number[np.minimum(place + depth, len(number) - 1)], -1)
+            below = (x <= value[todo]) if right else (x < value[todo])
+            a[todo[below]] = mid[below] + 1
+            b[todo[~below]] = mid[~below]
+            todo = todo[a[todo] < b[todo]]
         return a
 
-    live = np.arange(n)
-    for d in range(key.shape[1]):
-        live = live[(length[live] > d) & (lo[live] < hi[live])]
-        if not len(live):
-            break
-        column, value = key[:, d], test[live, d]
-        a, b = bound(lo[live], hi[live], column, value, False), bound(lo[live], hi[live], column, value, True)
+    live, depth = np.flatnonzero(lo < hi), 1
+    while len(live):
+        matched[live] = depth
+        whole = live[window[live] == depth]
+        at_window[:, whole] = lo[whole], hi[whole]
+        live = live[length[live] > depth]
+        value = test[first[live] + depth]
+        live, value = live[value >= 0], value[value >= 0]
+        a, b = bound(lo[live], hi[live], value, depth, False), bound(lo[live], hi[live], value, depth, True)
         lo[live], hi[live] = a, b
-        matched[live] += a < b
-    return lo, hi, matched
+        live = live[a < b]
+        depth += 1
+    return at_window[0], at_window[1], matched
+
+
+def _spelled_alike(words: tokens.Words, places: np.ndarray, hashes: np.ndarray, test: TestSuffixes) -> np.ndarray:
+    """Whether the words at ``places`` are spelled as the test words of the same hash."""
+    known = np.minimum(np.searchsorted(test.known, hashes), len(test.known) - 1)
+    size = words.ends[places] - words.starts[places]
+    alike = size == np.diff(test.spelled_at)[known]
+    for i in range(int(size.max(initial=0))):
+        at = np.flatnonzero(alike & (size > i))
+        alike[at] = tokens.LOWER[words.data[words.starts[places[at]] + i]] == test.spelled[test.spelled_at[known[at]] + i]
+    return alike
 
 
-def _scan_batches(test: TestSuffixes, window: int):
+def matches(words: tokens.Words, test: TestSuffixes) -> tuple[np.ndarray, ...]:
+    """(row, place in the row, item, place in the item, words) of all maximal verbatim matches from a window on."""
+    h, bounds = words.hashes(), words.rows
+    size = np.diff(bounds)
+    ends = np.repeat(bounds[1:], size)
+    order, known, number = suffix_array(h, ends, test.longest)
+    at = np.minimum(np.searchsorted(known, test.words), len(known) - 1)
+    numbers = np.where(known[at] == test.words, at, -1)
+    lo, hi, _ = search(order, number, ends, numbers, test.first, test.length, test.window[test.item])
+    found = np.flatnonzero(lo < hi)
+    each = hi[found] - lo[found]
+    suffix = np.repeat(found, each)
+    place = order[np.repeat(lo[found], each) + np.arange(len(suffix)) - np.repeat(np.cumsum(each) - each, each)]
+    item, start = test.item[suffix], test.at[suffix]
+    # a window whose words are not all spelled alike is none
+    held = np.zeros(len(h) + 1, np.int64)
+    np.add.at(held, place, 1)
+    np.add.at(held, place + test.window[item], -1)
+    used = np.flatnonzero(np.cumsum(held)[:-1] > 0)
+    wrong = np.zeros(len(h) + 1, np.int64)
+    wrong[used + 1] = ~_spelled_alike(words, used, h[used], test)
+    wrong = np.cumsum(wrong)
+    right = wrong[place + test.window[item]] == wrong[place]
+    item, start, place = item[right], start[right], place[right]
+    # windows that follow each other in both texts are one match
+    row = np.searchsorted(bounds, place, side="right") - 1
+    by = np.lexsort((place, place - start, item, row))
+    row, item, start, place = row[by], item[by], start[by], place[by]
+    fresh = np.ones(len(by), dtype=bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1) | (start[1:] != start[:-1] + 1)
+    head = np.flatnonzero(fresh)
+    run = np.diff(np.append(head, len(by)))
+    return row[head], place[head] - bounds[row[head]], item[head], start[head], run + test.window[item[head]] - 1
+
+
+MATCH = "array<struct<item: string, at: bigint, item_at: bigint, words: bigint>>"
+
+
+def _scan_batches(test: TestSuffixes, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             n_words = np.zeros(n, np.int64)
-            spans: list[list[int]] = [[] for _ in range(n)]
-            found: list[set[int]] = [set() for _ in range(n)]
-            for first, _, words in tokens.pieces(batch.column(1), "alnum"):
+            found: list[list[dict]] = [[] for _ in range(n)]
+            for first, _, words in tokens.pieces(batch.column(1), "alnum", shard_bytes):
                 bounds = words.rows
                 n_words[first : first + len(bounds) - 1] = np.diff(bounds)
-                if not len(test.length) or not len(words.starts):
-                    continue
-                h = words.hashes()
-                grams = tokens.kgrams(h, test.head)
-                maybe = np.flatnonzero(test.bitmap[(grams >> np.uint64(44)).astype(np.int64)])
-                maybe = maybe[np.isin(grams[maybe], test.heads)]
-                row = np.searchsorted(bounds, maybe, side="right") - 1
-                fits = maybe + test.head <= bounds[row + 1]
-                maybe, row = maybe[fits], row[fits]
-                if not len(maybe):
-                    continue
-                places, key = suffix_array(h, bounds[row + 1], maybe, window)
-                lo, hi, matched = search(key, test.word, test.length)
-                for w in np.flatnonzero((matched == test.length) & (lo < hi)):
-                    for p in places[lo[w] : hi[w]].tolist():
-                        r = int(np.searchsorted(bounds, p, side="right")) - 1
-                        spans[first + r] += (p - int(bounds[r]), p - int(bounds[r]) + int(test.length[w]))
-                        found[first + r].update(test.items[w])
-            merged = [merge(s) for s in spans]
-            names = [sorted(test.ids[i] for i in x) for x in found]
-            out = [batch.column(0), pa.array(n_words), pa.array(merged, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))]
-            fields = ["_row", "n_words", "spans", "items"]
-            if batch.num_columns > 2:  # several blocks of test items
-                out.append(batch.column(2))
-                fields.append("_mark")
-            yield pa.RecordBatch.from_arrays(out, names=fields)
+                if len(test.first) and len(words.starts):
+                    for row, at, item, item_at, size in zip(*(x.tolist() for x in matches(words, test)), strict=True):
+                        found[first + row].append({"item": test.ids[item], "at": at, "item_at": item_at, "words": size})
+            kind = pa.list_(pa.struct([("item", pa.string()), ("at", pa.int64()), ("item_at", pa.int64()), ("words", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(found, kind), *(batch.column(i) for i in range(2, batch.num_columns))], names=["_row", "n_words", "found", *batch.schema.names[2:]])
 
     return run
 
 
-def merge(flat: list[int]) -> list[int]:
-    """Union of [begin, end) spans in pairs, in order; spans that touch become one."""
-    out: list[int] = []
-    for a, b in sorted(zip(flat[::2], flat[1::2], strict=True)):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
-def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = pa.array([merge(x) for x in batch.column("spans").to_pylist()], pa.list_(pa.int64()))
-        items = pa.array([sorted(set(x)) for x in batch.column("items").to_pylist()], pa.list_(pa.string()))
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("n_words"), spans, items, batch.column("_n")], names=["_row", "n_words", "spans", "items", "_n"])
-
-
 def _test_blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list[str], list[str | None]]]:
     """Test items in blocks of bounded size, streamed to the driver."""
     ids: list[str] = []
@@ -167,42 +226,55 @@ def _test_blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int)
         yield ids, texts
 
 
-def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row for each row of ``docs``: the id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, spans, items.
+def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """One row for each row of ``docs``: the id, n_words, n_hit, n_items, items_sha256, longest_match, matches, contaminated.
 
     A document is contaminated if at least one word and at least a twentieth of
-    its words lie in occurrences of test windows. ``spans`` are merged
-    [begin, end) word positions in pairs; ``longest_match`` is the longest of
-    them. Null and empty texts have no words and are clean. Test items without
-    id or words are not searched. Without test items every document is clean;
-    items_sha256 is then that of an empty text.
+    its words lie in occurrences of test windows. ``matches`` holds every
+    maximal verbatim match from a window on (item, word place in the document,
+    word place in the item, words), ``longest_match`` the words of the longest,
+    0 without any. Null and empty texts have no words and are clean. Test items
+    without id or words are not searched; of items that share an id each is.
+    Without test items every document is clean; items_sha256 is then that of an
+    empty text. Repeated rows are judged alike.
     """
     cols = docs.select(F.col(id_col).alias("_row"), F.col(text_col).cast("string").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_row {kind}, n_words long, spans array<long>, items array<string>"
-    passes = [(cols.withColumn("_mark", F.xxhash64("_text")), _scan_batches(TestSuffixes(ids, texts, window), window)) for ids, texts in _test_blocks(bench, item_col, item_text_col, block_bytes)]
+    schema = f"_row {kind}, n_words long, found {MATCH}"
+    passes = [_scan_batches(TestSuffixes(ids, texts, window), shard_bytes) for ids, texts in _test_blocks(bench, item_col, item_text_col, block_bytes)]
     if len(passes) == 1:
-        found = arrow_map(cols, passes[0][1], schema)
+        found = arrow_map(cols, passes[0], schema)
     else:  # one pass for each block of test items; equal rows merge and are counted
-        each = reduce(DataFrame.unionByName, [arrow_map(c, run, f"{schema}, _mark long") for c, run in passes])
-        merged = each.groupBy("_row", "n_words", "_mark").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), (F.count("*") / len(passes)).cast("int").alias("_n"))
-        found = arrow_map(merged, _merge_batches, f"{schema}, _n int").withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).drop("_n")
-    hit = F.expr("aggregate(sequence(1, cast(size(spans) / 2 as int), 1), 0L, (s, i) -> s + spans[2 * i - 1] - spans[2 * i - 2])")
-    hit = F.when(F.size("spans") > 0, hit).otherwise(F.lit(0).cast("long"))
-    longest = F.when(F.size("spans") > 0, F.expr("array_max(transform(sequence(1, cast(size(spans) / 2 as int), 1), i -> spans[2 * i - 1] - spans[2 * i - 2]))")).otherwise(F.lit(0).cast("long"))
+        marked = cols.withColumn("_mark", F.xxhash64("_text"))
+        each = reduce(DataFrame.unionByName, [arrow_map(marked, run, f"{schema}, _mark long") for run in passes])
+        merged = each.groupBy("_row", "n_words", "_mark").agg(F.flatten(F.collect_list("found")).alias("all"), (F.count("*") / len(passes)).cast("int").alias("_n"))
+        found = merged.select("_row", "n_words", F.array_distinct("all").alias("found"), F.explode(F.sequence(F.lit(1), "_n"))).drop("col")
+
+    def cover(s, x):  # words up to the end of what came before count once
+        end = x["at"] + x["words"]
+        return F.struct((s["hit"] + F.greatest(F.lit(0).cast("long"), end - F.greatest(s["end"], x["at"]))).alias("hit"), F.greatest(s["end"], end).alias("end"))
+
+    nothing = F.lit(0).cast("long")
+    hit = F.aggregate(F.array_sort(F.transform("found", lambda x: F.struct(x["at"].alias("at"), x["words"].alias("words")))), F.struct(nothing.alias("hit"), nothing.alias("end")), cover)["hit"]
+    items = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item"])))
     return found.select(
         F.col("_row").alias(id_col),
         "n_words",
         hit.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        longest.alias("longest_match"),
-        "spans",
-        "items",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["words"])), nothing).alias("longest_match"),
+        F.col("found").alias("matches"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
-    found = contamination(docs, bench).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_bad"], "left_anti")
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    Each row is judged on its own text: rows may share a doc_id or have none.
+    """
+    key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    judged = contamination(docs.select(key.alias("_key"), F.col("text").alias("_text")), bench, "_key", "_text")
+    found = judged.filter("contaminated").select("_key").distinct()
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("_key"))
+    return packed.join(found, "_key", "left_anti").select("row.*")

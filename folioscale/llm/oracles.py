@@ -82,17 +82,19 @@ select page_id, host, len(lines)::bigint n_lines, (len(lines) - len(kept))::bigi
 
 OP8 = f"""
 with d as (select doc_id, {_ALNUM} w from documents),
-i as (select item_id, {_ALNUM} w from benchmark where item_id is not null),
-k as (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) at_ from i where len(w) > 0),
-t as (select distinct item_id, least(len(w), 13) n, array_to_string(w[at_ : at_ + least(len(w), 13) - 1], ' ') x from k),
+i as (select row_number() over () item, item_id, {_ALNUM} w from benchmark where item_id is not null),
+k as (select item, item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) at_ from i where len(w) > 0),
+t as (select item, item_id, at_ t_at, least(len(w), 13) n, array_to_string(w[at_ : at_ + least(len(w), 13) - 1], ' ') x from k),
 n as (select distinct n from t),
 p as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) at_ from d, n where len(w) >= n),
-m as (select doc_id, p.n, at_, item_id from p join t on t.n = p.n and t.x = array_to_string(w[at_ : at_ + p.n - 1], ' ')),
+m as (select doc_id, p.n, at_, item, item_id, t_at from p join t on t.n = p.n and t.x = array_to_string(w[at_ : at_ + p.n - 1], ' ')),
 h as (select doc_id, count(distinct pos) n_hit from (select doc_id, unnest(range(at_, at_ + n)) pos from m) group by 1),
-q as (select doc_id, count(distinct item_id) n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) ids from m group by 1)
+q as (select doc_id, count(distinct item_id) n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) ids from m group by 1),
+r as (select *, at_ - row_number() over (partition by doc_id, item, at_ - t_at order by at_) run from m),
+l as (select doc_id, max(words) longest from (select doc_id, max(n) + count(*) - 1 words from r group by doc_id, item, at_ - t_at, run) group by 1)
 select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items, sha256(coalesce(ids, '')) items_sha256,
-  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
-from d left join h using (doc_id) left join q using (doc_id)
+  coalesce(longest, 0)::bigint longest_match, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
+from d left join h using (doc_id) left join q using (doc_id) left join l using (doc_id)
 """
 
 #: MD5 of seed, id and text; a number in (0, 1) from its first 13 digits.

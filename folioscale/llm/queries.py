@@ -42,7 +42,7 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items", "longest_match")
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

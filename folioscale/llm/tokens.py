@@ -19,9 +19,9 @@ _ORDER = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64
 BAND_WEIGHT = _RNG.integers(1, 2**63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BYTE_VALUE = _BYTE_VALUE[_LOWER]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_BYTE_VALUE = _BYTE_VALUE[LOWER]
 
 _NOT_SPACE = np.ones(256, dtype=bool)
 _NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False

@@ -94,25 +94,34 @@ def base_places(text, phrases):
 
 
 def contamination(docs, bench, window=13):
+    """(doc, words, words hit, items, SHA-256 of the items, contaminated, longest match)."""
     items = defaultdict(set)
+    whole = []
     for i, t in bench:
         w = ALNUM.findall((t or "").translate(UP))
         if i is None or not w:
             continue
+        whole.append(w)
         for j in range(max(1, len(w) - window + 1)):
             items[tuple(w[j : j + window])].add(str(i))
     lengths = sorted({len(x) for x in items})
     out = []
     for d, t in docs:
         w = ALNUM.findall((t or "").translate(UP))
-        hit, found = set(), set()
+        hit, found, longest = set(), set(), 0
         for n in lengths:
             for j in range(len(w) - n + 1):
                 x = tuple(w[j : j + n])
                 if x in items:
                     hit.update(range(j, j + n))
                     found |= items[x]
-        out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+        for v in whole if hit else []:
+            # words that match from each pair of places on
+            run = [0] * (len(v) + 1)
+            for j in range(len(w) - 1, -1, -1):
+                run = [run[m + 1] + 1 if w[j] == v[m] else 0 for m in range(len(v))] + [0]
+                longest = max(longest, max((r for r in run if r >= min(window, len(v))), default=0))
+        out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w), longest))
     return out
 
 

@@ -343,7 +343,7 @@ def test_linededup_hard(spark):
 
 # 8
 
-DIGEST = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+DIGEST = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
 
 
 def test_decontam(spark, small, t):
@@ -358,12 +358,49 @@ def test_decontam_hard(spark, block):
     items = [(i, " ".join(word() for _ in range(random.choice([1, 2, 13, 14, 20])))) for i in range(12)] + [(90, None), (91, ""), (None, "zz yy"), (3, "extra words here")]
     texts = HARD + [" ".join(word() for _ in range(random.randint(0, 120))) for _ in range(40)] + ["x " + items[2][1] + ", y"] * 3
     d = [(i, x) for i, x in enumerate(texts)] + [(0, None), (2, "c"), (None, "a b")]
-    docs = spark.createDataFrame([(*x, 1) for x in d], "doc_id long, text string, spans int")
+    docs = spark.createDataFrame([(*x, 1) for x in d], "doc_id long, text string, matches int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontam.contamination(docs, bench, block_bytes=block)
+    got = decontam.contamination(docs, bench, block_bytes=block, shard_bytes=400)
     assert rows(got, *DIGEST) == sorted(brute.contamination(d, items), key=repr)
     assert decontam.contamination(docs, bench.limit(0)).filter("contaminated").count() == 0
     assert decontam.contamination(docs.limit(0), bench).count() == 0
+    # every match stands where it says, in both texts, and could not be longer
+    words = lambda x: brute.ALNUM.findall((x or "").translate(brute.UP))
+    for r in decontam.contamination(docs.filter("doc_id >= 11"), bench.filter("item_id <> 3"), block_bytes=block).collect():
+        w = words(texts[r.doc_id])
+        for m in r.matches:
+            v = words(dict(items)[int(m.item)])
+            assert w[m.at : m.at + m.words] == v[m.item_at : m.item_at + m.words]
+            assert not (m.at and m.item_at and w[m.at - 1] == v[m.item_at - 1]) or len(v) < 13
+            assert w[m.at + m.words : m.at + m.words + 1] != v[m.item_at + m.words : m.item_at + m.words + 1] or m.at + m.words == len(w) or m.item_at + m.words == len(v)
+
+
+def test_decontam_keeps_rows_apart(spark):
+    """Rows are judged by their own texts, whatever their ids."""
+    bad = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, bad, 0), (1, "clean words", 1), (None, bad, 2), (None, "clean too", 3), (None, None, 4)], "doc_id long, text string, _key int")
+    kept = decontam.drop_contaminated(docs, spark.createDataFrame([(7, bad)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted(r._key for r in kept.collect()) == [1, 3, 4]
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(3)
+    for depth in (1, 3, 40):
+        sizes = rng.integers(0, 60, 12)
+        words = rng.integers(0, 3, sizes.sum()).astype(np.uint64) + np.uint64(9)
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        order, known, number = decontam.suffix_array(words, ends, depth)
+        suffix = [tuple(number[p : min(ends[p], p + depth)]) for p in order]
+        assert sorted(order.tolist()) == list(range(len(words))) and suffix == sorted(suffix) and (known[number] == words).all()
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens.Words, "hashes", lambda self: np.ones(len(self.starts), np.uint64))
+    column = pa.array(["a b c", "x y z", "A-B-c"])
+    test = decontam.TestSuffixes(["1"], ["a b c"], 2)
+    _, _, words = next(tokens.pieces(column, "alnum"))
+    # all words share a hash here, so only those of the test word that keeps it are left
+    assert {r for r in decontam.matches(words, test)[0].tolist()} == set()
 
 
 # 9
@@ -475,7 +512,7 @@ def test_pipeline(spark, small, t):
     data = rows(first, "doc_id", "text")
     assert rows(second, "doc_id") == sorted([(d,) for d, _, _, kept in brute.near_duplicates(data, 5, 80) if kept], key=repr)
     third = corpus_pipeline.decontaminate(spark, second, small)
-    clean = [(r[0],) for r in brute.contamination(rows(second, "doc_id", "text"), rows(t("benchmark"), "item_id", "text")) if not r[-1]]
+    clean = [(r[0],) for r in brute.contamination(rows(second, "doc_id", "text"), rows(t("benchmark"), "item_id", "text")) if not r[5]]
     assert rows(third, "doc_id") == sorted(clean, key=repr)
     fourth = corpus_pipeline.mix_sources(spark, third, small)
     copies = {r.doc_id: r.copies for r in mixing.mix(third).collect()}
