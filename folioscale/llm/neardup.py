@@ -14,12 +14,13 @@ than shingles may differ is dealt by its smallest shingle hashes too: partners
 share one of the floor(n(1-t))+1 smallest. So small sets lose no link. From there on 32 bands of 4 registers miss a pair of
 similarity 0.85 with a chance under 1e-10 (0.8: 5e-8).
 
-Texts with equal sets are one class from the start. A band group of up to
-``SMALL`` classes gives all its pairs. A larger group first gives one pair
-for each member, with its smallest member; once those links have been
-contracted, a group counts each of its components once. Components that share
-a group and are not one yet compare all their members there, block by block,
-on the full sets, so no link is lost.
+Texts with equal sets are one class from the start. Every class of a band group
+is compared with the group's smallest, and what that links is contracted. A
+group that still holds several components is open. Open classes meet by a
+prefix filter: their shared shingles are ordered from rare to frequent, and two
+sets of similarity t share one of their first, at places that leave room for
+the overlap. What meets there is confirmed on the full sets, so no link is lost
+and no group gives all its pairs.
 """
 
 from __future__ import annotations
@@ -37,10 +38,8 @@ from .shared import arrow_map, written
 BUCKETS = 128
 MANTISSA = 10
 _REST = 64 - 7  # bits of a hash behind its bucket
-#: A band group up to this size gives all its pairs.
-SMALL = 12
-#: Sets in a block that meets another block.
-BLOCK = 128
+#: Edges in a file of the rounds that find components, about.
+EDGES = 200_000
 LAYOUTS = ((4, 32), (8, 16), (16, 8), (32, 4))  # bands, registers in each
 
 
@@ -137,7 +136,6 @@ def _band_batches(t: float):
             if not len(ids):
                 continue
             regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(len(ids), BUCKETS)
-            bits = np.packbits((regs & 1).astype(bool), axis=1).view(np.int64)
             top, low = np.searchsorted(limits, n), np.searchsorted(limits, np.ceil(n * t - 1e-9).astype(np.int64))
             for which, (bands, width) in enumerate(LAYOUTS):
                 rows = np.flatnonzero((low <= which) & (which <= top))
@@ -147,18 +145,11 @@ def _band_batches(t: float):
                 weight = tokens.BAND_WEIGHT[:width]
                 keys = tokens.mix((part.astype(np.uint64) * weight).sum(axis=2, dtype=np.uint64) + (np.arange(bands, dtype=np.uint64) + np.uint64(64 * (which + 1))) * np.uint64(0xD1342543DE82EF95))
                 at, band = np.nonzero(part.any(axis=2))
-                src = rows[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(keys[at, band])), pa.array(ids[src]), pa.array(n[src].astype(np.int64)), pa.array(bits[src, 0]), pa.array(bits[src, 1])],
-                    names=["band", "id", "n", "s1", "s2"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(keys[at, band])), pa.array(ids[rows[at]])], names=["band", "id"])
             heads = [np.frombuffer(x, np.uint64) if x else np.zeros(0, np.uint64) for x in batch.column(3).to_pylist()]
             src = np.repeat(np.arange(len(ids)), [len(x) for x in heads])
             if len(src):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(tokens.mix(np.concatenate(heads)))), pa.array(ids[src]), pa.array(n[src].astype(np.int64)), pa.array(bits[src, 0]), pa.array(bits[src, 1])],
-                    names=["band", "id", "n", "s1", "s2"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(tokens.mix(np.concatenate(heads)))), pa.array(ids[src])], names=["band", "id"])
 
     return run
 
@@ -214,38 +205,6 @@ def _confirm_batches(percent: int):
     return run
 
 
-def _near(x: str, y: str, t: float) -> F.Column:
-    """What a pair of similarity t or more meets: sizes, and the registers' last bits (seven standard deviations of leeway)."""
-    p = (1 - t) / 2
-    most = int(np.ceil(BUCKETS * p + 7 * np.sqrt(BUCKETS * p * (1 - p))))
-    c = lambda side, name: F.col(f"{side}.{name}")
-    off = F.bit_count(c(x, "s1").bitwiseXOR(c(y, "s1"))) + F.bit_count(c(x, "s2").bitwiseXOR(c(y, "s2")))
-    least, most_n = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
-    return (least >= most_n * F.lit(t - 1e-9)) & (off <= F.least(F.lit(most), _differing(least, t)))
-
-
-def _differing(n: F.Column, t: float) -> F.Column:
-    """How many shingles, and so registers, differ at most where the smaller set has n."""
-    return F.floor(n * F.lit((1 - t) / t) + F.lit(1e-9))
-
-
-def _near_groups(t: float) -> F.Column:
-    """The same for groups x and y of one root, with two bits of each register.
-
-    A register differs for sure where all of x have a bit and none of y has it.
-    """
-    p = 3 * (1 - t) / 4
-    most = int(np.ceil(BUCKETS * p + 7 * np.sqrt(BUCKETS * p * (1 - p))))
-
-    def apart(i: int) -> F.Column:
-        sure = lambda u, v: F.col(f"{u}.all{i}").bitwiseAND(F.bitwise_not(F.col(f"{v}.any{i}")))
-        return sure("x", "y").bitwiseOR(sure("y", "x"))
-
-    off = F.bit_count(apart(1).bitwiseOR(apart(3))) + F.bit_count(apart(2).bitwiseOR(apart(4)))
-    sizes = (F.col("x.n1") >= F.col("y.n0") * F.lit(t - 1e-9)) & (F.col("y.n1") >= F.col("x.n0") * F.lit(t - 1e-9))
-    return sizes & (off <= F.least(F.lit(most), _differing(F.least("x.n1", "y.n1"), t)))
-
-
 def connected(edges: DataFrame) -> DataFrame:
     """(id, root): of every id in an edge the smallest id that it reaches.
 
@@ -264,57 +223,54 @@ def connected(edges: DataFrame) -> DataFrame:
             out = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
-    mark = None
-    while True:
-        edges = written(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        mark = now
-
-
-def _more_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The second lowest bit of every register, beside the lowest that the bands carry."""
-    for batch in batches:
-        if batch.num_rows:
-            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            bits = np.packbits(((regs >> 1) & 1).astype(bool), axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=["id", "s3", "s4"])
-
-
-def _block_batches(percent: int):
-    """Links between two blocks of sets: sizes, then estimates, then the sets themselves."""
-    t = percent / 100
-
-    def unpack(rows) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-        return np.array([r["id"] for r in rows]), sets, np.array([len(s) for s in sets]), np.stack([registers(s) for s in sets])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                left, right = (unpack(batch.column(c)[i].as_py()) for c in range(2))
-                out_a, out_b = [], []
-                for k in range(len(left[0])):
-                    fit = np.flatnonzero((np.minimum(right[2], left[2][k]) >= t * np.maximum(right[2], left[2][k]) - 1e-9) & (right[0] != left[0][k]))
-                    if not len(fit):
-                        continue
-                    j, count = estimate(np.broadcast_to(left[3][k], (len(fit), BUCKETS)), right[3][fit], np.full(len(fit), left[2][k]), right[2][fit])
-                    for r in fit[_likely(j, count, t)]:
-                        both = len(np.intersect1d(left[1][k], right[1][r], assume_unique=True))
-                        if 100 * both >= percent * (left[2][k] + right[2][r] - both):
-                            out_a.append(int(left[0][k]))
-                            out_b.append(int(right[0][r]))
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+    def mark(e: DataFrame) -> tuple:
+        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    return run
+    before, now = None, mark(edges)
+    while now != before and now[0]:
+        edges = written(star(star(edges, True), False).coalesce(1 + now[0] // EDGES), "edges")
+        before, now = now, mark(edges)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
-def _blocks(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, name): the sets of a key in blocks of about ``BLOCK``. ``rows``: key, id, shingles."""
-    n = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / BLOCK)).alias("_block")
-    return rows.join(n, key).select(key, block, F.struct("id", "shingles").alias("_s")).groupBy(key, "_block").agg(F.collect_list("_s").alias(name)).drop("_block")
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, id, root, n, mark) of sets (id, root, mark, shingles)."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(3)]
+        if sets:
+            size = np.array([len(s) for s in sets])
+            at = np.repeat(np.arange(len(sets)), size)
+            own = [batch.column(i).take(pa.array(at)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(sets))), *own, pa.array(size[at].astype(np.int64))], names=["shingle", "id", "root", "mark", "n"])
+
+
+def prefix_pairs(sets: DataFrame, t: float) -> DataFrame:
+    """(a, b): pairs of sets (id, root, shingles) of different roots that can have similarity ``t``.
+
+    All sets order their shingles alike, rare ones first. With the first shared
+    shingle at place i of a set of n and place j of one of m, both counted from
+    0, the overlap is at most min(n - i, m - j), and t (n + m) / (1 + t) is
+    needed. Sets of one root that agree in size and place stand for each other
+    until then.
+    """
+    # an id may come with several sets
+    rows = arrow_map(sets.select("id", "root", F.xxhash64("shingles").alias("mark"), "shingles"), _shingle_rows, "shingle long, id long, root long, mark long, n long")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    # what a set has alone comes first in its order: its number is enough
+    own = rows.join(shared.hint("merge"), "shingle").groupBy("id", "root", "mark", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
+    alone = F.col("n") - F.size("own")
+    # a set meets larger partners with the first part of its prefix, and smaller ones with all of it
+    upto = lambda share: (F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1).cast("int")
+    first = F.slice("own", F.lit(1), F.greatest(F.lit(0), upto(t) - alone.cast("int")))
+    prefix = own.select("id", "root", "n", alone.alias("alone"), F.posexplode(first).alias("pos", "x")).select(F.col("x.shingle").alias("shingle"), "root", "n", (F.col("alone") + F.col("pos")).alias("at"), "id")
+    prefix = written(prefix, "prefixes")
+    entries = prefix.groupBy("shingle", "root", "n", "at").agg(F.collect_list("id").alias("ids"))
+    x, y = entries.alias("x"), entries.filter(F.col("at") < upto(2 * t / (1 + t))).alias("y")
+    room = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= (F.col("x.n") + F.col("y.n")) * F.lit(t / (1 + t)) - F.lit(1e-9)
+    fits = (F.col("x.n") >= F.col("y.n")) & (F.col("y.n") >= F.col("x.n") * F.lit(t) - F.lit(1e-9)) & room
+    met = x.join(y.hint("merge"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root")) & fits)
+    each = met.select(F.explode("x.ids").alias("a"), F.col("y.ids").alias("ids")).select("a", F.explode("ids").alias("b"))
+    return each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,61 +289,44 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"), F.min("prefix").alias("prefix")).select("id", F.col("n_shingles").alias("n"), "mark_a", "mark_b", "sketch", "prefix"),
         "classes",
     )
-    bands = arrow_map(classes.select("id", "n", "sketch", "prefix"), _band_batches(t), "band long, id long, n long, s1 long, s2 long")
+    bands = arrow_map(classes.select("id", "n", "sketch", "prefix"), _band_batches(t), "band long, id long")
     sizes = bands.groupBy("band").agg(F.count("*").alias("g"), F.min("id").alias("leader")).filter("g > 1")
     # the same plan at every size: these sides grow with the input
     grouped = written(bands.join(sizes.hint("merge"), "band"), "bands")
-    small, hot = grouped.filter(F.col("g") <= SMALL), grouped.filter(F.col("g") > SMALL)
 
-    # candidates: all pairs of small groups, and each member of a large one with its leader
+    # candidates: each class of a group with the group's smallest
     sketches = classes.select("id", "n", "sketch")
-    x, y = (small.select("band", "id", "n", "s1", "s2").alias(side) for side in "xy")
-    all_pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & _near("x", "y", t)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    to_leader = hot.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    pairs = all_pairs.unionByName(to_leader).distinct()
+    pairs = grouped.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     with_a = pairs.join(sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sk_a")), "a")
     with_b = with_a.join(sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sk_b")), "b")
     likely = written(arrow_map(with_b.select("a", "b", "n_a", "n_b", "sk_a", "sk_b"), _estimate_batches(t), "a long, b long"), "likely")
 
-    # full sets of all that is compared on them, from one more pass over the texts
-    wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(hot.select("id")).distinct()
+    # full sets of all that is compared on them, from one more pass over the texts; in a group of two the pair is all
+    several = grouped.filter("g > 2").select("band", "id")
+    wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(several.select("id")).distinct()
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = written(arrow_map(text.join(wanted.hint("merge"), "id", "left_semi"), _set_batches(k), "id long, shingles binary").filter("length(shingles) > 0").distinct(), "sets")
-    full = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    links = arrow_map(full.select("a", "b", "set_a", "set_b"), _confirm_batches(percent), "a long, b long")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        full = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
+        return arrow_map(full.select("a", "b", "set_a", "set_b"), _confirm_batches(percent), "a long, b long")
 
     members = sigs.join(classes.select("mark_a", "mark_b", F.col("n").alias("n_shingles"), "id"), ["mark_a", "mark_b", "n_shingles"], "left").select("doc_id", "n_shingles", "id")
     # rows of one doc_id with different sets are one document
-    several = members.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("doc_id is not null and lo <> hi").select("doc_id", "lo")
-    same_doc = members.join(several, "doc_id").select(F.col("id").alias("a"), F.col("lo").alias("b"))
-    roots = written(connected(links.unionByName(same_doc.filter("a is not null"))), "roots")
-
-    # large groups: components that are not one yet, each once for a group; one of one class keeps that class's bits
-    # a root has no row of its own in roots, but is no class without links
-    linked = roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
-    labelled = hot.join(linked, "id", "left").select("band", "id", "n", "s1", "s2", F.coalesce("root", "id").alias("root"), F.col("root").isNull().alias("alone"))
-    still = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
-    left = written(labelled.join(still, "band", "left_semi"), "open")
-    bits = arrow_map(sketches.select("id", "sketch").join(left.select("id").distinct(), "id", "left_semi"), _more_bits, "id long, s3 long, s4 long")
-    bounds = [f(f"s{i}").alias(f"{name}{i}") for i in range(1, 5) for f, name in ((F.bit_and, "all"), (F.bit_or, "any"))]
-    parts = left.join(bits, "id").groupBy("band", "root").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), *bounds)
-    # two classes without links meet in the least band that they share, and not in every one; a class has some 100 bands at most
-    alone = left.filter("alone").groupBy(F.col("id").alias("root")).agg(F.collect_set("band").alias("bands"))
-    parts = written(parts.join(alone, "root", "left"), "parts")
-    x, y = parts.alias("x"), parts.alias("y")
-    once = F.col("x.bands").isNull() | F.col("y.bands").isNull() | (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band"))
-    meet = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") < F.col("y.root")) & _near_groups(t) & once).select(F.col("x.root").alias("r"), F.col("y.root").alias("q"))
-    meet = meet.distinct()
-    # each pair of components compares all members of one with all of the other, in blocks
-    inside = left.select("id", "root").distinct().join(sets, "id").select("root", "id", "shingles")
-    load = inside.groupBy("root").agg(F.count("*").alias("_m"))
-    meet = meet.join(load.select(F.col("root").alias("r"), F.col("_m").alias("mr")), "r").join(load.select(F.col("root").alias("q"), F.col("_m").alias("mq")), "q")
-    meet = meet.select(F.when(F.col("mr") >= F.col("mq"), F.col("r")).otherwise(F.col("q")).alias("big"), F.when(F.col("mr") >= F.col("mq"), F.col("q")).otherwise(F.col("r")).alias("root"))
-    hosts = _blocks(inside.withColumnRenamed("root", "big").join(meet.select("big").distinct(), "big", "left_semi"), "big", "hosts")
-    guests = _blocks(meet.join(inside, "root").select("big", "id", "shingles"), "big", "guests")
-    more = written(arrow_map(hosts.join(guests, "big").select("hosts", "guests"), _block_batches(percent), "a long, b long"), "links")
-    if more.limit(1).count():
-        roots = written(connected(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
+    repeated = members.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("doc_id is not null and lo <> hi").select("doc_id", "lo")
+    same_doc = members.join(repeated, "doc_id").select(F.col("id").alias("a"), F.col("lo").alias("b"))
+    roots = connected(confirmed(likely).unionByName(same_doc.filter("a is not null")))
+
+    # groups that still hold several components; a root has no row of its own in roots
+    labelled = several.join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    open_ = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
+    left = labelled.join(open_, "band", "left_semi").select("id", "root").distinct()
+    met = prefix_pairs(written(left.join(sets, "id"), "open"), t)
+    # those links join components, so only their ends go through the rounds again
+    root_of = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+    more = confirmed(met).join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    above = connected(more).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    roots = roots.join(above, "root", "left").select("id", F.coalesce("top", "root").alias("root")).unionByName(above.select(F.col("root").alias("id"), F.col("top").alias("root")))
 
     out = members.join(roots, "id", "left").select(
         "doc_id",
