@@ -17,16 +17,19 @@ ROUNDS = 10
 # Formats that are looked for, in this order.
 PATTERNS = (
     r"(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])",  # date
-    r"(?<![0-9])[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}(?![0-9])",  # date
+    r"(?<![0-9])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9])",  # date
+    r"(?<![0-9])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9])",  # date
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",  # social security number
     r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",  # IPv4 address
     r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",  # phone number
     r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",  # phone number
+    r"(?<![0-9.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])",  # phone number
     r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",  # payment card
 )
 PATTERN = "|".join(PATTERNS)
 DATE_FROM, DAYS = "1800-01-01", 146_097  # four hundred years
 DAY_PARTS = (189, 773)  # their product is DAYS
+YEARS, LEAP_YEARS = 400, 97
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -95,6 +98,30 @@ def _permute_day(day: Column, key: str, back: bool) -> Column:
     return let(out, lambda x: F.date_add(F.to_date(F.lit(DATE_FROM)), (x["l"] * b + x["r"]).cast("int")))
 
 
+def day_pairs(first: int | None, second: int | None, late: bool = False) -> list[int]:
+    """100 * month + day of all days but 29 February that a date of a narrower form can name.
+
+    ``first`` bounds the month and ``second`` the day where they have one digit;
+    ``late`` leaves the days from 13 on.
+    """
+    lengths = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+    return [100 * m + d for m, n in enumerate(lengths, 1) for d in range(13 if late else 1, n + 1) if m <= (first or 12) and d <= (second or 31)]
+
+
+def _permute_pair(day: Column, pairs: list[int], key: str, back: bool) -> Column:
+    """Another day of the four hundred years among those of the pairs; of 29 February another leap year."""
+    known = F.split(F.lit(",".join(map(str, pairs))), ",").cast("array<int>")
+    year = (F.year(day) - 1800).cast("long")
+    at = F.array_position(known, F.month(day) * 100 + F.dayofmonth(day)) - 1
+    n = len(pairs)
+    moved = feistel(year, at, F.lit(YEARS).cast("long"), F.lit(n).cast("long"), key, f"date{n}", back)
+    made = let(moved, lambda x: let(F.element_at(known, (x["r"] + 1).cast("int")), lambda p: F.make_date((x["l"] + 1800).cast("int"), F.floor(p / 100).cast("int"), p % 100)))
+    years = F.filter(F.sequence(F.lit(1800), F.lit(2196), F.lit(4)), lambda y: (y % 100 != 0) | (y % 400 == 0))
+    other = feistel(F.lit(0).cast("long"), F.array_position(years, F.year(day)) - 1, F.lit(1).cast("long"), F.lit(LEAP_YEARS).cast("long"), key, f"leap{n}", back)
+    leapt = let(other, lambda x: F.make_date(F.element_at(years, (x["r"] + 1).cast("int")), F.lit(2), F.lit(29)))
+    return F.when(F.month(day) * 100 + F.dayofmonth(day) == 229, leapt).otherwise(made)
+
+
 def classify(m: Column) -> Column:
     """The kind of a match if it is valid, else null."""
     digits = F.regexp_replace(m, "[^0-9]", "")
@@ -107,7 +134,7 @@ def classify(m: Column) -> Column:
         .when(m.rlike(r"^[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}$"), F.when(_in_range(_loose_day(m)), "date"))
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when((area != "000") & (area != "666") & (area < "900") & (F.substring(digits, 4, 2) != "00") & (F.substring(digits, 6, 4) != "0000"), "ssn"))
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(F.forall(octets, lambda x: x <= 255), "ip"))
-        .when(m.rlike(r"^[+(]"), F.when((F.length(digits) >= 8) & (F.length(digits) <= 15), "phone"))
+        .when(m.rlike(r"^[+(]|^[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$"), F.when((F.length(digits) >= 8) & (F.length(digits) <= 15), "phone"))
         .when((F.length(digits) >= 13) & (F.length(digits) <= 19), F.when(card, "card"))
     )
 
@@ -120,6 +147,25 @@ def _loose_day(m: Column) -> Column:
     return F.when(m.contains("."), make(first, second)).otherwise(F.coalesce(make(second, first), make(first, second)))
 
 
+def _moved_day(day: Column, m: Column, key: str, back: bool) -> Column:
+    """Another day that is written, and read back, in the form of ``m``.
+
+    A form is the order of day and month and their numbers of digits. What has
+    two digits each can name every day, but d/m/yyyy only those from 13 on:
+    before, it reads as m/d/yyyy.
+    """
+    p = F.split(m, "[./]")
+    short_a, short_b = F.length(F.get(p, F.lit(0))) == 1, F.length(F.get(p, F.lit(1))) == 1
+    dots = m.contains(".")
+    late = ~dots & (F.get(p, F.lit(0)).cast("int") > 12)
+    out = F.when(m.rlike("^[0-9]{4}-"), _permute_day(day, key, back))
+    out = out.when(late & short_b, _permute_pair(day, day_pairs(9, None, True), key, back)).when(late, _permute_pair(day, day_pairs(None, None, True), key, back))
+    for month_short, day_short in ((True, True), (True, False), (False, True)):
+        own = (F.when(dots, short_b).otherwise(short_a) == month_short) & (F.when(dots, short_a).otherwise(short_b) == day_short)
+        out = out.when(own, _permute_pair(day, day_pairs(9 if month_short else None, 9 if day_short else None), key, back))
+    return out.otherwise(_permute_day(day, key, back))
+
+
 def _in_range(day: Column) -> Column:
     n = F.datediff(day, F.to_date(F.lit(DATE_FROM)))
     return (n >= 0) & (n < DAYS)
@@ -161,7 +207,7 @@ def pseudonym(m: Column, kind: Column, key: str, back: bool = False) -> Column:
     ip = let(i, lambda x: F.concat_ws(".", *[y.cast("string") for side in ("l", "r") for y in (F.floor(x[side] / 256), x[side] % 256)]))
 
     day = F.when(m.rlike("^[0-9]{4}-"), F.try_to_date(m, "yyyy-MM-dd")).otherwise(_loose_day(m))
-    date = let(_permute_day(day, key, back), lambda x: _write_day(x, m))
+    date = let(let(day, lambda d: _moved_day(d, m, key, back)), lambda x: _write_day(x, m))
     return F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "date", date).otherwise(m)
 
 
@@ -176,6 +222,8 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     what is not valid stays. ``back`` turns pseudonyms back. Null texts stay
     null and have no values; empty texts stay empty. Repeated rows get equal
     results. Dates d/m/yyyy whose first number is a month too read as m/d/yyyy.
+    Phone numbers begin with a plus, or have three, three and four digits; other
+    national forms stay, as do e-mail addresses and secrets.
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
