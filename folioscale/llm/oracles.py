@@ -41,25 +41,26 @@ from documents join c on c.id = doc_id left join n using (doc_id)
 
 
 def _templates() -> str:
-    rows = ", ".join(f"('{t}', '{label}', {str(base).lower()}, {pairs}, {at}, '{a} {b}')" for t, label, base, pairs, at, a, b in license.template_rows())
-    return f"(values {rows}) t(template, label, base, pairs, at_, g)"
+    rows = ", ".join(f"('{t}', '{label}', {str(base).lower()}, {words}, {k}, {at}, '{gram}')" for t, label, base, words, k, at, gram in license.template_rows())
+    return f"(values {rows}) t(template, label, base, words, k, at_, g)"
 
 
 OP3 = f"""
 with w as (select doc_id, {_ALNUM} w from documents),
 g as (select doc_id, unnest(range(0, len(w) - 1)) pos, w from w where len(w) >= 2),
-p as (select doc_id, pos, w[pos + 1] || ' ' || w[pos + 2] g from g),
-d as (select doc_id, template, label, base, pairs, pos - at_ diagonal, at_ from p join {_templates()} using (g)),
-f as (select *, case when base or diagonal - lag(diagonal) over o > 1 or lag(diagonal) over o is null then 1 else 0 end fresh
-      from (select distinct doc_id, template, label, base, pairs, diagonal from d) window o as (partition by doc_id, template order by diagonal)),
+p as (select doc_id, pos, array_to_string(w[pos + 1 : pos + k], ' ') g from g, (values (2), (3)) k(k) where pos + k <= len(w)),
+d as (select doc_id, template, label, base, words, k, pos - at_ diagonal, at_ from p join {_templates()} using (g)),
+f as (select *, case when base or diagonal - lag(diagonal) over o > {license.GAP} or lag(diagonal) over o is null then 1 else 0 end fresh
+      from (select distinct doc_id, template, label, base, words, k, diagonal from d) window o as (partition by doc_id, template order by diagonal)),
 i as (select *, sum(fresh) over (partition by doc_id, template order by diagonal rows unbounded preceding) span from f),
-s as (select i.doc_id, i.template, i.label, i.base, i.pairs, span, min(i.diagonal) first, count(distinct at_) held
+s as (select i.doc_id, i.template, i.label, i.base, i.words, i.k, span, min(i.diagonal) first, list(distinct at_) ats
       from i join d on i.doc_id = d.doc_id and i.template = d.template and i.diagonal = d.diagonal group by all),
-x as (select *, base and held = pairs exact, (base and held = pairs) or (not base and held / pairs >= {license.COVERAGE}) stands from s),
+v as (select *, base and len(ats) = words - k + 1 exact, len(list_distinct(flatten(list_transform(ats, lambda a: range(a, a + k))))) / words as share from s),
+x as (select *, exact or (not base and share >= {license.COVERAGE}) stands from v),
 a as (select doc_id, count(*) filter (exact) n_base, min(first) filter (exact) first_word, max(first) filter (exact) last_word,
       array_to_string(list_sort(list(distinct label) filter (exact)), ',') base_labels,
       array_to_string(list_sort(list(distinct label) filter (stands)), ',') labels,
-      max(held / pairs) filter (stands) score, count(*) filter (stands and not base) n_notices from x group by 1)
+      max(share) filter (stands) score, count(*) filter (stands and not base) n_notices from x group by 1)
 select w.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word::bigint first_word, last_word::bigint last_word,
   coalesce(base_labels, '') base_labels, coalesce(labels, '') labels, coalesce(score, 0.0)::double score, coalesce(n_notices, 0)::bigint n_notices
 from w left join a using (doc_id)
