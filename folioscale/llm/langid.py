@@ -21,8 +21,10 @@ from .shared import arrow_map, written
 
 #: Labelled texts for the text model, for each language, about; a sample by hash.
 SAMPLE = 400
+#: Languages of the text model, the most frequent ones; a model of more than 200 takes over 50 MB.
+LANGUAGES = 200
 FEATURES = 1 << 16
-#: Trigrams of a text count in full up to so many; beyond, their mean counts as so many.
+#: A text's trigrams, which overlap and depend on each other, weigh as n / (1 + n / EVIDENCE) independent ones.
 EVIDENCE = 60
 HOST_WEIGHT, DOMAIN_WEIGHT, TABLE_WEIGHT = 5.0, 20.0, 1.0
 #: A row is accepted from this posterior on.
@@ -78,15 +80,14 @@ class TextModel:
         return out, n
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """A text model from about ``sample`` texts of each language, ``sample`` times the languages at most.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> TextModel:
+    """A text model of the ``languages`` most frequent languages, from about ``sample`` texts of each and ``sample`` times ``languages`` at most.
 
     Rows are chosen by a hash of all their columns, so that copies with other
     ids do not come together; null labels and texts take no part.
     """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), ((F.pmod(F.xxhash64(*labelled.columns), F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))).alias("u")).filter("text is not null and lang is not null")
-    # at most 200 languages
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(200).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages).collect()}
     names = sorted(counts)
     texts: dict[str, list[str]] = {n: [] for n in names}
     if names:
@@ -115,7 +116,7 @@ def identify(rows: DataFrame, model: TextModel, row_id: Column, text: Column, de
         for batch in batches:
             ll, n = model.score(batch.column(5))
             # the text alone must not drown all else
-            ll = ll * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
+            ll = ll / (1 + n / EVIDENCE)[:, None]
             best = np.where(n > 0, ll.argmax(axis=1), -1) if k else np.full(len(n), -1)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(n) + 1, max(k, 1))[: len(n) + 1] if k else np.zeros(len(n) + 1, np.int64), pa.int32()), pa.array(ll.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), flat, pa.array(best.astype(np.int32))], names=["row_id", "declared", "suffix", "host", "domain", "ll", "best"])
@@ -174,9 +175,15 @@ def identify_pages(pages: DataFrame, labelled: DataFrame, sample: int = SAMPLE)
 
 
 def keep_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang, source) whose language is accepted; ``lang`` is the declared language, ``source`` the host."""
+    """The rows of ``docs`` (doc_id, text, lang, source) whose language is accepted; ``lang`` is the declared language, ``source`` the host.
+
+    Each row is judged by its own text, lang and source, whatever its doc_id.
+    """
     nothing = F.lit(None).cast("string")
-    found = identify(docs, fit(docs, sample=sample), F.col("doc_id"), F.col("text"), F.col("lang"), nothing, F.col("source"), nothing)
-    gone = found.filter(~F.col("accepted")).select(F.col("row_id").alias("_gone")).distinct()
-    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
-    return docs.filter(~empty).join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    key = F.md5(F.concat_ws("|", part("lang"), part("source"), part("text")))
+    found = identify(docs, fit(docs.select("doc_id", "text", "lang"), sample=sample), key, F.col("text"), F.col("lang"), nothing, F.col("source"), nothing)
+    gone = found.filter(~F.col("accepted")).select(F.col("row_id").alias("_key")).distinct()
+    # the row travels as one value, so that no column of it can clash
+    packed = docs.filter(F.coalesce(F.trim("text"), F.lit("")) != "").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("_key"))
+    return packed.join(gone, "_key", "left_anti").select("row.*")

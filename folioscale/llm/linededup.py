@@ -40,11 +40,12 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST_
 
     Null or unparsable addresses share the host ''. A null or empty page has no
     lines and the text ''. A line that a page repeats counts once for the page;
-    all its places go. Equal rows are pages of their own and count as such.
+    all its places go. Equal rows are pages of their own and count as such. With
+    ``least`` 1 the ratio alone decides, and a host of one page loses all lines.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), visible_lines(F.col(html_col)).alias("lines"))
-    own = rows.withColumn("page", F.xxhash64("page_id", "host", "lines"))
-    own = written(own, "lines")
+    # pages that agree in all of this lose the same lines
+    own = written(rows.withColumn("page", F.md5(F.concat_ws("\n", F.col("host"), F.array_join("lines", "\n")))), "lines")
     totals = own.groupBy("host").agg(F.count("*").alias("n_pages"))
     # a page gives each of its lines once: counts come together before the shuffle
     counts = own.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)

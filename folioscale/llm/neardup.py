@@ -337,6 +337,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group, all without a group."""
+    """The rows of ``docs`` that stay: one document of each group, all without a group. Rows without doc_id stay."""
     gone = near_duplicates(docs, k, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"))
+    return packed.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")

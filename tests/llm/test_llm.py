@@ -249,7 +249,7 @@ def posterior(model, text_rows, declared, host):
     """What the operator says, by loops."""
     k = len(model.languages)
     ll, n = model.score(pa.array(text_rows, pa.string()))
-    ll = ll * (np.minimum(n, langid.EVIDENCE) / np.maximum(n, 1))[:, None]
+    ll = ll / (1 + n / langid.EVIDENCE)[:, None]
     best = [int(x.argmax()) if m else None for x, m in zip(ll, n, strict=True)]
     count = lambda keep: np.array([sum(1 for i, b in enumerate(best) if b == c and keep(i)) for c in range(k)], float)
     every = (count(lambda i: True) + 1) / (sum(b is not None for b in best) + k)
