@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import dropwhile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,11 @@ from ..functions.keys import stable_hash
 from ..functions.text import quote_pattern, rejoin_hyphens, strip
 from ..session import ship
 from .intervals import blank_ranges
+from .titles import sections as text_sections
 from .windows import top_one
 
-MIN_ENTRY, FRAGMENT = 10, 60
+#: Shorter contents are no entries; shorter lines that begin in lower case before a block's fields, or between blocks, are cut pieces.
+MIN_ENTRY, FRAGMENT, BETWEEN = 10, 60, 80
 
 
 def clean_pages(pages: DataFrame, marks: DataFrame | None = None, masks: DataFrame | None = None, edge: int = 3) -> DataFrame:
@@ -51,59 +54,6 @@ def chapter_texts(pages: DataFrame, toc: DataFrame) -> DataFrame:
     return folded.select("source_file", "chapter_title", "page_start", "page_end", "sort_order", F.col("_f.text").alias("text"), F.col("_f.at").alias("page_offsets"))
 
 
-def title_places(title: str, text: str, begin: int, end: int) -> list[int]:
-    """Where a title stands as whole words, whatever the case and spacing."""
-    words = title.split()
-    if not words:
-        return []
-    pattern = r"(?<![^\W_])" + r"\s+".join(map(re.escape, words)) + r"(?![^\W_])"
-    return [m.start() for m in re.compile(pattern, re.IGNORECASE).finditer(text, begin, end)]
-
-
-def place_score(text: str, at: int, title: str) -> tuple[int, int]:
-    """How much a place looks like a heading; a paragraph's beginning breaks ties."""
-    line_at = text.rfind("\n", 0, at) + 1
-    line_end = text.find("\n", at)
-    line = text[line_at : line_end if line_end >= 0 else len(text)].strip()
-    opens = not text[line_at:at].strip(" \t#*")
-    score = 3 if opens and line.lstrip("#* ").lower().startswith(title.lower()) and len(line) <= len(title) + 20 else 2 if len(line) <= len(title) + 20 else 1 if opens else 0
-    return score, int(at == 0 or "\n\n" in text[max(0, at - 5) : at])
-
-
-def find_title(title: str, text: str, begin: int, end: int) -> int:
-    """The best place of a title, the first of the best; -1 if there is none."""
-    places = title_places(title, text, begin, end)
-    return max(places, key=lambda p: (place_score(text, p, title), -p)) if places else -1
-
-
-def split_text(text: str, titles: list[tuple[str, int]], offsets: dict[int, int], tables: list[str], bound: bool = True, least: int = MIN_ENTRY) -> tuple[str, list[tuple[int, str]]]:
-    """What stands before the first title, and (number, content) of each title that is found.
-
-    Titles are looked for in order, each behind the one before and on its page
-    or the next; not inside tables.
-    """
-    zones = []
-    for t in tables:
-        if (p := find_title(t, text, 0, len(text))) >= 0:
-            stop = text.find("\n\n", p + len(t))
-            zones.append((p, stop if 0 <= stop <= p + 2000 else p + 2000))
-    found: list[tuple[int, int]] = []
-    pointer = 0
-    for n, (title, page) in enumerate(titles):
-        begin = max(pointer, offsets.get(page, 0))
-        end = len(text)
-        if bound:
-            end = next((offsets[p] for p in (page + 1, page + 2) if p in offsets), end) if page + 1 not in offsets else offsets.get(page + 1, end)
-        at = find_title(title, text, begin, max(begin, end))
-        if at >= 0 and not any(a <= at < b for a, b in zones):
-            found.append((at, n))
-            pointer = at + len(title)
-    found.sort()
-    cuts = [a for a, _ in found] + [len(text)]
-    parts = [(n, text[a:b].strip()) for (a, n), b in zip(found, cuts[1:], strict=True)]
-    return (text[: cuts[0]] if found else text).strip(), [(n, c) for n, c in parts if len(c) >= least]
-
-
 SECTIONS = "source_file string, toc_title string, section_title string, entry_title string, content string, page_start int, seq int"
 
 
@@ -126,7 +76,7 @@ def split_chapters(chapters: DataFrame, toc: DataFrame, listed: DataFrame | None
                 offsets = {}
                 for o in r.page_offsets:
                     offsets.setdefault(o["page"], o["at"])
-                intro, parts = split_text(r.text, plain, offsets, [s["title"] for s in subs_ if s["is_table"]], bound)
+                intro, parts = text_sections(r.text, plain, offsets, [s["title"] for s in subs_ if s["is_table"]], bound, MIN_ENTRY)
                 if len(intro) >= MIN_ENTRY:
                     out.append((r.source_file, r.chapter_title, None, None, intro, int(r.page_start), -1))
                 out += [(r.source_file, r.chapter_title, plain[n][0], plain[n][0], c, int(plain[n][1]), n) for n, c in parts]
@@ -150,32 +100,31 @@ def clean_content(c: Column, fields: list[str] | None = None, substitutions: lis
 
 
 def dedupe_blocks(text: str | None, fields: list[str], signature: int = 80, least: int = 15) -> str | None:
-    """Of several heads of field lines the longest; of descriptions that begin alike the first."""
+    """Of blocks that repeat the first field, the fullest fields and every description that begins otherwise.
+
+    Cut pieces of lines before the first block, and at the beginning of a
+    description, are left out.
+    """
     if not text or not fields:
         return text
-    is_field = re.compile(r"^\s*(?:" + "|".join(map(re.escape, fields)) + r")\s*:", re.IGNORECASE)
-    first = fields[0].lower()
-    heads: list[list[str]] = []
-    others: list[list[str]] = [[]]
-    for line in text.split("\n"):
-        if is_field.match(line):
-            if line.strip().lower().startswith(first) or not heads:
-                heads.append([])
-            heads[-1].append(line)
-            if others[-1]:
-                others.append([])
-        else:
-            others[-1].append(line)
-    if len(heads) < 2:
+    line_of = lambda names: re.compile(r"^[^\S\n]*(" + "|".join(map(re.escape, names)) + r"):.*$", re.IGNORECASE | re.MULTILINE)
+    field = line_of(fields)
+    heads = list(field.finditer(text))
+    starts = [m.start() for m in heads if m[1].lower() == heads[0][1].lower()]
+    if len(starts) < 2:
         return text
-    kept, seen = [], set()
-    for block in others:
-        body = "\n".join(block).strip()
-        mark = body[:signature]
-        if body and (len(body) < least or mark not in seen):
-            kept.append(body)
-            seen.add(mark)
-    return "\n".join(["\n".join(max(heads, key=lambda h: len("\n".join(h)))), *kept])
+    cut = lambda line, most: line.strip()[:1].islower() and len(line.strip()) < most
+    above = "\n".join(x for x in text[: starts[0]].split("\n") if not cut(x, FRAGMENT)).rstrip()
+    metas, described = [], {}
+    for block in (text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)):
+        end = max(m.end() for m in field.finditer(block))
+        metas.append(block[:end])
+        body = dropwhile(lambda x: not x.strip() or cut(x, BETWEEN), block[end:].split("\n"))
+        shown = "\n".join(body).strip()
+        if len(shown) > least:
+            described.setdefault(shown[:signature], shown)
+    top = "\n".join(x for x in (above, max(metas, key=len)) if x)
+    return "\n\n".join([top, *described.values()]).strip()
 
 
 def _deduped(c: pd.Series, fields: pd.Series) -> pd.Series:

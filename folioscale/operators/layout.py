@@ -36,150 +36,115 @@ class LayoutSettings:
 REGIONS = "source_file string, page_index int, region_index int, bbox_x0 double, bbox_y0 double, bbox_x1 double, bbox_y1 double, header_bbox_x0 double, header_bbox_y0 double, header_bbox_x1 double, header_bbox_y1 double, row_count int, col_count int, header_row_count int, columns array<struct<x0:double,x1:double>>, detection_method string"
 
 
-class Page:
-    """Spans of one page, and its rows of text from top to bottom."""
-
-    def __init__(self, spans: pd.DataFrame, cfg: LayoutSettings):
-        shown = spans[spans["text"].fillna("").str.strip() != ""].sort_values("idx")
-        self.cfg = cfg
-        self.box = shown[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float)
-        header = np.ones(len(shown), dtype=bool)
-        if cfg.header_font is not None:
-            header &= (shown["font"] == cfg.header_font).to_numpy()
-        if cfg.header_size is not None:
-            header &= np.abs(shown["size"].to_numpy(dtype=float) - cfg.header_size) <= cfg.size_tolerance
-        if cfg.header_bold is not None:
-            header &= shown["bold"].to_numpy(dtype=bool) == cfg.header_bold
-        self.header = header
-        self.rows = self.grouped(np.arange(len(shown)))
-
-    def grouped(self, which: np.ndarray) -> list[np.ndarray]:
-        """Spans as rows: a row begins where a span is lower than the row's first by more than the tolerance."""
-        rows: list[list[int]] = []
-        top = 0.0
-        for i in which[np.lexsort((self.box[which, 0], self.box[which, 1]))]:
-            if not rows or abs(self.box[i, 1] - top) > self.cfg.row_tolerance:
-                rows.append([])
-                top = self.box[i, 1]
-            rows[-1].append(i)
-        return [np.array(sorted(r, key=lambda i: self.box[i, 0])) for r in rows]
-
-    def extent(self, row: np.ndarray) -> tuple[float, float]:
-        return float(self.box[row, 0].min()), float(self.box[row, 2].max())
-
-    def bounds(self, row: np.ndarray) -> np.ndarray:
-        b = self.box[row]
-        return np.array([b[:, 0].min(), b[:, 1].min(), b[:, 2].max(), b[:, 3].max()])
-
-    def centres(self, row: np.ndarray) -> np.ndarray:
-        return self.box[row][:, [0, 2]].mean(axis=1)
-
-    def clusters(self) -> list[list[np.ndarray]]:
-        """Header rows that belong together: near, one over the other, and with about as many spans, or a label over a header."""
-        out: list[list[np.ndarray]] = []
-        for row in self.grouped(np.flatnonzero(self.header)):
-            if out:
-                above = out[-1][-1]
-                near = self.box[row, 1].min() - self.box[above, 3].max() <= self.cfg.cluster_gap
-                few, many = sorted((len(above), len(row)))
-                alike = many >= 2 and (few == 1 or many <= 2 * few)
-                if near and alike and meets(self.extent(above), self.extent(row)):
-                    out[-1].append(row)
-                    continue
-            out.append([row])
-        return out
-
-    def merged(self, row: np.ndarray) -> np.ndarray:
-        """[begin, end] of the spans of a row, those that overlap as one."""
-        out: list[list[float]] = []
-        for x0, x1 in self.box[row][:, [0, 2]]:
-            if out and x0 <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], x1)
-            else:
-                out.append([x0, x1])
-        return np.array(out)
-
-    def zones(self, spans: np.ndarray) -> np.ndarray:
-        """Column ranges: halfway between the middles of neighbours, with a margin outside."""
-        middle = spans.mean(axis=1)
-        inner = (middle[:-1] + middle[1:]) / 2
-        edges = np.concatenate([[spans[0, 0] - self.cfg.outer_margin], inner, [spans[-1, 1] + self.cfg.outer_margin]])
-        return np.column_stack([edges[:-1], edges[1:]])
-
-    def filled(self, row: np.ndarray, zones: np.ndarray) -> int:
-        c = self.centres(row)
-        return int(((c >= zones[:, :1]) & (c <= zones[:, 1:])).any(axis=1).sum())
-
-    def trace(self, after: int, reach: tuple[float, float], zones: np.ndarray) -> tuple[int, int]:
-        """The last data row below ``after`` and how many there are. Rows beside the table do not count, and two misses end it."""
-        last, count, missed = after, 0, 0
-        for i in range(after + 1, len(self.rows)):
-            if not meets(self.extent(self.rows[i]), reach):
-                continue
-            if self.filled(self.rows[i], zones) >= self.cfg.min_columns:
-                last, count, missed = i, count + 1, 0
-            else:
-                missed += 1
-                if missed >= self.cfg.misses:
-                    break
-        return last, count
-
-    def below_label(self, label: int, after: int) -> tuple[np.ndarray, tuple[float, float], int] | None:
-        """Columns of a table that has a label only: from its first row, if the next ones fit it."""
-        cfg = self.cfg
-        middle = float(self.box[label][[0, 2]].mean())
-        for i in range(after + 1, len(self.rows)):
-            row = self.rows[i]
-            if self.box[row, 1].min() > self.box[label, 3] + cfg.label_reach:
-                return None
-            low, high = self.extent(row)
-            body = row[~self.header[row]]
-            if low <= middle <= high and len(body) >= cfg.min_columns:
-                break
-        else:
-            return None
-        zones = self.zones(self.box[body][:, [0, 2]])
-        reach = (float(self.box[body[0], 0]), float(self.box[body[-1], 2]))
-        run = 1
-        for row in self.rows[i + 1 :]:
-            if run >= cfg.label_rows:
-                break
-            if meets(self.extent(row), reach):
-                if self.filled(row, zones) < cfg.min_columns:
-                    break
-                run += 1
-        return (zones, reach, i) if run >= cfg.label_rows else None
-
-    def regions(self) -> list[dict]:
-        out = []
-        for cluster in self.clusters():
-            spans = np.concatenate(cluster)
-            head = self.bounds(spans)
-            low = self.box[cluster[-1], 1].min()
-            at = [i for i, r in enumerate(self.rows) if abs(self.box[r, 1].min() - low) <= self.cfg.row_tolerance]
-            if not at:
-                continue
-            after, reach, method = at[-1], (head[0], head[2]), "font_switch"
-            template = max((self.merged(r) for r in cluster), key=len)
-            if len(template) >= self.cfg.min_columns:
-                zones = self.zones(template)
-            else:
-                found = self.below_label(int(spans[0]), after) if len(spans) == 1 else None
-                if found is None:
-                    continue
-                zones, reach, first = found
-                after, method = first - 1, "label"
-            last, count = self.trace(after, reach, zones)
-            if count < 1 or len(cluster) + count < self.cfg.min_rows:
+@dataclass(frozen=True)
+class Lines:
+    """Spans as rows from top to bottom: numbers of each row, and the spans in row order."""
+
+    order: np.ndarray
+    first: np.ndarray
+    left: np.ndarray
+    top: np.ndarray
+    right: np.ndarray
+    bottom: np.ndarray
+
+    @classmethod
+    def of(cls, box: np.ndarray, which: np.ndarray, tolerance: float) -> Lines:
+        """A row holds what begins no lower than the tolerance below its highest span."""
+        high = which[np.argsort(box[which, 1], kind="stable")]
+        y, heads = box[high, 1], []
+        while (at := heads[-1][1] if heads else 0) < len(y):
+            heads.append((at, int(np.searchsorted(y, y[at] + tolerance, side="right"))))
+        number = np.repeat(np.arange(len(heads)), [b - a for a, b in heads])
+        order = high[np.lexsort((box[high, 0], number))]
+        first = np.array([a for a, _ in heads], dtype=np.int64)
+        over = [f.reduceat(box[order, i], first) if len(first) else np.zeros(0) for i, f in enumerate((np.minimum, np.minimum, np.maximum, np.maximum))]
+        return cls(order, first, *over)
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(np.append(self.first, len(self.order)))
+
+    def spans(self, row: int) -> np.ndarray:
+        return np.split(self.order, self.first[1:])[row]
+
+    def beside(self, left: float, right: float) -> np.ndarray:
+        """Rows that share some width with a range."""
+        return (self.left <= right) & (self.right >= left)
+
+
+def unmerged(box: np.ndarray) -> np.ndarray:
+    """[left, right] of spans from left to right, those that run into each other as one."""
+    reach = np.maximum.accumulate(box[:, 2])
+    begin = np.flatnonzero(np.append(True, box[1:, 0] > reach[:-1]))
+    return np.column_stack([box[begin, 0], reach[np.append(begin[1:], len(box)) - 1]])
+
+
+def column_bounds(columns: np.ndarray, margin: float) -> np.ndarray:
+    """Where columns part: halfway between neighbouring middles, and a margin outside."""
+    middle = columns.mean(axis=1)
+    return np.concatenate([[columns[0, 0] - margin], (middle[1:] + middle[:-1]) / 2, [columns[-1, 1] + margin]])
+
+
+def columns_met(lines: Lines, box: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many columns each row has a span's middle in."""
+    middle = box[lines.order][:, [0, 2]].mean(axis=1)[:, None]
+    return np.logical_or.reduceat((middle >= bounds[:-1]) & (middle <= bounds[1:]), lines.first, axis=0).sum(axis=1)
+
+
+def before_misses(fits: np.ndarray, misses: int) -> np.ndarray:
+    """``fits`` up to where so many in a row do not."""
+    seen = np.cumsum(~fits)
+    run = seen - np.maximum.accumulate(np.where(fits, seen, 0))
+    return fits[: int(np.argmax(run >= misses))] if (run >= misses).any() else fits
+
+
+def is_header(shown: pd.DataFrame, cfg: LayoutSettings) -> np.ndarray:
+    wanted = [(cfg.header_font, lambda v: shown["font"] == v), (cfg.header_size, lambda v: (shown["size"].astype(float) - v).abs() <= cfg.size_tolerance), (cfg.header_bold, lambda v: shown["bold"].astype(bool) == v)]
+    return np.logical_and.reduce([np.ones(len(shown), bool), *(test(v).to_numpy(dtype=bool) for v, test in wanted if v is not None)])
+
+
+def page_regions(spans: pd.DataFrame, cfg: LayoutSettings) -> list[dict]:
+    """The tables of one page: header rows in another style, and the rows below that keep to their columns."""
+    shown = spans[spans["text"].fillna("").str.strip() != ""].sort_values("idx")
+    box = shown[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float)
+    header = is_header(shown, cfg)
+    if not header.any():
+        return []
+    rows, heads = (Lines.of(box, which, cfg.row_tolerance) for which in (np.arange(len(box)), np.flatnonzero(header)))
+    # header rows go with the one above: near it, over or under it, and with about as many spans, or one row a single label
+    n = heads.sizes()
+    few, many = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
+    near = heads.top[1:] - heads.bottom[:-1] <= cfg.cluster_gap
+    meets = (heads.left[1:] <= heads.right[:-1]) & (heads.left[:-1] <= heads.right[1:])
+    group = np.append(0, np.cumsum(~(near & meets & (many > 1) & ((few == 1) | (many <= 2 * few)))))
+    body = np.add.reduceat((~header[rows.order]).astype(int), rows.first)
+    out = []
+    for own in (np.flatnonzero(group == g) for g in range(group[-1] + 1)):
+        head = [heads.left[own].min(), heads.top[own].min(), heads.right[own].max(), heads.bottom[own].max()]
+        begin = int(np.flatnonzero(np.abs(rows.top - heads.top[own[-1]]) <= cfg.row_tolerance)[-1]) + 1
+        columns, method = max((unmerged(box[heads.spans(r)]) for r in own), key=len), "font_switch"
+        left, right = head[0], head[2]
+        if len(columns) < cfg.min_columns:
+            # a label alone: the first row below that reaches over its middle gives the columns, if the next rows keep to them
+            middle, below = (left + right) / 2, np.arange(len(rows.first)) >= begin
+            fit = np.flatnonzero(below & (rows.top <= head[3] + cfg.label_reach) & (rows.left <= middle) & (rows.right >= middle) & (body >= cfg.min_columns))
+            if n[own].sum() != 1 or not len(fit):
                 continue
-            covered = np.array([head, *(self.bounds(self.rows[i]) for i in range(max(after, 0), last + 1))])
-            box = [*covered[:, :2].min(axis=0), *covered[:, 2:].max(axis=0)]
-            out.append({"box": box, "head": head, "rows": len(cluster) + count, "zones": zones, "head_rows": len(cluster), "method": method})
-        return out
-
-
-def meets(a: tuple[float, float], b: tuple[float, float]) -> bool:
-    return a[1] >= b[0] and b[1] >= a[0]
+            begin, method = int(fit[0]), "label"
+            template = rows.spans(begin)
+            columns = box[template[~header[template]]][:, [0, 2]]
+            left, right = columns[0, 0], columns[-1, 1]
+        bounds = column_bounds(columns, cfg.outer_margin)
+        under = begin + np.flatnonzero(rows.beside(left, right)[begin:])
+        fits = columns_met(rows, box, bounds)[under] >= cfg.min_columns
+        if method == "label" and not (len(under) >= cfg.label_rows and fits[1 : cfg.label_rows].all()):
+            continue
+        data = under[: len(held := before_misses(fits, cfg.misses))][held]
+        if not len(data) or len(own) + len(data) < cfg.min_rows:
+            continue
+        held = slice(max(begin - 1, 0), data[-1] + 1)
+        whole = [min(head[0], rows.left[held].min()), min(head[1], rows.top[held].min()), max(head[2], rows.right[held].max()), max(head[3], rows.bottom[held].max())]
+        out.append({"box": whole, "head": head, "rows": len(own) + len(data), "zones": np.column_stack([bounds[:-1], bounds[1:]]), "head_rows": len(own), "method": method})
+    return out
 
 
 def table_regions(spans: DataFrame, cfg: LayoutSettings) -> DataFrame:
@@ -187,7 +152,7 @@ def table_regions(spans: DataFrame, cfg: LayoutSettings) -> DataFrame:
 
     def detect(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for n, r in enumerate(Page(pdf, cfg).regions()):
+        for n, r in enumerate(page_regions(pdf, cfg)):
             rows.append((pdf["source_file"].iloc[0], int(pdf["page_index"].iloc[0]), n, *map(float, r["box"]), *map(float, r["head"]), r["rows"], len(r["zones"]), r["head_rows"], [{"x0": float(a), "x1": float(b)} for a, b in r["zones"]], r["method"]))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in REGIONS.replace("struct<x0:double,x1:double>", "s").split(", ")])
 

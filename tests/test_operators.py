@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscale.operators import chunks, documents, intervals, joins, layout, windows
+from folioscale.operators import chunks, documents, intervals, joins, layout, titles, windows
 
 
 def rows(df, *columns):
@@ -187,6 +188,41 @@ def test_entry_builder(spark):
 
 
 def test_dedupe_blocks():
-    text = "Range: 1\nDuration: 2\nbody one is here\nRange: 1\nbody one is here"
-    assert documents.dedupe_blocks(text, ["Range", "Duration"]) == "Range: 1\nDuration: 2\nbody one is here"
+    text = "Range: 1\nDuration: 2\nBody one is here\nRange: 1\nBody one is here"
+    assert documents.dedupe_blocks(text, ["Range", "Duration"]) == "Range: 1\nDuration: 2\n\nBody one is here"
     assert documents.dedupe_blocks(None, ["Range"]) is None
+    # cut pieces before the first block, and at the beginning of a description, go
+    cut = "Fly\nter can go\nRange: 1\nThe caster can fly.\nRange: 1\nDuration: 2\n\nster can fly.\nIt ends at dusk or dawn."
+    assert documents.dedupe_blocks(cut, ["Range", "Duration"]) == "Fly\nRange: 1\nDuration: 2\n\nThe caster can fly.\n\nIt ends at dusk or dawn."
+    assert documents.dedupe_blocks("Range: 1\nfine as it is", ["Range"]) == "Range: 1\nfine as it is"
+
+
+def test_titles_are_matched_folded():
+    text = "See Bigby’s   Hand below.\n\nBigby's\nHand\nIt grabs.\n\nThe Wiz-\nard Eye\nsees. Wizard Eyes too."
+    folded, places = titles.fold(text)
+    assert "bigby's hand below. bigby's hand it" in folded and "the wizard eye sees" in folded
+    assert all(folded[i] in (text[p].lower(), " ", "'") for i, p in enumerate(places[: len(folded)]))
+    assert titles.find_title("Bigby’s Hand", text) == text.index("Bigby's\n")
+    assert titles.find_title("wizard eye", text) == text.index("Wiz-")
+    assert titles.find_title("and", text) == -1 and titles.find_title("", text) == -1
+    assert titles.find_title("Bigby's Hand", text, 0, 20) == 4
+
+
+def test_sections_keep_to_pages_and_out_of_tables():
+    text = "Intro words.\n\nArmor\nFly 3\n\nFly\nOne can fly.\n\nHold\nStays put, and so on.\n\nFly\nagain on a later page"
+    offsets = {1: 0, 2: text.index("Hold")}
+    intro, parts = titles.sections(text, [("Fly", 1), ("Hold", 2), ("Gone", 2)], offsets, ["Armor"], True, 5)
+    # the best place of Fly is in the table, so it has none
+    assert intro.endswith("One can fly.") and [(n, c.split("\n")[1]) for n, c in parts] == [(1, "Stays put, and so on.")]
+    assert [n for n, _ in titles.sections(text.replace("Fly 3", "Mail 3"), [("Fly", 1), ("Hold", 2)], offsets, ["Armor"], True, 5)[1]] == [0, 1]
+    assert titles.sections(text, [("Fly", 1)], offsets, [], True, 5)[1][0][1].startswith("Fly 3")
+    assert titles.sections("", [("Fly", 1)], {}, [], True, 5) == ("", [])
+
+
+def test_lines_and_columns():
+    box = np.array([[0, 10, 5, 20], [8, 12.5, 12, 22], [0, 13.5, 5, 23], [0, 40, 5, 50]], float)
+    lines = layout.Lines.of(box, np.arange(4), 3.0)
+    assert lines.first.tolist() == [0, 2, 3] and lines.right.tolist() == [12, 5, 5] and lines.sizes().tolist() == [2, 1, 1]
+    assert layout.unmerged(np.array([[0, 0, 10, 1], [8, 0, 20, 1], [30, 0, 40, 1]], float)).tolist() == [[0, 20], [30, 40]]
+    hits = lambda x: np.array([c == "x" for c in x])
+    assert [len(layout.before_misses(hits(x), 2)) for x in ("xx.x..xx", "..x", ".x.x", "xxx", "")] == [5, 1, 4, 3, 0]
