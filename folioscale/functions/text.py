@@ -107,13 +107,21 @@ def whole_word_position(c: Column, word: str) -> Column:
     return F.when(c.rlike(pattern), F.length(before) + 1).otherwise(0)
 
 
-def word_context(c: Column, word: str, chars: int = 150) -> Column:
-    """What surrounds the first whole occurrence of a word, out to word edges; null if there is none."""
-    at = whole_word_position(c, word)
-    begin = F.greatest(F.lit(1), at - chars)
-    raw = F.substring(c, begin, F.lit(2 * chars + len(word)))
-    cut = F.when(begin > 1, F.regexp_replace(raw, r"^\S*\s", "")).otherwise(raw)
-    return F.when(at > 0, squeeze(cut))
+def word_context(c: Column, word: str, before: int = 40, behind: int = 80) -> Column:
+    """What surrounds the first whole occurrence of a word, out to the next spaces; null if there is none.
+
+    White space is folded to single spaces first, and the word's case counts.
+    """
+    w = " ".join(word.split())
+    folded = squeeze(c)
+    pattern = rf"(?<![\p{{L}}\p{{N}}]){quote_pattern(w)}(?![\p{{L}}\p{{N}}])"
+    at = F.length(F.get(F.split(folded, pattern, 2), F.lit(0))) + 1  # 1-based
+    begin = F.greatest(F.lit(1), at - before)
+    left = F.substring(folded, F.lit(1), begin - 1)
+    start = F.length(left) - F.length(F.substring_index(left, " ", -1)) + 1
+    rest = F.substring(folded, at + len(w) + behind, F.length(folded))
+    end = at + len(w) - 1 + behind + F.length(F.substring_index(rest, " ", 1))
+    return F.when(folded.rlike(pattern) & F.lit(bool(w)), F.trim(F.substring(folded, start, end - start + 1)))
 
 
 def line_at(c: Column, pos: Column) -> Column:

@@ -63,11 +63,17 @@ def heading_sections(df: DataFrame, markdown: str, most: int = GENERIC_MAX) -> D
 
 def headings(df: DataFrame, markdown: str, levels: int = 2) -> DataFrame:
     """Headings with their line and character positions: line_index, position, level, heading."""
-    lines = df.select("*", F.posexplode(F.split(F.col(markdown), "\n", -1)).alias("line_index", "_line"), F.split(F.col(markdown), "\n", -1).alias("_all"))
-    before = F.aggregate(F.slice("_all", F.lit(1), F.col("line_index")), F.lit(0), lambda s, x: s + F.length(x) + 1)
     pattern = rf"^(#{{1,{levels}}})\s+(.+)$"
-    found = lines.filter(F.col("_line").rlike(pattern)).withColumn("position", before)
-    return found.withColumn("level", F.length(F.regexp_extract("_line", pattern, 1))).withColumn("heading", strip(F.regexp_extract("_line", pattern, 2))).drop("_line", "_all")
+    lines = F.split(F.col(markdown), "\n", -1)
+
+    def step(s: Column, line: Column) -> Column:
+        here = F.struct(s["line_index"].alias("line_index"), s["position"].alias("position"), line.alias("_line"))
+        return F.struct((s["line_index"] + 1).alias("line_index"), (s["position"] + F.length(line) + 1).alias("position"), F.when(line.rlike(pattern), F.array_append(s["found"], here)).otherwise(s["found"]).alias("found"))
+
+    # one pass over the lines of a text, which carries where the next begins
+    start = F.struct(F.lit(0).alias("line_index"), F.lit(0).alias("position"), F.array().cast("array<struct<line_index:int,position:int,_line:string>>").alias("found"))
+    found = df.select("*", F.inline(F.aggregate(lines, start, step)["found"]))
+    return found.withColumn("level", F.length(F.regexp_extract("_line", pattern, 1))).withColumn("heading", strip(F.regexp_extract("_line", pattern, 2))).drop("_line")
 
 
 def ordered_concat(df: DataFrame, keys: list[str], order: list[str], text: str, separator: str = "\n\n") -> DataFrame:

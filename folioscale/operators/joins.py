@@ -31,17 +31,26 @@ def rank_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: li
     return a.join(b, [*keys, "_rank"]).withColumnRenamed("_rank", "rank")
 
 
-def range_join(points: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str, width: int = 64, longest: int = 9999) -> DataFrame:
-    """Every point with the ranges of its key that hold it, ends included.
+def range_join(points: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str, width: int = 64) -> DataFrame:
+    """Every point with the ranges of its key that hold it, ends included; a null end is open.
 
-    Ranges are cut to bins of ``width``, so that the join is an equi-join on
-    (key, bin) and no nested loop. An end beyond ``longest`` counts as it.
+    Bins are ``width``, 64 times and 4096 times as wide. A range lies in two
+    bins at most of the smallest width that is not below its length, or in one
+    for all that are longer or open; a point lies in one bin of every width. So
+    the join is an equi-join on (key, width, bin) and no nested loop.
     """
-    top = F.least(F.col(high), F.lit(longest))
-    cut = ranges.filter(F.col(low) <= top).withColumn("_bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(top / width))))
-    at = points.withColumn("_bin", F.floor(F.col(point) / width))
-    found = at.join(cut, [*keys, "_bin"]).filter((F.col(point) >= F.col(low)) & (F.col(point) <= F.least(F.col(high), F.lit(longest))))
-    return found.drop("_bin")
+    widths = (width, 64 * width, 4096 * width)
+    length = F.col(high) - F.col(low)
+    level = F.coalesce(*[F.when(length <= w, F.lit(i)) for i, w in enumerate(widths)], F.lit(len(widths)))
+    wide = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths], F.lit(1).cast("long")), level + 1)
+    first, last = F.floor(F.col(low) / wide), F.floor(F.col(high) / wide)
+    bins = F.when(level == len(widths), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(first.cast("long"), last.cast("long")))
+    given = F.col(high).isNull() | (F.col(low) <= F.col(high))
+    cut = ranges.filter(given).withColumn("_level", level).withColumn("_bin", F.explode(bins))
+    own = F.array(*[F.struct(F.lit(i).alias("_level"), F.floor(F.col(point) / w).cast("long").alias("_bin")) for i, w in enumerate(widths)], F.struct(F.lit(len(widths)).alias("_level"), F.lit(0).cast("long").alias("_bin")))
+    at = points.select("*", F.inline(own))
+    held = (F.col(point) >= F.col(low)) & (F.col(high).isNull() | (F.col(point) <= F.col(high)))
+    return at.join(cut, [*keys, "_level", "_bin"]).filter(held).drop("_level", "_bin")
 
 
 def first_range(points: DataFrame, ranges: DataFrame, keys: list[str], id_cols: list[str], point: str, low: str, high: str, order: list[Column], columns: list[str]) -> DataFrame:
@@ -65,13 +74,39 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, when:
     return filled.select("_row.*", *[F.col("_last")[c].alias(c) for c in columns])
 
 
+#: Letters of English by how rare they are; what is not here counts as rarer.
+RARITY = "zqxjkvbpygfwmucldrhsnioate "
+
+
+def _numbered(c: Column) -> Column:
+    """The characters of a string, rare ones first, each with how often it came before."""
+    parts = F.filter(F.split(c, ""), lambda x: x != "")
+    ordered = F.transform(F.array_sort(F.transform(parts, lambda x: F.struct(F.instr(F.lit(RARITY), x).alias("at"), x.alias("x")))), lambda s: s["x"])
+    # the order is computed once for all characters
+    return F.get(F.transform(F.array(ordered), lambda o: F.transform(o, lambda x, i: F.concat(x, (i - F.array_position(o, x)).cast("string")))), F.lit(0))
+
+
 def fuzzy_pairs(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, least: float = 90.0) -> DataFrame:
-    """Pairs of the same key whose strings are close. Length bins bound what meets."""
-    step = 4
-    near = F.explode(F.sequence(F.floor(F.length(b) * 0.7 / step), F.floor(F.length(b) / F.lit(0.7) / step)))
-    x = left.withColumn("_len", F.floor(F.length(a) / step))
-    y = right.withColumn("_len", near)
-    return x.join(y, [*keys, "_len"]).filter(length_close(F.col(a), F.col(b))).filter(close_match(F.col(a), F.col(b), least)).drop("_len")
+    """Pairs of the same key whose strings are close; empty strings are close to empty ones.
+
+    A prefix filter on characters: a string of n characters shares at least
+    n r / (2 - r) of them with one of ratio r, so both hold the same character,
+    with repeats counted, among their first n (1 - r / (2 - r)) + 1 in one
+    order. Pairs meet on the first that they share, and are scored only if
+    their characters and lengths leave room for the ratio.
+    """
+    r = least / 100
+
+    def first(c: str) -> Column:
+        n = F.floor(F.size(c) * F.lit(1 - r / (2 - r)) + F.lit(1e-9)).cast("int") + 1
+        return F.explode(F.when(F.size(c) > 0, F.slice(c, F.lit(1), n)).otherwise(F.array(F.lit(""))))
+
+    x = left.withColumn("_a", _numbered(F.col(a))).withColumn("_x", first("_a"))
+    y = right.withColumn("_b", _numbered(F.col(b))).withColumn("_x", first("_b"))
+    shared = F.array_intersect("_a", "_b")
+    enough = 2 * F.size(shared) >= F.lit(r) * (F.size("_a") + F.size("_b")) - F.lit(1e-9)
+    met = x.join(y, [*keys, "_x"]).filter(length_close(F.col(a), F.col(b)) & enough & (F.col("_x") == F.coalesce(F.get(shared, F.lit(0)), F.lit(""))))
+    return met.drop("_x", "_a", "_b").filter(close_match(F.col(a), F.col(b), least))
 
 
 def fuzzy_anti(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, least: float = 90.0) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Checks of extracted and cleaned tables. Each gives rows (source_file, check_name, status, message, details)."""
+"""Checks of extracted and cleaned tables. Each gives rows (source_file, check_name, status, message, details).\n\nDetails name the first so many of what was found, beside how many there are.\n"""
 
 from __future__ import annotations
 
@@ -20,46 +20,46 @@ def graded(share: Column, warn: float, fail: float) -> Column:
     return F.when(share < fail, "fail").when(share < warn, "warn").otherwise("pass")
 
 
-def table_completeness(toc: DataFrame, tables: DataFrame, warn: float = 0.95, fail: float = 0.8) -> DataFrame:
+def table_completeness(toc: DataFrame, tables: DataFrame, warn: float = 0.95, fail: float = 0.8, most: int = 50) -> DataFrame:
     """Share of the contents' tables of which rows were found."""
     found = tables.select("source_file", F.col("toc_title").alias("title")).distinct().withColumn("_hit", F.lit(1))
     by = toc.filter("is_table").select("source_file", "title").distinct().join(found, ["source_file", "title"], "left").groupBy("source_file").agg(F.count("*").alias("declared"), F.count("_hit").alias("found"), F.array_sort(F.collect_set(F.when(F.col("_hit").isNull(), F.col("title")))).alias("missing"))
     share = F.col("found") / F.col("declared")
-    return by.select(*_row("table_completeness", graded(share, warn, fail), F.format_string("%d of %d tables", "found", "declared"), missing=F.slice("missing", 1, 50)))
+    return by.select(*_row("table_completeness", graded(share, warn, fail), F.format_string("%d of %d tables", "found", "declared"), missing=F.slice("missing", 1, most), n_missing=F.size("missing")))
 
 
-def region_coverage(toc: DataFrame, regions: DataFrame) -> DataFrame:
+def region_coverage(toc: DataFrame, regions: DataFrame, most: int = 50) -> DataFrame:
     """Pages on which fewer or more table regions were found than the contents say."""
     want = toc.filter("is_table").groupBy("source_file", F.col("page_start").alias("page")).agg(F.count("*").alias("want"))
     have = regions.groupBy("source_file", F.col("printed_page_num").alias("page")).agg(F.count("*").alias("have"))
     pages = want.join(have, ["source_file", "page"], "full_outer").na.fill(0, ["want", "have"])
     kind = F.when((F.col("want") == 0) & (F.col("have") == 0), "EMPTY").when(F.col("want") == F.col("have"), "OK").when(F.col("have") == 0, "MISSING").when(F.col("want") == 0, "EXTRA").when(F.col("have") < F.col("want"), "UNDER").otherwise("OVER")
     by = pages.withColumn("kind", kind).groupBy("source_file").agg(F.count("*").alias("pages"), F.sum(F.when(F.col("kind").isin("MISSING", "UNDER"), 1).otherwise(0)).alias("short"), F.array_sort(F.collect_set(F.when(F.col("kind").isin("MISSING", "UNDER"), F.col("page")))).alias("at"))
-    return by.select(*_row("region_coverage", F.when(F.col("short") == 0, "pass").otherwise("warn"), F.format_string("%d of %d pages short", "short", "pages"), pages=F.slice("at", 1, 50)))
+    return by.select(*_row("region_coverage", F.when(F.col("short") == 0, "pass").otherwise("warn"), F.format_string("%d of %d pages short", "short", "pages"), pages=F.slice("at", 1, most), n_pages=F.size("at")))
 
 
-def spell_crosscheck(known: DataFrame, spell_list: DataFrame, least: float = 90.0) -> DataFrame:
+def spell_crosscheck(known: DataFrame, spell_list: DataFrame, least: float = 90.0, most: int = 50) -> DataFrame:
     """Index names without a close name in the spell list of their class."""
     a = known.filter("entry_class is not null").select("source_file", F.lower("entry_class").alias("entry_class"), F.lower("entry_name").alias("name"))
     b = spell_list.select("source_file", F.lower("entry_class").alias("entry_class"), F.lower("entry_name").alias("other"))
     lost = fuzzy_anti(a, b, ["source_file", "entry_class"], "name", "other", least).groupBy("source_file").agg(F.count("*").alias("lost"), F.array_sort(F.collect_set("name")).alias("names"))
     by = a.select("source_file").distinct().join(lost, "source_file", "left")
     n = F.coalesce("lost", F.lit(0))
-    return by.select(*_row("spell_crosscheck", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d names without a match", n), names=F.slice("names", 1, 50)))
+    return by.select(*_row("spell_crosscheck", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d names without a match", n), names=F.slice("names", 1, most), n_names=n))
 
 
-def page_gaps(pages: DataFrame, most: int = 2) -> DataFrame:
+def page_gaps(pages: DataFrame, most: int = 2, shown: int = 50) -> DataFrame:
     found = gaps(pages.filter("printed_page_num is not null"), ["source_file"], "printed_page_num", most).groupBy("source_file").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("previous", "printed_page_num"))).alias("at"))
     by = pages.select("source_file").distinct().join(found, "source_file", "left")
     n = F.coalesce("n", F.lit(0))
-    return by.select(*_row("page_gaps", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d gaps", n), gaps=F.slice("at", 1, 50)))
+    return by.select(*_row("page_gaps", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d gaps", n), gaps=F.slice("at", 1, shown), n_gaps=n))
 
 
-def duplicate_names(entries: DataFrame, keys: tuple[str, ...] = ("source_file", "entry_name", "entry_class")) -> DataFrame:
+def duplicate_names(entries: DataFrame, keys: tuple[str, ...] = ("source_file", "entry_name", "entry_class"), most: int = 20) -> DataFrame:
     twice = entries.groupBy(*keys).count().filter("count > 1").groupBy("source_file").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("minus"), F.col(keys[1]).alias("name")))).alias("names"))
     by = entries.select("source_file").distinct().join(twice, "source_file", "left")
     n = F.coalesce("n", F.lit(0))
-    return by.select(*_row("duplicates", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d repeated names", n), names=F.transform(F.slice("names", 1, 20), lambda x: x["name"])))
+    return by.select(*_row("duplicates", F.when(n == 0, "pass").otherwise("warn"), F.format_string("%d repeated names", n), names=F.transform(F.slice("names", 1, most), lambda x: x["name"]), n_names=n))
 
 
 def authority_coverage(authority: DataFrame, entries: DataFrame, warn: float = 0.9, fail: float = 0.5) -> DataFrame:
@@ -81,11 +81,14 @@ def validate_bronze(toc: DataFrame, tables: DataFrame, regions: DataFrame, known
     return reduce(DataFrame.unionByName, parts)
 
 
-def section_issues(toc: DataFrame, chunks: DataFrame, key: str = "toc_id") -> DataFrame:
-    """toc_id, issue: sections without chunks, with too few, too many, mostly unnamed or tiny ones."""
+def section_issues(toc: DataFrame, chunks: DataFrame, key: str = "toc_id", longest: int = 999) -> DataFrame:
+    """toc_id, issue: sections without chunks, with too few, too many, mostly unnamed or tiny ones.
+
+    An end beyond page ``longest`` stands for an open one and counts as it.
+    """
     stats = chunks.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.when(F.col("entry_title").isNull(), 1).otherwise(0)).alias("unnamed"), F.sum("char_count").alias("chars"))
     s = toc.filter("not is_excluded").join(stats, key, "left").na.fill(0, ["n", "unnamed", "chars"])
-    n, span = F.col("n"), F.least("page_end", F.lit(999)) - F.col("page_start") + 1
+    n, span = F.col("n"), F.least("page_end", F.lit(longest)) - F.col("page_start") + 1
     issues = F.array(
         F.when(n == 0, "EMPTY_SECTION"),
         F.when((n > 0) & (n < span * F.lit(0.3)) & (span > 3), "LOW_CHUNKS"),

@@ -33,10 +33,9 @@ def keyword_or_score_topk(t):
     return search.keyword_any(t("documents"), "scum trash clown", 40, "text", "doc_id").select("doc_id", "score")
 
 
-@register("select doc_id, length(text) n from documents where source = 'src3' and contains(lower(text), 'license') order by doc_id limit 25")
+@register("select d.doc_id % 25 toc_id, n_name toc_title, cast(doc_id as varchar) entry_title, source source_file from documents d join nation on n_nationkey = d.doc_id % 25 where contains(lower(text), 'license') or contains(cast(doc_id as varchar), 'license') order by entry_title, source_file, toc_id limit 25")
 def search_entries_like(t):
-    d = t("documents").filter("source = 'src3'")
-    return d.filter(F.lower("text").contains("license")).orderBy("doc_id").limit(25).select("doc_id", F.length("text").alias("n"))
+    return search.search_entries(_entries(t), _toc(t).dropDuplicates(["toc_id"]), "License", 25)
 
 
 @register("select source, doc_id from (select source, doc_id, row_number() over (partition by substr(text, 1, 200) order by doc_id) rn from documents) where rn = 1")
@@ -44,9 +43,10 @@ def dedupe_prefix200(t):
     return search.dedupe_prefix(t("documents"), "text", [F.col("doc_id")]).select("source", "doc_id")
 
 
-@register("select list_sort(list(distinct lang)) langs, list_sort(list(distinct source)) sources from documents where n_chars > 100")
+@register("select list_sort(list(distinct lang)) lang, list_sort(list(distinct source)) source from documents where n_chars > 100")
 def filter_options(t):
-    return t("documents").filter("n_chars > 100").agg(F.array_sort(F.collect_set("lang")).alias("langs"), F.array_sort(F.collect_set("source")).alias("sources"))
+    index = t("documents").withColumn("entry_type", F.when(F.col("n_chars") > 100, "long").otherwise("short"))
+    return search.filter_options(index, "long", ("lang", "source"))
 
 
 @register(
@@ -112,18 +112,15 @@ def containment_dedupe(t):
     return t("conversations").groupBy("conv_id").agg(F.size(chunks.drop_contained(texts)).alias("n_kept"))
 
 
-@register(
-    "select doc_id, translate(left(text, 120), '‘’“”–—', '''''\"\"--') head from documents"
-)
+@register("select doc_id, translate(text, '‘’“”–—\u00a0', '''''\"\"-- ') ascii from documents")
 def translate_ascii(t):
-    return t("documents").select("doc_id", text.to_ascii(F.left("text", F.lit(120))).alias("head"))
+    return t("documents").select("doc_id", text.to_ascii(F.col("text")).alias("ascii"))
 
 
-@register("select item_id, substr(text, 1, 30) || '1' || '2' line, regexp_replace(regexp_replace(substr(text, 1, 30), '[ \\t.…]+$', ''), '^[ ]+', '') title, 12 page from benchmark where length(text) >= 30 and regexp_matches(substr(text, 30, 1), '[a-z]')")
+@register("select item_id, trim(regexp_replace(text, '[^a-zA-Z ]', '', 'g')) title, 12 page from benchmark where length(trim(regexp_replace(text, '[^a-zA-Z ]', '', 'g'))) > 0")
 def toc_line_parse(t):
-    line = F.concat(F.substring("text", 1, 30), F.lit("12"))
-    x = text.toc_line(line)
-    return t("benchmark").filter((F.length("text") >= 30) & F.substring("text", 30, 1).rlike("[a-z]")).select("item_id", line.alias("line"), x["title"].alias("title"), x["page"].alias("page"))
+    x = text.toc_line(F.concat(F.regexp_replace("text", "[^a-zA-Z ]", ""), F.lit(" ..... 12")))
+    return t("benchmark").select("item_id", x["title"].alias("title"), x["page"].alias("page")).filter("title is not null")
 
 
 @register("select p_partkey, case when p_size % 10 = 1 then p_size % 10 when p_size % 10 = 2 then 2 end lv from part")
@@ -145,16 +142,26 @@ def whole_word_position(t):
     return d.withColumn("pos", text.whole_word_position(F.col("text"), "idiot")).filter("pos > 0").select("doc_id", "pos")
 
 
-@register()
+@register(
+    r"""with f as (select doc_id, trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')) t from documents),
+  p as (select doc_id, t, length(regexp_extract(t, '(?s)^(.*?)(?:^|[^\p{L}\p{N}])idiot(?:$|[^\p{L}\p{N}])', 1)) b, regexp_extract(t, '(?s)^.*?(^|[^\p{L}\p{N}])idiot(?:$|[^\p{L}\p{N}])', 1) sep from f
+    where regexp_matches(t, '(^|[^\p{L}\p{N}])idiot($|[^\p{L}\p{N}])')),
+  q as (select doc_id, t, b + length(sep) at_ from p),
+  r as (select doc_id, t, greatest(0, at_ - 40) s, least(length(t), at_ + 5 + 80) e from q)
+  select doc_id, trim(substr(t, s - length(regexp_extract(substr(t, 1, s), '[^ ]*$')) + 1, e - s + length(regexp_extract(substr(t, 1, s), '[^ ]*$')) + length(regexp_extract(substr(t, e + 1), '^[^ ]*')))) around from r"""
+)
 def whole_word_context(t):
     d = t("documents").select("doc_id", "text")
-    return d.withColumn("around", text.word_context(F.col("text"), "idiot", 40)).filter("around is not null").select("doc_id", "around")
+    return d.withColumn("around", text.word_context(F.col("text"), "idiot")).filter("around is not null").select("doc_id", "around")
 
 
-@register()
+@register(
+    r"""select word, count(*) n, min(doc_id) first_doc from (select distinct doc_id, lower(regexp_replace(w, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')) word
+  from (select doc_id, unnest(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')) w from documents)) where regexp_matches(word, '^\p{L}{3,}$') group by 1 having count(*) < 3"""
+)
 def word_tokens_unknown(t):
-    """Words of English documents that fewer than three documents hold, with how many do."""
-    words = t("documents").filter("lang = 'en'").select("doc_id", F.explode(text.unknown_words(F.col("text"))).alias("word"))
+    """Words that fewer than three documents hold, with how many do."""
+    words = t("documents").select("doc_id", F.explode(text.unknown_words(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n < 3")
 
 
@@ -212,9 +219,9 @@ def dq_entry_issues(t):
     return quality.entry_issues(e, ["Range", "Duration"], "content", "doc_id")
 
 
-@register("select source source_file, count(*) n from (select source, left(text, 50) k from documents group by 1, 2 having count(*) > 1) group by 1")
+@register("select source source_file, count(*) n from (select source, text k from documents group by 1, 2 having count(*) > 1) group by 1")
 def dq_duplicates(t):
-    d = t("documents").select(F.col("source").alias("source_file"), F.left("text", F.lit(50)).alias("entry_name"))
+    d = t("documents").select(F.col("source").alias("source_file"), F.col("text").alias("entry_name"))
     found = quality.duplicate_names(d, ("source_file", "entry_name"))
     return found.filter("status = 'warn'").select("source_file", F.regexp_extract("message", "^([0-9]+)", 1).cast("long").alias("n"))
 
@@ -226,16 +233,17 @@ def dq_authority_coverage(t):
     return quality.authority_coverage(names, titles).select("source_file", "status")
 
 
-@register(
-    """select event_type source_file, count(*) n from (select event_type, user_id - lag(user_id) over (partition by event_type order by user_id) g from (select distinct event_type, user_id from events)) where g > 2 group by 1"""
-)
+@register("select p source_file, count(*) n from (select p, k - lag(k) over (partition by p order by k) g from (select distinct o_orderpriority p, o_custkey k from orders where o_orderstatus = 'F')) where g > 2 group by 1")
 def dq_page_gaps(t):
-    p = t("events").select(F.col("event_type").alias("source_file"), F.col("user_id").alias("printed_page_num")).distinct()
+    p = t("orders").filter("o_orderstatus = 'F'").select(F.col("o_orderpriority").alias("source_file"), F.col("o_custkey").alias("printed_page_num")).distinct()
     found = quality.page_gaps(p, 2).filter("status = 'warn'")
     return found.select("source_file", F.regexp_extract("message", "^([0-9]+)", 1).cast("long").alias("n"))
 
 
-@register()
+@register(
+    """select cast(n_regionkey as varchar) source_file, case when count(s) < 0.8 * count(*) then 'fail' when count(s) < 0.95 * count(*) then 'warn' else 'pass' end status, count(s) || ' of ' || count(*) || ' tables' message
+  from nation left join (select distinct s_nationkey s from supplier where s_acctbal > 5000) on n_nationkey = s group by 1"""
+)
 def dq_table_completeness(t):
     toc = t("nation").select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("title"), F.lit(True).alias("is_table"))
     found = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).filter("s_acctbal > 5000").select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("toc_title"))
@@ -298,26 +306,29 @@ def orphan_continuations(t):
 
 
 @register(
-    "select doc_id, regexp_replace(regexp_replace(text, '<br[^>]*>', '', 'g'), ' scum', ' ####', 'g') cleaned from documents where lang <> 'en' or doc_id % 7 = 0"
+    r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(text, '(?m)^!\[[^\]]*\]\([^)]*\)[ \t]*\n?', '', 'g'), ' scum', ' ####'), '(?i)</?br[^>]*>', '', 'g'),
+  '\n[ \t]*\n(?:[ \t]*\n)+', chr(10) || chr(10), 'g'), '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') cleaned from documents"""
 )
 def clean_entry_content(t):
-    d = t("documents").filter("lang <> 'en' or doc_id % 7 = 0")
-    out = F.regexp_replace(F.replace(F.col("text"), F.lit(" scum"), F.lit(" ####")), "(?i)<br[^>]*>", "")
-    return d.select("doc_id", out.alias("cleaned"))
+    return t("documents").select("doc_id", documents.clean_content(F.col("text"), None, [(" scum", " ####")], ["br"]).alias("cleaned"))
+
+
+def books(t) -> tuple[DataFrame, DataFrame]:
+    """Pages and contents of synthetic books: each document a book of one chapter, its lines the pages, the beginning of every fourth page a title."""
+    lines = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("page_index", "page_text")
+    pages = t("documents").select(F.col("doc_id").cast("string").alias("source_file"), lines).withColumn("printed_page_num", F.col("page_index") + 1)
+    no, row = F.lit(False), lambda title, start, order, depth, chapter, parent: [F.col("source_file"), title.alias("title"), start.alias("page_start"), F.lit(9999).alias("page_end"), order.alias("sort_order"), F.lit(depth).alias("depth"), F.lit(chapter).alias("is_chapter"), no.alias("is_table"), no.alias("is_excluded"), parent.alias("parent_title")]
+    first = F.regexp_extract("page_text", r"^(\p{L}+ \p{L}+ \p{L}+)(?: |$)", 1)
+    subs = pages.filter("page_index % 4 = 1").select(*row(first, F.col("printed_page_num"), F.col("printed_page_num"), 1, False, F.lit("All"))).filter("title <> ''")
+    chapters = pages.filter("page_index = 0").select(*row(F.lit("All"), F.lit(1), F.lit(0), 0, True, F.lit(None).cast("string")))
+    return pages.select("source_file", "page_index", "printed_page_num", "page_text"), chapters.unionByName(subs)
 
 
 @register()
 def entry_builder(t):
-    """Silver entries of synthetic books: each source a book, its documents the pages, benchmark sentences none."""
-    from pyspark.sql import Window
-
-    d = t("documents").filter("n_chars < 2000").select(F.col("source").alias("source_file"), "doc_id", "text")
-    w = Window.partitionBy("source_file").orderBy("doc_id")
-    pages = d.withColumn("page_index", F.row_number().over(w) - 1).filter("page_index < 40").select("source_file", "page_index", F.col("page_index").alias("printed_page_num"), F.col("text").alias("page_text"))
-    first = F.regexp_extract("page_text", r"^([^.\n]{3,40})\.", 1)
-    subs = pages.filter("page_index % 4 = 1").select("source_file", first.alias("title"), F.col("page_index").alias("page_start"), F.lit(39).alias("page_end"), (F.col("page_index") + 1).alias("sort_order"), F.lit(1).alias("depth"), F.lit(False).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"), F.lit("All").alias("parent_title")).filter("title <> ''")
-    chapter = pages.select("source_file").distinct().select("source_file", F.lit("All").alias("title"), F.lit(0).alias("page_start"), F.lit(39).alias("page_end"), F.lit(0).alias("sort_order"), F.lit(0).alias("depth"), F.lit(True).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"), F.lit(None).cast("string").alias("parent_title"))
-    e = documents.build_entries(pages, chapter.unionByName(subs), ["Range", "Duration"])
+    """Silver entries of every document as a book."""
+    pages, toc = books(t)
+    e = documents.build_entries(pages, toc, ["Range", "Duration"])
     return e.select("entry_id", "toc_id", "source_file", "entry_title", "char_count", "has_metadata", "has_description")
 
 

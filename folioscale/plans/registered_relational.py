@@ -62,9 +62,9 @@ def dashboard_filter(t):
     return marts.between(marts.daily_revenue(_sales(t)), "NATION_5", "1996-01-01", "1996-12-31")
 
 
-@register("select p_partkey, p_name, p_retailprice from part where p_size between 10 and 20 and p_retailprice >= 1000")
+@register("select p_partkey, p_name, p_retailprice from part where p_size between 10 and 30 and p_retailprice >= 920")
 def scan_filter_project(t):
-    return t("part").filter(joins.facets(at_least={"p_size": 10, "p_retailprice": 1000}, at_most={"p_size": 20})).select("p_partkey", "p_name", "p_retailprice")
+    return t("part").filter(joins.facets(at_least={"p_size": 10, "p_retailprice": 920}, at_most={"p_size": 30})).select("p_partkey", "p_name", "p_retailprice")
 
 
 @register("select p_partkey, p_name from part where p_size in (1, 5, 9, 23) and p_retailprice <= 1500 and lower(p_name) like '%a%'")
@@ -143,9 +143,9 @@ def toc_left_join_entries(t):
     return t("nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").select("n_nationkey", "n_name", "s_suppkey", "s_name")
 
 
-@register("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@register("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F')")
 def toc_gaps_anti(t):
-    return joins.anti(t("customer").select("c_custkey", "c_name"), t("orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return joins.anti(t("customer").select("c_custkey", "c_name"), t("orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @register("select doc_id, lang from documents where n_chars >= 200 and doc_id not in (select doc_id from labels)")
@@ -193,11 +193,11 @@ def rank_join(t):
 _RANGES = "select c_custkey id, c_mktsegment seg, c_custkey % 400 lo, c_custkey % 400 + c_nationkey hi from customer"
 
 
-@register(f"select o_orderkey, r.id from (select o_orderkey, c_mktsegment seg, o_orderkey % 500 p from orders join customer on o_custkey = c_custkey where o_orderkey % 10 = 0) o join ({_RANGES}) r on o.seg = r.seg and p between lo and hi")
+@register(f"select o_orderkey, r.id from (select o_orderkey, c_mktsegment seg, o_orderkey % 500 p from orders join customer on o_custkey = c_custkey  ) o join ({_RANGES}) r on o.seg = r.seg and p between lo and hi")
 def range_join_pages(t):
     c = t("customer")
     ranges = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("seg"), (F.col("c_custkey") % 400).alias("lo"), (F.col("c_custkey") % 400 + F.col("c_nationkey")).alias("hi"))
-    points = t("orders").filter("o_orderkey % 10 = 0").join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_mktsegment").alias("seg"), (F.col("o_orderkey") % 500).alias("p"))
+    points = t("orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_mktsegment").alias("seg"), (F.col("o_orderkey") % 500).alias("p"))
     return joins.range_join(points, ranges, ["seg"], "p", "lo", "hi").select("o_orderkey", "id")
 
 
@@ -355,12 +355,10 @@ def mode_by_group(t):
     return windows.top_one(c, ["event_type"], [F.col("n").desc(), F.col("mode_value")]).select("event_type", "mode_value")
 
 
-@register("select vec_id, round(list_dot_product(embedding::double[], q) / (sqrt(list_dot_product(embedding::double[], embedding::double[])) * sqrt(list_dot_product(q, q))), 4) similarity from embeddings, (select embedding::double[] q from embeddings where vec_id = 7) order by similarity desc, vec_id limit 20")
+@register("select vec_id, round(similarity, 4) similarity from (select vec_id, list_dot_product(embedding::double[], q) / (sqrt(list_dot_product(embedding::double[], embedding::double[])) * sqrt(list_dot_product(q, q))) similarity from embeddings, (select embedding::double[] q from embeddings where vec_id = 7) order by similarity desc, vec_id limit 20)")
 def cosine_topk(t):
     q = t("embeddings").filter("vec_id = 7").select("embedding").first()
-    e = t("embeddings")
-    out = e.withColumn("similarity", F.round(search.cosine(F.col("embedding"), list(q.embedding)), 4))
-    return out.orderBy(F.col("similarity").desc(), "vec_id").limit(20).select("vec_id", "similarity")
+    return search.vector_top_k(t("embeddings"), list(q.embedding), 20).select("vec_id", F.round("similarity", 4).alias("similarity"))
 
 
 @register()

@@ -145,7 +145,7 @@ def search_entries(chunks: DataFrame, toc: DataFrame, text: str, limit: int = 20
     """Titles or texts that hold ``text``, whatever the case; % and _ are plain characters."""
     low = text.lower()
     hit = F.lower(F.coalesce("entry_title", F.lit(""))).contains(low) | F.lower("content").contains(low)
-    found = chunks.filter(hit).join(toc.select("toc_id", F.col("title").alias("toc_title")), "toc_id")
+    found = chunks.filter(hit).drop("toc_title").join(toc.select("toc_id", F.col("title").alias("toc_title")), "toc_id")
     return found.select("toc_id", "toc_title", "entry_title", "source_file").distinct().orderBy(F.col("entry_title").asc_nulls_last(), "source_file", "toc_id").limit(limit)
 
 

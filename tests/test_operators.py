@@ -224,5 +224,5 @@ def test_lines_and_columns():
     lines = layout.Lines.of(box, np.arange(4), 3.0)
     assert lines.first.tolist() == [0, 2, 3] and lines.right.tolist() == [12, 5, 5] and lines.sizes().tolist() == [2, 1, 1]
     assert layout.unmerged(np.array([[0, 0, 10, 1], [8, 0, 20, 1], [30, 0, 40, 1]], float)).tolist() == [[0, 20], [30, 40]]
-    hits = lambda x: np.array([c == "x" for c in x])
+    hits = lambda x: np.array([c == "x" for c in x], dtype=bool)
     assert [len(layout.before_misses(hits(x), 2)) for x in ("xx.x..xx", "..x", ".x.x", "xxx", "")] == [5, 1, 4, 3, 0]
