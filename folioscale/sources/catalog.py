@@ -66,14 +66,52 @@ class Catalog:
         if not self.exists(namespace, name):
             self._writer(df).saveAsTable(target)
             return True
-        # the rows may come from the table itself: they are safe in a second one before it goes
+        # the rows may come from the table itself: they are whole in a second one before it changes
+        same = [f.simpleString() for f in self.read(namespace, name).schema.fields]
+        staged = self._staged(namespace, name, df)
+        rows = self.spark.table(staged)
+        if sorted(same) == sorted(f.simpleString() for f in rows.schema.fields):
+            self._overwrite(namespace, name, rows, "static")
+        else:
+            self.spark.sql(f"DROP TABLE {target}")
+            self._writer(rows).saveAsTable(target)
+        self.spark.sql(f"DROP TABLE {staged}")
+        return True
+
+    def _staged(self, namespace: str, name: str, df: DataFrame) -> str:
         staged = f"`{namespace}`.`{name}__staged`"
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        df.write.format("parquet").saveAsTable(staged)
-        self.spark.sql(f"DROP TABLE {target}")
-        self._writer(self.spark.table(staged)).saveAsTable(target)
+        self._writer(df).saveAsTable(staged)
+        return staged
+
+    def _partitions(self, namespace: str, name: str, fresh: DataFrame, touched: DataFrame) -> None:
+        """Put ``fresh`` in the place of the partitions ``touched``, and drop those that it leaves empty."""
+        staged = self._staged(namespace, name, fresh.select(*self.read(namespace, name).columns))
+        rows = self.spark.table(staged)
+        # one value for each file that changes
+        empty = [r[0] for r in touched.distinct().join(rows.select(self.partition).distinct(), self.partition, "left_anti").collect()]
+        self._overwrite(namespace, name, rows)
+        for value in empty:
+            self._drop_partition(namespace, name, value)
         self.spark.sql(f"DROP TABLE {staged}")
-        return True
+
+    def _overwrite(self, namespace: str, name: str, df: DataFrame, how: str = "dynamic") -> None:
+        """Write the partitions that ``df`` has rows of, and no others ("static": in the place of all rows)."""
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, how)
+        try:
+            df.select(*self.read(namespace, name).columns).write.insertInto(f"`{namespace}`.`{name}`", overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+
+    def _drop_partition(self, namespace: str, name: str, value: object) -> None:
+        literal = str(value).replace("'", "''")
+        self.spark.sql(f"ALTER TABLE `{namespace}`.`{name}` DROP IF EXISTS PARTITION (`{self.partition}`='{literal}')")
+
+    def _parted(self, namespace: str, name: str, df: DataFrame | None = None) -> bool:
+        columns = self.read(namespace, name).columns
+        return self.partition in columns and len(columns) > 1 and (df is None or not set(df.columns) ^ set(columns))
 
     def append(self, namespace: str, name: str, df: DataFrame) -> None:
         """Add rows; columns that the table lacks are added to it, those that the rows lack are null."""
@@ -101,33 +139,36 @@ class Catalog:
         if not self.exists(namespace, name):
             self.replace(namespace, name, df)
             return
-        if column == self.partition and column in df.columns and not set(df.columns) - set(self.read(namespace, name).columns):
-            if not df.limit(1).count():
-                literal = str(value).replace("'", "''")
-                self.spark.sql(f"ALTER TABLE `{namespace}`.`{name}` DROP IF EXISTS PARTITION (`{column}`='{literal}')")
-                return
-            mode = "spark.sql.sources.partitionOverwriteMode"
-            before = self.spark.conf.get(mode)
-            self.spark.conf.set(mode, "dynamic")
-            try:
-                df.select(*self.read(namespace, name).columns).write.insertInto(f"`{namespace}`.`{name}`", overwrite=True)
-            finally:
-                self.spark.conf.set(mode, before)
+        if column == self.partition and self._parted(namespace, name, df):
+            if df.limit(1).count():
+                self._overwrite(namespace, name, df)
+            else:
+                self._drop_partition(namespace, name, value)
             return
         rest = self.read(namespace, name).filter(~F.col(column).eqNullSafe(F.lit(value)))
         self.replace(namespace, name, rest.unionByName(df, allowMissingColumns=True))
 
     def upsert(self, namespace: str, name: str, df: DataFrame, keys: list[str]) -> None:
-        """Rows of ``df`` in the place of those with their keys."""
+        """Rows of ``df`` in the place of those with their keys; only partitions that this touches are written."""
         if not self.exists(namespace, name):
             self.replace(namespace, name, df)
             return
-        rest = self.read(namespace, name).join(df.select(*keys).distinct(), keys, "left_anti")
-        self.replace(namespace, name, rest.unionByName(df, allowMissingColumns=True))
+        old, mine = self.read(namespace, name), df.select(*keys).distinct()
+        if not self._parted(namespace, name, df):
+            self.replace(namespace, name, old.join(mine, keys, "left_anti").unionByName(df, allowMissingColumns=True))
+            return
+        touched = old.join(mine, keys, "left_semi").select(self.partition).unionByName(df.select(self.partition)).distinct()
+        rest = old.join(touched, self.partition, "left_semi").join(mine, keys, "left_anti")
+        self._partitions(namespace, name, rest.unionByName(df), touched)
 
     def delete_orphans(self, namespace: str, name: str, owners: DataFrame, keys: list[str]) -> None:
-        """Keep only rows whose key ``owners`` has."""
-        self.replace(namespace, name, self.read(namespace, name).join(owners.select(*keys).distinct(), keys, "left_semi"))
+        """Keep only rows whose key ``owners`` has; only partitions that lose rows are written."""
+        old, owned = self.read(namespace, name), owners.select(*keys).distinct()
+        if not self._parted(namespace, name):
+            self.replace(namespace, name, old.join(owned, keys, "left_semi"))
+            return
+        touched = old.join(owned, keys, "left_anti").select(self.partition).distinct()
+        self._partitions(namespace, name, old.join(touched, self.partition, "left_semi").join(owned, keys, "left_semi"), touched)
 
     def drop(self, namespace: str, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
