@@ -28,11 +28,21 @@ def work_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back, so that a lost executor costs nothing that is done."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/folioscale-{spark.sparkContext.applicationId}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what this application has written in between, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -23,7 +23,7 @@ from .shared import arrow_map
 
 #: Labelled documents of each class that lexicon and regression are fitted on, at most.
 SAMPLE = 1500
-#: Entries of the lexicon, at most; and as many whole terms beside their beginnings.
+#: Entries of the lexicon, at most, those that tell most; and as many whole terms beside their beginnings. The automaton's states grow with them.
 ENTRIES = 150
 #: Terms from so many letters on are also found with one edit.
 FUZZY_FROM = 5
