@@ -414,3 +414,130 @@ def catalog_listing(t):
 @register(f"select region, product, cast(sum(cast(amount as decimal(20,4))) as double) revenue, count(distinct order_id) orders from ({_SALES}) group by 1, 2")
 def revenue_cube_cells(t):
     return _sales(t).groupBy("region", "product").agg(marts.money_sum(F.col("amount")).cast("double").alias("revenue"), F.countDistinct("order_id").alias("orders"))
+
+
+@register(
+    """with e as (select vec_id, case when vec_id % 5 = 0 then 'two' else 'one' end source_file, embedding::double[] v from embeddings), q as (select embedding::double[] q from embeddings where vec_id = 11)
+  select vec_id, round(s, 4) similarity from (select vec_id, list_dot_product(v, q) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(q, q))) s from e, q where source_file = 'two') order by s desc, vec_id limit 15"""
+)
+def vector_index(t):
+    e = t("embeddings").select("vec_id", "embedding").withColumn("source_file", F.lit("one"))
+    index = search.VectorIndex(Catalog(e.sparkSession), f"fs_{uuid.uuid4().hex[:10]}", "vectors", "vec_id")
+    index.put(e)
+    index.put(e.filter("vec_id % 5 = 0").withColumn("source_file", F.lit("two")))  # in the place of their own
+    q = list(e.filter("vec_id = 11").first().embedding)
+    return index.search(q, 15, source_file="two").select("vec_id", F.round("similarity", 4).alias("similarity"))
+
+
+@register(
+    """with c as (select conv_id, lower(replace(text, chr(10), ' ')) text, row_number() over (partition by conv_id order by turn, role, text) k from conversations),
+  m as (select conv_id, string_agg(text, chr(10) order by k) md from c group by 1)
+  select cast(conv_id as varchar) source_file, instr(md, left(text, 20)) - 1 markdown_position, k page_index from c join m using (conv_id) where k = 1 and length(text) >= 20"""
+)
+def page_anchors(t):
+    """The first page of each conversation, with watermarks between the turns."""
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    c = t("conversations").select(F.col("conv_id").cast("string").alias("source_file"), F.row_number().over(w).alias("page_index"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text")).withColumn("page_text", F.concat(F.lit("head\n"), "text"))
+    md = c.groupBy("source_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_index", "text"))), lambda x: x["text"]), "\n WM \n").alias("markdown_text"))
+    marks = c.select("source_file", F.lit("WM").alias("watermark_text")).distinct()
+    pages = c.filter("page_index = 1").withColumn("printed_page_num", F.col("page_index"))
+    out = silver.page_anchors(pages, md, (20,), marks=marks)
+    return out.select("source_file", "markdown_position", "page_index")
+
+
+@register(
+    """with t as (select n_regionkey r, n_name title, n_nationkey p from nation), e as (select p_partkey % 25 k, p_name n, min(p_partkey) i from part group by 1, 2)
+  select cast(r as varchar) source_file, title, coalesce((select string_agg(n, '; ' order by i) from (select * from e where k = p order by i limit 50)), '') sub_headings, case when p = n0 then null else n0 end parent from t join (select n_regionkey r, min(n_nationkey) n0 from nation group by 1) using (r)"""
+)
+def toc_sections(t):
+    n = t("nation")
+    first = n.groupBy("n_regionkey").agg(F.min_by("n_name", "n_nationkey").alias("_p"), F.min("n_nationkey").alias("_n"))
+    toc = n.join(first, "n_regionkey").select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("title"), F.when(F.col("n_nationkey") != F.col("_n"), F.col("_p")).alias("parent_title"), F.col("n_nationkey").alias("page_start"), F.lit(9999).alias("page_end"), F.col("n_nationkey").alias("sort_order"), F.lit(1).alias("depth"), F.lit(False).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"))
+    e = t("part").join(n, F.col("p_partkey") % 25 == F.col("n_nationkey")).select(F.col("n_regionkey").cast("string").alias("source_file"), F.col("n_name").alias("toc_title"), F.col("p_name").alias("entry_title"), F.col("p_partkey").alias("entry_id"))
+    s = silver.toc_sections(toc, e)
+    up = s.select(F.col("toc_id").alias("parent_toc_id"), F.col("page_start").alias("parent"))
+    return s.join(up, "parent_toc_id", "left").select("source_file", "title", "sub_headings", "parent")
+
+
+@register("select p_partkey, case when p_size % 2 = 0 then 'Alteration/Charm' when p_size % 3 = 0 then 'Divination' end school from part")
+def schools(t):
+    size = F.col("p_size")
+    content = F.concat("p_name", F.lit("\n"), F.when(size % 2 == 0, "(Alteration/Charm)").otherwise("(Reversible)"), F.when(size % 3 == 0, "\nSchool: Divination").otherwise(""))
+    return t("part").select("p_partkey", silver.schools_of(content, ["alteration", "divination"]).alias("school"))
+
+
+@register("select 'book' kind, r_name value from region union all select 'toc', n_name from nation where n_regionkey = 1 union all select 'entry', p_name from part where p_partkey = 17 union all select 'routed', n_name from (select n_name from nation where contains(lower(n_name), 'nation_1') order by n_nationkey limit 3)")
+def readers(t):
+    toc = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("source_file"), F.col("n_nationkey").alias("toc_id"), F.col("n_name").alias("title"), F.col("n_nationkey").alias("page_start"), F.lit(False).alias("is_excluded"), F.lit("").alias("sub_headings"), F.col("n_regionkey"))
+    first = toc.filter("n_regionkey = 1").select("source_file").first()
+    value = lambda kind, df, c: df.select(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    return value("book", search.books(toc), "source_file").unionByName(value("toc", search.toc_of(toc, first.source_file), "title")).unionByName(value("entry", search.lookup(_spells(t), entry_id=17), "entry_title")).unionByName(value("routed", search.route_by_keywords(toc, "is it Nation_1 ?", 3), "title"))
+
+
+@register("select string_agg('[' || p_name || ']' || chr(10) || p_type, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by p_partkey) context from part where p_partkey <= 12")
+def prompt_context(t):
+    few = t("part").filter("p_partkey <= 12").select("p_partkey", F.col("p_name").alias("entry_title"), F.col("p_type").alias("content"))
+    return search.context(few, ["p_partkey"])
+
+
+@register("select p_brand source_file, count(*) total_chunks, count(distinct p_partkey % 25) total_toc_entries, 7 total_pages from part group by 1")
+def gold_files(t):
+    toc = t("nation").select(F.col("n_nationkey").cast("long").alias("toc_id"))
+    files = t("part").select(F.col("p_brand").alias("source_file"), F.lit(7).alias("total_pages")).distinct()
+    return gold.files(_chunks(t), files, toc).select("source_file", "total_chunks", "total_toc_entries", "total_pages")
+
+
+@register(f"select entry_id, entry_type, p_type content from ({_INDEX}) join part on entry_id = p_partkey where p_partkey % 2 = 0")
+def gold_descriptions(t):
+    d = t("part").filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("entry_id"), F.col("p_brand").alias("source_file"), F.col("p_type").alias("content"))
+    return gold.entry_descriptions(d, _index(t)).select("entry_id", "entry_type", "content")
+
+
+@register("select cast(p_partkey as varchar) id, p_type \"document\", p_brand source_file, coalesce(n_name, '') toc_title, '' page_numbers, 'g' game_system from part left join nation on n_nationkey = p_partkey % 30")
+def vector_rows(t):
+    from .providers import vector_rows as rows
+
+    c = t("part").select(F.col("p_partkey").alias("chunk_id"), F.col("p_brand").alias("source_file"), (F.col("p_partkey") % 30).alias("toc_id"), F.lit("s").alias("section_title"), F.col("p_name").alias("entry_title"), F.lit(None).cast("string").alias("page_numbers"), F.lit("content").alias("chunk_type"), F.col("p_type").alias("content"))
+    toc = t("nation").select(F.col("n_nationkey").cast("long").alias("toc_id"), F.col("n_name").alias("title"))
+    files = t("part").select(F.col("p_brand").alias("source_file"), F.lit("g").alias("game_system"), F.lit("rules").alias("content_type")).distinct()
+    meta = F.col("metadata")
+    return rows(c, toc, files).select("id", "document", *[meta[k].alias(k) for k in ("source_file", "toc_title", "page_numbers", "game_system")])
+
+
+@register("select entry_id, entry_type, left(p_type, 200) summary from (" + _INDEX + ") join part on entry_id = p_partkey where entry_type = 'spell' and p_partkey % 2 = 1")
+def summaries(t):
+    """Summaries by the stub model, which answers with the first sentence of the last line."""
+    from .providers import StubModel
+
+    done = t("part").filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("entry_id"))
+    e = t("part").select(F.col("p_partkey").alias("entry_id"), F.lit("x").alias("content"), F.lit(500).alias("char_count"))
+    d = t("part").select(F.col("p_partkey").alias("entry_id"), F.concat("p_type", F.lit(". And more.")).alias("content"))
+    return enrich.summaries(_index(t), e, d, done, StubModel(), "Summarize {title}, a {type}:\n{text}", ["spell"]).select("entry_id", "entry_type", "summary")
+
+
+@register("select cast(p_partkey as bigint) p_partkey, case when p_size % 2 = 0 then 2 when p_size % 3 = 0 then 99 else 1 end as rank from part")
+def ordinal_titles(t):
+    size = F.col("p_size")
+    title = F.when(size % 2 == 0, "Second-Level Spells").when(size % 3 == 0, "Other Spells").otherwise("Spells of the FIRST Level")
+    return t("part").select(F.col("p_partkey").cast("long").alias("p_partkey"), export.ordinal_rank(title).alias("rank"))
+
+
+@register("select o_orderkey, p_brand brand, p_size size from orders left join (select o_orderkey k, min(p_partkey) m from orders, part where p_size = o_orderkey % 60 group by 1) on k = o_orderkey left join part on p_partkey = m")
+def first_range(t):
+    """The first part whose page range holds an order's page."""
+    from ..operators import joins
+
+    points = t("orders").select("o_orderkey", (F.col("o_orderkey") % 60).alias("p"), F.lit(1).alias("k"))
+    ranges = t("part").select(F.lit(1).alias("k"), F.col("p_size").alias("lo"), F.col("p_size").alias("hi"), "p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    return joins.first_range(points, ranges, ["k"], ["o_orderkey"], "p", "lo", "hi", [F.col("p_partkey")], ["brand", "size"]).select("o_orderkey", "brand", "size")
+
+
+@register("select n_nationkey k, max(s_suppkey) last_supplier from nation left join supplier on s_nationkey <= n_nationkey group by 1")
+def open_ranges(t):
+    """Ranges without an end: every nation with the suppliers that begin at or before it."""
+    from ..operators import joins
+
+    points = t("nation").select(F.col("n_nationkey").cast("long").alias("k"), F.lit(1).alias("one"))
+    ranges = t("supplier").select(F.lit(1).alias("one"), F.col("s_nationkey").cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), "s_suppkey")
+    held = joins.range_join(points, ranges, ["one"], "k", "lo", "hi").groupBy("k").agg(F.max("s_suppkey").alias("last_supplier"))
+    return points.select("k").join(held, "k", "left")

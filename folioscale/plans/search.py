@@ -49,6 +49,24 @@ def vector_top_k(df: DataFrame, query: list[float], k: int, vector: str = "embed
     return rows.withColumn("similarity", cosine(F.col(vector), query)).filter("similarity is not null").orderBy(F.col("similarity").desc(), key).limit(k)
 
 
+class VectorIndex:
+    """Vectors with their texts and metadata as a table: put by id, searched with conditions on any column."""
+
+    def __init__(self, catalog, namespace: str, name: str, key: str = "id", vector: str = "embedding"):
+        self.catalog, self.namespace, self.name, self.key, self.vector = catalog, namespace, name, key, vector
+
+    def put(self, rows: DataFrame) -> None:
+        """Add rows; those whose id is there already take its place."""
+        self.catalog.upsert(self.namespace, self.name, rows, [self.key])
+
+    def search(self, query: list[float], k: int, **equal: object) -> DataFrame:
+        """The k most similar rows of those with the given values; conditions reach the scan."""
+        return vector_top_k(self.catalog.read(self.namespace, self.name, **equal), query, k, self.vector, self.key)
+
+    def count(self) -> int:
+        return self.catalog.read(self.namespace, self.name).count()
+
+
 def hybrid(semantic: DataFrame, keyword: DataFrame, content: str, key: str, limit: int) -> DataFrame:
     """Semantic hits, then keyword hits; of equal first 200 characters the first stays. Inputs have a ``rank``."""
     both = semantic.withColumn("_from", F.lit(0)).unionByName(keyword.withColumn("_from", F.lit(1)), allowMissingColumns=True)

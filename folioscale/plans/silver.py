@@ -153,11 +153,17 @@ def entry_flags(content: Column, fields: list[str], least: int = 20) -> tuple[Co
     return has, F.length(rest) >= least
 
 
-def page_anchors(pages: DataFrame, markdown: DataFrame, sizes: tuple[int, ...] = (40, 30, 20), slack: int = 5000) -> DataFrame:
+def page_anchors(pages: DataFrame, markdown: DataFrame, sizes: tuple[int, ...] = (40, 30, 20), slack: int = 5000, marks: DataFrame | None = None) -> DataFrame:
     """Where in the markdown each page begins: the first place of a line's beginning, not far before the page before it.
 
-    A file is one group: the search pointer moves from page to page.
+    Lines that are watermarks (``marks``: source_file, watermark_text) go from the
+    markdown first, and places count without them. A file is one group: the
+    search pointer moves from page to page.
     """
+    if marks is not None:
+        held = marks.groupBy("source_file").agg(F.collect_set("watermark_text").alias("_w"))
+        lines = F.filter(F.split("markdown_text", "\n", -1), lambda x: ~F.array_contains(F.coalesce("_w", F.array().cast("array<string>")), strip(x)))
+        markdown = markdown.join(held, "source_file", "left").withColumn("markdown_text", F.array_join(lines, "\n")).drop("_w")
     import pandas as pd
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
