@@ -84,7 +84,26 @@ def chunk_paragraphs(t):
     return t("documents").select("doc_id", F.size(packed).alias("n_chunks"), F.sha2(F.array_join(packed, "\x01"), 256).alias("digest"))
 
 
-@register()
+def _packed(rows: str, key: str, most: int, overlap: int, sep: str, whole: bool) -> str:
+    """SQL that packs ``parts`` of ``rows`` (key, body, parts) into chunks: key, chunks."""
+    joined = f"cur || {sep} || parts[i]"
+    carried = f"case when ends_with(rtrim(cur, ' '), '|') then parts[i] else right(cur, {overlap}) || {sep} || parts[i] end" if overlap else "parts[i]"
+    full = f"length(cur) + length(parts[i]) + length({sep}) > {most} and cur <> ''"
+    one = f"len(parts) = 0 or length(body) <= {most}" if whole else "false"
+    return f"""q as ({rows}), s as (select {key}, body, parts, 1 i, '' cur, [] :: varchar[] outs from q
+    union all
+    select {key}, body, parts, i + 1, case when {full} then {carried} when cur = '' then parts[i] else {joined} end, case when {full} then list_append(outs, cur) else outs end
+    from s where i <= len(parts) and not ({one})),
+  packed as (select {key}, case when {one} then [body] when cur = '' then outs else list_append(outs, cur) end chunks from s where i = len(parts) + 1 or ({one}))"""
+
+
+_NOT_EMPTY = "lambda x: regexp_replace(x, '[ \\t\\n\\r\\f\\x0B]+', '', 'g') <> ''"
+
+
+@register(
+    f"with recursive {_packed(f'select doc_id, text body, list_filter(string_split(text, chr(10)), {_NOT_EMPTY}) parts from documents', 'doc_id', 800, 200, 'chr(10)', True)} "
+    "select doc_id, cast(n - 1 as int) chunk_index, cast(length(c) as int) char_count from (select doc_id, unnest(chunks) c, generate_subscripts(chunks, 1) n from packed)"
+)
 def chunk_overlap(t):
     d = t("documents").select("doc_id", "text")
     return chunks.chunk_rows(d, "text", 800, 200, "\n").select("doc_id", "chunk_index", "char_count")
@@ -95,7 +114,14 @@ def heading_counts(t):
     return t("pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<h[1-4][^>]*>"), F.lit(0))).alias("n"))
 
 
-@register()
+_MD = "regexp_replace(regexp_replace(html, '<h([1-4])[^>]*>', chr(10) || chr(10) || '# ', 'g'), '<[^>]+>', ' ', 'g')"
+_SECTIONS = f"select page_id, x body, idx, string_split(x, chr(10) || chr(10)) parts from (select page_id, unnest(xs) x, generate_subscripts(xs, 1) - 1 idx from (select page_id, list_filter(list_transform(string_split(regexp_replace({_MD}, '(?m)^(#{{1,4}}[ \\t\\n\\x0B\\f\\r])', chr(1) || '\\1', 'g'), chr(1)), lambda x: {_sql_strip('x')}), lambda x: x <> '') xs from pages))"
+
+
+@register(
+    f"with recursive {_packed(_SECTIONS, 'page_id, idx', 2000, 0, 'chr(10) || chr(10)', True)} "
+    f"select page_id, cast(idx as int) section_index, cast(n - 1 as int) part_index, case when regexp_matches(body, '^#{{1,4}}[ \\t\\n\\x0B\\f\\r]') then {_sql_strip(chr(39).join(['regexp_extract(body, ', '^#{1,4}[ \\t\\n\\x0B\\f\\r]+([^\\n]*)', ', 1)']))} else '' end section_title, cast(length(c) as int) n from (select page_id, idx, unnest(chunks) c, generate_subscripts(chunks, 1) n from packed) join (select page_id, idx, body from q) using (page_id, idx)"
+)
 def heading_sections(t):
     md = F.regexp_replace(F.regexp_replace("html", r"<h([1-4])[^>]*>", "\n\n# "), "<[^>]+>", " ")
     return chunks.heading_sections(t("pages").select("page_id", md.alias("md")), "md").select("page_id", "section_index", "part_index", "section_title", F.length("content").alias("n"))
@@ -213,7 +239,12 @@ def dq_section_issues(t):
     return quality.section_issues(toc, parts, key="source")
 
 
-@register()
+@register(
+    r"""with c as (select doc_id, text, 'Range: 5' || chr(10) || 'Duration: ' || lang || chr(10) || text content from documents),
+  a as (select *, row_number() over (partition by substr(content, 1, 200) order by doc_id) n, regexp_replace(content, '(?is)^.*(?:^|\n)(?:Range|Duration)\w*[ \t\n\x0B\f\r]*:[^\n]*\n?', '') rest from c)
+  select doc_id, unnest(list_filter([case when length(regexp_replace(rest, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g')) < 20 then 'no_description' end, case when n > 1 then 'duplicate_content' end, case when length(content) < 50 then 'very_short' end,
+    case when regexp_matches(regexp_replace(content, '[0-9]+(?:st|nd|rd|th)- \w+', '', 'g'), '\w+- \w+') then 'hyphenated_words' end], lambda x: x is not null)) issue from a"""
+)
 def dq_entry_issues(t):
     e = t("documents").select("doc_id", F.concat(F.lit("Range: 5\nDuration: "), F.col("lang"), F.lit("\n"), "text").alias("content"))
     return quality.entry_issues(e, ["Range", "Duration"], "content", "doc_id")
@@ -288,7 +319,11 @@ def _toc(t) -> DataFrame:
     return pairs.join(n, "toc_id").select("source_file", "toc_id", "title", "sort_order", F.lit(1).alias("depth"), F.lit(False).alias("is_chapter"), F.lit(False).alias("is_table"), F.lit(False).alias("is_excluded"))
 
 
-@register()
+@register(
+    f"with recursive {_packed(f'select doc_id, text body, list_filter(string_split(text, chr(10) || chr(10)), {_NOT_EMPTY}) parts from documents', 'doc_id', 800, 200, 'chr(10) || chr(10)', True)} "
+    "select cast(('0x' || substr(sha256(concat_ws(chr(0), source, lang, doc_id::varchar, (n - 1)::varchar)), 1, 16))::uhugeint % 9223372036854775808 as bigint) chunk_id, doc_id entry_id, doc_id % 25 toc_id, cast(length(c) as bigint) char_count "
+    "from (select doc_id, unnest(chunks) c, generate_subscripts(chunks, 1) n from packed) join documents using (doc_id)"
+)
 def gold_chunks(t):
     return gold.chunks(_entries(t)).select("chunk_id", "entry_id", "toc_id", "char_count")
 
