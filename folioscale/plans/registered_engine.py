@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cells, text
-from ..operators import chunks, layout, windows
+from ..operators import chunks, layout, stream, windows
 from ..sources.catalog import Catalog
 from . import bronze, enrich, export, gold, lineage, marts, quality, search, silver
 from .registered_relational import _MART, _SALES, _sales
@@ -541,3 +541,21 @@ def open_ranges(t):
     ranges = t("supplier").select(F.lit(1).alias("one"), F.col("s_nationkey").cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), "s_suppkey")
     held = joins.range_join(points, ranges, ["one"], "k", "lo", "hi").groupBy("k").agg(F.max("s_suppkey").alias("last_supplier"))
     return points.select("k").join(held, "k", "left")
+
+
+@register(
+    """with c as (select conv_id, replace(text, chr(10), ' ') text, row_number() over (partition by conv_id order by turn, role, text) k from conversations)
+  select cast(conv_id as varchar) source_file, 'Chapter 1: The Talk' toc_title, 'Turn ' || k entry_title, length('# Turn ' || k || chr(10) || regexp_replace(text, '^ +| +$', '', 'g')) n, k page_start from c"""
+)
+def markdown_entries(t):
+    """Every conversation as a book: a chapter whose heading lacks its number, and a leaf for each turn."""
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    c = t("conversations").select(F.col("conv_id").cast("string").alias("source_file"), F.row_number().over(w).alias("k"), F.trim(F.replace("text", F.lit("\n"), F.lit(" "))).alias("text"))
+    part = F.concat(F.lit("# Turn "), F.col("k").cast("string"), F.lit("\n"), "text")
+    md = c.groupBy("source_file").agg(F.concat(F.lit("preface\n## The **Talk**\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", part.alias("x")))), lambda r: r["x"]), "\nWM\n")).alias("markdown_text"))
+    no = F.lit(False)
+    row = lambda title, parent, k, chapter: [F.col("source_file"), title.alias("title"), parent.alias("parent_title"), k.alias("page_start"), k.alias("sort_order"), F.lit(chapter).alias("is_chapter"), no.alias("is_table"), no.alias("is_excluded")]
+    talk = F.lit("Chapter 1: The Talk")
+    toc = c.select(*row(F.concat(F.lit("Turn "), F.col("k").cast("string")), talk, F.col("k"), False)).unionByName(c.filter("k = 1").select(*row(talk, F.lit(None).cast("string"), F.lit(0), True)))
+    marks = c.select("source_file", F.lit("WM").alias("watermark_text")).distinct()
+    return stream.build_from_markdown(md, toc, marks).select("source_file", "toc_title", "entry_title", F.length("content").alias("n"), "page_start")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscale.operators import chunks, documents, intervals, joins, layout, titles, windows
+from folioscale.operators import chunks, documents, intervals, joins, layout, stream, titles, windows
 
 
 def rows(df, *columns):
@@ -226,3 +226,15 @@ def test_lines_and_columns():
     assert layout.unmerged(np.array([[0, 0, 10, 1], [8, 0, 20, 1], [30, 0, 40, 1]], float)).tolist() == [[0, 20], [30, 40]]
     hits = lambda x: np.array([c == "x" for c in x], dtype=bool)
     assert [len(layout.before_misses(hits(x), 2)) for x in ("xx.x..xx", "..x", ".x.x", "xxx", "")] == [5, 1, 4, 3, 0]
+
+
+def test_markdown_stream():
+    md = "# Front\nelves are named here\n## Races\n**Elves** (any)\nElves live long.\nAs for Dwarfs, they dig.\n# Dwarves\nDwarves dig.\nWM\n# CHAPTER 12\nnot it\n## Magic Itms\nRing 11 is gold\nRing 1\nRing 1 is plain\nby the red door\nit goes on"
+    row = lambda title, kind, parent=None, anchor=None: {"title": title, "kind": kind, "parent_title": parent, "page": 1, "anchor": anchor}
+    contents = [row("Chapter 1: PC Races", "chapter"), row("Races: Elves", "leaf", "a"), row("Dwarves (hill)", "leaf", "a"), row("Chapter 11: Magic Items", "chapter"), row("Ring 1", "leaf", "b"), row("Doors", "leaf", "b", "red door"), row("Nothing", "leaf", "b")]
+    got = stream.stream_sections(md, contents, {"WM"}, 5)
+    assert [(c, t, x.split("\n")[0]) for c, t, x, _ in got] == [("a", "Races: Elves", "**Elves** (any)"), ("a", "Dwarves (hill)", "# Dwarves"), ("b", "Ring 1", "Ring 1"), ("b", "Doors", "by the red door")]
+    assert got[0][2].endswith("they dig.") and got[1][2].endswith("gold") and "WM" not in got[1][2]
+    assert stream.bare("### **Fire Ball** (Evocation) ") == "fire ball" and stream.bare("Light Reversible") == "light"
+    assert stream.variants("Chapter 2: PC Classes (all)", True) == ["pc classes (all)", "pc classes", "classes (all)", "classes", "chapter 2: pc classes (all)", "chapter 2: pc classes", "chapter 2"]
+    assert stream.stream_sections("", contents, set()) == []
