@@ -132,7 +132,7 @@ def stream_sections(markdown: str, contents: list[dict], marks: set[str], least:
             insort(known, number)
     cuts = [*(placed[n] for n in known)]
     out = []
-    for n, begin, stop in zip(known, cuts, [*cuts[1:], None], strict=True):
+    for n, begin, stop in zip(known, cuts, [*cuts, None][1:], strict=True):
         row = contents[n]
         text = "\n".join(stream.lines[begin : end_of(begin) if stop is None else stop]).strip()
         if len(text) >= least:
