@@ -32,8 +32,11 @@ def fold(text: str) -> tuple[str, np.ndarray]:
         done = m.end()
     out.append(text[done:])
     places.append(np.arange(done, len(text) + 1))
-    low = "".join(out)
-    return "".join(c if len(c) == 1 else x for x, c in ((x, x.lower()) for x in low)), np.concatenate(places)
+    whole = "".join(out)
+    low = whole.lower()
+    if len(low) != len(whole):  # a letter whose lower case is longer stays, so that places hold
+        low = "".join(c if len(c) == 1 else x for x, c in ((x, x.lower()) for x in whole))
+    return low, np.concatenate(places)
 
 
 class TitleIndex:

@@ -406,8 +406,19 @@ def catalog_listing(t):
     cat.replace(space, "a", r)
     cat.replace(space, "b", n)
     cat.replace(space, "b", cat.read(space, "b", source_file="1"))  # from itself
-    if not (cat.exists(space, "a") and cat.tables(space) == ["a", "b"] and space in cat.namespaces()) or cat.replace(space, "a", r.limit(0), skip_empty=True):
-        raise ValueError("the catalog lost a table")
+    cat.views([space])
+    cat.append(space, "c", n)
+    cat.drop(space, "c")
+    seen = {
+        "exists": cat.exists(space, "a") and not cat.exists(space, "c"),
+        "tables": cat.tables(space) == ["a", "b"] and cat.all_tables()[space] == ["a", "b"],
+        "files": [r[0] for r in cat.source_files(space, "b", contains="1").collect()] == ["1"],
+        "views": r.sparkSession.table(f"{space}_b").count() == cat.read(space, "b").count(),
+        "rows": cat.query(space, "b", ["name"], "name like '%1'", limit=3, width=4).filter("length(name) > 4").count() == 0,
+        "empty": not cat.replace(space, "a", r.limit(0), skip_empty=True),
+    }
+    if not all(seen.values()):
+        raise ValueError(f"the catalog lost something: {seen}")
     return cat.row_counts([space]).select("table_name", "row_count")
 
 
