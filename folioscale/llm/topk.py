@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from .shared import arrow_map, written
 
-#: Pivots, a sample by hash; every vector is indexed below one of them.
-PIVOTS = 64
+#: Pivots at most, a sample by hash, one for every ``PART`` vectors; every vector is indexed below one of them.
+PIVOTS = 1024
 #: Vectors in a part, about; a pivot with more has several parts.
 PART = 8192
 #: Entries in a page.
@@ -164,8 +164,8 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     out = T.StructType.fromDDL("query_id long, vec_id long, score long")
     done = None
     # one index for each vector length (embeddings have one); only lengths and their largest norms come to the driver
-    for dim, most in vectors.groupBy("dim").agg(F.max("norm")).orderBy("dim").collect():
-        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), float(most), k, every, pivots, part)
+    for dim, most, n in vectors.groupBy("dim").agg(F.max("norm"), F.count("*")).orderBy("dim").collect():
+        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), float(most), k, every, min(pivots, -(-n // part)), part)
         done = found if done is None else done.unionByName(found)
     if done is None:
         done = spark.createDataFrame([], out)
