@@ -143,12 +143,14 @@ def stream_sections(markdown: str, contents: list[dict], marks: set[str], least:
 def build_from_markdown(markdown: DataFrame, toc: DataFrame, marks: DataFrame | None = None, fields: list[str] | None = None, substitutions: list[tuple[str, str]] | None = None, anchor: Column | None = None) -> DataFrame:
     """Sections (as of the page-based builder) of every file's ``markdown_text`` by its contents.
 
-    Leaves are rows that are no chapter, table or excluded row and no other row's
-    parent; ``anchor`` names text that marks a leaf whose title is not found.
+    Leaves are the rows with ``is_leaf``; without that column, those that are no
+    chapter, table or excluded row and no other row's parent. ``anchor`` (or a
+    column of that name) is text that marks a leaf whose title is not found.
     """
+    anchor = F.col("anchor") if anchor is None and "anchor" in toc.columns else anchor
     parents = toc.select("source_file", F.col("parent_title").alias("title")).distinct().withColumn("_parent", F.lit(True))
     rows = toc.join(parents, ["source_file", "title"], "left")
-    leaf = ~(F.col("is_chapter") | F.col("is_excluded") | F.col("is_table") | F.coalesce("_parent", F.lit(False)))
+    leaf = F.col("is_leaf") if "is_leaf" in toc.columns else ~(F.col("is_chapter") | F.col("is_excluded") | F.col("is_table") | F.coalesce("_parent", F.lit(False)))
     kind = F.when(F.col("is_chapter") & ~F.col("is_excluded"), "chapter").when(leaf, "leaf").otherwise("")
     row = F.struct(F.col("sort_order").cast("int").alias("sort_order"), "title", "parent_title", F.col("page_start").cast("int").alias("page"), kind.alias("kind"), (F.lit(None) if anchor is None else anchor).cast("string").alias("anchor"))
     contents = rows.groupBy("source_file").agg(F.array_sort(F.collect_list(row)).alias("contents"))

@@ -59,7 +59,7 @@ def changed_files(found: DataFrame, done: DataFrame, force: bool = False) -> Dat
     return found if force else found.join(done.select("source_file", "pdf_size_bytes", "config_hash").distinct(), ["source_file", "pdf_size_bytes", "config_hash"], "left_anti")
 
 
-# What each step waits for.
+# The steps, and what each waits for.
 STEPS: dict[str, set[str]] = {
     "bronze": set(),
     "toc_review": {"bronze"},
@@ -86,6 +86,7 @@ STEPS: dict[str, set[str]] = {
 }
 
 _AI = {"gold_ai_summaries", "gold_ai_annotations"}
+# The jobs, by their steps.
 JOBS: dict[str, set[str]] = {
     "full": set(STEPS),
     "without_enrichment": set(STEPS) - _AI,

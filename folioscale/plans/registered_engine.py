@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import cells, text
 from ..operators import chunks, layout, stream, windows
 from ..sources.catalog import Catalog
-from . import bronze, enrich, export, gold, lineage, marts, quality, search, silver
+from . import bronze, enrich, export, gold, leaves, lineage, marts, quality, search, silver
 from .registered_relational import _MART, _SALES, _sales
 from .registry import Registry
 
@@ -570,3 +570,25 @@ def markdown_entries(t):
     toc = c.select(*row(F.concat(F.lit("Turn "), F.col("k").cast("string")), talk, F.col("k"), False)).unionByName(c.filter("k = 1").select(*row(talk, F.lit(None).cast("string"), F.lit(0), True)))
     marks = c.select("source_file", F.lit("WM").alias("watermark_text")).distinct()
     return stream.build_from_markdown(md, toc, marks).select("source_file", "toc_title", "entry_title", F.length("content").alias("n"), "page_start")
+
+
+@register(
+    """select r_name parent_title, p_name title, 'spell_list' source, cast(p_size % 3 as int) spell_level, n_nationkey page_start from nation join region on r_regionkey = n_regionkey join part on p_size % 3 = n_nationkey % 3
+  union all select r_name, n_name || case n_nationkey % 3 when 0 then ' zero' when 1 then ' one' else ' two' end, 'toc', null, n_nationkey from nation join region on r_regionkey = n_regionkey
+  union all select r_name, 'The Dice', 'anchor', null, 0 from region"""
+)
+def extended_contents(t):
+    """Every region a chapter, every nation a level's heading in it, below which the spells of the level stand."""
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key, no = F.col("n_nationkey"), F.lit(False)
+    word = F.when(key % 3 == 0, " zero").when(key % 3 == 1, " one").otherwise(" two")
+    row = lambda file, title, page, order, chapter, parent: [file.alias("source_file"), title.alias("title"), page.cast("int").alias("page_start"), F.lit(9999).alias("page_end"), order.cast("int").alias("sort_order"), F.lit(chapter).alias("is_chapter"), no.alias("is_table"), no.alias("is_excluded"), parent.alias("parent_title")]
+    subs = n.select(*row(F.lit("levels"), F.concat("n_name", word), key, key + 1, False, F.col("r_name")))
+    chapters = t("region").select(*row(F.lit("levels"), F.col("r_name"), F.lit(0), F.lit(0), True, F.lit(None).cast("string")))
+    p = t("part").select(F.lit("levels").alias("source_file"), F.col("p_name").alias("entry_name"), F.lit("wizard").alias("entry_class"), (F.col("p_size") % 3).alias("entry_level"), F.lit(None).cast("string").alias("school"), F.lit(None).cast("string").alias("sphere"))
+    nobody = t("region").limit(0).select(F.lit("").alias("source_file"), F.lit("").alias("entry_name"), F.lit("").alias("entry_type"))
+    listed = leaves.extended_toc(chapters.unionByName(subs), [{"key": "", "source": "spells"}], p, nobody, {"zero": 0, "one": 1, "two": 2}).filter("not is_chapter")
+    # the same chapters with an anchor
+    books = chapters.withColumn("source_file", F.lit("anchors"))
+    dice = leaves.extended_toc(books, [{"key": "", "source": "anchors", "anchors": ["**The Dice**"]}], p, nobody, {}).filter("source = 'anchor'")
+    return listed.unionByName(dice).select("parent_title", "title", "source", "spell_level", "page_start")

@@ -226,3 +226,34 @@ def test_streams(spark, tmp_path):
 def test_session(spark):
     assert session.query(spark, "select :a as x", {"a": 3}).first().x == 3
     assert session.preview(spark, "select repeat('a', 500) as x").first().x == "a" * 200
+
+
+def test_extended_contents(spark):
+    from folioscale.plans import leaves
+
+    row = lambda title, page, order, chapter=False, parent=None, table=False, out=False: ("b", title, page, 9999, order, 0 if chapter else 1, chapter, table, out, parent)
+    toc = spark.createDataFrame(
+        [
+            row("Wizard Spells", 1, 0, True), row("First-Level Spells", 2, 1, parent="Wizard Spells"), row("Second-Level Spells", 3, 2, parent="Wizard Spells"), row("Table 1: Slots", 3, 3, parent="Wizard Spells", table=True),
+            row("Basics", 5, 4, True), row("Fighter", 5, 5, parent="Basics"),
+            row("Chapter 5", 7, 6, True), row("Skill Descriptions", 8, 7, parent="Chapter 5"), row("Using Skills", 9, 8, parent="Chapter 5"),
+            row("Gone", 10, 9, True, out=True), row("Lost", 10, 10, parent="Gone"),
+        ],
+        "source_file string, title string, page_start int, page_end int, sort_order int, depth int, is_chapter boolean, is_table boolean, is_excluded boolean, parent_title string",
+    )
+    spells = spark.createDataFrame([("b", "Light", "Wizard", 1, "alteration", None), ("b", "armor", "wizard", 1, None, None), ("b", "Bless", "priest", 1, None, "all"), ("b", "Web", "wizard", 2, None, None), ("c", "Other", "wizard", 1, None, None)], "source_file string, entry_name string, entry_class string, entry_level int, school string, sphere string")
+    names = spark.createDataFrame([("b", "Riding", "proficiency"), ("b", "Cooking", "proficiency"), ("b", "Sword", "weapon")], "source_file string, entry_name string, entry_type string")
+    rules = [{"key": "wizard spells", "source": "spells", "pattern": ".*level"}, {"key": "skill desc", "source": "authority", "entry_type": "proficiency"}, {"key": "basics", "source": "anchors", "anchors": ["**The Dice**", "**Fighter**", "Rolls"], "names": {"Rolls": "Dice Rolls"}}]
+    got = leaves.extended_toc(toc, rules, spells, names, {"first": 1, "second": 2}).orderBy("sort_order").collect()
+    assert [(r.title, r.is_leaf, r.source) for r in got] == [
+        ("Wizard Spells", False, "toc"), ("First-Level Spells", False, "toc"), ("armor", True, "spell_list"), ("Light", True, "spell_list"), ("Second-Level Spells", False, "toc"), ("Web", True, "spell_list"), ("Table 1: Slots", True, "toc"),
+        ("Basics", False, "toc"), ("Fighter", True, "toc"), ("The Dice", True, "anchor"), ("Dice Rolls", True, "anchor"),
+        ("Chapter 5", False, "toc"), ("Skill Descriptions", False, "toc"), ("Cooking", True, "authority"), ("Riding", True, "authority"), ("Using Skills", True, "toc"),
+    ]
+    by = {r.title: r for r in got}
+    assert (by["Light"].spell_class, by["Light"].spell_level, by["Light"].school, by["Light"].parent_title, by["Light"].page_start) == ("wizard", 1, "alteration", "Wizard Spells", 2)
+    assert by["The Dice"].anchor == "**The Dice**" and by["Cooking"].parent_title == "Chapter 5" and [r.sort_order for r in got] == list(range(16))
+    assert leaves.extended_toc(toc.limit(0), rules, spells, names, {"first": 1}).count() == 0
+    assert [r.is_leaf for r in leaves.extended_toc(toc, [], spells, names, {"first": 1}).orderBy("sort_order").collect()] == [False, True, True, False, False, True, False, True, True]
+    twice = spark.createDataFrame([("b", "Magic  Web", "wizard", 3), ("b", "magic web", "wizard", 2)], "source_file string, entry_name string, entry_class string, entry_level int")
+    assert [r.entry_level for r in leaves.listed_names(twice).collect()] == [2]
