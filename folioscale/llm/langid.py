@@ -142,7 +142,8 @@ def identify(rows: DataFrame, model: TextModel, row_id: Column, text: Column, de
     # hosts meet their domains before the rows meet their hosts
     domains = shares("domain", "dc").select("domain", smooth(F.col("dc"), every, DOMAIN_WEIGHT).alias("dp"))
     hosts = scored.filter("best >= 0").groupBy("host", "domain").agg(F.array(*[F.count(F.when(F.col("best") == i, 1)).cast("double") for i in range(k)]).alias("hc"))
-    priors = hosts.join(domains, "domain").select("host", "domain", smooth(F.col("hc"), F.col("dp"), HOST_WEIGHT).alias("prior"))
+    # written, so that the join of the rows is free to split a host that holds much of them
+    priors = written(hosts.join(domains, "domain").select("host", "domain", smooth(F.col("hc"), F.col("dp"), HOST_WEIGHT).alias("prior")), "priors")
     out = scored.join(priors, ["host", "domain"], "left").join(shares("declared", "mc"), "declared", "left").join(shares("suffix", "sc"), "suffix", "left")
 
     def likelihood(counts: Column) -> Column:
