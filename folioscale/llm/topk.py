@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from .shared import arrow_map, written
 
-#: Pivots at most, a sample by hash, one for every ``PART`` vectors; every vector is indexed below one of them.
-PIVOTS = 1024
+#: Pivots at most, a sample by hash; every vector is indexed below one of them. There is one for every ``PART`` vectors, but ``LEAST_PIVOTS`` where they are fewer.
+PIVOTS, LEAST_PIVOTS = 1024, 64
 #: Vectors in a part, about; a pivot with more has several parts.
 PART = 8192
 #: Entries in a page.
@@ -101,6 +101,8 @@ class MTree:
                     continue
                 score, ids = score_of(rows), self.ids[rows]
                 ok = score >= floor
+                if ok.sum() > 4 * k:  # what is below the page's own k best, and one more for the query itself, is none of them
+                    ok &= score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
                 for s, i in zip(score[ok].tolist(), ids[ok].tolist(), strict=True):
                     if i == own:
                         continue
@@ -165,7 +167,7 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     done = None
     # one index for each vector length (embeddings have one); only lengths and their largest norms come to the driver
     for dim, most, n in vectors.groupBy("dim").agg(F.max("norm"), F.count("*")).orderBy("dim").collect():
-        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), float(most), k, every, min(pivots, -(-n // part)), part)
+        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), float(most), k, every, min(pivots, max(LEAST_PIVOTS, -(-n // part))), part)
         done = found if done is None else done.unionByName(found)
     if done is None:
         done = spark.createDataFrame([], out)
