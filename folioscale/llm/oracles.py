@@ -162,4 +162,55 @@ p as (select *, row_number() over (order by f, source nulls first, key) - 1 as p
 select doc_id, size, text_crc32, 'rows' as law, (place * 40 // total)::int shard, (place - ((place * 40 // total) * total + 39) // 40)::bigint slot, null::int grown_shard, source from p
 """
 
-SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8}
+# unsigned CRC of a decimal number, with the table ``crc``
+_CRC_OF = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(({})::varchar, ''), lambda c: ascii(c))), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295)"
+_CRC_TABLE = f"crc as materialized (select list(v order by x) as tab from (select x, {_CRC} v from (select unnest(range(256)) x)))"
+
+
+def _field(x: str) -> str:
+    return f"coalesce(octet_length(encode(({x})::varchar)) || ':' || ({x})::varchar, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+OP11 = f"""
+with recursive {_CRC_TABLE},
+d as (
+  select doc_id, lang, {_leaf("n_chars")} leaf, case when {_CRC_OF.format("doc_id")} % 7 = 0 and n_chars is not null then {_leaf("n_chars::hugeint + 1")} else {_leaf("n_chars")} end claimed
+  from documents, crc),
+r as materialized (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) n,
+    row_number() over (order by lang nulls first, doc_id nulls first, leaf) as id from d),
+t(lang, lvl, i, h, n) as (
+  select lang, 0, i, leaf, n from r
+  union all
+  select lang, lvl + 1, i // 2, sha256(string_agg(h, '' order by i)), max((n + 1) // 2) from t where n > 1 group by lang, lvl, i // 2),
+tree as materialized (select * from t),
+s as materialized (select lang, h, row_number() over (order by lang nulls first) - 1 as i, count(*) over () n from tree where n = 1),
+u(lvl, i, h, n) as (
+  select 0, i, h, n from s
+  union all
+  select lvl + 1, i // 2, sha256(string_agg(h, '' order by i)), max((n + 1) // 2) from u where n > 1 group by lvl, i // 2),
+top as materialized (select * from u),
+steps as (
+  select r.id, p.lvl lvl, xor(p.i, 1) < p.i as before, x.h sibling
+  from r join tree p on p.lang is not distinct from r.lang and p.n > 1 and p.i = r.i >> p.lvl
+  left join tree x on x.lang is not distinct from p.lang and x.lvl = p.lvl and x.i = xor(p.i, 1)
+  union all
+  select r.id, 1000 + p.lvl, xor(p.i, 1) < p.i, x.h
+  from r join s on s.lang is not distinct from r.lang join top p on p.n > 1 and p.i = s.i >> p.lvl
+  left join top x on x.lvl = p.lvl and x.i = xor(p.i, 1)),
+path as materialized (select id, coalesce(sibling, '') sibling, before, row_number() over (partition by id order by lvl) k from steps),
+f(id, k, h) as (
+  select id, 0, claimed from r
+  union all
+  select f.id, f.k + 1, sha256(case when before then sibling || h else h || sibling end) from f join path p on p.id = f.id and p.k = f.k + 1),
+folded as (select id, arg_max(h, k) h from f group by id),
+proof as (select id, sha256(string_agg(sibling, '' order by k)) h from path group by id)
+select r.doc_id, leaf, s.h subroot, top.h root, coalesce(proof.h, sha256('')) proof_sha256, folded.h folded_root, folded.h = top.h verified
+from r join s on s.lang is not distinct from r.lang join top on top.n = 1 join folded using (id) left join proof using (id)
+"""
+
+SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8, "op11_merkle": OP11}
