@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, linededup
+from . import license, linededup, winnow
 from .shared import LOWER, UPPER
 
 _LOW = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -213,4 +213,29 @@ select r.doc_id, leaf, s.h subroot, top.h root, coalesce(proof.h, sha256('')) pr
 from r join s on s.lang is not distinct from r.lang join top on top.n = 1 join folded using (id) left join proof using (id)
 """
 
-SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8, "op11_merkle": OP11}
+_MARKS = """
+  select id, which, string_agg(left(c, 12) || '@' || (2147483647 - substr(c, 13)::bigint), ',' order by 2147483647 - substr(c, 13)::bigint) f, list(distinct left(c, 12)) h
+  from (
+    select distinct id, which, c from (
+      select id, which, i, n, min(c) over (partition by id, which order by i rows between current row and {over} following) c from (
+        select id, which, len(g) n, unnest(range(len(g))) i, unnest(g) c from (
+          select id, which, case when len(w) = 0 then [] else list_transform(range(greatest(len(w) - {k}, 0) + 1), lambda i: left(md5(array_to_string(w[i + 1:i + {k}], ' ')), 12) || (2147483647 - i)) end g
+          from (select id, which, regexp_extract_all(translate(x, '{upper}', '{lower}'), '{word}') w from both_))))
+    where i <= greatest(n - {window}, 0))
+  group by id, which"""
+
+OP12 = f"""
+with d as materialized (select doc_id, coalesce(text, '') t, row_number() over (order by doc_id desc nulls last, md5(coalesce(text, '')) desc) id, count(*) over () n from documents),
+e as materialized (
+  select a.id, a.doc_id, b.id follows, a.t, left(a.t, length(a.t) - length(a.t) // 3) || left(b.t, length(a.t) // 3) x
+  from d a join d b on b.id = a.id % a.n + 1),
+both_ as (select id, 'own' which, t x from e union all select id, 'edited', x from e),
+m as materialized ({_MARKS.format(over=winnow.WINDOW - 1, k=winnow.K, window=winnow.WINDOW, upper=UPPER, lower=LOWER, word=winnow.WORD)}),
+f as materialized (select id, which, coalesce(f, '') f, coalesce(h, []) h from both_ left join m using (id, which))
+select doc_id, length(t) n_chars, sha256(x) edited_sha256, o.f fingerprint, c.f edited_fingerprint,
+  case when len(o.h) + len(c.h) = 0 then 1 else len(list_intersect(o.h, c.h)) / (len(o.h) + len(c.h) - len(list_intersect(o.h, c.h))) end near_edited,
+  case when len(o.h) + len(b.h) = 0 then 1 else len(list_intersect(o.h, b.h)) / (len(o.h) + len(b.h) - len(list_intersect(o.h, b.h))) end near_next
+from e join f o on o.id = e.id and o.which = 'own' join f c on c.id = e.id and c.which = 'edited' join f b on b.id = follows and b.which = 'own'
+"""
+
+SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8, "op11_merkle": OP11, "op12_winnow": OP12}
