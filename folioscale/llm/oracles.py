@@ -238,4 +238,31 @@ select doc_id, length(t) n_chars, sha256(x) edited_sha256, o.f fingerprint, c.f
 from e join f o on o.id = e.id and o.which = 'own' join f c on c.id = e.id and c.which = 'edited' join f b on b.id = follows and b.which = 'own'
 """
 
-SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8, "op11_merkle": OP11, "op12_winnow": OP12}
+OP13 = f"""
+with {_CRC_TABLE},
+own as materialized (
+  select conv_id c, row_number() over (partition by conv_id order by turn nulls first, tok) - 1 as pos, tok, words from (
+    select conv_id, turn, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) tok,
+      len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) words
+    from conversations where conv_id is not null)),
+convs as materialized (select c, c - c % 20 base, {_CRC_OF.format("c")} % 4 h, max(pos) + 1 n_own from own, crc group by c, tab),
+taken as materialized (select k.*, least(h, coalesce(b.n_own, 0)) n_base from convs k left join (select c as b, n_own from convs) b on b.b = k.base),
+turns as materialized (
+  select k.c, pos + 1 as d, tok, words from taken k join own o on o.c = k.base and pos < h
+  union all
+  select k.c, n_base + pos - h + 1, tok, words from taken k join own o on o.c = k.c and pos >= h),
+paths as materialized (
+  select c, d, words, md5(string_agg(tok, ',') over (partition by c order by d)) p from turns union all select c, 0, 0, '' from convs),
+ends as (select c, max(d) d from paths group by c),
+ended as (select p, sha256(string_agg(c::varchar, ',' order by c)) s from paths join ends using (c, d) group by p),
+nodes as materialized (select p, d, min(c) c, count(*) n, any_value(words) words from paths group by p, d),
+up as materialized (select v.p, v.d, a.p u from nodes v join paths a on a.c = v.c and a.d = v.d - 1),
+kids as (select u p, count(*) k from up group by u),
+below as (
+  select a.p, sum((v.n - 1) * v.words) saved, count(*) filter (where k is null) leaves
+  from nodes v join paths a on a.c = v.c and a.d <= v.d left join kids on kids.p = v.p group by a.p)
+select v.c conv_id, v.d::bigint depth, x.c parent_conv_id, v.n::bigint n_convs, coalesce(k, 0)::bigint n_children, leaves::bigint n_leaves, saved::bigint saved_tokens, coalesce(s, sha256('')) ends_sha256
+from nodes v left join up using (p) left join nodes x on x.p = up.u left join kids on kids.p = v.p join below on below.p = v.p left join ended on ended.p = v.p
+"""
+
+SQL = {"op4_mixing": OP4, "op6_sharding": OP6, "op1_topk": OP1, "op2_neardup": OP2, "op3_license": OP3, "op7_linededup": OP7, "op8_decontam": OP8, "op11_merkle": OP11, "op12_winnow": OP12, "op13_trie": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, license, linededup, merkle, mixing, neardup, oracles, pii, sharding, topk, toxicity, winnow
+from . import decontam, langid, license, linededup, merkle, mixing, neardup, oracles, pii, sharding, topk, toxicity, trie, winnow
 from .shared import table
 
 #: For tests and this query only; a deployment passes its own secret.
@@ -61,6 +61,10 @@ def op12_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +72,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_topk, op2_neardup, op3_license, op4_mixing, op5_langid, op6_sharding, op7_linededup, op8_decontam, op9_toxicity, op10_pii, op11_merkle, op12_winnow, pipeline)
+    own = (op1_topk, op2_neardup, op3_license, op4_mixing, op5_langid, op6_sharding, op7_linededup, op8_decontam, op9_toxicity, op10_pii, op11_merkle, op12_winnow, op13_trie, pipeline)
     return {f.__name__: f for f in own}
 
 
