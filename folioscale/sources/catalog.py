@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 LAYERS = ("bronze", "silver", "gold")
+#: Behind a table's name: the note of a change under way, and its rows before they are in place.
+NOTE, STAGED = "__change", "__staged_"
+
+
+class Busy(RuntimeError):
+    """Another writer changes the table."""
+
+
+def _matched(rows: DataFrame, others: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on keys in which null equals null."""
+    mine = others.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    return rows.join(mine, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]), how)
 
 
 class Catalog:
@@ -33,7 +49,7 @@ class Catalog:
 
     def tables(self, namespace: str) -> list[str]:
         self.ensure(namespace)
-        return sorted(t.name for t in self.spark.catalog.listTables(namespace) if not t.isTemporary)
+        return sorted(t.name for t in self.spark.catalog.listTables(namespace) if not t.isTemporary and STAGED not in t.name and not t.name.endswith(NOTE))
 
     def namespaces(self) -> list[str]:
         return sorted(d.name for d in self.spark.catalog.listDatabases())
@@ -57,45 +73,82 @@ class Catalog:
         w = df.write.format("parquet")
         return w.partitionBy(self.partition) if self.partition in df.columns and len(df.columns) > 1 else w
 
-    def replace(self, namespace: str, name: str, df: DataFrame, skip_empty: bool = False) -> bool:
-        """Write the whole table anew; with ``skip_empty`` an empty result leaves the old one."""
-        self.ensure(namespace)
-        if skip_empty and not df.limit(1).count():
-            return False
-        target = f"`{namespace}`.`{name}`"
-        if not self.exists(namespace, name):
-            self._writer(df).saveAsTable(target)
-            return True
-        # the rows may come from the table itself: they are whole in a second one before it changes
-        same = [f.simpleString() for f in self.read(namespace, name).schema.fields]
-        staged = self._staged(namespace, name, df)
-        rows = self.spark.table(staged)
-        if sorted(same) == sorted(f.simpleString() for f in rows.schema.fields):
-            self._overwrite(namespace, name, rows, "static")
-        else:
-            self.spark.sql(f"DROP TABLE {target}")
-            self._writer(rows).saveAsTable(target)
-        self.spark.sql(f"DROP TABLE {staged}")
-        return True
+    # A change is whole or not at all: its rows are staged in a table of their own, then
+    # noted as ready, then put in place. What is ready and not in place is done again.
+
+    def _note(self, namespace: str, name: str) -> str:
+        return f"`{namespace}`.`{name}{NOTE}`"
 
-    def _staged(self, namespace: str, name: str, df: DataFrame) -> str:
-        staged = f"`{namespace}`.`{name}__staged`"
-        self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        self._writer(df).saveAsTable(staged)
+    def noted(self, namespace: str, name: str) -> dict[str, str] | None:
+        """What a change that has not ended is about to do; None if there is none."""
+        if not self.exists(namespace, f"{name}{NOTE}"):
+            return None
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self._note(namespace, name)}").collect()
+        return {r.key.removeprefix("change."): r.value for r in found if r.key.startswith("change.")}
+
+    def _begin(self, namespace: str, name: str) -> str:
+        """Claim the table: creating the note's table succeeds for one writer only."""
+        self.ensure(namespace)
+        staged = f"{name}{STAGED}{uuid.uuid4().hex[:12]}"
+        try:
+            self.spark.sql(f"CREATE TABLE {self._note(namespace, name)} (x INT) USING parquet TBLPROPERTIES ('change.staged' = '{staged}', 'change.state' = 'staging')")
+        except AnalysisException as e:
+            if "ALREADY_EXISTS" in str(e):
+                raise Busy(f"{namespace}.{name} is being changed, or a change of it was cut short: see Catalog.recover") from None
+            raise
         return staged
 
-    def _partitions(self, namespace: str, name: str, fresh: DataFrame, touched: DataFrame) -> None:
-        """Put ``fresh`` in the place of the partitions ``touched``, and drop those that it leaves empty."""
-        staged = self._staged(namespace, name, fresh.select(*self.read(namespace, name).columns))
-        rows = self.spark.table(staged)
-        # one value for each file that changes
-        empty = [r[0] for r in touched.distinct().join(rows.select(self.partition).distinct(), self.partition, "left_anti").collect()]
-        self._overwrite(namespace, name, rows)
-        for value in empty:
+    def _end(self, namespace: str, name: str, staged: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{staged}`")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._note(namespace, name)}")
+
+    def recover(self, namespace: str, name: str) -> str | None:
+        """End a change whose writer is gone: 'done' if its rows were ready, 'undone' if not, None if there was none.
+
+        Only for writers that are known to be gone; a living one holds the note itself.
+        """
+        note = self.noted(namespace, name)
+        if note is None:
+            return None
+        ready = note["state"] == "ready"
+        if ready:
+            self._apply(namespace, name, note["staged"], note["how"], json.loads(note["emptied"]))
+        self._end(namespace, name, note["staged"])
+        return "done" if ready else "undone"
+
+    def _change(self, namespace: str, name: str, df: DataFrame, how: str, touched: DataFrame | None = None) -> None:
+        """Stage ``df`` and put it in place: "anew", or "static" (all rows) or "dynamic" (the partitions ``touched``)."""
+        staged = self._begin(namespace, name)
+        try:
+            self._writer(df).saveAsTable(f"`{namespace}`.`{staged}`")
+            emptied = []
+            if touched is not None:
+                # one value for each file that loses all its rows
+                held = self.spark.table(f"`{namespace}`.`{staged}`").select(F.col(self.partition).alias("_held")).distinct()
+                emptied = [r[0] for r in touched.distinct().join(held, F.col(self.partition).eqNullSafe(F.col("_held")), "left_anti").collect()]
+            self._ready(namespace, name, how, emptied)
+        except BaseException:
+            self._end(namespace, name, staged)
+            raise
+        self._apply(namespace, name, staged, how, emptied)
+        self._end(namespace, name, staged)
+
+    def _ready(self, namespace: str, name: str, how: str, emptied: list) -> None:
+        values = json.dumps(emptied, default=str).replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {self._note(namespace, name)} SET TBLPROPERTIES ('change.state' = 'ready', 'change.how' = '{how}', 'change.emptied' = '{values}')")
+
+    def _apply(self, namespace: str, name: str, staged: str, how: str, emptied: list) -> None:
+        """Put a staged table in place; doing it twice does no harm."""
+        rows, target = self.spark.table(f"`{namespace}`.`{staged}`"), f"`{namespace}`.`{name}`"
+        if how == "anew":
+            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+            self._writer(rows).saveAsTable(target)
+            return
+        self._overwrite(namespace, name, rows, how)
+        for value in emptied:
             self._drop_partition(namespace, name, value)
-        self.spark.sql(f"DROP TABLE {staged}")
 
-    def _overwrite(self, namespace: str, name: str, df: DataFrame, how: str = "dynamic") -> None:
+    def _overwrite(self, namespace: str, name: str, df: DataFrame, how: str) -> None:
         """Write the partitions that ``df`` has rows of, and no others ("static": in the place of all rows)."""
         mode = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(mode)
@@ -106,13 +159,26 @@ class Catalog:
             self.spark.conf.set(mode, before)
 
     def _drop_partition(self, namespace: str, name: str, value: object) -> None:
-        literal = str(value).replace("'", "''")
-        self.spark.sql(f"ALTER TABLE `{namespace}`.`{name}` DROP IF EXISTS PARTITION (`{self.partition}`='{literal}')")
+        literal = "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        self.spark.sql(f"ALTER TABLE `{namespace}`.`{name}` DROP IF EXISTS PARTITION (`{self.partition}` = {literal})")
 
     def _parted(self, namespace: str, name: str, df: DataFrame | None = None) -> bool:
         columns = self.read(namespace, name).columns
         return self.partition in columns and len(columns) > 1 and (df is None or not set(df.columns) ^ set(columns))
 
+    def replace(self, namespace: str, name: str, df: DataFrame, skip_empty: bool = False) -> bool:
+        """Write the whole table anew; with ``skip_empty`` an empty result leaves the old one.
+
+        The rows may come from the table itself. As in every partitioned Parquet
+        table an empty string in the partition column is read back as null.
+        """
+        self.ensure(namespace)
+        if skip_empty and df.isEmpty():
+            return False
+        same = self.exists(namespace, name) and sorted(f.simpleString() for f in self.read(namespace, name).schema.fields) == sorted(f.simpleString() for f in df.schema.fields)
+        self._change(namespace, name, df, "static" if same else "anew")
+        return True
+
     def append(self, namespace: str, name: str, df: DataFrame) -> None:
         """Add rows; columns that the table lacks are added to it, those that the rows lack are null."""
         self.ensure(namespace)
@@ -131,44 +197,53 @@ class Catalog:
         df.select(*old.columns).write.insertInto(f"`{namespace}`.`{name}`")
 
     def overwrite_where(self, namespace: str, name: str, df: DataFrame, column: str, value: object) -> None:
-        """Put ``df`` in the place of the rows with ``column`` = ``value``.
+        """Delete the rows with ``column`` = ``value`` (None: null), then add all rows of ``df``, whatever they hold there.
 
-        On the partition column only that partition is written. Else the other
-        rows are carried over into a staged table.
+        Rows of other values stay. On the partition column only that partition and
+        those that ``df`` has rows of are written.
         """
         if not self.exists(namespace, name):
             self.replace(namespace, name, df)
             return
-        if column == self.partition and self._parted(namespace, name, df):
-            if df.limit(1).count():
-                self._overwrite(namespace, name, df)
-            else:
-                self._drop_partition(namespace, name, value)
+        old, gone = self.read(namespace, name), F.col(column).eqNullSafe(F.lit(value))
+        if column != self.partition or not self._parted(namespace, name, df):
+            self.replace(namespace, name, old.filter(~gone).unionByName(df, allowMissingColumns=True))
             return
-        rest = self.read(namespace, name).filter(~F.col(column).eqNullSafe(F.lit(value)))
-        self.replace(namespace, name, rest.unionByName(df, allowMissingColumns=True))
+        mine = df.select(self.partition).distinct()
+        # the partition filter prunes; what other files of ``df`` hold already is carried over
+        kept = self._of(old.filter(~gone), mine)
+        touched = old.filter(gone).select(self.partition).unionByName(mine)
+        self._change(namespace, name, kept.unionByName(df).select(*old.columns), "dynamic", touched)
+
+    def _of(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
+        """The rows of some partitions, the null one included."""
+        wanted = partitions.select(F.col(self.partition).alias("_wanted")).distinct()
+        return rows.join(wanted, F.col(self.partition).eqNullSafe(F.col("_wanted")), "left_semi")
 
     def upsert(self, namespace: str, name: str, df: DataFrame, keys: list[str]) -> None:
-        """Rows of ``df`` in the place of those with their keys; only partitions that this touches are written."""
+        """Rows of ``df`` in the place of those with their keys; only partitions that this touches are written.
+
+        A null in a key is a value like any other.
+        """
         if not self.exists(namespace, name):
             self.replace(namespace, name, df)
             return
-        old, mine = self.read(namespace, name), df.select(*keys).distinct()
+        old = self.read(namespace, name)
         if not self._parted(namespace, name, df):
-            self.replace(namespace, name, old.join(mine, keys, "left_anti").unionByName(df, allowMissingColumns=True))
+            self.replace(namespace, name, _matched(old, df, keys, "left_anti").unionByName(df, allowMissingColumns=True))
             return
-        touched = old.join(mine, keys, "left_semi").select(self.partition).unionByName(df.select(self.partition)).distinct()
-        rest = old.join(touched, self.partition, "left_semi").join(mine, keys, "left_anti")
-        self._partitions(namespace, name, rest.unionByName(df), touched)
+        touched = _matched(old, df, keys, "left_semi").select(self.partition).unionByName(df.select(self.partition)).distinct()
+        rest = _matched(self._of(old, touched), df, keys, "left_anti")
+        self._change(namespace, name, rest.unionByName(df).select(*old.columns), "dynamic", touched)
 
     def delete_orphans(self, namespace: str, name: str, owners: DataFrame, keys: list[str]) -> None:
-        """Keep only rows whose key ``owners`` has; only partitions that lose rows are written."""
-        old, owned = self.read(namespace, name), owners.select(*keys).distinct()
+        """Keep only rows whose key ``owners`` has (null is a value like any other); only partitions that lose rows are written."""
+        old = self.read(namespace, name)
         if not self._parted(namespace, name):
-            self.replace(namespace, name, old.join(owned, keys, "left_semi"))
+            self.replace(namespace, name, _matched(old, owners, keys, "left_semi"))
             return
-        touched = old.join(owned, keys, "left_anti").select(self.partition).distinct()
-        self._partitions(namespace, name, old.join(touched, self.partition, "left_semi").join(owned, keys, "left_semi"), touched)
+        touched = _matched(old, owners, keys, "left_anti").select(self.partition).distinct()
+        self._change(namespace, name, _matched(self._of(old, touched), owners, keys, "left_semi"), "dynamic", touched)
 
     def drop(self, namespace: str, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")

@@ -9,7 +9,7 @@ from folioscale import session
 from folioscale.operators import documents
 from folioscale.plans import bronze, enrich, export, gold, lineage, marts, providers, quality, search, silver
 from folioscale.sources import config, files
-from folioscale.sources.catalog import Catalog
+from folioscale.sources.catalog import Busy, Catalog
 from folioscale.streaming import ingest
 
 from .test_operators import book
@@ -158,6 +158,80 @@ def test_catalog(spark):
     assert [r.source_file for r in cat.source_files("t1", "x").collect()] == ["a"]
 
 
+FILES = "source_file string, id long, v string"
+
+
+def _held(cat, name):
+    return sorted(((r.source_file, r.id, r.v) for r in cat.read("t3", name).collect()), key=repr)
+
+
+def test_catalog_keeps_rows_of_other_files(spark):
+    cat = Catalog(spark)
+    old = [("A", 1, "a"), ("B", 2, "b"), ("B", 3, "b"), (None, 4, "n"), (None, 5, "n"), ("it's \\ q", 6, "q")]
+    rows = lambda *x: spark.createDataFrame(list(x), FILES)
+    cat.replace("t3", "w", rows(*old))
+    cat.overwrite_where("t3", "w", rows(("B", 9, "new")), "source_file", "A")
+    want = [*old[1:], ("B", 9, "new")]
+    assert _held(cat, "w") == sorted(want, key=repr)
+    cat.overwrite_where("t3", "w", rows((None, 10, "m"), ("C", 11, "c")), "source_file", None)
+    want = [x for x in want if x[0] is not None] + [(None, 10, "m"), ("C", 11, "c")]
+    assert _held(cat, "w") == sorted(want, key=repr)
+    cat.overwrite_where("t3", "w", rows(), "source_file", None)
+    cat.overwrite_where("t3", "w", rows(), "source_file", "it's \\ q")
+    want = [x for x in want if x[0] in ("B", "C")]
+    assert _held(cat, "w") == sorted(want, key=repr)
+    cat.overwrite_where("t3", "w", rows(("D", 2, "d")), "id", 2)
+    assert _held(cat, "w") == sorted([x for x in want if x[1] != 2] + [("D", 2, "d")], key=repr)
+
+
+def test_catalog_upserts_and_deletes_with_nulls(spark):
+    cat = Catalog(spark)
+    rows = lambda *x: spark.createDataFrame(list(x), FILES)
+    cat.replace("t3", "u", rows(("A", 1, "a"), (None, 2, "n"), (None, 3, "n"), ("B", None, "k")))
+    cat.upsert("t3", "u", rows((None, 2, "up"), ("A", None, "moved")), ["id"])
+    assert _held(cat, "u") == sorted([("A", 1, "a"), (None, 2, "up"), (None, 3, "n"), ("A", None, "moved")], key=repr)
+    cat.delete_orphans("t3", "u", spark.createDataFrame([(2,), (None,)], "id long"), ["id"])
+    assert _held(cat, "u") == sorted([(None, 2, "up"), ("A", None, "moved")], key=repr)
+    cat.delete_orphans("t3", "u", spark.createDataFrame([("A",)], "source_file string"), ["source_file"])
+    assert _held(cat, "u") == [("A", None, "moved")]
+
+
+def test_catalog_changes_are_whole(spark, monkeypatch):
+    cat = Catalog(spark)
+    rows = lambda *x: spark.createDataFrame(list(x), FILES)
+    old = [("A", 1, "a"), ("B", 2, "b")]
+    cat.replace("t3", "c", rows(*old))
+
+    # the rows cannot be computed: nothing has changed, and the table is free
+    broken = rows(("A", 1, "x")).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        cat.overwrite_where("t3", "c", broken, "source_file", "A")
+    assert _held(cat, "c") == old and cat.noted("t3", "c") is None and cat.tables("t3").count("c") == 1
+
+    # the writer is lost before its rows are ready, then while they are put in place
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    for step, state, want in (("_ready", "undone", old), ("_overwrite", "done", [("A", 7, "new"), ("B", 2, "b")])):
+        with monkeypatch.context() as m:
+            m.setattr(cat, step, lost)
+            m.setattr(cat, "_end", lost)
+            with pytest.raises(KeyboardInterrupt):
+                cat.overwrite_where("t3", "c", rows(("A", 7, "new")), "source_file", "A")
+        with pytest.raises(Busy):  # a second writer waits for the first one's end
+            Catalog(spark).upsert("t3", "c", rows(("B", 2, "z")), ["id"])
+        assert "c" in cat.tables("t3") and all("__" not in n for n in cat.tables("t3"))
+        assert Catalog(spark).recover("t3", "c") == state and cat.recover("t3", "c") is None
+        assert _held(cat, "c") == want
+
+    # of a table that gets other columns too
+    with monkeypatch.context() as m:
+        m.setattr(cat, "_apply", lost)
+        with pytest.raises(KeyboardInterrupt):
+            cat.replace("t3", "c", spark.createDataFrame([(1,)], "z int"))
+    assert cat.recover("t3", "c") == "done" and cat.read("t3", "c").columns == ["z"]
+
+
 def test_lineage(spark):
     cat = Catalog(spark, partition="none")
     runs = lineage.Lineage(cat, "t2")
