@@ -40,6 +40,11 @@ class Cut:
             first = F.shiftright(digits, TIE_BITS - self.tie_bits)
         return {"_a": _shifted(whole, self.shift), "_b": first}
 
+    @property
+    def columns(self) -> list[str]:
+        """The bucket columns that differ between rows."""
+        return ["_a", "_b"] if self.tie_bits else ["_a"]
+
     def coarser(self) -> Cut:
         if self.tie_bits:
             return Cut(self.shift, max(0, self.tie_bits - DIGIT), self.least, self.width)

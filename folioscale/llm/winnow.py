@@ -78,11 +78,11 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     another. A null text is empty; an empty table has no rows. Only the two named
     columns are read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("mark", F.md5("text"))
-    entries = written(rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")), "entries")
+    entries = written(rows.groupBy("key", "mark").agg(F.count("*").alias("n")), "entries")
     total, most = entries.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    cut, buckets = radix.measure(entries, [], "doc_id", "mark", "n", coarse=True)
+    cut, buckets = radix.measure(entries, [], "key", "mark", "n", coarse=True)
     buckets = written(buckets, "buckets")
 
     def shaped(df: DataFrame) -> DataFrame:
@@ -92,12 +92,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edited = F.concat(F.expr("left(text, cast(length(text) - length(text) div 3 as int))"), F.expr("left(next_text, cast(length(text) div 3 as int))"))
         out = with_fingerprint(df.withColumn("edited", edited), "edited", "edited_fp", k, window)
         out = out.withColumns({"own": hashes("fp"), "theirs": hashes("next_fp"), "changed": hashes("edited_fp")})
-        return out.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), shown("fp").alias("fingerprint"), shown("edited_fp").alias("edited_fingerprint"), likeness("own", "changed").alias("near_edited"), likeness("own", "theirs").alias("near_next"))
+        return out.select(F.col("key").alias("doc_id"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), shown("fp").alias("fingerprint"), shown("edited_fp").alias("edited_fingerprint"), likeness("own", "changed").alias("near_edited"), likeness("own", "theirs").alias("near_next"))
 
     # copies of a row stand together: the last is followed by another document, each other one by its like
-    each = rows.dropDuplicates(["doc_id", "mark"]) if most > 1 else rows
-    dealt = each.withColumns(cut.buckets("doc_id", "mark")).repartition("_a", "_b")
-    order = Window.partitionBy("_a", "_b").orderBy(F.col("doc_id").asc_nulls_first(), "mark")
+    each = rows.dropDuplicates(["key", "mark"]) if most > 1 else rows
+    # texts travel once: the three readers below share this exchange (a column that keeps its name would be planned in two ways)
+    dealt = each.withColumns(cut.buckets("key", "mark")).repartition(*cut.columns)
+    order = Window.partitionBy(*cut.columns).orderBy(F.col("key").asc_nulls_first(), "mark")
     # inside a bucket the next document is the row before
     marked = with_fingerprint(dealt, "text", "fp", k, window)
     inner = marked.withColumns({"next_text": F.lag("text").over(order), "next_fp": F.lag("fp").over(order)}).filter(F.col("next_text").isNotNull())
@@ -105,14 +106,14 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = dealt.withColumns({"place": F.row_number().over(order), "last": F.lead(F.lit(1)).over(order).isNull()})
     ends = buckets.select(F.col("_a").alias("_ha"), F.col("_b").alias("_hb"), "_begin", "_rows")
     of_bucket = (F.col("_a") == F.col("_ha")) & (F.col("_b") == F.col("_hb"))
-    firsts = placed.filter("place = 1").join(ends, of_bucket).select("doc_id", "text", ((F.col("_begin") - 1 + total) % max(total, 1)).alias("before"))
+    firsts = placed.filter("place = 1").join(ends, of_bucket).select("key", "text", ((F.col("_begin") - 1 + total) % max(total, 1)).alias("before"))
     lasts = placed.filter("last").join(ends, of_bucket).select((F.col("_begin") + F.col("_rows") - 1).alias("rank"), F.col("text").alias("next_text"))
-    outer = firsts.join(lasts, F.col("before") == F.col("rank")).select("doc_id", "text", "next_text")
+    outer = firsts.join(lasts, F.col("before") == F.col("rank")).select("key", "text", "next_text")
     outer = with_fingerprint(with_fingerprint(outer, "text", "fp", k, window), "next_text", "next_fp", k, window)
     found = shaped(inner).unionByName(shaped(outer))
     if most > 1:
-        repeated = entries.filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n")
-        twins = each.join(repeated, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("doc_id", "text", F.col("text").alias("next_text"), "n")
+        repeated = entries.filter("n > 1").select(F.col("key").alias("_key"), F.col("mark").alias("_mark"), "n")
+        twins = each.join(repeated, F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark"))).select("key", "text", F.col("text").alias("next_text"), "n")
         twins = with_fingerprint(twins, "text", "fp", k, window).withColumn("next_fp", F.col("fp")).withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - 1)))
         found = found.unionByName(shaped(twins))
     return found
