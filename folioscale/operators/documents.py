@@ -6,7 +6,7 @@ import re
 from itertools import dropwhile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_hash
@@ -43,15 +43,16 @@ def chapter_texts(pages: DataFrame, toc: DataFrame) -> DataFrame:
 
     chapters = toc.filter("is_chapter and not is_excluded").select("source_file", F.col("title").alias("chapter_title"), "page_start", "page_end", "sort_order")
     held = range_join(pages.select("source_file", "page_index", "printed_page_num", "page_text"), chapters, ["source_file"], "printed_page_num", "page_start", "page_end")
-    packed = held.groupBy("source_file", "chapter_title", "page_start", "page_end", "sort_order").agg(F.array_sort(F.collect_list(F.struct("page_index", "printed_page_num", "page_text"))).alias("_p"))
-
-    def step(s: Column, p: Column) -> Column:
-        at = F.length(s["text"]) + F.when(s["text"] == "", 0).otherwise(2)
-        return F.struct(F.when(s["text"] == "", p["page_text"]).otherwise(F.concat(s["text"], F.lit("\n\n"), p["page_text"])).alias("text"), F.array_append(s["at"], F.struct(p["printed_page_num"].cast("int").alias("page"), at.cast("int").alias("at"))).alias("at"))
-
-    start = F.struct(F.lit("").alias("text"), F.array().cast("array<struct<page:int,at:int>>").alias("at"))
-    folded = packed.withColumn("_f", F.aggregate("_p", start, step))
-    return folded.select("source_file", "chapter_title", "page_start", "page_end", "sort_order", F.col("_f.text").alias("text"), F.col("_f.at").alias("page_offsets"))
+    # where a page begins is a running sum of what stands before it; empty pages before the first text add nothing
+    key = ["source_file", "chapter_title", "page_start", "page_end", "sort_order"]
+    line = Window.partitionBy(*key).orderBy("page_index", "printed_page_num", "page_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = held.withColumn("_begun", F.max(F.col("page_text") != "").over(line))
+    placed = begun.withColumn("_long", F.when(F.col("_begun"), F.length("page_text") + 2).otherwise(0)).withColumn("_at", (F.sum("_long").over(line) - F.col("_long")).cast("int"))
+    page = F.struct("page_index", "printed_page_num", "page_text", "_begun", "_at")
+    packed = placed.groupBy(*key).agg(F.array_sort(F.collect_list(page)).alias("_p"))
+    text = F.array_join(F.transform(F.filter("_p", lambda p: p["_begun"]), lambda p: p["page_text"]), "\n\n")
+    offsets = F.transform("_p", lambda p: F.struct(p["printed_page_num"].cast("int").alias("page"), p["_at"].alias("at")))
+    return packed.select(*key, text.alias("text"), offsets.alias("page_offsets"))
 
 
 SECTIONS = "source_file string, toc_title string, section_title string, entry_title string, content string, page_start int, seq int"
@@ -142,8 +143,6 @@ def merge_orphans(entries: DataFrame, has_metadata: Column, has_description: Col
     The first pass appends what an entry does not hold yet; the second is a run
     of rows from one that is open to the next that stands for itself.
     """
-    from pyspark.sql import Window
-
     from .windows import islands
 
     key = ["source_file", "toc_title"]

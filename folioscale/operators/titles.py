@@ -1,8 +1,7 @@
 """Where titles stand in a text, and the sections that they begin.
 
-A text is folded once, with the place of every folded character. All words of
-the folded text are indexed by what they are, so each title looks only at the
-places of its first word; sections are then chosen from ranked places.
+A text is folded once, with the place of every folded character. One automaton
+finds all titles in one pass over it; sections are then chosen from ranked places.
 """
 
 from __future__ import annotations
@@ -10,11 +9,13 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import ahocorasick
 import numpy as np
 
 # Typographic characters and what they match as.
 FOLDED = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "−": "-", "ﬁ": "fi", "ﬂ": "fl", "…": "...", "­": ""}
-_SPECIAL = re.compile(r"(?<=\w)-[ \t]*\n\s*(?=[^\W\d_A-Z])|\s+|[" + "".join(FOLDED) + "]")
+# a single space stays as it is
+_SPECIAL = re.compile(r"(?<=\w)-[ \t]*\n\s*(?=[^\W\d_A-Z])| \s+|[^\S ]\s*|[" + "".join(FOLDED) + "]")
 _WORD = re.compile(r"[^\W_]+")
 #: Characters behind which a table's rows are no longer looked for.
 TABLE_REACH = 2000
@@ -39,28 +40,46 @@ def fold(text: str) -> tuple[str, np.ndarray]:
     return low, np.concatenate(places)
 
 
+def automaton_of(names: list[str]) -> ahocorasick.Automaton:
+    """One automaton for all names but empty ones."""
+    automaton = ahocorasick.Automaton()
+    for name in names:
+        if name:
+            automaton.add_word(name, name)
+    if len(automaton):
+        automaton.make_automaton()
+    return automaton
+
+
+def all_places(automaton: ahocorasick.Automaton, text: str) -> dict[str, list[int]]:
+    """The names that stand in a text and their places, overlapping ones too, in one pass."""
+    places: dict[str, list[int]] = defaultdict(list)
+    for last, name in automaton.iter(text) if len(automaton) else ():
+        places[name].append(last - len(name) + 1)
+    return places
+
+
+def stands_alone(text: str, begin: int, end: int) -> bool:
+    """Whether no letter or digit goes on before or behind a part that begins or ends with one."""
+    return not (text[end : end + 1].isalnum() and text[end - 1].isalnum()) and not (begin and text[begin - 1].isalnum() and text[begin].isalnum())
+
+
 class TitleIndex:
-    """The words of a text by their places."""
+    """Places of some titles in a text."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, titles: list[str]):
         self.text = text
         self.folded, self.places = fold(text)
-        self.words: dict[str, list[int]] = defaultdict(list)
-        for m in _WORD.finditer(self.folded):
-            self.words[m[0]].append(m.start())
+        self.names = {t: fold(t.strip())[0] for t in titles}
+        self.held = all_places(automaton_of(sorted({n for n in self.names.values() if _WORD.search(n)})), self.folded)
         breaks = np.array([m.start() for m in re.finditer("\n", text)], dtype=np.int64)
         self.line_begin = np.concatenate([[0], breaks + 1])
         self.line_end = np.concatenate([breaks, [len(text)]])
 
     def ranked(self, title: str) -> np.ndarray:
         """Places of a title as whole words, headings first: rows of (place, rank), the best rank 0."""
-        name = fold(title.strip())[0]
-        head = _WORD.search(name)
-        if not head:
-            return np.zeros((0, 2), np.int64)
-        starts = [at - head.start() for at in self.words.get(head[0], ()) if self.folded.startswith(name, at - head.start()) and at >= head.start()]
-        ends = [at + len(name) for at in starts]
-        found = sorted({int(self.places[a]) for a, b in zip(starts, ends, strict=True) if not (self.folded[b : b + 1].isalnum() and name[-1].isalnum()) and not (a and self.folded[a - 1].isalnum() and name[0].isalnum())})
+        name = self.names[title]
+        found = sorted({int(self.places[a]) for a in self.held.get(name, ()) if stands_alone(self.folded, a, a + len(name))})
         if not found:
             return np.zeros((0, 2), np.int64)
         at = np.array(found)
@@ -85,7 +104,7 @@ def best(places: np.ndarray, low: int, high: int) -> int:
 
 def find_title(title: str, text: str, begin: int = 0, end: int | None = None) -> int:
     """The best place of a title in a part of a text; -1 if it has none there."""
-    return best(TitleIndex(text).ranked(title), begin, len(text) if end is None else end)
+    return best(TitleIndex(text, [title]).ranked(title), begin, len(text) if end is None else end)
 
 
 def sections(text: str, titles: list[tuple[str, int]], offsets: dict[int, int], tables: list[str], bound: bool, least: int) -> tuple[str, list[tuple[int, str]]]:
@@ -97,7 +116,7 @@ def sections(text: str, titles: list[tuple[str, int]], offsets: dict[int, int],
     line or ``TABLE_REACH`` characters on, are none. Contents shorter than
     ``least`` are left out.
     """
-    index = TitleIndex(text)
+    index = TitleIndex(text, [*(t for t, _ in titles), *tables])
     tops = [top for t in tables if (top := best(index.ranked(t), 0, len(text) + 1)) >= 0]
     empty = np.array([m.start() for m in re.finditer("(?=\n\n)", text)] + [len(text) + TABLE_REACH + 1])
     widths = [len(t) for t in tables if best(index.ranked(t), 0, len(text) + 1) >= 0]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..operators.joins import differences, fuzzy_anti
+from ..operators.names import occurrences
 from ..operators.windows import gaps
 
 
@@ -125,8 +126,11 @@ def entry_issues(entries: DataFrame, required: list[str], text: str, key: str, s
 
 def expected_content(expected: DataFrame, sections: DataFrame) -> DataFrame:
     """Expected names (source_file, title, name) that their section's text does not hold."""
-    text = sections.groupBy("source_file", "title").agg(F.array_join(F.array_sort(F.collect_list("content")), "\n").alias("_text"))
-    return expected.join(text, ["source_file", "title"], "left").filter(~F.coalesce(F.lower("_text").contains(F.lower("name")), F.lit(False))).drop("_text")
+    key = ["source_file", "title"]
+    held = occurrences(expected, sections.select(*key, "content", F.lit(0).alias("_row")), key, key="_row", text="content", whole=False)
+    # an empty name is in every section that there is
+    empty = expected.filter("name = ''").join(sections.select(*key).distinct(), key, "left_semi").select(*key, "name")
+    return expected.join(held.select(*key, "name").unionByName(empty).distinct(), [*key, "name"], "left_anti").select(*expected.columns)
 
 
 def unreviewed(headings: DataFrame, toc: DataFrame, allowed: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.names import occurrences
 from ..sources.catalog import Catalog
 from .registry import Registry
 from .trigrams import TextIndex
@@ -60,3 +61,20 @@ def vector_lists(t):
     index.put(e)
     found = index.search(asked, 10).withColumn("among", F.lit("all"))
     return found.unionByName(index.search(asked, 10, half=0).withColumn("among", F.lit("even"))).select("among", "query_id", "rank", "vec_id", "similarity")
+
+
+@register(
+    r"""with n as (select distinct lang, array_to_string(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')[1:2], ' ') as name from documents where doc_id % 20 = 0 and text <> ''),
+  j as (select d.lang, name, doc_id, lower(text) t, string_split(lower(text), lower(name)) parts from documents d join n using (lang) where contains(lower(text), lower(name)) and name <> ''),
+  p as (select lang, name, doc_id, t, parts, unnest(range(1, len(parts))) i from j),
+  s as (select lang, name, doc_id, t, (list_sum(list_transform(parts[1:i], lambda x: length(x))) + (i - 1) * length(name))::int place from p)
+  select lang, name, doc_id, place from s
+  where not (regexp_matches(substr(t, place, case when place > 0 then 1 else 0 end), '[\p{L}\p{N}]') and regexp_matches(left(name, 1), '[\p{L}\p{N}]'))
+    and not (regexp_matches(substr(t, place + length(name) + 1, 1), '[\p{L}\p{N}]') and regexp_matches(right(name, 1), '[\p{L}\p{N}]'))"""
+)
+def name_places(t):
+    """Where the first two words of every twentieth document stand in all documents of its language."""
+    d = t("documents").select("lang", "doc_id", "text")
+    words = F.regexp_extract_all("text", F.lit(r"[^ \t\n\x0B\f\r]+"), F.lit(0))
+    names = d.filter("doc_id % 20 = 0 and text <> ''").select("lang", F.array_join(F.slice(words, 1, 2), " ").alias("name"))
+    return occurrences(names, d, ["lang"]).select("lang", "name", "doc_id", "place")
