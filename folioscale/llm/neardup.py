@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -213,13 +213,14 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, files: int) -> DataFrame:
+        # the smallest neighbours are written before the edges meet them, so that the join is free to split a hub
         if large:
             both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+            least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")).coalesce(files), "least")
             out = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
-            least = e.groupBy("u").agg(F.min("v").alias("m"))
+            least = written(e.groupBy("u").agg(F.min("v").alias("m")).coalesce(files), "least")
             out = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -228,7 +229,8 @@ def connected(edges: DataFrame) -> DataFrame:
 
     before, now = None, mark(edges)
     while now != before and now[0]:
-        edges = written(star(star(edges, True), False).coalesce(1 + now[0] // EDGES), "edges")
+        files = 1 + now[0] // EDGES
+        edges = written(star(written(star(edges, True, files).coalesce(files), "star"), False, files).coalesce(files), "edges")
         before, now = now, mark(edges)
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
@@ -244,33 +246,54 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(sets))), *own, pa.array(size[at].astype(np.int64))], names=["shingle", "id", "root", "mark", "n"])
 
 
-def prefix_pairs(sets: DataFrame, t: float) -> DataFrame:
-    """(a, b): pairs of sets (id, root, shingles) of different roots that can have similarity ``t``.
+def prefix_rows(sets: DataFrame, t: float) -> DataFrame:
+    """(shingle, root, n, at, id): the prefixes of sets (id, root, shingles), written.
 
-    All sets order their shingles alike, rare ones first. With the first shared
-    shingle at place i of a set of n and place j of one of m, both counted from
-    0, the overlap is at most min(n - i, m - j), and t (n + m) / (1 + t) is
-    needed. Sets of one root that agree in size and place stand for each other
-    until then.
+    All sets order their shingles alike, rare ones first; ``at`` is a shingle's
+    place in a set of n. Two sets of similarity ``t`` share a shingle of both
+    prefixes.
     """
     # an id may come with several sets
     rows = arrow_map(sets.select("id", "root", F.xxhash64("shingles").alias("mark"), "shingles"), _shingle_rows, "shingle long, id long, root long, mark long, n long")
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    # written, so that the join is free to split a shingle that many sets hold
+    shared = written(rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "shared")
     # what a set has alone comes first in its order: its number is enough
     own = rows.join(shared.hint("merge"), "shingle").groupBy("id", "root", "mark", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
     alone = F.col("n") - F.size("own")
-    # a set meets larger partners with the first part of its prefix, and smaller ones with all of it
-    upto = lambda share: (F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1).cast("int")
-    first = F.slice("own", F.lit(1), F.greatest(F.lit(0), upto(t) - alone.cast("int")))
+    first = F.slice("own", F.lit(1), F.greatest(F.lit(0), _upto(t) - alone.cast("int")))
     prefix = own.select("id", "root", "n", alone.alias("alone"), F.posexplode(first).alias("pos", "x")).select(F.col("x.shingle").alias("shingle"), "root", "n", (F.col("alone") + F.col("pos")).alias("at"), "id")
-    prefix = written(prefix, "prefixes")
-    entries = prefix.groupBy("shingle", "root", "n", "at").agg(F.collect_list("id").alias("ids"))
-    x, y = entries.alias("x"), entries.filter(F.col("at") < upto(2 * t / (1 + t))).alias("y")
+    return written(prefix.distinct(), "prefixes")
+
+
+def _upto(share: float) -> Column:
+    """A set meets larger partners with the first part of its prefix, and smaller ones with all of it."""
+    return (F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1).cast("int")
+
+
+def prefix_pairs(prefix: DataFrame, t: float, every: bool) -> DataFrame:
+    """(a, b): sets of different roots that can have similarity ``t``, from ``prefix_rows``.
+
+    With the first shared shingle at place i of a set of n and place j of one of
+    m, both counted from 0, the overlap is at most min(n - i, m - j), and
+    t (n + m) / (1 + t) is needed. Sets of one root that agree in size and place
+    stand for each other until then; unless ``every``, only the smallest of them
+    comes out.
+    """
+    place = ["shingle", "root", "n", "at"]
+    entries = written(prefix.groupBy(*place).agg(F.min("id").alias("id")), "entries")
+    x, y = entries.alias("x"), entries.filter(F.col("at") < _upto(2 * t / (1 + t))).alias("y")
     room = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= (F.col("x.n") + F.col("y.n")) * F.lit(t / (1 + t)) - F.lit(1e-9)
     fits = (F.col("x.n") >= F.col("y.n")) & (F.col("y.n") >= F.col("x.n") * F.lit(t) - F.lit(1e-9)) & room
     met = x.join(y.hint("merge"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root")) & fits)
-    each = met.select(F.explode("x.ids").alias("a"), F.col("y.ids").alias("ids")).select("a", F.explode("ids").alias("b"))
-    return each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if every:
+        sides = written(met.select(F.col("x.shingle").alias("shingle"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in place[1:]]), "met")
+        for s, name in (("x", "a"), ("y", "b")):
+            own = prefix.select("shingle", *[F.col(c).alias(f"{s}_{c}") for c in place[1:]], F.col("id").alias(name))
+            sides = sides.join(own, ["shingle", *[f"{s}_{c}" for c in place[1:]]])
+        met = sides
+    else:
+        met = met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,8 +312,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("mark_a", "mark_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"), F.min("prefix").alias("prefix")).select("id", F.col("n_shingles").alias("n"), "mark_a", "mark_b", "sketch", "prefix"),
         "classes",
     )
-    bands = arrow_map(classes.select("id", "n", "sketch", "prefix"), _band_batches(t), "band long, id long")
-    sizes = bands.groupBy("band").agg(F.count("*").alias("g"), F.min("id").alias("leader")).filter("g > 1")
+    bands = written(arrow_map(classes.select("id", "n", "sketch", "prefix"), _band_batches(t), "band long, id long"), "banded")
+    # written, so that the join is free to split a band that many classes share
+    sizes = written(bands.groupBy("band").agg(F.count("*").alias("g"), F.min("id").alias("leader")).filter("g > 1"), "sizes")
     # the same plan at every size: these sides grow with the input
     grouped = written(bands.join(sizes.hint("merge"), "band"), "bands")
 
@@ -314,19 +338,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     members = sigs.join(classes.select("mark_a", "mark_b", F.col("n").alias("n_shingles"), "id"), ["mark_a", "mark_b", "n_shingles"], "left").select("doc_id", "n_shingles", "id")
     # rows of one doc_id with different sets are one document
     repeated = members.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("doc_id is not null and lo <> hi").select("doc_id", "lo")
+    repeated = written(repeated, "repeated")
     same_doc = members.join(repeated, "doc_id").select(F.col("id").alias("a"), F.col("lo").alias("b"))
     roots = connected(confirmed(likely).unionByName(same_doc.filter("a is not null")))
 
     # groups that still hold several components; a root has no row of its own in roots
-    labelled = several.join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
-    open_ = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band")
+    labelled = written(several.join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root")), "labelled")
+    open_ = written(labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("band"), "open_bands")
     left = labelled.join(open_, "band", "left_semi").select("id", "root").distinct()
-    met = prefix_pairs(written(left.join(sets, "id"), "open"), t)
-    # those links join components, so only their ends go through the rounds again
-    root_of = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
-    more = confirmed(met).join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
-    above = connected(more).select(F.col("id").alias("root"), F.col("root").alias("top"))
-    roots = roots.join(above, "root", "left").select("id", F.coalesce("top", "root").alias("root")).unionByName(above.select(F.col("root").alias("id"), F.col("top").alias("root")))
+    prefix = prefix_rows(written(left.join(sets, "id"), "open"), t)
+    # first one set for all of its root that agree with it, then, between roots that this leaves apart, every set
+    for every in (False, True):
+        root_of = lambda side, roots=roots: roots.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+        # those links join components, so only their ends go through the rounds again
+        more = confirmed(prefix_pairs(prefix, t, every)).join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+        above = connected(more).select(F.col("id").alias("root"), F.col("root").alias("top"))
+        prefix = prefix.join(above, "root", "left").select("shingle", F.coalesce("top", "root").alias("root"), "n", "at", "id")
+        roots = written(roots.join(above, "root", "left").select("id", F.coalesce("top", "root").alias("root")).unionByName(above.select(F.col("root").alias("id"), F.col("top").alias("root"))).distinct(), "roots")
 
     out = members.join(roots, "id", "left").select(
         "doc_id",
