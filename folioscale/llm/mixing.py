@@ -85,6 +85,10 @@ def expected_copies(groups: DataFrame) -> DataFrame:
     return parted.select("source", "weight", "sure", "p", F.floor(share + F.lit(0.5)).alias("n_sample"), room.alias("room"), (share / F.sum("n_docs").over(source)).alias("typical"))
 
 
+#: Buckets that the documents of one source and size are cut into, to be put in order.
+BUCKETS = 256
+
+
 def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
@@ -141,8 +145,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     picks = written(picks, "picks")
     offered = first.join(picks, _same(F.col("source"), F.col("_s")) & (F.col("size") == F.col("_size")), "left").drop("_s", "_size")
     able = (F.col("extra") == 0) & (F.col("sure") < MOST_COPIES) & F.col("_n").isNotNull()
-    turn = F.row_number().over(Window.partitionBy("source", "size").orderBy("q", "key"))
-    filled = offered.filter(able).withColumn("extra", (turn <= F.col("_n")).cast("int"))
+    # rises with q, then, among those without odds, with the key; a size that much of a source has is cut into buckets
+    place = F.when(F.col("q") < float("inf"), 0.5 * F.col("q") / (1 + F.col("q"))).otherwise(0.5 + 0.5 * unit_hash(F.col("key")))
+    turns = running(offered.filter(able), ["source", "size"], place, [F.col("q"), F.col("key")], {"turn": F.lit(1).cast("long")}, BUCKETS)
+    filled = turns.withColumn("extra", (F.col("turn") < F.col("_n")).cast("int")).drop("turn")
     added = filled.unionByName(offered.filter(~able))
     copies = (F.col("sure") + F.col("extra")).cast("int")
     s = targets.select(F.col("source").alias("_t"), "source_size", "target")
