@@ -13,8 +13,8 @@ from .shared import written
 
 #: Lines on more than this share of a host's pages go.
 RATIO = 0.5
-#: A line must be on so many pages of the host, so that hosts with one page keep theirs.
-LEAST_PAGES = 3
+#: A line on a single page is no repetition: a host's only page keeps its lines.
+LEAST_PAGES = 2
 
 # Patterns over HTML, the same in both SQL dialects.
 HIDDEN = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"
@@ -46,12 +46,14 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST_
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), visible_lines(F.col(html_col)).alias("lines"))
     # pages that agree in all of this lose the same lines
     own = written(rows.withColumn("page", F.md5(F.concat_ws("\n", F.col("host"), F.array_join("lines", "\n")))), "lines")
-    totals = own.groupBy("host").agg(F.count("*").alias("n_pages"))
+    # written, so that the joins are free to split a host, or a page with many copies
+    totals = written(own.groupBy("host").agg(F.count("*").alias("n_pages")), "totals")
     # a page gives each of its lines once: counts come together before the shuffle
     counts = own.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     common = written(counts.join(totals, "host").filter(F.col("n") > ratio * F.col("n_pages")).select("host", "line"), "common")
     # of each page only its boilerplate travels
     hits = own.select("page", "host", F.explode(F.array_distinct("lines")).alias("line")).join(common, ["host", "line"]).groupBy("page").agg(F.collect_set("line").alias("drop"))
+    hits = written(hits, "hits")
     joined = own.join(hits, "page", "left")
     kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("drop"), x)))
     return joined.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(kept)).cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("text"))

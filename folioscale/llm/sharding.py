@@ -50,7 +50,7 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, seed: int = 42) -> None:
-    """Write the rows of ``docs`` as Parquet in folders shard=0, shard=1 and so on, in slot order.
+    """Write the rows of ``docs`` as Parquet in folders shard=0, shard=1 and so on, each file in slot order.
 
     A column ``slot`` gives the order and the folder the shard; columns of
     ``docs`` with these names are left out. Equal rows take their slots in turn.
@@ -60,4 +60,5 @@ def write_shards(docs: DataFrame, path: str, shards: int = 40, seed: int = 42) -
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]).alias("row"), share(document_key(F.col("doc_id"), F.col("text").cast("string"), seed), F.col("source")).alias("k"))
     turn = F.row_number().over(Window.partitionBy("k").orderBy("k")) - 1
     out = packed.join(plan, "k").withColumn("place", F.get("places", turn)).select("row.*", F.col("place.shard").alias("shard"), F.col("place.slot").alias("slot"))
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    # ranges of slots, so that a shard is as many files as its rows need
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
