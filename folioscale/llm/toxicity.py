@@ -10,8 +10,10 @@ hits of a document add up to gives the score.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,40 +25,45 @@ from .shared import arrow_map
 
 #: Labelled documents of each class that lexicon and regression are fitted on, at most.
 SAMPLE = 1500
-#: Entries of the lexicon, at most, those that tell most; and as many whole terms beside their beginnings. The automaton's states grow with them.
-ENTRIES = 150
+#: What an entry must tell: its log odds times the share of the toxic documents that hold it.
+GAIN = 0.08
 #: Terms from so many letters on are also found with one edit.
 FUZZY_FROM = 5
 #: Words on either side of a hit that are looked at for quotation marks.
 WINDOW = 6
-_CODES = 2304  # characters of one or two bytes; one code more for all others
+#: Scripts without spaces between words, where a term can begin at every letter.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FFFF))
+POINTS = 0x110000
 
 
-def _fold_table() -> np.ndarray:
-    table = np.arange(_CODES + 1)
-    for c in range(2048):
+@cache
+def _folded() -> np.ndarray:
+    """For each code point its lower case, if that is one character."""
+    table = np.arange(POINTS)
+    for c in range(0x20000):
         low = chr(c).lower()
-        if len(low) == 1 and ord(low) < 2048:
-            table[_code(c)] = _code(ord(low))
+        if len(low) == 1:
+            table[c] = ord(low)
     return table
 
 
-def _code(point: int) -> int:
-    return point if point < 128 else 256 + point
-
-
-_FOLDED = _fold_table()
-
-
 def char_codes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Folded character codes of UTF-8 bytes, and for each byte the number of characters before it."""
+    """Folded code points of UTF-8 bytes, and for each byte the number of characters before it."""
     code = data.astype(np.int64)
-    two = np.flatnonzero((data >= 0xC2) & (data < 0xE0))
-    two = two[two + 1 < len(data)]
-    code[two] = 256 + (((code[two] & 0x1F) << 6) | (code[two + 1] & 0x3F))
-    code[data >= 0xE0] = _CODES
+    tail = np.concatenate([code & 0x3F, [0, 0, 0]])
+    at = np.arange(len(code))
+    for least, below, bits in ((0xC2, 0xE0, 0x1F), (0xE0, 0xF0, 0x0F), (0xF0, 0xF5, 0x07)):
+        own = at[(data >= least) & (data < below)]
+        value = code[own] & bits
+        for i in range(1, 2 + (least >= 0xE0) + (least >= 0xF0)):
+            value = (value << 6) | tail[own + i]
+        code[own] = np.minimum(value, POINTS - 1)
     head = (data & 0xC0) != 0x80
-    return _FOLDED[np.minimum(code[head], _CODES)], np.concatenate([[0], np.cumsum(head)])
+    return _folded()[code[head]], np.concatenate([[0], np.cumsum(head)])
+
+
+def unspaced(codes: np.ndarray) -> np.ndarray:
+    return np.logical_or.reduce([(codes >= a) & (codes <= b) for a, b in UNSPACED])
 
 
 def without_marks(data: np.ndarray) -> np.ndarray:
@@ -94,10 +101,9 @@ class Automaton:
             fuzzy_below[node] |= fuzzy
             (begin if entry.endswith("*") else whole)[node] = number
         letters = sorted({c for node in trie for c in node})
-        self.classes = np.zeros(_CODES + 1, dtype=np.int64)  # class 0: letters of no entry
+        self.classes = np.zeros(POINTS, dtype=np.int32)  # class 0: letters of no entry
         for i, c in enumerate(letters):
-            if ord(c) < 2048:
-                self.classes[_code(ord(c))] = i + 1
+            self.classes[ord(c)] = i + 1
         symbols = ["", *letters]
 
         def closure(states: set) -> frozenset:
@@ -222,7 +228,16 @@ class Scorer:
             rows = slice(first, last)
             if len(words.starts) and len(self.weights):
                 codes, before = char_codes(words.data)
-                word, entry, edits = self.automaton.run(codes, before[words.starts], before[words.ends])
+                starts, ends = before[words.starts], before[words.ends]
+                own = np.arange(len(starts))
+                inner = np.flatnonzero(unspaced(codes))
+                if len(inner):
+                    # a word goes on from each letter of a script without spaces
+                    of = np.searchsorted(starts, inner, side="right") - 1
+                    held = (of >= 0) & (inner < ends[of]) & (inner > starts[of])
+                    starts, ends, own = np.concatenate([starts, inner[held]]), np.concatenate([ends, ends[of[held]]]), np.concatenate([own, of[held]])
+                word, entry, edits = self.automaton.run(codes, starts, ends)
+                word = own[word]
                 row = np.searchsorted(words.rows, word, side="right") - 1
                 cited = np.array([quoted(raw, words, int(r), int(w), WINDOW) for r, w in zip(row, word, strict=True)], dtype=bool)
                 k = last - first
@@ -268,19 +283,30 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip((x - self.mean) / self.scale @ self.beta + self.bias, -30, 30)))
 
 
-def _parts(text: str | None) -> set[str]:
-    import re
+#: Words as the scorer cuts them: letters with their marks, no digits, no punctuation.
+TERM = re.compile(r"[^\x00-\x40\x5b-\x60\x7b-\x7f\u00a0-\u00bf\u2000-\u206f]+")
+
 
+def _parts(text: str | None) -> set[str]:
+    """Terms and, with a star, word beginnings; of scripts without spaces runs of two to four letters."""
     out = set()
-    for w in set(re.findall(r"[^\W\d_]+", (text or "").lower())):
-        if len(w) >= 4 and len(w) <= 30:
+    for w in set(TERM.findall((text or "").lower())):
+        points = np.array([ord(c) for c in w]) if not w.isascii() else np.zeros(0, np.int64)
+        if len(points) and unspaced(points).any():
+            out.update(w[i : i + k] + "*" for k in (2, 3, 4) for i in range(len(w) - k + 1) if unspaced(points[i : i + k]).all())
+        elif 4 <= len(w) <= 30:
             out.add(w)
             out.update(w[:k] + "*" for k in range(4, min(len(w), 9)))
     return out
 
 
-def learn_entries(texts: list[str | None], y: np.ndarray, entries: int = ENTRIES) -> tuple[list[str], np.ndarray]:
-    """Terms and beginnings that are far likelier in toxic documents, with their log odds."""
+def learn_entries(texts: list[str | None], y: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Terms and beginnings that are far likelier in toxic documents, with their log odds.
+
+    All that stand in a hundredth of the toxic documents of the sample, and in
+    three at least, and whose log odds are over 1.2, and, times the share of the
+    toxic documents that hold them, tell enough.
+    """
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
     if not n1 or not n0:
         return [], np.zeros(0)
@@ -291,7 +317,7 @@ def learn_entries(texts: list[str | None], y: np.ndarray, entries: int = ENTRIES
     found = []
     for part, a in toxic.items():
         odds = np.log((a + 0.5) / (n1 + 1)) - np.log((clean[part] + 0.5) / (n0 + 1))
-        if a >= least and odds >= 1.2:
+        if a >= least and odds >= 1.2 and a * odds >= GAIN * n1:
             found.append((a * odds, part, odds))
     found.sort(key=lambda v: (-v[0], v[1]))
     chosen: dict[str, float] = {}
@@ -300,10 +326,7 @@ def learn_entries(texts: list[str | None], y: np.ndarray, entries: int = ENTRIES
         word = part.rstrip("*")
         # beginnings match exactly: a long term that one covers stays for its misspellings
         if part == word and len(word) >= FUZZY_FROM and any(word.startswith(c[:-1]) for c in chosen if c.endswith("*")):
-            if len(beside) < entries:
-                beside[part] = odds
-            continue
-        if len(chosen) >= entries:
+            beside[part] = odds
             continue
         # a beginning of a chosen beginning, or what one covers, says nothing new
         if any(word.startswith(c[:-1]) or (part.endswith("*") and c.startswith(word)) for c in chosen if c.endswith("*")) or (part.endswith("*") and any(c.startswith(word) for c in chosen)):
