@@ -21,8 +21,10 @@ from .shared import arrow_map, written
 
 #: Labelled texts for the text model, for each language, about; a sample by hash.
 SAMPLE = 400
-#: Languages of the text model, the most frequent ones; a model of more than 200 takes over 50 MB.
-LANGUAGES = 200
+#: Labelled texts for the text model, of all languages, about.
+MOST = 80_000
+#: What a trigram that a sample lacks counts.
+UNSEEN = 0.05
 FEATURES = 1 << 16
 #: A text's trigrams, which overlap and depend on each other, weigh as n / (1 + n / EVIDENCE) independent ones.
 EVIDENCE = 60
@@ -44,58 +46,74 @@ def _features(data: np.ndarray) -> np.ndarray:
 
 
 class TextModel:
-    """Log likelihoods of trigrams under each language."""
+    """Log likelihoods of trigrams under each language.
+
+    A trigram that a language's sample lacks has that language's least
+    likelihood; only the others are held, by trigram, so that the model grows
+    with the sample and not with the number of languages.
+    """
 
     def __init__(self, languages: list[str], texts: dict[str, list[str]]):
         self.languages = languages
-        self.logp = np.zeros((FEATURES, len(languages)), dtype=np.float32)
+        least, held = np.zeros(len(languages)), []
         for k, name in enumerate(languages):
-            counts = np.full(FEATURES, 0.05)
+            counts = np.zeros(FEATURES, np.int64)
             for text in texts[name]:
                 data = np.frombuffer(text.encode(), np.uint8)
                 if len(data) > 2:
-                    np.add.at(counts, _features(data), 1)
-            self.logp[:, k] = np.log(counts / counts.sum())
+                    counts += np.bincount(_features(data), minlength=FEATURES)
+            least[k] = np.log(UNSEEN / (counts.sum() + UNSEEN * FEATURES))
+            own = np.flatnonzero(counts)
+            held.append((own, np.full(len(own), k), np.log1p(counts[own] / UNSEEN)))
+        feature, language, more = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.argsort(feature, kind="stable")
+        self.least, self.language, self.more = least, language[order], more[order].astype(np.float32)
+        self.begin = np.searchsorted(feature[order], np.arange(FEATURES + 1))
 
     def score(self, column) -> tuple[np.ndarray, np.ndarray]:
         """Log likelihoods (rows by languages) and the number of trigrams that hold a letter."""
         data, off = tokens.text_buffers(column)
-        out = np.zeros((len(off) - 1, len(self.languages)))
+        size = len(self.languages)
+        out = np.zeros((len(off) - 1, size))
         n = np.zeros(len(off) - 1, np.int64)
-        a = 0
-        while a < len(off) - 1:
-            b = min(max(int(np.searchsorted(off, off[a] + (1 << 20), side="right")) - 1, a + 1), len(off) - 1)
-            part, o = data[off[a] : off[b]], off[a : b + 1] - off[a]
-            if len(part) > 2:
-                feature = _features(part)
-                letters = _FOLD[part] != 0x20
-                held = letters[:-2] | letters[1:-1] | letters[2:]
-                last = np.maximum(o[1:] - 2, o[:-1])  # trigrams of a row end before the next row
-                total = np.zeros((len(feature) + 1, len(self.languages)))
-                np.cumsum(np.where(held[:, None], self.logp[feature], 0), axis=0, dtype=np.float64, out=total[1:])
-                count = np.concatenate([[0], np.cumsum(held)])
-                begin, end = np.minimum(o[:-1], len(feature)), np.minimum(last, len(feature))
-                out[a:b], n[a:b] = total[end] - total[begin], count[end] - count[begin]
-            a = b
-        return out, n
-
-
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> TextModel:
-    """A text model of the ``languages`` most frequent languages, from about ``sample`` texts of each and ``sample`` times ``languages`` at most.
+        row_of = np.searchsorted(off, np.arange(off[0], off[-1]), side="right") - 1 if len(off) > 1 else off
+        # a piece has few enough trigrams for all its likelihoods, whatever the number of languages
+        step = max(1 << 14, (1 << 23) // max(8, size))
+        for a in range(int(off[0]), int(off[-1]), step):
+            part = data[a : a + step + 2]
+            if len(part) < 3 or not size:
+                continue
+            row = row_of[a - off[0] : a - off[0] + len(part) - 2]
+            letters = _FOLD[part] != 0x20
+            # trigrams of a row end before the next row
+            own = (letters[:-2] | letters[1:-1] | letters[2:]) & (np.arange(a, a + len(part) - 2) + 2 < off[row + 1])
+            row, feature = row[own], _features(part)[own]
+            first, count = self.begin[feature], self.begin[feature + 1] - self.begin[feature]
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(feature) else first
+            low = int(row[0]) if len(row) else 0
+            span = (int(row[-1]) - low + 1) if len(row) else 0
+            added = np.bincount(np.repeat(row - low, count) * size + self.language[at], weights=self.more[at], minlength=span * size) if span else np.zeros(0)
+            out[low : low + span] += added.reshape(span, size)
+            n += np.bincount(row, minlength=len(n))
+        return out + n[:, None] * self.least, n
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, most: int = MOST) -> TextModel:
+    """A text model of every language, from about ``sample`` texts of each, and about ``most`` of all, one of each at least.
 
     Rows are chosen by a hash of all their columns, so that copies with other
     ids do not come together; null labels and texts take no part.
     """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), ((F.pmod(F.xxhash64(*labelled.columns), F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))).alias("u")).filter("text is not null and lang is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages).collect()}
-    names = sorted(counts)
+    # one row for each language, with the least hash of its texts
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("u").alias("least")), "languages")
+    names = sorted(r.lang for r in counts.select("lang").collect())
     texts: dict[str, list[str]] = {n: [] for n in names}
     if names:
-        # the place of a row among those of its language, about
-        place = F.col("u") * F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col("lang"))
-        # first what is far behind goes, so that each task sends a few rows and not its best ``sample`` times the languages
-        near = rows.filter(F.col("lang").isin(names)).withColumn("place", place).filter(F.col("place") <= 2 * sample)
-        for r in near.orderBy("place", "lang", "text").limit(sample * len(names)).collect():
+        each = max(1, min(sample, most // len(names)))
+        # the place of a row among those of its language, about; its first row always comes
+        near = rows.join(counts, "lang").withColumn("place", F.col("u") * F.col("n")).filter((F.col("place") <= 2 * each) | (F.col("u") == F.col("least")))
+        for r in near.orderBy(F.col("u") != F.col("least"), "place", "lang", "text").limit(each * len(names)).collect():
             texts[r.lang].append(r.text)
     return TextModel(names, texts)
 
@@ -125,26 +143,28 @@ def identify(rows: DataFrame, model: TextModel, row_id: Column, text: Column, de
     given = rows.select(row_id.alias("row_id"), F.lower(missing(declared)).alias("declared"), missing(suffix).alias("suffix"), missing(host).alias("host"), missing(domain).alias("domain"), text.cast("string").alias("text"))
     scored = written(arrow_map(given, score, f"row_id {kind}, declared string, suffix string, host string, domain string, ll array<double>, best int"), "language")
 
-    def shares(col: str, name: str) -> DataFrame:
+    def shares(keys: list[str], name: str) -> DataFrame:
         """For each value: how often the text alone says each language."""
-        return scored.filter("best >= 0").groupBy(col).agg(F.array(*[F.count(F.when(F.col("best") == i, 1)).cast("double") for i in range(k)]).alias(name))
+        counted = scored.filter("best >= 0").groupBy(*keys, "best").agg(F.count("*").cast("double").alias("n"))
+        held = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("held"))
+        return held.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0.0))).alias(name))
 
     if not k:
         return scored.select("row_id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), "declared", "host", F.lit(False).alias("accepted"))
-    base = scored.filter("best >= 0").agg(*[F.count(F.when(F.col("best") == i, 1)).alias(f"c{i}") for i in range(k)]).first()
-    total = sum(base) + k
-    overall = [(c + 1) / total for c in base]
+    base = {r.best: r["count"] for r in scored.filter("best >= 0").groupBy("best").count().collect()}
+    total = sum(base.values()) + k
+    overall = [(base.get(i, 0) + 1) / total for i in range(k)]
     every = F.array(*[F.lit(x) for x in overall])
-    none = F.array(*[F.lit(0.0)] * k)
+    none = F.array_repeat(F.lit(0.0), k)
     summed = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
     smooth = lambda counts, toward, w: F.zip_with(counts, toward, lambda c, p: (c + w * p) / (summed(counts) + w))
 
     # hosts meet their domains before the rows meet their hosts
-    domains = shares("domain", "dc").select("domain", smooth(F.col("dc"), every, DOMAIN_WEIGHT).alias("dp"))
-    hosts = scored.filter("best >= 0").groupBy("host", "domain").agg(F.array(*[F.count(F.when(F.col("best") == i, 1)).cast("double") for i in range(k)]).alias("hc"))
+    domains = shares(["domain"], "dc").select("domain", smooth(F.col("dc"), every, DOMAIN_WEIGHT).alias("dp"))
+    hosts = shares(["host", "domain"], "hc")
     # written, so that the join of the rows is free to split a host that holds much of them
     priors = written(hosts.join(domains, "domain").select("host", "domain", smooth(F.col("hc"), F.col("dp"), HOST_WEIGHT).alias("prior")), "priors")
-    out = scored.join(priors, ["host", "domain"], "left").join(shares("declared", "mc"), "declared", "left").join(shares("suffix", "sc"), "suffix", "left")
+    out = scored.join(priors, ["host", "domain"], "left").join(written(shares(["declared"], "mc"), "declared"), "declared", "left").join(written(shares(["suffix"], "sc"), "suffix"), "suffix", "left")
 
     def likelihood(counts: Column) -> Column:
         """P(value | language) up to a factor that all languages share: P(language | value) / P(language)."""
