@@ -158,16 +158,19 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     Queries are the rows whose id is divisible by ``every``; a query's own id
     is no candidate for it. Vectors that are null, empty, or hold null or
     non-finite components, rows without id, and vectors of another length than
-    the query's take no part. Of repeated rows each is a candidate. With fewer
+    the query's take no part. Of rows with one id each is a candidate, and the
+    smallest vector, shorter ones first, is the id's query. With fewer
     candidates than k, all are returned.
     """
     vectors = written(integer_vectors(df, id_col, vec_col, scale).withColumn("dim", F.size("v")).withColumn("norm", F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)), "vectors")
     spark = vectors.sparkSession
     out = T.StructType.fromDDL("query_id long, vec_id long, score long")
+    asked = vectors.filter(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("dim", "v")).alias("q"))
+    asked = written(asked.select("id", "q.dim", "q.v"), "queries")
     done = None
     # one index for each vector length (embeddings have one); only lengths and their largest norms come to the driver
     for dim, most, n in vectors.groupBy("dim").agg(F.max("norm"), F.count("*")).orderBy("dim").collect():
-        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), float(most), k, every, min(pivots, max(LEAST_PIVOTS, -(-n // part))), part)
+        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), asked.filter(F.col("dim") == dim).select("id", "v"), float(most), k, min(pivots, max(LEAST_PIVOTS, -(-n // part))), part)
         done = found if done is None else done.unionByName(found)
     if done is None:
         done = spark.createDataFrame([], out)
@@ -177,7 +180,7 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     return flat.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.minus")).alias("score"))
 
 
-def _top_k_of(vectors: DataFrame, most: float, k: int, every: int, pivots: int, part: int) -> DataFrame:
+def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, k: int, pivots: int, part: int) -> DataFrame:
     spark = vectors.sparkSession
     sample = vectors.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(pivots).collect()
     centre = _extended(np.array([r.v for r in sample], dtype=np.int64), most)
@@ -236,7 +239,7 @@ def _top_k_of(vectors: DataFrame, most: float, k: int, every: int, pivots: int,
         blocks = queries.join(load, "node").groupBy("node", block.alias("block")).agg(F.collect_list(F.struct("id", "v", "bound")).alias("queries"))
         return arrow_map(trees.join(blocks, "node").select("tree", "queries"), search_batches, "query_id long, vec_id long, score long")
 
-    queries = dealt.filter(F.col("id") % every == 0).dropDuplicates(["id"]).select("node", "id", "v")
+    queries = dealt.join(asked, ["id", "v"], "left_semi").dropDuplicates(["id"]).select("node", "id", "v")
     home = written(searched(queries.withColumn("bound", F.lit(None).cast("double"))), "home")
     bound = home.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(-F.col("score"))), k, 1).alias("b")).select(F.col("query_id").alias("id"), (-F.get("b", F.lit(0))).cast("double").alias("bound"))
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from folioscale.llm import langid, linededup, toxicity
+from folioscale.llm import langid, linededup, topk, toxicity
 
 
 def test_text_model_by_loops():
@@ -65,3 +65,18 @@ def test_a_host_of_two_pages_loses_its_menu(spark):
     pages = [(1, "http://two/a", "<p>menu</p><p>first</p>"), (2, "http://two/b", "<p>menu</p><p>second</p>"), (3, "http://one/a", "<p>menu</p><p>only</p>"), (4, "http://three/a", "<p>x</p><p>menu</p>"), (5, "http://three/b", "<p>y</p>"), (6, "http://three/c", "<p>y</p>")]
     got = {r.page_id: r.text for r in linededup.drop_boilerplate(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == {1: "first", 2: "second", 3: "menu\nonly", 4: "x\nmenu", 5: "", 6: ""}
+
+
+def test_top_k_of_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 40), [float(x) for x in rng.integers(-3, 4, 2 + i % 2 * (i > 60))]) for i in range(160)]
+    ints = [(i, [int(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 20):
+        own = min((len(v), v) for i, v in ints if i == q)[1]
+        best = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in ints if i != q and len(v) == len(own))[:6]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for n in (1, 3, 7):
+        got = topk.top_k(df.repartition(n, "embedding"), k=6, every=20, pivots=4, part=30)
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
