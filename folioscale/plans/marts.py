@@ -43,3 +43,31 @@ def new_days(sales: DataFrame, mart: DataFrame) -> DataFrame:
     """The days of the mart that an increment has to build again: from its last day on."""
     last = mart.agg(F.max("order_date").alias("_last"))
     return daily_revenue(sales.join(F.broadcast(last), F.col("_last").isNull() | (F.to_date("order_date") >= F.col("_last"))).drop("_last"))
+
+
+def customer_bitmaps(sales: DataFrame, number: Column) -> DataFrame:
+    """order_date, region, product, bucket, customers: which customers bought, as bitmaps that merge exactly.
+
+    ``number`` is a customer's number, a long. A bitmap holds the 32,768 numbers
+    of its bucket.
+    """
+    held = sales.withColumns({"_number": number.cast("long"), "_day": F.to_date("order_date")}).filter("_number is not null")
+    return held.groupBy(F.col("_day").alias("order_date"), "region", "product", F.bitmap_bucket_number("_number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("customers"))
+
+
+def distinct_customers(bitmaps: DataFrame, by: list[str]) -> DataFrame:
+    """by, customers: true distinct customers, from the bitmaps alone."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("customers")).alias("customers"))
+
+
+def dashboard(mart: DataFrame) -> DataFrame:
+    """region, product, level, revenue, orders, n_rows: all groupings of a dashboard from one aggregate.
+
+    ``level`` is 0 for cells, 1 by region, 2 by product and 3 for the one row of
+    totals; a column that a level does not group by is null.
+    """
+    sets = [["region", "product"], ["region"], ["product"], []]
+    sums = (money_sum(F.col("revenue")).cast("double").alias("revenue"), F.sum("order_count").alias("orders"), F.count("*").alias("n_rows"))
+    grouped = mart.groupingSets([[F.col(c) for c in s] for s in sets], "region", "product")
+    return grouped.agg(F.grouping_id().cast("int").alias("level"), *sums).select("region", "product", "level", "revenue", "orders", "n_rows")

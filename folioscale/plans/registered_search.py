@@ -1,4 +1,4 @@
-"""Queries over the search indexes, the dictionary check and the mart's mergeable counts."""
+"""Queries over the search indexes, names, the dictionary check, trees and the mart's mergeable counts."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import spelling, trees
 from ..operators.names import occurrences
 from ..sources.catalog import Catalog
+from . import marts
+from .registered_relational import _MART, _SALES, _sales
 from .registry import Registry
 from .trigrams import TextIndex
 from .vectors import InvertedVectors
@@ -78,3 +81,52 @@ def name_places(t):
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\n\x0B\f\r]+"), F.lit(0))
     names = d.filter("doc_id % 20 = 0 and text <> ''").select("lang", F.array_join(F.slice(words, 1, 2), " ").alias("name"))
     return occurrences(names, d, ["lang"]).select("lang", "name", "doc_id", "place")
+
+
+@register()
+def dictionary_check(t):
+    """Words that fewer than eight documents hold, against those that more do; a brute-force test holds the rows."""
+    d = t("documents").select("doc_id", "text")
+    held = d.select("doc_id", F.explode(F.array_distinct(spelling.words_of(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("weight"))
+    return spelling.check_texts(d, held.filter("weight >= 8"), weight="weight")
+
+
+@register(
+    """with recursive n as (select doc_id id, case when doc_id > 0 then doc_id // 3 end parent, n_chars v, source from documents),
+  up as (select id, id ancestor, 0 steps from n union all select up.id, n.parent, steps + 1 from up join n on n.id = ancestor where n.parent is not null and n.parent in (select id from n)),
+  p as (select up.id, max(steps) depth, string_agg(printf('%012d', x.v) || ':' || printf('%012d', ancestor), '/' order by steps desc) path from up join n x on x.id = ancestor group by 1),
+  b as (select ancestor id, count(*) n_below, sum(v) total from up join n using (id) group by 1),
+  o as (select id, depth, row_number() over (order by path) - 1 as low from p)
+  select id, depth, low, low + n_below - 1 high, n_below, total::bigint total from o join b using (id)"""
+)
+def contents_tree(t):
+    """Documents as a tree of threes, sisters by their length."""
+    nodes = t("documents").select(F.col("doc_id").alias("id"), F.expr("case when doc_id > 0 then doc_id div 3 end").alias("parent_id"), "n_chars")
+    return trees.nested(nodes, ["n_chars"], F.col("n_chars")).drop("path")
+
+
+_MONTH = "date_trunc('month', order_date)::date"
+
+
+@register(
+    f"""select 'region' as part, region as value, count(distinct customer_id)::bigint customers from ({_SALES}) group by region
+  union all select 'product', product, count(distinct customer_id) from ({_SALES}) group by product
+  union all select 'month', {_MONTH}::varchar, count(distinct customer_id) from ({_SALES}) group by {_MONTH}
+  union all select 'all', null, count(distinct customer_id) from ({_SALES})"""
+)
+def true_customers(t):
+    """Distinct customers by three columns and in all, from stored bitmaps by day, region and product."""
+    cat, space = Catalog(t("orders").sparkSession), _space()
+    cat.replace(space, "customers", marts.customer_bitmaps(_sales(t), F.col("customer_id")))
+    maps = cat.read(space, "customers").withColumn("month", F.trunc("order_date", "month").cast("string"))
+    parts = [marts.distinct_customers(maps, [c]).select(F.lit(c).alias("part"), F.col(c).alias("value"), "customers") for c in ("region", "product", "month")]
+    whole = marts.distinct_customers(maps.withColumn("all", F.lit(1)), ["all"]).select(F.lit("all").alias("part"), F.lit(None).cast("string").alias("value"), "customers")
+    return reduce(DataFrame.unionByName, [*parts, whole])
+
+
+@register(
+    f"""select region, product, grouping(region, product)::int as level, cast(sum(cast(revenue as decimal(20,4))) as double) revenue, sum(order_count)::bigint orders, count(*) as n_rows
+  from ({_MART}) group by grouping sets ((region, product), (region), (product), ())"""
+)
+def dashboard_sets(t):
+    return marts.dashboard(marts.daily_revenue(_sales(t)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,35 @@ def reset(spark: SparkSession) -> None:
     spark.catalog.clearCache()
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; on one machine without that setting, a folder of the warehouse."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/folioscale-{spark.sparkContext.applicationId}"
+
+
+def written(df, what: str):
+    """Cut the lineage: write to the shared folder and read back, so that a lost executor costs nothing that is done."""
+    spark = df.sparkSession
+    path = f"{_own_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what this application has written in between, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 
