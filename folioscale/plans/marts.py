@@ -65,7 +65,8 @@ def dashboard(mart: DataFrame) -> DataFrame:
     """region, product, level, revenue, orders, n_rows: all groupings of a dashboard from one aggregate.
 
     ``level`` is 0 for cells, 1 by region, 2 by product and 3 for the one row of
-    totals; a column that a level does not group by is null.
+    totals; a column that a level does not group by is null. An empty mart has no
+    rows, not even totals.
     """
     sets = [["region", "product"], ["region"], ["product"], []]
     sums = (money_sum(F.col("revenue")).cast("double").alias("revenue"), F.sum("order_count").alias("orders"), F.count("*").alias("n_rows"))

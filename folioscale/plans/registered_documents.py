@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import cells, text
 from ..operators import chunks, documents, joins
 from . import bronze, export, gold, quality, search, silver
-from .registry import Registry
+from .registry import Registry, vector_of
 
 register = Registry()
 QUERIES, SQL = register.queries, register.sql
@@ -162,9 +162,12 @@ def field_extract(t):
     return t("part").select("p_partkey", text.field_line(c, "Range").alias("rng"), text.field_anywhere(c, "Duration").alias("dur_any"), text.field_line(c, "Duration").alias("dur_line"), text.field_line(c, "Area of Effect").alias("area"))
 
 
-@register("select doc_id, cast(instr(lower(text), 'idiot') as int) pos from documents where regexp_matches(text, '(^|[^a-zA-Z0-9À-ÿ])[iI][dD][iI][oO][tT]([^a-zA-Z0-9À-ÿ]|$)') and not regexp_matches(lower(text), '[a-z0-9à-ÿ]idiot|idiot[a-z0-9à-ÿ]')")
+@register(
+    r"""select doc_id, (length(regexp_extract(text, '(?is)^(.*?)(?:^|[^\p{L}\p{N}])idiot(?:$|[^\p{L}\p{N}])', 1)) + length(regexp_extract(text, '(?is)^.*?(^|[^\p{L}\p{N}])idiot(?:$|[^\p{L}\p{N}])', 1)) + 1)::int pos
+  from documents where regexp_matches(text, '(?i)(^|[^\p{L}\p{N}])idiot($|[^\p{L}\p{N}])')"""
+)
 def whole_word_position(t):
-    d = t("documents").select("doc_id", "text").filter(~F.lower("text").rlike("[a-z0-9à-ÿ]idiot|idiot[a-z0-9à-ÿ]"))
+    d = t("documents").select("doc_id", "text")
     return d.withColumn("pos", text.whole_word_position(F.col("text"), "idiot")).filter("pos > 0").select("doc_id", "pos")
 
 
@@ -216,7 +219,7 @@ def rerank(t):
 @register()
 def hybrid_search(t):
     d, e = t("documents").select("doc_id", "text", "source"), t("embeddings")
-    q = list(e.filter("vec_id = 7").first().embedding)
+    q = vector_of(e, 7)
     near = search.vector_top_k(e, q, 20).select("vec_id", "similarity")
     from pyspark.sql import Window
 

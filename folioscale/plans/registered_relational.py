@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import keys, text
 from ..operators import intervals, joins, windows
 from . import marts, quality, search, silver
-from .registry import Registry
+from .registry import Registry, vector_of
 
 register = Registry()
 QUERIES, SQL = register.queries, register.sql
@@ -357,8 +357,7 @@ def mode_by_group(t):
 
 @register("select vec_id, round(similarity, 4) similarity from (select vec_id, list_dot_product(embedding::double[], q) / (sqrt(list_dot_product(embedding::double[], embedding::double[])) * sqrt(list_dot_product(q, q))) similarity from embeddings, (select embedding::double[] q from embeddings where vec_id = 7) order by similarity desc, vec_id limit 20)")
 def cosine_topk(t):
-    q = t("embeddings").filter("vec_id = 7").select("embedding").first()
-    return search.vector_top_k(t("embeddings"), list(q.embedding), 20).select("vec_id", F.round("similarity", 4).alias("similarity"))
+    return search.vector_top_k(t("embeddings"), vector_of(t("embeddings"), 7), 20).select("vec_id", F.round("similarity", 4).alias("similarity"))
 
 
 @register()

@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vector_of(embeddings: DataFrame, vec_id: int) -> list[float]:
+    """One vector, to search with; empty if it is not there."""
+    found = embeddings.filter(F.col("vec_id") == vec_id).select("embedding").first()
+    return list(found.embedding or []) if found else []
+
+
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

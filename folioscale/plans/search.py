@@ -36,7 +36,7 @@ def keyword_any(df: DataFrame, query: str, limit: int, text: str, key: str, ids:
 
 def cosine(vector: Column, query: list[float]) -> Column:
     """Cosine similarity with a fixed vector; null if either has no length."""
-    q = F.array(*[F.lit(float(x)) for x in query])
+    q = F.array(*[F.lit(float(x)) for x in query]).cast("array<double>")
     dot = F.aggregate(F.zip_with(vector, q, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     length = math.sqrt(sum(float(x) ** 2 for x in query))

@@ -39,7 +39,7 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names; on one machine without that setting, a folder of the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(found)
