@@ -2,45 +2,18 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import forget, ship, work_dir, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; in a session without one, a folder of its warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so that a lost executor costs nothing that is done."""
-    spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["LOWER", "UPPER", "arrow_map", "ascii_lower", "forget", "space_words", "table", "unit_hash", "work_dir", "written"]
 
 
-def _own_dir(spark: SparkSession) -> str:
-    return f"{work_dir(spark)}/folioscale-{spark.sparkContext.applicationId}"
-
-
-def forget(spark: SparkSession) -> None:
-    """Delete what this application has written in between, once its results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -62,15 +35,7 @@ def unit_hash(key: Column) -> Column:
     return (F.conv(F.substring(key, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-_SHIPPED: set[str] = set()
-
-
 def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the executors' path, wherever the driver has it from."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-        context.addPyFile(archive)
-        _SHIPPED.add(context.applicationId)
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
