@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscale.llm import decontam, langid, mixing, neardup, sharding
-from folioscale.llm.shared import table, written
+from folioscale.llm.shared import forget, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,3 +48,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def store(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the rows of ``run`` and delete what the stages have written in between."""
+    run(spark, sf_dir).write.parquet(path)
+    forget(spark)
