@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import answer_object
@@ -21,14 +23,18 @@ def cut(c, limit: int):
     return F.when(F.length(c) > limit, F.concat(F.left(c, F.lit(limit)), F.lit("..."))).otherwise(c)
 
 
+def filled(prompt: str, slots: dict[str, Column]) -> Column:
+    """A prompt with its {slots} filled at once: what a value holds is not looked at again."""
+    parts = re.split("(" + "|".join(re.escape(f"{{{name}}}") for name in slots) + ")", prompt)
+    return F.concat(F.lit(""), *[slots[p[1:-1]] if p[:1] == "{" and p[1:-1] in slots else F.lit(p) for p in parts if p])
+
+
 def summaries(index: DataFrame, entries: DataFrame, descriptions: DataFrame, done: DataFrame, model: object, prompt: str, types: list[str] | None = None, least: int = LEAST) -> DataFrame:
     """entry_id, source_file, entry_type, summary of what is pending and long enough; ``prompt`` has {title}, {type} and {text}."""
     work = pending(index, done, types).select("entry_id", "source_file", "entry_type", "entry_title")
     text = descriptions.select("entry_id", F.col("content").alias("_d"))
     j = work.join(entries.select("entry_id", "content", "char_count"), "entry_id").filter(F.col("char_count") >= least).join(text, "entry_id", "left")
-    asked = F.lit(prompt)
-    for slot, c in (("{title}", F.coalesce("entry_title", F.lit(""))), ("{type}", F.col("entry_type")), ("{text}", cut(F.coalesce("_d", "content"), SUMMARY_LIMIT))):
-        asked = F.replace(asked, F.lit(slot), c)
+    asked = filled(prompt, {"title": F.coalesce("entry_title", F.lit("")), "type": F.col("entry_type"), "text": cut(F.coalesce("_d", "content"), SUMMARY_LIMIT)})
     out = generated(j.select("entry_id", "source_file", "entry_type", asked.alias("prompt")), "prompt", model, "summary")
     return out.filter("summary is not null").drop("prompt")
 
@@ -42,7 +48,7 @@ def verdicts(answers: DataFrame, response: str = "response") -> DataFrame:
 
 def annotations(index: DataFrame, entries: DataFrame, done: DataFrame, model: object, prompt: str, types: list[str]) -> DataFrame:
     work = pending(index, done, types).select("entry_id", "source_file", "entry_title").join(entries.select("entry_id", "content"), "entry_id")
-    asked = F.replace(F.replace(F.lit(prompt), F.lit("{title}"), F.coalesce("entry_title", F.lit(""))), F.lit("{text}"), cut(F.col("content"), ANNOTATION_LIMIT))
+    asked = filled(prompt, {"title": F.coalesce("entry_title", F.lit("")), "text": cut(F.col("content"), ANNOTATION_LIMIT)})
     out = verdicts(generated(work.select("entry_id", "source_file", "entry_title", asked.alias("prompt")), "prompt", model, "response"))
     return out.filter("is_combat is not null").select("entry_id", "source_file", "entry_title", "is_combat", "is_popular", F.current_timestamp().alias("annotated_at"))
 

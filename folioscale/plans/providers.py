@@ -24,6 +24,16 @@ class StubModel:
         return prompt.strip().split("\n")[-1].split(". ")[0][:200]
 
 
+class WordModel:
+    """Judges by words alone: a JSON object of whether each name's word stands in the prompt."""
+
+    def __init__(self, words: dict[str, str]):
+        self.words = words
+
+    def generate(self, prompt: str) -> str | None:
+        return json.dumps({name: word.lower() in prompt.lower() for name, word in self.words.items()})
+
+
 @dataclass
 class HttpModel:
     """A text model behind an HTTP endpoint that takes and gives JSON."""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..operators import spelling, trees
 from ..operators.names import occurrences
 from ..sources.catalog import Catalog
-from . import marts
+from . import enrich, marts, search
+from .providers import WordModel
 from .registered_relational import _MART, _SALES, _sales
 from .registry import Registry
 from .trigrams import TextIndex
@@ -130,3 +131,26 @@ def true_customers(t):
 )
 def dashboard_sets(t):
     return marts.dashboard(marts.daily_revenue(_sales(t)))
+
+
+@register(
+    """select p_partkey entry_id, p_brand source_file, p_name entry_title, contains(lower(p_name || chr(10) || p_type || ' {title}'), 'part_1') is_combat, contains(lower(p_name || chr(10) || p_type || ' {title}'), 'title') is_popular
+  from part where p_partkey % 3 <> 0 and p_partkey % 5 <> 0"""
+)
+def entry_annotations(t):
+    """Every pending entry judged; a text that holds a slot's name is not filled in again."""
+    p = t("part")
+    index = p.select(F.col("p_partkey").alias("entry_id"), F.col("p_brand").alias("source_file"), F.col("p_name").alias("entry_title"), F.when(F.col("p_partkey") % 5 == 0, "rule").otherwise("spell").alias("entry_type"))
+    entries = p.select(F.col("p_partkey").alias("entry_id"), F.concat("p_type", F.lit(" {title}")).alias("content"))
+    done = p.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("entry_id"))
+    judged = enrich.annotations(index, entries, done, WordModel({"combat": "part_1", "popular": "title"}), "{title}\n{text}", ["spell"])
+    return judged.drop("annotated_at")
+
+
+@register()
+def ask_chain(t):
+    """What a question about toxic and licensed texts would be answered from, by source; a test holds its steps."""
+    d = t("documents")
+    chunks = d.select(F.col("doc_id").alias("chunk_id"), F.xxhash64("source").alias("toc_id"), F.col("lang").alias("entry_title"), F.col("text").alias("content"))
+    toc = d.select(F.xxhash64("source").alias("toc_id"), F.coalesce("source", F.lit("")).alias("title"), F.lit("").alias("sub_headings"), F.lit(0).alias("page_start"), F.lit(False).alias("is_excluded")).distinct()
+    return search.ask(chunks, toc, "Which src1 or src2 text has a License from Apache").select("place", "rank", "chunk_id")

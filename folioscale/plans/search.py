@@ -94,13 +94,34 @@ def rerank(df: DataFrame, query: str, content: str, title: str, order: list[Colu
     return df.withColumn("score", rerank_score(query, F.col(content), F.col(title))).orderBy(F.col("score").desc(), *order)
 
 
-def search_section(chunks: DataFrame, query: str, toc_ids: list, semantic: DataFrame, limit: int = 10) -> DataFrame:
+def search_section(chunks: DataFrame, query: str, toc_ids: list | None, semantic: DataFrame, limit: int = 10) -> DataFrame:
     """Both kinds of hits of some sections, reranked."""
     found = keyword_any(chunks, query, 2 * limit, "content", "chunk_id", toc_ids)
     ranked = found.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "chunk_id"))).drop("score")
     return rerank(hybrid(semantic, ranked, "content", "chunk_id", 2 * limit), query, "content", "entry_title", [F.col("rank")]).limit(limit)
 
 
+def ask(chunks: DataFrame, toc: DataFrame, question: str, semantic: DataFrame | None = None, sections: int = 3, each: int = 10, most: int = 12) -> DataFrame:
+    """toc_id, place, rank and the columns of ``chunks``: what a question is answered from.
+
+    The question's words route it to ``sections`` sections; each is searched by
+    itself, keyword hits behind ``semantic`` ones (chunks with a ``rank``), and
+    reranked; of hits that begin alike the first stays. Without a section that
+    fits, all chunks are searched as one.
+    """
+    routed = [r.toc_id for r in route_by_keywords(toc, question, sections).select("toc_id").collect()]
+    near = chunks.limit(0).withColumn("rank", F.lit(0)) if semantic is None else semantic
+    parts = []
+    for place, ids in enumerate([[i] for i in routed] or [None]):
+        own = near if ids is None else near.filter(F.col("toc_id").isin(ids))
+        found = search_section(chunks, question, ids, own, each)
+        order = Window.orderBy(F.col("score").desc(), "rank", "chunk_id")
+        parts.append(found.withColumn("rank", F.row_number().over(order)).withColumn("place", F.lit(place)).select("place", "rank", *chunks.columns))
+    # sections, and hits of each, at most as many as asked for
+    held = dedupe_prefix(reduce(DataFrame.unionByName, parts), "content", [F.col("place"), F.col("rank"), F.col("chunk_id")])
+    return held.orderBy("place", "rank", "chunk_id").limit(most)
+
+
 def route_by_keywords(toc: DataFrame, question: str, limit: int = 3) -> DataFrame:
     """Sections for a question without a model: those whose title and headings hold most of its words."""
     text = F.concat_ws(" ", "title", "sub_headings")

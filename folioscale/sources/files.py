@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -23,16 +23,21 @@ def load_sales(spark: SparkSession, path: str, table: str = "raw.sales") -> None
     read_sales(spark, path).write.mode("overwrite").saveAsTable(table)
 
 
+def _path() -> Column:
+    """The path of the file that a row is read from, as its name is written: Spark gives it encoded."""
+    return F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+
+
 def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """source_file (the stem) and markdown_text of every .md file, read whole."""
     df = spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true").text(folder, wholetext=True)
-    return df.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.md$", 1).alias("source_file"), F.col("value").alias("markdown_text"), F.length("value").cast("long").alias("char_count"))
+    return df.select(F.regexp_extract(_path(), r"([^/]+)\.md$", 1).alias("source_file"), F.col("value").alias("markdown_text"), F.length("value").cast("long").alias("char_count"))
 
 
 def read_markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
     """source_file (the folder), page_index and page_text of page_*.md files."""
     df = spark.read.option("pathGlobFilter", "page_*.md").option("recursiveFileLookup", "true").text(folder, wholetext=True)
-    name = F.input_file_name()
+    name = _path()
     return df.select(F.regexp_extract(name, r"([^/]+)/page_[0-9]+\.md$", 1).alias("source_file"), F.regexp_extract(name, r"page_([0-9]+)\.md$", 1).cast("int").alias("page_index"), F.col("value").alias("page_text"))
 
 
