@@ -41,8 +41,9 @@ def revenue_by(mart: DataFrame, column: str) -> DataFrame:
 
 def new_days(sales: DataFrame, mart: DataFrame) -> DataFrame:
     """The days of the mart that an increment has to build again: from its last day on."""
-    last = mart.agg(F.max("order_date").alias("_last"))
-    return daily_revenue(sales.join(F.broadcast(last), F.col("_last").isNull() | (F.to_date("order_date") >= F.col("_last"))).drop("_last"))
+    # one value, known before the sales are read: no join, and the scan sees the condition
+    last = mart.agg(F.coalesce(F.max("order_date"), F.lit("0001-01-01").cast("date"))).scalar()
+    return daily_revenue(sales.filter(F.to_date("order_date") >= last))
 
 
 def customer_bitmaps(sales: DataFrame, number: Column) -> DataFrame:
