@@ -170,7 +170,9 @@ _INDEX = """select p_partkey entry_id, p_brand source_file, p_name entry_title,
 
 def _index(t) -> DataFrame:
     e, p = _spells(t), t("part")
-    toc = t("nation").crossJoin(p.select(F.col("p_brand").alias("source_file")).distinct()).select("source_file", F.col("n_nationkey").cast("long").alias("toc_id"), F.when(F.col("n_nationkey") == 9, "Wizard").otherwise(F.col("n_name")).alias("title"), F.col("n_nationkey").alias("sort_order"), F.lit(1).alias("depth"), (F.col("n_nationkey") == 7).alias("is_table"))
+    # each brand's own sections
+    own = p.select(F.col("p_brand").alias("source_file"), (F.col("p_partkey") % 25).alias("k")).distinct()
+    toc = own.join(t("nation"), F.col("k") == F.col("n_nationkey")).select("source_file", F.col("n_nationkey").cast("long").alias("toc_id"), F.when(F.col("n_nationkey") == 9, "Wizard").otherwise(F.col("n_name")).alias("title"), F.col("n_nationkey").alias("sort_order"), F.lit(1).alias("depth"), (F.col("n_nationkey") == 7).alias("is_table"))
     facts = p.filter("p_partkey % 2 = 0").groupBy(F.col("p_brand").alias("source_file"), F.col("p_name").alias("entry_name")).agg(F.max((F.col("p_size") % 7).cast("int")).alias("entry_level")).select("*", F.lit("wizard").alias("entry_class"), F.lit(None).cast("string").alias("school"), F.lit(None).cast("string").alias("sphere"), F.lit(False).alias("is_reversible"), F.lit(3).alias("ref_page"))
     names = p.filter("p_size = 1").select(F.col("p_brand").alias("source_file"), F.col("p_name").alias("entry_name"), F.lit("proficiency").alias("entry_type"))
     return gold.entry_index(e, toc, facts, names, ["Wizard"])
