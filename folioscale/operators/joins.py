@@ -53,11 +53,42 @@ def range_join(points: DataFrame, ranges: DataFrame, keys: list[str], point: str
     return at.join(cut, [*keys, "_level", "_bin"]).filter(held).drop("_level", "_bin")
 
 
+def _halvings(low: Column, end: Column) -> Column:
+    """The aligned pieces of [low, end) as (level, cell), a piece of level i being 2**i wide: two of a level at most."""
+    start = F.struct(low.alias("a"), end.alias("b"), F.array().cast("array<struct<_level:int,_cell:bigint>>").alias("out"))
+
+    def step(s: Column, level: Column) -> Column:
+        piece = lambda x: F.array(F.struct(level.alias("_level"), x.alias("_cell")))
+        none, inside = F.array().cast("array<struct<_level:int,_cell:bigint>>"), s["a"] < s["b"]
+        left, right = inside & (s["a"].bitwiseAND(F.lit(1)) == 1), inside & (s["b"].bitwiseAND(F.lit(1)) == 1)
+        # an odd begin and an odd end are pieces of this level, unless they are the same and the begin took it
+        a, b = s["a"] + F.when(left, 1).otherwise(0), s["b"] - F.when(right, 1).otherwise(0)
+        out = F.concat(s["out"], F.when(left, piece(s["a"])).otherwise(none), F.when(right & (b >= a), piece(b)).otherwise(none))
+        return F.struct(F.shiftright(a, 1).alias("a"), F.shiftright(b, 1).alias("b"), out.alias("out"))
+
+    levels = F.greatest(F.lit(0), F.ceil(F.log2((end - low).cast("double"))).cast("int")) + 1
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step)["out"]
+
+
 def first_range(points: DataFrame, ranges: DataFrame, keys: list[str], id_cols: list[str], point: str, low: str, high: str, order: list[Column], columns: list[str]) -> DataFrame:
-    """Every point with ``columns`` of the first range that holds it by ``order``, or nulls."""
-    found = range_join(points.select(*keys, *id_cols, point), ranges, keys, point, low, high)
-    best = found.groupBy(*keys, *id_cols).agg(F.min(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], *columns)).alias("_best")).select(*keys, *id_cols, *[F.col("_best")[c].alias(c) for c in columns])
-    return points.join(best, [*keys, *id_cols], "left")
+    """Every point with ``columns`` of the first range that holds it by ``order``, or nulls; points and bounds are whole numbers, a null high is open.
+
+    A range is cut into aligned pieces of powers of two, and of all ranges on a
+    piece the first is kept; a point looks at one piece of every level that there
+    is. So no point meets all the ranges that hold it, and each distinct point of
+    a key is looked up once, however many rows have it.
+    """
+    last = points.agg(F.max(F.col(point).cast("long"))).scalar()  # beyond the last point no range matters
+    first = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in columns])
+    own = ranges.select(*keys, F.col(low).cast("long").alias("_low"), F.least(F.coalesce(F.col(high).cast("long"), last), last).alias("_high"), first.alias("_first")).filter("_low <= _high")
+    whole = own.groupBy(*keys, "_low", "_high").agg(F.min("_first").alias("_first"))
+    pieces = whole.select(*keys, F.inline(_halvings(F.col("_low"), F.col("_high") + 1)), "_first").groupBy(*keys, "_level", "_cell").agg(F.min("_first").alias("_first"))
+    levels = F.coalesce(pieces.agg(F.collect_set("_level")).scalar(), F.array().cast("array<int>"))
+    looked = points.select(*keys, F.col(point).cast("long").alias("_point")).distinct()
+    at = looked.select(*keys, "_point", F.explode(levels).alias("_level")).withColumn("_cell", F.expr("shiftright(_point, _level)"))
+    best = at.join(pieces, [*keys, "_level", "_cell"]).groupBy(*keys, "_point").agg(F.min("_first").alias("_best"))
+    best = best.select(*keys, "_point", *[F.col("_best")[c].alias(c) for c in columns])
+    return points.withColumn("_point", F.col(point).cast("long")).join(best, [*keys, "_point"], "left").drop("_point")
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, when: str, columns: list[str]) -> DataFrame:
@@ -93,8 +124,15 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: s
     n r / (2 - r) of them with one of ratio r, so both hold the same character,
     with repeats counted, among their first n (1 - r / (2 - r)) + 1 in one
     order. Pairs meet on the first that they share, and are scored only if
-    their characters and lengths leave room for the ratio.
+    their characters and lengths leave room for the ratio. Strings are compared
+    once for each key, however many rows have them; rows meet by their strings.
     """
+    close = _close_strings(left.select(*keys, a).distinct(), right.select(*keys, b).distinct(), keys, a, b, least)
+    met = left.join(close, [*keys, a]).join(right, [*keys, b])
+    return met.select(*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys])
+
+
+def _close_strings(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, least: float) -> DataFrame:
     r = least / 100
 
     def first(c: str) -> Column:
