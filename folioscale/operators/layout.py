@@ -71,6 +71,21 @@ class Lines:
         return (self.left <= right) & (self.right >= left)
 
 
+def row_numbers(tops: np.ndarray, tolerance: float) -> np.ndarray:
+    """The row of each of ascending tops: one begins with the first that is more than the tolerance below its row's first."""
+    heads, at = [], 0
+    while at < len(tops):
+        heads.append(at)
+        end = int(np.searchsorted(tops, tops[at] + tolerance, side="right"))
+        # the sum may round to the other side of the difference
+        while end < len(tops) and tops[end] - tops[at] <= tolerance:
+            end += 1
+        while end > at + 1 and tops[end - 1] - tops[at] > tolerance:
+            end -= 1
+        at = end
+    return np.repeat(np.arange(len(heads)), np.diff([*heads, len(tops)]))
+
+
 def unmerged(box: np.ndarray) -> np.ndarray:
     """[left, right] of spans from left to right, those that run into each other as one."""
     reach = np.maximum.accumulate(box[:, 2])
@@ -177,29 +192,34 @@ def table_cells(spans: DataFrame, regions: DataFrame, row_tolerance: float = 3.0
     """source_file, page_index, region_index, row_index, col_index, cell_text."""
     key = ["source_file", "page_index", "region_index"]
     inside = spans_in_regions(spans.filter(F.trim("text") != ""), regions)
-    # a row's first span is its anchor: a fold over the region's spans
-    packed = inside.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("y0", "x0", "x1", "text"))).alias("_s"), F.first("columns").alias("columns"))
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = a["top"].isNull() | (F.abs(s["y0"] - a["top"]) > row_tolerance)
-        row = a["row"] + F.when(fresh, 1).otherwise(0)
-        return F.struct(F.when(fresh, s["y0"]).otherwise(a["top"]).alias("top"), row.alias("row"), F.array_append(a["out"], F.struct(row.alias("row_index"), s["x0"].alias("x0"), s["x1"].alias("x1"), s["text"].alias("text"))).alias("out"))
-
-    start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(-1).alias("row"), F.array().cast("array<struct<row_index:int,x0:double,x1:double,text:string>>").alias("out"))
-    rows = packed.select(*key, "columns", F.inline(F.aggregate("_s", start, step)["out"]))
     middle = (F.col("x0") + F.col("x1")) / 2
     col = F.array_position(F.transform("columns", lambda c: middle.between(c["x0"], c["x1"])), True)
-    cells = rows.withColumn("col_index", (col - 1).cast("int")).filter("col_index >= 0")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda x: F.trim(x["text"])), " ")
-    return cells.groupBy(*key, "row_index", "col_index").agg(F.trim(text).alias("cell_text"))
+    placed = inside.select(*key, "y0", "x0", "text", (col - 1).cast("int").alias("col_index"))
+
+    def read(pdf: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(pdf["y0"].to_numpy(dtype=float), kind="stable")
+        own = [pdf[c].to_numpy()[order] for c in ("y0", "col_index", "x0", "text")]
+        held: dict[tuple[int, int], list] = {}
+        for r, c, x0, text in zip(row_numbers(own[0], row_tolerance).tolist(), *(v.tolist() for v in own[1:]), strict=True):
+            if c >= 0:
+                held.setdefault((r, c), []).append((x0, text))
+        cells = [(r, c, " ".join(text.strip(" ") for _, text in sorted(found)).strip(" ")) for (r, c), found in held.items()]
+        out = pd.DataFrame(cells, columns=["row_index", "col_index", "cell_text"])
+        for place, c in enumerate(key):
+            out.insert(place, c, pdf[c].iloc[0])
+        return out
+
+    ship(spans.sparkSession)
+    kinds = ", ".join(f"{c} {placed.schema[c].dataType.simpleString()}" for c in key)
+    return placed.groupBy(*key).applyInPandas(read, f"{kinds}, row_index int, col_index int, cell_text string")
 
 
 def region_rows(cells: DataFrame) -> DataFrame:
     """Cells as dense rows: cells array<string>, with '' for holes."""
     key = ["source_file", "page_index", "region_index"]
-    width = cells.groupBy(*key).agg((F.max("col_index") + 1).alias("_w"))
-    rows = cells.groupBy(*key, "row_index").agg(F.map_from_entries(F.collect_list(F.struct("col_index", "cell_text"))).alias("_m")).join(width, key)
-    return rows.select(*key, "row_index", F.transform(F.sequence(F.lit(0), F.col("_w") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(""))).alias("cells"))
+    rows = cells.groupBy(*key, "row_index").agg(F.map_from_entries(F.collect_list(F.struct("col_index", "cell_text"))).alias("_m"), (F.max("col_index") + 1).alias("_n"))
+    wide = rows.withColumn("_w", F.max("_n").over(Window.partitionBy(*key)))  # the cells are computed once
+    return wide.select(*key, "row_index", F.transform(F.sequence(F.lit(0), F.col("_w") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(""))).alias("cells"))
 
 
 def span_positions(spans: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from folioscale.operators import joins
+from folioscale.operators import joins, layout
+from .test_operators import SPANS, spans_of
 
 
 def test_first_range_without_pairs(spark, monkeypatch):
@@ -19,3 +22,27 @@ def test_first_range_without_pairs(spark, monkeypatch):
         held = [(o, n) for g, lo, hi, o, n in ranges if k is not None and g == k and p is not None and lo is not None and lo <= p and (hi is None or p <= hi)]
         want[i] = min(held)[1] if held else None
     assert {r.i: r.name for r in got.collect()} == want and got.count() == len(points)
+
+
+def test_cells_of_a_long_table(spark):
+    """Rows are numbered in one pass, not by a list that is copied for each span, and cells are computed once."""
+    lines = [("H", 40, [(10, "Name"), (120, "Cost")])] + [("B", 52 + 12 * i, [(10, f"item{i}"), (125, str(i))][: 1 + i % 3 // 1 if i % 3 < 2 else 2]) for i in range(60)]
+    df = spark.createDataFrame(spans_of(lines), SPANS)
+    regions = layout.table_regions(df, layout.LayoutSettings(header_font="H"))
+    got = layout.region_rows(layout.table_cells(df, regions))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_append" not in plan and plan.count("FlatMapGroupsInPandas") == 2
+    rows = {r.row_index: r.cells for r in got.collect()}
+    assert rows[0] == ["Name", "Cost"] and all(rows[i + 1] == ([f"item{i}", str(i)] if i % 3 else [f"item{i}", ""]) for i in range(59))
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.1, 3.0])
+def test_row_numbers(tolerance):
+    rng = random.Random(2)
+    tops = sorted(rng.choice([rng.randint(0, 30) / 10, rng.uniform(0, 40)]) for _ in range(300))
+    want, top, row = [], None, -1
+    for y in tops:
+        if top is None or y - top > tolerance:
+            top, row = y, row + 1
+        want.append(row)
+    assert layout.row_numbers(np.array(tops), tolerance).tolist() == want
