@@ -82,18 +82,20 @@ def validate_bronze(toc: DataFrame, tables: DataFrame, regions: DataFrame, known
     return reduce(DataFrame.unionByName, parts)
 
 
-def section_issues(toc: DataFrame, chunks: DataFrame, key: str = "toc_id", longest: int = 999) -> DataFrame:
+def section_issues(toc: DataFrame, chunks: DataFrame, key: str = "toc_id", longest: int = 999, crowded: int | None = 20) -> DataFrame:
     """toc_id, issue: sections without chunks, with too few, too many, mostly unnamed or tiny ones.
 
     An end beyond page ``longest`` stands for an open one and counts as it.
+    More than ``crowded`` chunks a page are too many; with None, any number is
+    right. A null key is a key, and sizes that are all unknown are not tiny.
     """
-    stats = chunks.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.when(F.col("entry_title").isNull(), 1).otherwise(0)).alias("unnamed"), F.sum("char_count").alias("chars"))
-    s = toc.filter("not is_excluded").join(stats, key, "left").na.fill(0, ["n", "unnamed", "chars"])
+    stats = chunks.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.when(F.col("entry_title").isNull(), 1).otherwise(0)).alias("unnamed"), F.sum("char_count").alias("chars")).withColumnRenamed(key, "_key")
+    s = toc.filter("not is_excluded").join(stats, F.col(key).eqNullSafe(F.col("_key")), "left").na.fill(0, ["n", "unnamed"])
     n, span = F.col("n"), F.least("page_end", F.lit(longest)) - F.col("page_start") + 1
     issues = F.array(
         F.when(n == 0, "EMPTY_SECTION"),
         F.when((n > 0) & (n < span * F.lit(0.3)) & (span > 3), "LOW_CHUNKS"),
-        F.when((n > span * 20) & (span > 2), "CHUNK_OVERFLOW"),
+        F.when((n > span * F.lit(crowded)) & (span > 2), "CHUNK_OVERFLOW"),
         F.when((n > 5) & (F.col("unnamed") > n * F.lit(0.8)), "MOSTLY_UNNAMED"),
         F.when((n > 3) & (F.col("chars") / n < 30), "TINY_CHUNKS"),
     )

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscale.operators import joins, layout
+from folioscale.plans import quality
+
 from .test_operators import SPANS, spans_of
 
 
@@ -46,3 +48,11 @@ def test_row_numbers(tolerance):
             top, row = y, row + 1
         want.append(row)
     assert layout.row_numbers(np.array(tops), tolerance).tolist() == want
+
+
+def test_sections_without_pages(spark):
+    """A section that has no pages is not overfull; a null key is a section, and unknown sizes are not tiny."""
+    toc = spark.createDataFrame([("a", False, 1, 400), (None, False, 1, 400)], "source string, is_excluded boolean, page_start int, page_end int")
+    chunks = spark.range(18_100).select(F.when(F.col("id") >= 9000, "a").alias("source"), F.lit("t").alias("entry_title"), F.lit(None).cast("long").alias("char_count"))
+    assert quality.section_issues(toc, chunks, key="source", crowded=None).collect() == []
+    assert sorted(r.issue for r in quality.section_issues(toc, chunks, key="source").collect()) == ["CHUNK_OVERFLOW"] * 2
