@@ -21,10 +21,20 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(x if len(x.lower()) != 1 else x.lower() for x in text)
 
 
-def occurrences(names: DataFrame, texts: DataFrame, group: list[str], name: str = "name", key: str = "doc_id", text: str = "text", whole: bool = True) -> DataFrame:
+def apart(places: list[int], length: int) -> list[int]:
+    """Of ascending places those that do not begin within the one kept before."""
+    out: list[int] = []
+    for p in places:
+        if not out or p >= out[-1] + length:
+            out.append(p)
+    return out
+
+
+def occurrences(names: DataFrame, texts: DataFrame, group: list[str], name: str = "name", key: str = "doc_id", text: str = "text", whole: bool = True, overlapping: bool = True) -> DataFrame:
     """group, name, key, place: every place (from 0) of each of a group's names in each of its texts, whatever the case.
 
-    With ``whole`` no letter or digit may go on before or behind. Names and texts
+    With ``whole`` no letter or digit may go on before or behind. Without
+    ``overlapping`` a name is looked for behind the place before it, whole or not. Names and texts
     of a group are dealt into parts, so that large groups are many tasks: each name
     travels once to each part of its group's texts, each text once to each part of
     its group's names. Null groups, names and texts have no places, nor has an
@@ -53,7 +63,7 @@ def occurrences(names: DataFrame, texts: DataFrame, group: list[str], name: str
         for a in range(len(read) if written else 0):
             low = lowered(read.column(text)[a].as_py())
             for n, places in all_places(automaton, low).items():
-                places = [p for p in places if not whole or stands_alone(low, p, p + len(n))]
+                places = [p for p in (places if overlapping else apart(places, len(n))) if not whole or stands_alone(low, p, p + len(n))]
                 for shown in written[n]:
                     for i, v in enumerate(group_values):
                         out[i] += [v] * len(places)

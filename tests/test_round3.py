@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscale.operators import joins, layout
+from folioscale.operators import joins, layout, names
 from folioscale.plans import quality
 
 from .test_operators import SPANS, spans_of
@@ -56,3 +56,12 @@ def test_sections_without_pages(spark):
     chunks = spark.range(18_100).select(F.when(F.col("id") >= 9000, "a").alias("source"), F.lit("t").alias("entry_title"), F.lit(None).cast("long").alias("char_count"))
     assert quality.section_issues(toc, chunks, key="source", crowded=None).collect() == []
     assert sorted(r.issue for r in quality.section_issues(toc, chunks, key="source").collect()) == ["CHUNK_OVERFLOW"] * 2
+
+
+def test_names_that_overlap_themselves(spark):
+    """Without overlapping, the next place is looked for behind the one before, even if that is within a word."""
+    texts = spark.createDataFrame([("f", 1, "in in in in in inin in in")], "file string, doc long, text string")
+    found = lambda name, **how: sorted(r.place for r in names.occurrences(spark.createDataFrame([("f", name)], "file string, name string"), texts, ["file"], key="doc", **how).collect())
+    assert found("In in") == [0, 3, 6, 9, 20]
+    # behind 0 and 6 come 12 and 17, which are no whole places but take their letters, those of 20 too
+    assert found("In in", overlapping=False) == [0, 6]
