@@ -128,7 +128,8 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: s
     once for each key, however many rows have them; rows meet by their strings.
     """
     close = _close_strings(left.select(*keys, a).distinct(), right.select(*keys, b).distinct(), keys, a, b, least)
-    met = left.join(close, [*keys, a]).join(right, [*keys, b])
+    # few strings may stand for very many pairs of rows: both sides are dealt out, none is broadcast
+    met = left.join(close.hint("merge"), [*keys, a]).join(right.hint("merge"), [*keys, b])
     return met.select(*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys])
 
 

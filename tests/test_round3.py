@@ -65,3 +65,14 @@ def test_names_that_overlap_themselves(spark):
     assert found("In in") == [0, 3, 6, 9, 20]
     # behind 0 and 6 come 12 and 17, which are no whole places but take their letters, those of 20 too
     assert found("In in", overlapping=False) == [0, 6]
+
+
+def test_copies_are_compared_once(spark):
+    """Strings of a key meet once, however many rows have them, and every pair of rows is there."""
+    rows = spark.range(600).select((F.col("id") % 2).alias("k"), F.element_at(F.array(F.lit("hot bolt"), F.lit("hot bolts"), F.lit("ring")), (F.col("id") % 3 + 1).cast("int")).alias("a"), "id")
+    other = rows.select("k", F.col("a").alias("b"), F.col("id").alias("other"))
+    got = joins.fuzzy_pairs(rows, other, ["k"], "a", "b")
+    assert got.columns == ["k", "a", "id", "b", "other"] and got.count() == 2 * (200 * 200 + 100 * 100) == got.distinct().count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("ArrowEvalPython") :]
+    assert below.count("Aggregate") >= 2
