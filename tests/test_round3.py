@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscale.operators import joins, layout, names, spelling
-from folioscale.plans import quality
+from folioscale.plans import marts, quality
 
 from .test_operators import SPANS, spans_of
 
@@ -89,3 +89,11 @@ def test_suggestions_without_a_shuffle_of_candidates(spark):
     assert "regexp_instr" not in plan.lower()
     near = spelling.suggestions(entries, spelling.deletion_index(entries))._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"Aggregate \[word#\d+, entry", near)
+
+
+def test_few_customers_take_few_bytes(spark):
+    """A stored set grows with its customers; a bitmap has 4,096 bytes for one of them."""
+    sales = spark.range(50).select(F.lit("2024-01-01").alias("order_date"), F.lit("n").alias("region"), F.col("id").cast("string").alias("product"), "id")
+    maps = marts.customer_bitmaps(sales, F.col("id") * 1000)
+    assert maps.agg(F.sum(F.length(F.to_json(F.struct("customers"))))).first()[0] < 50 * 64
+    assert [tuple(r) for r in marts.distinct_customers(maps, ["region"]).collect()] == [("n", 50)]
