@@ -21,12 +21,20 @@ _SALES = """select o_orderkey order_id, o_custkey customer_id, cast(o_orderdate
   join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey"""
 
 
+#: Line items that one task joins with their orders and aggregates, about.
+SALES_ROWS = 250_000
+
+
 def _sales(t) -> DataFrame:
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c, n = t("customer").select("c_custkey", "c_nationkey"), t("nation").select("n_nationkey", "n_name")
     p = t("part").select("p_partkey", "p_brand")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey).join(p, F.col("l_partkey") == p.p_partkey)
+    bought = o.join(c, F.col("o_custkey") == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+    lines = li.join(p, F.col("l_partkey") == p.p_partkey)
+    # what a task holds of the sales does not grow with them: more rows are more tasks, which are not put together again
+    parts = max(1, -(-li.count() // SALES_ROWS))
+    j = lines.repartition(parts, "l_orderkey").join(bought.repartition(parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return j.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("order_date"), F.col("n_name").alias("region"), F.col("p_brand").alias("product"), amount.alias("amount"))
 

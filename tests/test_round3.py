@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscale.operators import joins, layout, names, spelling
-from folioscale.plans import marts, quality
+from folioscale.plans import marts, quality, registered_relational, registry
 
 from .test_operators import SPANS, spans_of
 
@@ -97,3 +97,12 @@ def test_few_customers_take_few_bytes(spark):
     maps = marts.customer_bitmaps(sales, F.col("id") * 1000)
     assert maps.agg(F.sum(F.length(F.to_json(F.struct("customers"))))).first()[0] < 50 * 64
     assert [tuple(r) for r in marts.distinct_customers(maps, ["region"]).collect()] == [("n", 50)]
+
+
+def test_more_sales_are_more_tasks(spark, small, monkeypatch):
+    """Line items and orders are dealt into as many parts as there are line items for, whatever else is set."""
+    t = lambda name: registry.table(spark, small, name)
+    monkeypatch.setattr(registered_relational, "SALES_ROWS", 7)
+    plan = registered_relational._sales(t)._jdf.queryExecution().optimizedPlan().toString()
+    parts = -(-t("lineitem").count() // 7)
+    assert re.search(rf"RepartitionByExpression \[l_orderkey#\d+L?\], {parts}\b", plan) and re.search(rf"RepartitionByExpression \[o_orderkey#\d+L?\], {parts}\b", plan)
