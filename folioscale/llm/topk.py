@@ -131,9 +131,19 @@ def _extended(x: np.ndarray, most: float) -> np.ndarray:
     return np.column_stack([x, np.sqrt(np.maximum(0, most - (x * x).sum(axis=1)))])
 
 
-def _part_tree(ints: np.ndarray, ids: np.ndarray, most: float) -> tuple[bytes, np.ndarray]:
+def _part_tree(ints: np.ndarray, ids: np.ndarray, most: float) -> bytes:
+    """A part's tree and vectors; its points are made of the vectors again, and these are stored in as few bytes as they need."""
     tree = MTree(_extended(ints, most), ids)
-    return pickle.dumps((tree, ints)), tree.points
+    tree.points = None
+    high = int(np.abs(ints).max()) if ints.size else 0
+    return pickle.dumps((tree, ints.astype(np.int16 if high < 1 << 15 else np.int32 if high < 1 << 31 else np.int64)))
+
+
+def _loaded(blob: bytes, most: float) -> tuple[MTree, np.ndarray]:
+    tree, ints = pickle.loads(blob)
+    ints = ints.astype(np.int64)
+    tree.points = _extended(ints, most)
+    return tree, ints
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
@@ -170,7 +180,7 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     done = None
     # one index for each vector length (embeddings have one); only lengths and their largest norms come to the driver
     for dim, most, n in vectors.groupBy("dim").agg(F.max("norm"), F.count("*")).orderBy("dim").collect():
-        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), asked.filter(F.col("dim") == dim).select("id", "v"), float(most), k, min(pivots, max(LEAST_PIVOTS, -(-n // part))), part)
+        found = _top_k_of(vectors.filter(F.col("dim") == dim).select("id", "v"), asked.filter(F.col("dim") == dim).select("id", "v"), float(most), n, k, min(pivots, max(LEAST_PIVOTS, -(-n // part))), part)
         done = found if done is None else done.unionByName(found)
     if done is None:
         done = spark.createDataFrame([], out)
@@ -180,9 +190,10 @@ def top_k(df: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_co
     return flat.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.minus")).alias("score"))
 
 
-def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, k: int, pivots: int, part: int) -> DataFrame:
-    spark = vectors.sparkSession
-    sample = vectors.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(pivots).collect()
+def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, n: int, k: int, pivots: int, part: int) -> DataFrame:
+    # a share of all rows first: every task would send as many rows as there are pivots to the driver
+    share = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 40)) <= (1 << 40) * min(1.0, 4 * pivots / n)
+    sample = vectors.filter(share).orderBy(F.xxhash64("id", F.lit(7)), "id").limit(pivots).collect() or vectors.limit(1).collect()
     centre = _extended(np.array([r.v for r in sample], dtype=np.int64), most)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,18 +211,18 @@ def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, k: int, pivots:
     about = {r.node: (r.n, r.radius) for r in dealt.groupBy("node").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()}
     parts = {node: max(1, -(-n // part)) for node, (n, _) in about.items()}
     count = F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col("node"))
+    tasks = min(sum(parts.values()), 1024)
     keyed = dealt.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(11)), count).cast("int"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, _ = _part_tree(_matrix(pdf["v"]), pdf["id"].to_numpy(), most)
-        return pd.DataFrame({"node": pdf["node"].iloc[:1], "salt": pdf["salt"].iloc[:1], "tree": [tree]})
+        return pd.DataFrame({"node": pdf["node"].iloc[:1], "salt": pdf["salt"].iloc[:1], "tree": [_part_tree(_matrix(pdf["v"]), pdf["id"].to_numpy(), most)]})
 
     trees = written(keyed.select("node", "salt", "id", "v").groupBy("node", "salt").applyInPandas(build, "node int, salt int, tree binary"), "trees")
     radius = np.array([about.get(i, (0, -np.inf))[1] for i in range(len(centre))])
 
     def search(pdf: pd.DataFrame) -> Iterator[tuple[int, int, int]]:
         for blob, queries in zip(pdf["tree"], pdf["queries"], strict=True):
-            tree, ints = pickle.loads(blob)
+            tree, ints = _loaded(blob, most)
             for row in queries:
                 q = np.array(row["v"], dtype=np.int64)
                 extended = np.append(q.astype(np.float64), 0.0)
@@ -233,11 +244,18 @@ def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, k: int, pivots:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
     def searched(queries: DataFrame) -> DataFrame:
-        """``queries``: node, salt, id, v, bound. They meet a part in blocks."""
+        """``queries``: node, id, v, bound. They meet each part of their node in blocks.
+
+        Blocks hold the vector of a query for every node in its reach, which files
+        and estimates show as far smaller than it is: both sides are dealt by part,
+        none is broadcast.
+        """
         block = F.floor(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.greatest(F.lit(1), F.lit((1 << 20) * QUERY_BLOCK) / F.col("n_queries"))).cast("int")
         load = queries.groupBy("node").agg(F.count("*").alias("n_queries"))
         blocks = queries.join(load, "node").groupBy("node", block.alias("block")).agg(F.collect_list(F.struct("id", "v", "bound")).alias("queries"))
-        return arrow_map(trees.join(blocks, "node").select("tree", "queries"), search_batches, "query_id long, vec_id long, score long")
+        each = blocks.select("node", F.explode(F.sequence(F.lit(0), count - 1)).alias("salt"), "queries")
+        met = trees.repartition(tasks, "node", "salt").join(each.repartition(tasks, "node", "salt").hint("merge"), ["node", "salt"])
+        return arrow_map(met.select("tree", "queries"), search_batches, "query_id long, vec_id long, score long")
 
     queries = dealt.join(asked, ["id", "v"], "left_semi").dropDuplicates(["id"]).select("node", "id", "v")
     home = written(searched(queries.withColumn("bound", F.lit(None).cast("double"))), "home")
@@ -261,5 +279,4 @@ def _top_k_of(vectors: DataFrame, asked: DataFrame, most: float, k: int, pivots:
 
     routed = written(arrow_map(queries.join(bound, "id", "left").select("node", "id", "v", "bound"), route, "node int, id long, v array<long>, bound double"), "routed")
     away = searched(routed)
-    del spark
     return home.unionByName(away)
