@@ -76,14 +76,16 @@ class TextModel:
         size = len(self.languages)
         out = np.zeros((len(off) - 1, size))
         n = np.zeros(len(off) - 1, np.int64)
-        row_of = np.searchsorted(off, np.arange(off[0], off[-1]), side="right") - 1 if len(off) > 1 else off
-        # a piece has few enough trigrams for all its likelihoods, whatever the number of languages
-        step = max(1 << 14, (1 << 23) // max(8, size))
+        # a piece has few enough trigrams for all its likelihoods, whatever the number of languages; nothing is held for every byte of a batch
+        step = max(1 << 14, (1 << 21) // max(8, size))
         for a in range(int(off[0]), int(off[-1]), step):
-            part = data[a : a + step + 2]
+            part = data[a : min(a + step + 2, int(off[-1]))]
             if len(part) < 3 or not size:
                 continue
-            row = row_of[a - off[0] : a - off[0] + len(part) - 2]
+            first_row = int(np.searchsorted(off, a, side="right")) - 1
+            last_row = int(np.searchsorted(off, a + len(part) - 2, side="left"))
+            ends = np.clip(off[first_row : last_row + 1] - a, 0, len(part) - 2)
+            row = np.repeat(np.arange(first_row, last_row), np.diff(ends))
             letters = _FOLD[part] != 0x20
             # trigrams of a row end before the next row
             own = (letters[:-2] | letters[1:-1] | letters[2:]) & (np.arange(a, a + len(part) - 2) + 2 < off[row + 1])

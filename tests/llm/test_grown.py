@@ -1,8 +1,11 @@
 """What must not grow with the input: what is broadcast, and what is held for every byte of a batch."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
-from folioscale.llm import topk
+from folioscale.llm import langid, topk
 
 
 def test_blocks_of_queries_are_not_broadcast(spark):
@@ -17,3 +20,13 @@ def test_blocks_of_queries_are_not_broadcast(spark):
 def test_one_repeated_id_still_gives_a_pivot(spark):
     df = spark.createDataFrame([(100, [float(i), 1.0]) for i in range(600)] + [(7, [3.0, 2.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.vec_id) for r in topk.top_k(df, pivots=1, part=100).collect()] == [(100, 7)]
+
+
+def test_scoring_holds_little_for_each_byte():
+    model = langid.TextModel(["a", "b"], {"a": ["some words of one language"], "b": ["andere worte einer sprache"]})
+    column = pa.array(["words of one language, some " * 4000] * 150, pa.string())
+    tracemalloc.start()
+    model.score(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * column.nbytes
