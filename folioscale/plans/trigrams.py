@@ -1,9 +1,10 @@
 """A positional trigram index: substring and keyword search that reads only the texts that can match.
 
 For each three characters of a lower-cased text the index holds their places, as
-differences in bytes of seven bits. A search takes the rarest trigrams of what it
-looks for, joins their postings from rare to frequent, keeps the texts in which the
-places fit together, and looks at those texts themselves.
+differences in bytes of seven bits. Texts are taken in blocks, and a trigram has one
+row for all texts of a block. A search takes the rarest trigrams of what it looks
+for, brings their rows together by block, keeps the texts in which the places fit
+together, and looks at those texts themselves.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from .search import match_score
 SHARDS = 31
 #: Trigrams that one search joins, the rarest.
 MOST = 6
-#: Files of the postings; ranges of (shard, trigram, key), so that a frequent trigram is in many.
-FILES = 32
+#: Characters of the texts of a block, about; a longer text is a block of its own.
+BLOCK = 1 << 22
 BITS = 21
 # A sigma is lower-cased by what follows it; the index does not tell its two forms apart.
 ONE_SIGMA = str.maketrans("ς", "σ")
@@ -70,40 +71,67 @@ class TextIndex:
         self.catalog, self.sharded = catalog, Catalog(catalog.spark, partition="shard")
 
     def postings(self, rows: DataFrame) -> DataFrame:
-        """gram, key, n, places: a row for each trigram of each text; texts never travel."""
-        key = self.key
+        """gram, block, keys, n, places: a row for each trigram of each block of texts, with how many places each text has; texts never travel.
+
+        A block is known by the first of its keys.
+        """
+        key, most = self.key, BLOCK
         kind = rows.schema[key].dataType
 
+        def of_block(keys: list, found: list[tuple]) -> pa.RecordBatch:
+            gram, n, sizes = (np.concatenate([f[i] for f in found]) for i in range(3))
+            data = np.concatenate([f[3] for f in found])
+            own = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            order = np.argsort(gram, kind="stable")
+            begins, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+            ends = np.cumsum(sizes)
+            data = data[np.repeat(begins - (ends - sizes), sizes) + np.arange(len(data))]
+            gram = gram[order]
+            first = np.flatnonzero(np.diff(gram, prepend=gram[0] - 1))
+            counts, places = pack(n[order])
+            counts = np.frombuffer(counts, np.uint8)
+            cut = lambda at, last: np.concatenate([at[first], [last]]).astype(np.int32)
+            binary = lambda at, of: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(of.tobytes())])
+            arrow = to_arrow_type(kind)
+            held = pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(gram)]]).astype(np.int32)), pa.array(keys, arrow).take(pa.array(own[order])))
+            block = pa.array([keys[0]], arrow).take(pa.array(np.zeros(len(first), np.int64)))
+            return pa.RecordBatch.from_arrays([pa.array(gram[first]), block, held, binary(cut(places, len(counts)), counts), binary(cut(ends - sizes, len(data)), data)], names=["gram", "block", "keys", "n", "places"])
+
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, found, held = [], [], 0
             for batch in batches:
                 for a in range(len(batch)):
                     text = batch.column(1)[a].as_py()
                     g = grams(text) if text else np.zeros(0, np.int64)
                     if not len(g):
                         continue
+                    if found and held + len(g) > most:
+                        yield of_block(keys, found)
+                        keys, found, held = [], [], 0
                     order = np.argsort(g, kind="stable")
                     first = np.flatnonzero(np.diff(g[order], prepend=g[order][0] - 1))
                     steps = np.diff(order, prepend=0)
                     steps[first] = order[first]
                     data, begins = pack(steps)
-                    ends = np.concatenate([begins[first[1:]], [len(data)]])
-                    n = np.diff(np.concatenate([first, [len(g)]]))
-                    places = [data[x:y] for x, y in zip(begins[first].tolist(), ends.tolist(), strict=True)]
-                    own = pa.array([batch.column(0)[a].as_py()] * len(first), to_arrow_type(kind))
-                    yield pa.RecordBatch.from_arrays([pa.array(g[order][first]), own, pa.array(n.astype(np.int32)), pa.array(places, pa.binary())], names=["gram", key, "n", "places"])
+                    sizes = np.diff(np.concatenate([begins[first], [len(data)]]))
+                    keys.append(batch.column(0)[a].as_py())
+                    found.append((g[order][first], np.diff(np.concatenate([first, [len(g)]])), sizes, np.frombuffer(data, np.uint8)))
+                    held += len(g)
+            if found:
+                yield of_block(keys, found)
 
         ship(self.catalog.spark)
         low = rows.select(key, F.lower(self.text).alias("_low"))
-        return low.mapInArrow(listed, f"gram long, `{key}` {kind.simpleString()}, n int, places binary")
+        return low.mapInArrow(listed, f"gram long, block {kind.simpleString()}, keys array<{kind.simpleString()}>, n binary, places binary")
 
     def build(self, rows: DataFrame) -> None:
         """Store texts and postings in the place of what was there. Keys are unique; rows with a null key are left out, a null text is never found."""
         self.catalog.replace(self.namespace, self.name, rows.filter(F.col(self.key).isNotNull()))
         held = self.catalog.read(self.namespace, self.name)
         found = self.postings(held).withColumn("shard", (F.col("gram") % SHARDS).cast("int"))
-        files = FILES
-        self.sharded.replace(self.namespace, f"{self.name}_postings", found.repartitionByRange(files, "shard", "gram", self.key).sortWithinPartitions("shard", "gram", self.key))
-        counts = self.sharded.read(self.namespace, f"{self.name}_postings").groupBy("shard", "gram").agg(F.count("*").alias("texts"))
+        # postings stay where their texts are read: each task's are files of their own, in order, and no posting is shuffled
+        self.sharded.replace(self.namespace, f"{self.name}_postings", found.sortWithinPartitions("shard", "gram", "block"))
+        counts = self.sharded.read(self.namespace, f"{self.name}_postings").groupBy("shard", "gram").agg(F.sum(F.size("keys")).alias("texts"))
         self.sharded.replace(self.namespace, f"{self.name}_grams", counts.select("gram", "texts", "shard").sortWithinPartitions("shard", "gram"))
 
     def _of_shard(self, table: str, wanted: list[int]) -> DataFrame:
@@ -122,21 +150,31 @@ class TextIndex:
         kind = self.catalog.read(self.namespace, self.name).schema[key].dataType
         if held.get(rare[0], 0) == 0:
             return spark.createDataFrame([], f"`{key}` {kind.simpleString()}, places array<int>")
-        lists = [self._of_shard("postings", [g]).select(key, F.col("places").alias(f"p{i}")) for i, g in enumerate(rare)]
-        joined = reduce(lambda a, b: a.join(b, key), lists)
-        offsets = [first[g] for g in rare]
+        # rows of a block meet; a block that lacks one of the trigrams has no text with all of them
+        rows = self._of_shard("postings", rare).groupBy("block").agg(F.collect_list(F.struct("gram", "keys", "n", "places")).alias("rows")).filter(F.size("rows") == len(rare))
+
+        def texts_of(row: dict) -> dict[object, np.ndarray]:
+            # how many places there are up to each text's last, and where that ends
+            data = row["places"]
+            ends = (np.flatnonzero(np.frombuffer(data, np.uint8) < 128)[unpack(row["n"]) - 1] + 1).tolist()
+            return {k: data[a:b] for k, a, b in zip(row["keys"], [0, *ends[:-1]], ends, strict=True)}
 
         def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys, places = [], []
                 for a in range(len(batch)):
-                    at = reduce(lambda x, y: np.intersect1d(x, y, assume_unique=True), [unpack(batch.column(1 + i)[a].as_py()) - o for i, o in enumerate(offsets)])
-                    if len(at):
-                        keys.append(batch.column(0)[a].as_py())
-                        places.append(at.tolist())
+                    held = {r["gram"]: texts_of(r) for r in batch.column(0)[a].as_py()}
+                    lists = [held[g] for g in rare]
+                    for k in lists[0]:
+                        if not all(k in x for x in lists):
+                            continue
+                        at = reduce(lambda x, y: np.intersect1d(x, y, assume_unique=True), [unpack(x[k]) - first[g] for g, x in zip(rare, lists, strict=True)])
+                        if len(at):
+                            keys.append(k)
+                            places.append(at.tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(keys, to_arrow_type(kind)), pa.array(places, pa.list_(pa.int32()))], names=[key, "places"])
 
-        return joined.mapInArrow(fitting, f"`{key}` {kind.simpleString()}, places array<int>")
+        return rows.select("rows").mapInArrow(fitting, f"`{key}` {kind.simpleString()}, places array<int>")
 
     def _texts(self, part: str) -> DataFrame:
         """The rows that hold a string, whatever the case: read from the candidates, or from all texts where it has no trigram."""

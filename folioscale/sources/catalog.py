@@ -139,12 +139,16 @@ class Catalog:
 
     def _apply(self, namespace: str, name: str, staged: str, how: str, emptied: list) -> None:
         """Put a staged table in place; doing it twice does no harm."""
-        rows, target = self.spark.table(f"`{namespace}`.`{staged}`"), f"`{namespace}`.`{name}`"
         if how == "anew":
-            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-            self._writer(rows).saveAsTable(target)
+            if not self.exists(namespace, staged):  # it has the table's name already
+                return
+            self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
+            if self._parted(namespace, staged):  # a catalog may keep the old places of partitions
+                self._writer(self.spark.table(f"`{namespace}`.`{staged}`")).saveAsTable(f"`{namespace}`.`{name}`")
+            else:
+                self.spark.sql(f"ALTER TABLE `{namespace}`.`{staged}` RENAME TO `{namespace}`.`{name}`")
             return
-        self._overwrite(namespace, name, rows, how)
+        self._overwrite(namespace, name, self.spark.table(f"`{namespace}`.`{staged}`"), how)
         for value in emptied:
             self._drop_partition(namespace, name, value)
 
