@@ -106,3 +106,16 @@ def test_more_sales_are_more_tasks(spark, small, monkeypatch):
     plan = registered_relational._sales(t)._jdf.queryExecution().optimizedPlan().toString()
     parts = -(-t("lineitem").count() // 7)
     assert re.search(rf"RepartitionByExpression \[l_orderkey#\d+L?\], {parts}\b", plan) and re.search(rf"RepartitionByExpression \[o_orderkey#\d+L?\], {parts}\b", plan)
+
+
+def test_range_join_looks_up_distinct_points(spark):
+    """Rows of one point look up its ranges once, without their texts, and every row meets each of its ranges."""
+    rng = random.Random(5)
+    points = [(rng.choice("ab"), rng.choice([None, rng.randint(-9, 9), rng.randint(0, 900)]), f"t{i}") for i in range(300)] + [(None, 3, "null")]
+    ranges = [(rng.choice("ab"), lo := rng.randint(-20, 600), rng.choice([None, lo + rng.choice([-1, 0, 9, 70, 10**4, 10**6])]), f"r{i}") for i in range(60)] + [(None, 0, 9, "x"), ("a", None, 5, "y"), ("b", 0, 9, "r0"), ("b", 0, 9, "r0")]
+    got = joins.range_join(spark.createDataFrame(points, "k string, p int, page_text string"), spark.createDataFrame(ranges, "k string, lo int, hi int, name string"), ["k"], "p", "lo", "hi")
+    assert got.columns == ["k", "p", "page_text", "lo", "hi", "name"]
+    want = [(k, t, n) for k, p, t in points for g, lo, hi, n in ranges if k is not None and g == k and p is not None and lo is not None and lo <= p and (hi is None or p <= hi)]
+    assert sorted((r.k, r.page_text, r.name) for r in got.collect()) == sorted(want) and len(want) > 300
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [k" in plan and not re.search(r"Generate .*page_text", plan)
