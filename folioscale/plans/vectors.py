@@ -8,7 +8,6 @@ scores the best of them again with their whole vectors.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -29,8 +28,8 @@ CODES = 256
 WIDTH = 4
 #: Rows of the sample that are searched for, to choose how many lists a search reads.
 TRIALS = 200
-#: Queries that one pass over the lists answers.
-BLOCK = 256
+#: Numbers of the vectors that a task compares at a time, and queries that it scores at once.
+NUMBERS, STRIP = 8_000_000, 32
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -87,14 +86,17 @@ class Books:
         rest = unit - self.lists[own]
         return own, np.column_stack([_nearest(rest[:, a:b], p) for p, a, b in zip(self.parts, self.cuts, self.cuts[1:], strict=False)])
 
-    def tables(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Similarity of a query to each centroid, and what each code of each part adds to it."""
-        q = query / np.linalg.norm(query)
-        width = max(len(p) for p in self.parts)
-        added = np.zeros((len(self.parts), width))
+    def decode(self, lists: np.ndarray, codes: pa.ChunkedArray) -> np.ndarray:
+        """The unit vectors that lists and codes stand for."""
+        held = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(lists), len(self.parts))
+        out = self.lists[lists].astype(np.float32)
         for i, (p, a, b) in enumerate(zip(self.parts, self.cuts, self.cuts[1:], strict=False)):
-            added[i, : len(p)] = p @ q[a:b]
-        return self.lists @ q, added
+            out[:, a:b] += p[held[:, i]].astype(np.float32)
+        return out
+
+    def wanted(self, query: np.ndarray, probes: int) -> np.ndarray:
+        """The lists that a query reads, the nearest ones."""
+        return np.argsort(-(self.lists @ query), kind="stable")[:probes]
 
 
 def _usable(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,58 +155,80 @@ class InvertedVectors:
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
         self.catalog.upsert(self.namespace, self.name, rows.mapInArrow(dealt, f"{schema}, codes binary, list int"), [self.key])
 
-    def search(self, queries: list[tuple[object, list[float]]], k: int = 10, probes: int | None = None, again: int = 10, **equal: object) -> DataFrame:
+    def search(self, queries: list[tuple[object, list[float]]] | DataFrame, k: int = 10, probes: int | None = None, again: int = 10, **equal: object) -> DataFrame:
         """query_id, rank, the key and similarity: the k rows nearest to each query among those with the given values.
 
-        With values few rows have, more ``probes`` are needed for the same recall.
-        ``again`` times k rows of each query are scored with their whole vectors.
-        Queries are answered BLOCK by BLOCK; a query without a length has no rows.
+        Queries are a list, or a table of query_id and query; equal ones count
+        once, and one without a length has no rows. With values few rows have, more
+        ``probes`` are needed for the same recall. ``again`` times k rows of each
+        query are scored with their whole vectors. Rows are dealt into parts by
+        their lists and queries into parts by their hash, both of bounded size: a
+        task holds one part of each, however many rows and queries there are.
         """
-        books, out = self.books(), None
-        usable = [(i, np.array(q, np.float64)) for i, q in queries if len(q) == books.cuts[-1] and all(map(math.isfinite, q)) and any(q)]
-        for a in range(0, max(1, len(usable)), BLOCK):
-            found = self._block(books, usable[a : a + BLOCK], k, probes or books.probes, again * k, equal)
-            out = found if out is None else out.unionByName(found)
-        return out
-
-    def _block(self, books: Books, queries: list, k: int, probes: int, most: int, equal: dict) -> DataFrame:
-        spark, key = self.catalog.spark, self.key
-        tables = [books.tables(q) for _, q in queries]
-        wanted = [np.argsort(-near, kind="stable")[:probes] for near, _ in tables]
-        readers: dict[int, list[int]] = {}
-        for i, lists in enumerate(wanted):
-            for x in lists.tolist():
-                readers.setdefault(x, []).append(i)
-        # the lists prune partitions, the given values reach the scan
-        rows = self.catalog.read(self.namespace, self.name, **equal).filter(F.col("list").isin(sorted(readers)) if readers else F.lit(False))
-        kind = rows.schema[key].dataType
-
-        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            # of each task the best rows of each query: no more than the block's queries times ``most``
-            best: list[list] = [[] for _ in tables]
+        books, spark, key, most = self.books(), self.catalog.spark, self.key, again * k
+        probes, width = min(probes or books.probes, len(books.lists)), int(books.cuts[-1])
+        rows = self.catalog.read(self.namespace, self.name, **equal)
+        if isinstance(queries, DataFrame):
+            asked = queries.select("query_id", F.col("query").cast("array<double>").alias("query"))
+        else:
+            given = [(i, list(map(float, q))) for i, q in queries if len(q) == width and all(map(math.isfinite, q)) and any(q)]
+            read = sorted({x for _, q in given for x in books.wanted(np.array(q), probes).tolist()})
+            # the lists prune partitions, the given values reach the scan
+            rows = rows.filter(F.col("list").isin(read) if read else F.lit(False))
+            asked = spark.createDataFrame(given, f"query_id {_id_type(given)}, query array<double>")
+        finite = F.forall("query", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        asked = asked.filter((F.size("query") == width) & finite & F.exists("query", lambda x: x != 0)).distinct()
+
+        # at most LISTS counts; large lists are parts of their own, small ones share a part
+        most_rows = max(1, NUMBERS // width)
+        firsts, slices = _dealt({r.list: r["count"] for r in rows.groupBy("list").count().collect()}, len(books.lists), most_rows)
+        pieces = max(1, math.ceil(asked.count() * width / NUMBERS * 32))
+        parts_of = [np.arange(f, f + s) for f, s in zip(firsts, slices, strict=True)]
+        first, split = (F.element_at(F.array(*[F.lit(v) for v in x]), F.col("list") + 1) for x in (firsts, slices))
+        own = rows.select((first + F.pmod(F.xxhash64(key), split)).cast("int").alias("_part"), F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_piece"), key, "codes", "list")
+
+        def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, lists = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False)
-                codes = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1)
-                for x in np.unique(lists).tolist():
-                    own = np.flatnonzero(lists == x)
-                    for i in readers.get(x, ()):
-                        near, added = tables[i]
-                        value = near[x] + added[np.arange(added.shape[0]), codes[own]].sum(axis=1)
-                        top = np.argsort(-value, kind="stable")[:most]
-                        best[i] = heapq.nlargest(most, best[i] + [(float(value[j]), x, keys[int(own[j])].as_py()) for j in top.tolist()], key=lambda r: r[0])
-            rows = [(i, x, y, v) for i, held in enumerate(best) for v, x, y in held]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], keys_type), pa.array([r[3] for r in rows], pa.float64())], names=["_q", "list", key, "_near"])
-
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        keys_type = to_arrow_type(kind)
+                x = _matrix(batch.column(1), width)
+                parts = [np.unique(np.concatenate([parts_of[j] for j in books.wanted(q, probes).tolist()])) for q in x]
+                at = pa.array(np.repeat(np.arange(len(x)), [len(p) for p in parts]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int32)), *[c.take(at) for c in batch.columns]], names=["_part", *batch.schema.names])
+
         ship(spark)
-        near = rows.select(key, "codes", "list").mapInArrow(scored, f"_q int, list int, `{key}` {kind.simpleString()}, _near double")
-        first = Window.partitionBy("_q").orderBy(F.col("_near").desc(), key)
-        near = near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).select("_q", "list", key)
-        asked = spark.createDataFrame([(i, x, q.tolist()) for i, (x, q) in enumerate(queries)] or [], f"_q int, query_id {_id_type(queries)}, query array<double>")
-        # the queries of one block are at most BLOCK rows
-        pairs = near.join(rows.select("list", key, self.vector), ["list", key]).join(F.broadcast(asked), "_q")
+        kind = {c: t for frame in (asked, rows) for c, t in ((f.name, f.dataType.simpleString()) for f in frame.schema.fields)}
+        to = asked.mapInArrow(sent, f"_part int, query_id {kind['query_id']}, query array<double>").withColumn("_piece", F.pmod(F.xxhash64("query_id", "query"), F.lit(pieces)).cast("int"))
+
+        def scored(held: pa.Table, wanting: pa.Table) -> pa.Table:
+            held, wanting = held.sort_by([("list", "ascending"), (key, "ascending")]), wanting.sort_by("query_id")
+            lists, x = held.column("list").to_numpy(), _matrix(wanting.column("query"), width)
+            near = books.decode(lists, held.column("codes"))
+            cuts = {j: np.searchsorted(lists, [j, j + 1]) for j in np.unique(lists).tolist()}
+            found, value = [], []
+            for a in range(0, len(x) if len(lists) else 0, STRIP):
+                strip = x[a : a + STRIP]
+                readers: dict[int, list[int]] = {}
+                for i, q in enumerate(strip):
+                    for j in books.wanted(q, probes).tolist():
+                        readers.setdefault(j, []).append(i)
+                unit = _unit(strip).astype(np.float32)
+                scores = np.full((len(strip), len(lists)), -np.inf, np.float32)
+                for j, (b, e) in cuts.items():
+                    if j in readers:
+                        scores[readers[j], b:e] = unit[readers[j]] @ near[b:e].T
+                top = np.argpartition(-scores, most - 1, axis=1)[:, :most] if most < len(lists) else np.tile(np.arange(len(lists)), (len(strip), 1))
+                values = np.take_along_axis(scores, top, axis=1)
+                i, j = np.nonzero(values > -np.inf)
+                found.append((a + i, top[i, j]))
+                value.append(values[i, j])
+            q, r = (np.concatenate([f[n] for f in found]) if found else np.zeros(0, np.int64) for n in (0, 1))
+            return pa.table({"query_id": wanting.column("query_id").take(pa.array(q)), "list": held.column("list").take(pa.array(r)), key: held.column(key).take(pa.array(r)), "_near": pa.array(np.concatenate([np.zeros(0, np.float32), *value]).astype(np.float64))})
+
+        cells = ["_part", "_piece"]
+        near = own.groupBy(*cells).cogroup(to.groupBy(*cells)).applyInArrow(scored, f"query_id {kind['query_id']}, list int, `{key}` {kind[key]}, _near double")
+        first = Window.partitionBy("query_id").orderBy(F.col("_near").desc(), key)
+        near = near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).select("query_id", "list", key).dropDuplicates()
+        # queries may be many: what meets by their id is dealt out, not broadcast
+        pairs = near.join(rows.select("list", key, self.vector), ["list", key]).join(asked.hint("merge"), "query_id")
         dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
         v, q = F.col(self.vector), F.col("query")
         exact = pairs.withColumn("similarity", dot(v, q) / (F.sqrt(dot(v, v)) * F.sqrt(dot(q, q))))
@@ -212,5 +236,22 @@ class InvertedVectors:
         return exact.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", key, "similarity")
 
 
+def _dealt(counts: dict[int, int], lists: int, most: int) -> tuple[list[int], list[int]]:
+    """The first part of each list and over how many parts it goes: about ``most`` rows in each."""
+    firsts, slices, part, held = [0] * lists, [1] * lists, 0, 0
+    for x in range(lists):
+        n = counts.get(x, 0)
+        if held and held + n > most:
+            part, held = part + 1, 0
+        firsts[x], slices[x] = part, max(1, math.ceil(n / most))
+        part, held = (part + slices[x], 0) if n > most else (part, held + n)
+    return firsts, slices
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers each as rows."""
+    return np.asarray((column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten(), np.float64).reshape(-1, width)
+
+
 def _id_type(queries: list) -> str:
     return "string" if any(isinstance(i, str) for i, _ in queries) else "long"

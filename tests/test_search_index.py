@@ -65,6 +65,27 @@ def test_vector_lists_take_the_place_of_a_key(spark, clustered):
         index.fit(spark.createDataFrame([], schema))
 
 
+def test_many_queries_are_parts_of_tasks(spark, clustered, monkeypatch):
+    """Rows and queries go to tasks in parts of bounded size; the rows found do not depend on these, and no query adds to the plan."""
+    rows = spark.createDataFrame(clustered + [(1500 + i, clustered[3][1]) for i in range(300)], "id long, embedding array<float>")
+    index = vectors.InvertedVectors(Catalog(spark), space(), "v")
+    index.fit(rows)
+    index.put(rows)
+    asked = [x for x in clustered if x[0] % 5 == 0]
+    ranked = lambda found: sorted((r.query_id, r["rank"], r.id) for r in found.collect())
+    whole = ranked(index.search(asked, 10))
+    assert len({x for x, _, _ in whole}) == len(asked) and len(whole) > 9.9 * len(asked)
+    monkeypatch.setattr(vectors, "NUMBERS", 18 * 100)
+    table = spark.createDataFrame(asked + asked[:9] + [(-1, None), (-2, [0.0] * 18), (-3, [1.0]), (-4, [float("inf")] * 18)], "query_id long, query array<float>")
+    for queries in (asked, table):
+        found = index.search(queries, 10)
+        assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+        got = ranked(found)
+        assert len(got) == len(whole) and len(set(got) & set(whole)) >= 0.98 * len(whole)
+    # a list larger than a part is split, small ones share a part
+    assert vectors._dealt({0: 40, 1: 50, 2: 30, 3: 250, 5: 10}, 6, 100) == ([0, 0, 1, 2, 5, 5], [1, 1, 1, 3, 1, 1])
+
+
 def test_places_turn_back():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, 400):
