@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_hash
-from ..functions.text import field_anywhere, field_line, squeeze, strip, strip_html
+from ..functions.text import field_anywhere, field_line, quote_pattern, squeeze, strip, strip_html
 from ..operators.windows import top_one
 from ..session import ship
 
@@ -117,29 +118,41 @@ def crosscheck(known: DataFrame, spell_list: DataFrame, exclude: list[str] | Non
     )
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """What ``then`` makes of a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _field_lines(fields: list[str]) -> str:
+    """What the lower-cased lines of fields begin with."""
+    return r"^\s*+(?:" + "|".join(quote_pattern(f.lower()) for f in fields) + "):"
+
+
 def description(content: Column, is_spell: Column, fields: list[str]) -> Column:
     """A spell's text without its head of field lines and without its material footer; other texts as they are."""
-    lines = F.split(content, "\n", -1)
-    is_field = lambda x: reduce(lambda a, f: a | F.startswith(F.lower(strip(x)), F.lit(f.lower() + ":")), fields, F.lit(False))
+    if not fields:
+        return strip(content)
+
+    def body(lines: Column) -> Column:
+        # a head line is a field, or, behind the first, goes on from one: indented, or nearly empty
+        more = lambda x, i: F.lower(x).rlike(_field_lines(fields)) | ((i > 0) & (F.startswith(x, F.lit("  ")) | (F.length(strip(x)) < 5)))
+        end = F.array_position(F.transform(lines, more), F.lit(False)).cast("int")
+        return strip(F.array_join(F.when(end == 0, F.array().cast("array<string>")).otherwise(F.slice(lines, F.greatest(end, F.lit(1)), F.size(lines))), "\n"))
 
-    def step(s: Column, x: Column) -> Column:
-        # a head line is a field, or goes on from one: indented, or nearly empty
-        more = s["open"] & (is_field(x) | ((s["n"] > 0) & (F.startswith(x, F.lit("  ")) | (F.length(strip(x)) < 5))))
-        return F.struct((s["n"] + F.when(more, 1).otherwise(0)).alias("n"), more.alias("open"))
+    def bare(rows: Column) -> Column:
+        # the last of the last seven lines, but not the first of all, that begins as a footer
+        last = F.slice(rows, F.greatest(F.lit(2), F.size(rows) - 6), F.lit(7))
+        marks = F.transform(last, lambda x: strip(x).rlike(MATERIAL))
+        behind = F.array_position(F.reverse(marks), F.lit(True)).cast("int")
+        return F.when(behind > 0, strip(F.array_join(F.slice(rows, F.lit(1), F.size(rows) - behind), "\n"))).otherwise(F.array_join(rows, "\n"))
 
-    head = F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")), step)["n"]
-    body = strip(F.array_join(F.slice(lines, head + 1, F.size(lines)), "\n"))
-    rows = F.split(body, "\n", -1)
-    tail = F.greatest(F.lit(0), F.size(rows) - 7)
-    marks = F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: (i > tail) & (i > 1) & strip(F.get(rows, i - 1)).rlike(MATERIAL))
-    cut = F.try_element_at(marks, F.lit(-1))
-    spell = F.when(cut.isNotNull(), strip(F.array_join(F.slice(rows, F.lit(1), cut - 1), "\n"))).otherwise(body)
-    return F.when(is_spell, spell).otherwise(strip(content)) if fields else strip(content)
+    return F.when(is_spell, _once(F.split(_once(F.split(content, "\n", -1), body), "\n", -1), bare)).otherwise(strip(content))
 
 
 def entry_descriptions(entries: DataFrame, fields: list[str]) -> DataFrame:
     text = description(F.col("content"), F.col("spell_level").isNotNull(), fields)
-    return entries.filter("content is not null").select("entry_id", "source_file", F.lit("original").alias("description_type"), text.alias("content")).filter("content <> ''")
+    # the empty ones go where the text is made, so that no filter makes it a second time
+    return entries.filter("content is not null").select("entry_id", "source_file", F.lit("original").alias("description_type"), F.explode(F.filter(F.array(text), lambda x: x != "")).alias("content"))
 
 
 def entry_flags(content: Column, fields: list[str], least: int = 20) -> tuple[Column, Column]:

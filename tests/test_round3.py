@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscale.operators import joins, layout, names, spelling
-from folioscale.plans import marts, quality, registered_relational, registry
+from folioscale.plans import marts, quality, registered_relational, registry, silver
 
 from .test_operators import SPANS, spans_of
 
@@ -119,3 +119,27 @@ def test_range_join_looks_up_distinct_points(spark):
     assert sorted((r.k, r.page_text, r.name) for r in got.collect()) == sorted(want) and len(want) > 300
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [k" in plan and not re.search(r"Generate .*page_text", plan)
+
+
+def test_descriptions_are_made_once(spark):
+    """A text is taken apart once for its head and once for its footer; heads, footers and empty texts as line by line."""
+    rng, fields = random.Random(8), ["Range", "Saving Throw", "A.B"]
+    lines = ["Range: 1", "  RANGE: 2", "saving throw: none", "\t a.b:", "aXb: 1", "  goes on", "abc", " ab ", "", "It does harm.", "The material component is sand.", " material component: ash", "Range of fire"]
+    texts = ["\n".join(rng.choice(lines[:9] if rng.random() < 0.6 else lines) for _ in range(rng.randint(0, 14))) for _ in range(300)] + [None, "", "Range: 1", "Range: 1\nThe material is gone", "x\nThe material is gone"]
+    df = spark.createDataFrame([(i, "f", x, i % 3 or None) for i, x in enumerate(texts)], "entry_id int, source_file string, content string, spell_level int")
+    want = {}
+    for i, x in enumerate(texts):
+        shown = (x or "").strip()
+        if x is not None and i % 3:
+            rows, n = x.split("\n"), 0
+            while n < len(rows) and (any(rows[n].strip().lower().startswith(f.lower() + ":") for f in fields) or (n and (rows[n].startswith("  ") or len(rows[n].strip()) < 5))):
+                n += 1
+            rows = "\n".join(rows[n:]).strip().split("\n")
+            cuts = [j for j in range(max(1, len(rows) - 7), len(rows)) if re.match("(?i)the material|material component", rows[j].strip())]
+            shown = "\n".join(rows[: cuts[-1]] if cuts else rows).strip()
+        if shown:
+            want[i] = shown
+    got = silver.entry_descriptions(df, fields)
+    assert got.columns == ["entry_id", "source_file", "description_type", "content"] and {r.entry_id: r.content for r in got.collect()} == want and 150 < len(want) < 300
+    assert silver.entry_descriptions(df, []).count() == sum(bool((x or "").strip()) for x in texts)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
