@@ -43,6 +43,8 @@ def chapter_texts(pages: DataFrame, toc: DataFrame) -> DataFrame:
 
     chapters = toc.filter("is_chapter and not is_excluded").select("source_file", F.col("title").alias("chapter_title"), "page_start", "page_end", "sort_order")
     held = range_join(pages.select("source_file", "page_index", "printed_page_num", "page_text"), chapters, ["source_file"], "printed_page_num", "page_start", "page_end")
+    # dealt by chapter once: its pages, its text and its titles meet without another shuffle of texts
+    held = held.repartition("source_file", "chapter_title")
     # where a page begins is a running sum of what stands before it; empty pages before the first text add nothing
     key = ["source_file", "chapter_title", "page_start", "page_end", "sort_order"]
     line = Window.partitionBy(*key).orderBy("page_index", "printed_page_num", "page_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -58,32 +60,42 @@ def chapter_texts(pages: DataFrame, toc: DataFrame) -> DataFrame:
 SECTIONS = "source_file string, toc_title string, section_title string, entry_title string, content string, page_start int, seq int"
 
 
+def with_ids(toc: DataFrame) -> DataFrame:
+    """Contents with the key of each row as toc_id, and the least key of its file's rows of that title and page as own_id."""
+    keyed = toc.withColumn("toc_id", stable_hash("source_file", "title", "parent_title", "page_start"))
+    return keyed.withColumn("own_id", F.min("toc_id").over(Window.partitionBy("source_file", "title", F.col("page_start").cast("int"))))
+
+
 def split_chapters(chapters: DataFrame, toc: DataFrame, listed: DataFrame | None = None, bound: bool = True) -> DataFrame:
-    """Sections of every chapter. ``listed`` (source_file, chapter_title, title, page_start, sort_order) adds titles that the contents lack."""
-    kind = "array<struct<sort_order:int,title:string,page:int,is_table:boolean>>"
-    subs = toc.filter("not is_excluded and parent_title is not null").select("source_file", F.col("parent_title").alias("chapter_title"), "title", "page_start", "is_table", "sort_order")
+    """Sections of every chapter, each with the own_id of its title (null before the first). ``listed`` (source_file, chapter_title, title, page_start, sort_order) adds titles that the contents lack."""
+    kind = "array<struct<sort_order:int,title:string,page:int,is_table:boolean,own_id:bigint>>"
+    subs = with_ids(toc).filter("not is_excluded and parent_title is not null").select("source_file", F.col("parent_title").alias("chapter_title"), "title", "page_start", "is_table", "sort_order", "own_id")
     if listed is not None:
-        subs = subs.unionByName(listed.select("source_file", "chapter_title", "title", "page_start", F.lit(False).alias("is_table"), "sort_order"))
-    packed = subs.groupBy("source_file", "chapter_title").agg(F.array_sort(F.collect_list(F.struct(F.col("sort_order").cast("int"), "title", F.col("page_start").cast("int").alias("page"), "is_table"))).cast(kind).alias("subs"))
+        subs = subs.unionByName(listed.select("source_file", "chapter_title", "title", "page_start", F.lit(False).alias("is_table"), "sort_order", F.lit(None).cast("long").alias("own_id")))
+    packed = subs.groupBy("source_file", "chapter_title").agg(F.array_sort(F.collect_list(F.struct(F.col("sort_order").cast("int"), "title", F.col("page_start").cast("int").alias("page"), "is_table", "own_id"))).cast(kind).alias("subs"))
     rows = chapters.join(packed, ["source_file", "chapter_title"], "left")
     ship(rows.sparkSession)
 
     def split(batches):
         for pdf in batches:
-            out = []
+            out, ids = [], []
             for r in pdf.itertuples():
                 subs_ = list(r.subs) if r.subs is not None else []
                 plain = [(s["title"], s["page"]) for s in subs_ if not s["is_table"]]
+                own = [s["own_id"] for s in subs_ if not s["is_table"]]
                 offsets = {}
                 for o in r.page_offsets:
                     offsets.setdefault(o["page"], o["at"])
                 intro, parts = text_sections(r.text, plain, offsets, [s["title"] for s in subs_ if s["is_table"]], bound, MIN_ENTRY)
                 if len(intro) >= MIN_ENTRY:
                     out.append((r.source_file, r.chapter_title, None, None, intro, int(r.page_start), -1))
+                    ids.append(None)
+                ids += [own[n] for n, _ in parts]
                 out += [(r.source_file, r.chapter_title, plain[n][0], plain[n][0], c, int(plain[n][1]), n) for n, c in parts]
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in SECTIONS.split(", ")])
+            # keys have more digits than a float
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in SECTIONS.split(", ")]).assign(own_id=pd.array(ids, dtype="Int64"))
 
-    return rows.mapInPandas(split, SECTIONS)
+    return rows.mapInPandas(split, f"{SECTIONS}, own_id long")
 
 
 def clean_content(c: Column, fields: list[str] | None = None, substitutions: list[tuple[str, str]] | None = None, tags: list[str] | None = None) -> Column:
@@ -146,7 +158,8 @@ def merge_orphans(entries: DataFrame, has_metadata: Column, has_description: Col
     from .windows import islands
 
     key = ["source_file", "toc_title"]
-    named = entries.withColumn("_m", has_metadata).withColumn("_d", has_description).withColumn("_name", F.coalesce(F.lower("entry_title"), F.concat(F.lit("\0"), *[F.col(c).cast("string") for c in order])))
+    # both passes and both windows count on a section's rows being together: contents are shuffled once
+    named = entries.repartition(*key).withColumn("_m", has_metadata).withColumn("_d", has_description).withColumn("_name", F.coalesce(F.lower("entry_title"), F.concat(F.lit("\0"), *[F.col(c).cast("string") for c in order])))
     packed = F.array_sort(F.collect_list(F.struct(*order, "content", "_m", "_d")))
     held = lambda s, c: F.contains(s, F.left(strip(c), F.lit(signature)))
     joined = F.aggregate(F.transform(packed, lambda x: x["content"]), F.lit(""), lambda s, c: F.when(s == "", c).when(held(s, c), s).otherwise(F.concat(s, F.lit("\n\n"), c)))
@@ -165,6 +178,7 @@ def build_entries(pages: DataFrame, toc: DataFrame, fields: list[str], known: Da
     """silver_entries of every file: clean pages, chapters, sections, clean contents, keys and flags."""
     from ..plans.silver import entry_flags, merged_spell_names
 
+    # a section's key comes with its title, so that no content is shuffled to meet it
     sections = split_chapters(chapter_texts(clean_pages(pages, marks, masks), toc), toc)
     cleaned = sections.withColumn("content", clean_content(F.col("content"), fields, substitutions))
     cleaned = cleaned.withColumn("content", deduped_blocks(F.col("content"), fields))
@@ -172,13 +186,13 @@ def build_entries(pages: DataFrame, toc: DataFrame, fields: list[str], known: Da
     merged = merge_orphans(cleaned, *flags, order=["seq"])
     if tables is not None:
         t = tables.groupBy("source_file", "toc_title").agg(F.array_sort(F.collect_list(F.struct("row_index", "cells"))).alias("_r"))
-        parents = toc.filter("is_table").select("source_file", F.col("title").alias("_t"), "parent_title", F.col("page_start").alias("_p"))
+        parents = with_ids(toc).filter("is_table").select("source_file", F.col("title").alias("_t"), "parent_title", F.col("page_start").alias("_p"), "own_id")
         from ..functions.cells import decode_cells, table_row
 
         width = F.size(decode_cells(F.get("_r", F.lit(0))["cells"]))
         rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), width))
         body = F.array_join(F.concat(F.array(table_row(F.get("_r", F.lit(0))["cells"]), rule), F.transform(F.slice("_r", F.lit(2), F.size("_r")), lambda x: table_row(x["cells"]))), "\n")
-        rows = t.join(parents, (t["source_file"] == parents["source_file"]) & (t["toc_title"] == parents["_t"])).select(t["source_file"], F.coalesce("parent_title", "_t").alias("toc_title"), F.col("_t").alias("section_title"), F.col("_t").alias("entry_title"), body.alias("content"), F.col("_p").cast("int").alias("page_start"), (F.lit(100000) + F.col("_p")).cast("int").alias("seq"))
+        rows = t.join(parents, (t["source_file"] == parents["source_file"]) & (t["toc_title"] == parents["_t"])).select(t["source_file"], F.coalesce("parent_title", "_t").alias("toc_title"), F.col("_t").alias("section_title"), F.col("_t").alias("entry_title"), body.alias("content"), F.col("_p").cast("int").alias("page_start"), (F.lit(100000) + F.col("_p")).cast("int").alias("seq"), "own_id")
         merged = merged.unionByName(rows)
     merged = merged.withColumn("_k", F.lower(strip(F.coalesce("entry_title", F.lit("")))))
     if spell_list is not None:
@@ -191,14 +205,12 @@ def build_entries(pages: DataFrame, toc: DataFrame, fields: list[str], known: Da
     else:
         merged = merged.withColumn("school", F.lit(None).cast("string")).withColumn("sphere", F.lit(None).cast("string"))
     # the section's own row of the contents, or the chapter's
-    ids = toc.select("source_file", "title", "parent_title", "page_start", stable_hash("source_file", "title", "parent_title", "page_start").alias("toc_id"))
-    own = ids.select("source_file", F.col("title").alias("section_title"), F.col("page_start").cast("int").alias("page_start"), F.col("toc_id").alias("_own"))
-    chapter = top_one(ids.filter("parent_title is null"), ["source_file", "title"], [F.col("page_start")]).select("source_file", F.col("title").alias("toc_title"), F.col("toc_id").alias("_chapter"))
-    out = merged.join(top_one(own, ["source_file", "section_title", "page_start"], [F.col("_own")]), ["source_file", "section_title", "page_start"], "left").join(chapter, ["source_file", "toc_title"], "left")
+    chapter = top_one(with_ids(toc).filter("parent_title is null"), ["source_file", "title"], [F.col("page_start")]).select("source_file", F.col("title").alias("toc_title"), F.col("toc_id").alias("_chapter"))
+    out = merged.join(chapter, ["source_file", "toc_title"], "left")
     meta, description = entry_flags(F.col("content"), fields)
     return out.select(
         stable_hash(F.col("source_file"), F.col("toc_title"), F.col("entry_title"), F.col("section_title"), F.substring("content", 1, 80)).alias("entry_id"),
-        F.coalesce("_own", "_chapter").alias("toc_id"),
+        F.coalesce("own_id", "_chapter").alias("toc_id"),
         "source_file",
         "toc_title",
         "section_title",

@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscale.operators import joins, layout, names, spelling
+from folioscale.functions.keys import stable_hash
+from folioscale.operators import documents, joins, layout, names, spelling
 from folioscale.plans import marts, quality, registered_relational, registry, silver
 
-from .test_operators import SPANS, spans_of
+from .test_operators import SPANS, book, spans_of
 
 
 def test_first_range_without_pairs(spark, monkeypatch):
@@ -143,3 +144,23 @@ def test_descriptions_are_made_once(spark):
     assert got.columns == ["entry_id", "source_file", "description_type", "content"] and {r.entry_id: r.content for r in got.collect()} == want and 150 < len(want) < 300
     assert silver.entry_descriptions(df, []).count() == sum(bool((x or "").strip()) for x in texts)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
+
+
+def test_entries_shuffle_their_texts_three_times(spark):
+    """Pages go to their chapters' files, to their chapters and sections to each other; keys of the contents come without a further shuffle."""
+    pages, toc, _ = book(spark)
+    twice = toc.filter("title = 'Hold'").withColumn("parent_title", F.lit("Other"))
+    toc = toc.unionByName(twice).unionByName(toc.filter("title = 'Fly'").withColumn("title", F.lit("Chart")).withColumn("is_table", F.lit(True)))
+    tables = spark.createDataFrame([("b", "Chart", 0, '["a"]'), ("b", "Chart", 1, '["1"]')], "source_file string, toc_title string, row_index int, cells string")
+    ids = toc.withColumn("id", stable_hash("source_file", "title", "parent_title", "page_start")).groupBy("title").agg(F.min("id").alias("id"))
+    got = documents.build_entries(pages, toc, ["Range", "Duration"], tables=tables)
+    want = {r.title: r.id for r in ids.collect()}
+    assert {r.entry_title: r.toc_id for r in got.collect()} == {None: want["Spells"], "Fly": want["Fly"], "Hold": want["Hold"], "Chart": want["Chart"]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.PythonSQLUtils.explainString(documents.build_entries(pages, toc, ["Range", "Duration"])._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sent = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(sent) > 5 and sum(bool(re.search(r"\b(page_text|text|content|_p)#", x)) for x in sent) == 3
